@@ -27,12 +27,17 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
     """Return ``(broadcast(df), True)`` if df has at most ``max_rows`` rows.
 
     The check is a bounded action (``limit(max_rows + 1).count()``), so it
-    stops early on a large side. Beyond the bound the frame is returned
-    unchanged and the join that uses it stays a shuffle join.
+    stops early on a large side. A side that passes is cached (it is
+    small by the check) so the join does not compute it a second time;
+    if an executor holding it is lost Spark recomputes it from lineage.
+    Beyond the bound the frame is returned unchanged and the join that
+    uses it stays a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
+    small = df.persist()
+    n = small.limit(max_rows + 1).count()
     if n <= max_rows:
-        return F.broadcast(df), True
+        return F.broadcast(small), True
+    small.unpersist()
     return df, False
 
 
@@ -43,6 +48,7 @@ def split_hot_groups(
     salt: Column,
     part_col: str = "part",
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``part_col`` so each ``(keys, part)`` group holds ~``max_rows`` rows.
 

@@ -114,3 +114,112 @@ SELECT 'event' AS stage,
 FROM ev WHERE etype IS NULL OR (etype NOT IN {LIVE_TYPES_SQL} AND etype <> 'purchase')
 """),
 }
+
+_EVB = f"SELECT {_EVENTS_COLS} FROM evf WHERE etype IS NOT NULL"
+_VISITS = """SELECT session_id, user_id, device_type, geolocation, user_agent, start_timestamp, end_timestamp,
+  CAST(event_count AS BIGINT) AS event_count FROM sess"""
+# Page-view windows: 60 minutes, epoch-aligned, on the record's publish time.
+_PV = """SELECT time_bucket(INTERVAL 60 MINUTE, publish_time, TIMESTAMP '1970-01-01') + INTERVAL 60 MINUTE AS window_end,
+  CAST(sum(page_views) AS BIGINT) AS page_view_count FROM sess GROUP BY 1 HAVING sum(page_views) > 0"""
+
+ORACLES.update({
+    "visits_by_device": _with("SELECT device_type, count(*) AS visits FROM sess GROUP BY device_type"),
+    "popular_items": _with("""
+SELECT product_id, CAST(sum(coalesce(quantity, 0)) AS BIGINT) AS total_quantity, count(*) AS order_lines
+FROM pitems GROUP BY product_id ORDER BY total_quantity DESC, product_id ASC LIMIT 10
+"""),
+    "sales_by_category": _with("""
+SELECT category,
+  CAST(round(sum(CAST(coalesce(price, 0) AS DECIMAL(20,2)) * CAST(coalesce(quantity, 0) AS DECIMAL(20,0))), 2) AS DOUBLE) AS sales,
+  count(*) AS item_rows
+FROM pitems GROUP BY category
+"""),
+    "events_with_visit": _with(f"""
+SELECT e.*, s.start_timestamp AS visit_start, s.end_timestamp AS visit_end,
+  CAST(s.event_count AS BIGINT) AS visit_event_count, s.geolocation
+FROM ({_EVB}) e LEFT JOIN sess s USING (session_id)
+"""),
+    "items_with_visit": _with("""
+SELECT i.*, s.user_id, s.device_type, s.start_timestamp AS visit_start
+FROM pitems i LEFT JOIN sess s USING (session_id)
+"""),
+    "orphan_counts": _with(f"""
+SELECT 'events' AS table_name, count(*) AS orphan_rows
+FROM ({_EVB}) e WHERE session_id NOT IN (SELECT session_id FROM sess)
+UNION ALL
+SELECT 'purchase_items' AS table_name, count(*) AS orphan_rows
+FROM pitems WHERE session_id NOT IN (SELECT session_id FROM sess)
+"""),
+    "sessions_with_purchase": _with(f"""
+SELECT * FROM ({_VISITS}) v WHERE session_id IN (SELECT session_id FROM pitems)
+"""),
+    "key_report": _with(f"""
+SELECT 'visits' AS table_name, CAST(sum(n) AS BIGINT) AS row_count, count(*) AS key_count,
+  CAST(coalesce(sum(CASE WHEN n > 1 THEN 1 END), 0) AS BIGINT) AS duplicated_keys,
+  CAST(coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0) AS BIGINT) AS extra_rows
+FROM (SELECT session_id, count(*) AS n FROM sess GROUP BY 1)
+UNION ALL
+SELECT 'events', CAST(sum(n) AS BIGINT), count(*), CAST(coalesce(sum(CASE WHEN n > 1 THEN 1 END), 0) AS BIGINT),
+  CAST(coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0) AS BIGINT)
+FROM (SELECT session_id, event_unique_id, count(*) AS n FROM ({_EVB}) GROUP BY 1, 2)
+UNION ALL
+SELECT 'purchase_items', CAST(sum(n) AS BIGINT), count(*), CAST(coalesce(sum(CASE WHEN n > 1 THEN 1 END), 0) AS BIGINT),
+  CAST(coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0) AS BIGINT)
+FROM (SELECT order_id, item_index_in_order, count(*) AS n FROM pitems GROUP BY 1, 2)
+"""),
+    "dedup_visits": _with(_VISITS),
+    "union_paths_events": _with(_EVB),
+    "path_reconciliation": _with(f"""
+SELECT session_id, 'batch' AS only_in FROM evf WHERE etype IS NOT NULL
+GROUP BY session_id HAVING count(*) FILTER (WHERE etype IN {LIVE_TYPES_SQL}) = 0
+"""),
+    "profile_diff": _with(f"""
+SELECT session_id, event_unique_id, event_type, 'batch' AS only_in
+FROM ({_EVB}) e WHERE event_type NOT IN {LIVE_TYPES_SQL}
+"""),
+    "order_amounts": _with("""
+SELECT order_id,
+  CAST(round(sum(CAST(coalesce(price, 0) AS DECIMAL(20,2)) * CAST(coalesce(quantity, 0) AS DECIMAL(20,0))), 2) AS DOUBLE) AS item_total,
+  count(*) AS item_rows
+FROM pitems GROUP BY order_id
+"""),
+    "order_reconciliation": _with("""
+SELECT p.order_id, p.session_id, p.amount AS stated_amount, coalesce(t.item_total, 0.0) AS item_total,
+  CAST(coalesce(t.item_rows, 0) AS BIGINT) AS item_rows,
+  round(coalesce(p.amount, 0.0) - coalesce(t.item_total, 0.0), 2) AS difference,
+  abs(round(coalesce(p.amount, 0.0) - coalesce(t.item_total, 0.0), 2)) < 0.005 AS matches
+FROM evf p
+LEFT JOIN (
+  SELECT order_id,
+    CAST(round(sum(CAST(coalesce(price, 0) AS DECIMAL(20,2)) * CAST(coalesce(quantity, 0) AS DECIMAL(20,0))), 2) AS DOUBLE) AS item_total,
+    count(*) AS item_rows
+  FROM pitems GROUP BY order_id) t USING (order_id)
+WHERE p.etype = 'purchase'
+"""),
+    "cart_before_purchase": _with("""
+SELECT p.session_id, p.order_id, p.pos AS purchase_pos,
+  count(c.pos) AS cart_adds,
+  CAST(coalesce(sum(c.quantity), 0) AS BIGINT) AS cart_quantity,
+  CAST(coalesce(sum(CAST(coalesce(c.price, 0) AS DECIMAL(20,2)) * CAST(coalesce(c.quantity, 0) AS DECIMAL(20,0))), 0) AS DOUBLE) AS cart_value
+FROM evf p
+LEFT JOIN evf c ON c.session_id = p.session_id AND c.etype = 'add_item_to_cart' AND c.pos < p.pos
+WHERE p.etype = 'purchase'
+GROUP BY p.session_id, p.order_id, p.pos
+"""),
+    "session_event_order": _with("""
+SELECT session_id, CAST(pos AS INTEGER) AS event_pos, etype AS event_type, ts AS "timestamp" FROM ev
+"""),
+    "reassembled_visits": _with("""
+SELECT session_id, user_id, device_type, start_timestamp, end_timestamp, CAST(event_count AS BIGINT) AS event_count
+FROM sess
+"""),
+    "push_visits": _with(_VISITS),
+    "page_views": _with(_PV),
+    "page_view_alerts": _with(f"""
+SELECT window_end, page_view_count, CAST(5 AS BIGINT) AS threshold FROM ({_PV}) WHERE page_view_count > 5
+"""),
+    "raw_landing_minutes": _with("""
+SELECT strftime(date_trunc('minute', publish_time), '%Y-%m-%d-T-%H-%M') AS minute, count(*) AS messages
+FROM sess GROUP BY 1
+"""),
+})

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweave.operators import extract
-from clickweave.sources.decode import parse_messages, parse_sessions
+from clickweave.operators import extract, orders, quality, reports
+from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions
+from clickweave.streaming import pageviews
 from clickweave.sources.derived import session_messages, session_records
 
 
@@ -79,13 +80,151 @@ def q_rejects_batch(spark, sf_dir):
 
 # ------------------------------------------------------------------ reports
 
-def q_visits_by_page(spark, sf_dir):
-    from clickweave.operators import reports
+def _batch_tables(spark, sf_dir):
+    p = parsed_sessions(spark, sf_dir)
+    return p, extract.visits(p), extract.events(p, extract.BATCH), extract.purchase_items(p, extract.BATCH)
+
 
+def q_visits_by_page(spark, sf_dir):
     ev = extract.events(parsed_sessions(spark, sf_dir), extract.BATCH)
     return reports.visits_by_page(ev)
 
 
+def q_visits_by_device(spark, sf_dir):
+    return reports.visits_by_device(extract.visits(parsed_sessions(spark, sf_dir)))
+
+
+def q_popular_items(spark, sf_dir):
+    return reports.popular_items(extract.purchase_items(parsed_sessions(spark, sf_dir), extract.BATCH), k=10)
+
+
+def q_sales_by_category(spark, sf_dir):
+    return reports.sales_by_category(extract.purchase_items(parsed_sessions(spark, sf_dir), extract.BATCH))
+
+
+def q_events_with_visit(spark, sf_dir):
+    _, v, e, _ = _batch_tables(spark, sf_dir)
+    return present(reports.events_with_visit(e, v))
+
+
+def q_items_with_visit(spark, sf_dir):
+    _, v, _, i = _batch_tables(spark, sf_dir)
+    return present(reports.items_with_visit(i, v))
+
+
+def q_orphan_counts(spark, sf_dir):
+    _, v, e, i = _batch_tables(spark, sf_dir)
+    return quality.orphan_counts({"events": e, "purchase_items": i}, v)
+
+
+def q_sessions_with_purchase(spark, sf_dir):
+    _, v, _, i = _batch_tables(spark, sf_dir)
+    return present(reports.sessions_with_purchase(v, i))
+
+
+# ---------------------------------------------------------------- quality
+
+def q_key_report(spark, sf_dir):
+    _, v, e, i = _batch_tables(spark, sf_dir)
+    return quality.key_report({"visits": v, "events": e, "purchase_items": i})
+
+
+def q_dedup_visits(spark, sf_dir):
+    """Visits from the file path and the message path, one per session."""
+    file_path = extract.visits(parsed_sessions(spark, sf_dir))
+    msg_path = extract.visits(parsed_messages(spark, sf_dir))
+    return present(quality.union_paths(file_path, msg_path, keys=["session_id"]))
+
+
+def q_union_paths_events(spark, sf_dir):
+    """Events written by the batch job and by the live ingest, deduplicated."""
+    batch = extract.events(parsed_sessions(spark, sf_dir), extract.BATCH)
+    live = extract.events(parsed_messages(spark, sf_dir), extract.LIVE)
+    return present(quality.union_paths(batch, live, keys=["session_id", "event_unique_id"]))
+
+
+def q_path_reconciliation(spark, sf_dir):
+    """Sessions that have events rows in only one of the two paths."""
+    batch = extract.events(parsed_sessions(spark, sf_dir), extract.BATCH)
+    live = extract.events(parsed_messages(spark, sf_dir), extract.LIVE)
+    return quality.path_reconciliation(batch, live, "session_id")
+
+
+def q_profile_diff(spark, sf_dir):
+    """Events rows the batch profile writes and the live one does not."""
+    p = parsed_sessions(spark, sf_dir)
+    cols = ["session_id", "event_unique_id", "event_type"]
+    return quality.profile_diff(extract.events(p, extract.BATCH), extract.events(p, extract.LIVE), cols)
+
+
+# ------------------------------------------------------------------ orders
+
+def q_order_amounts(spark, sf_dir):
+    return orders.order_amounts(extract.purchase_items(parsed_sessions(spark, sf_dir), extract.BATCH))
+
+
+def q_order_reconciliation(spark, sf_dir):
+    _, _, e, i = _batch_tables(spark, sf_dir)
+    return orders.order_reconciliation(e, i)
+
+
+def q_cart_before_purchase(spark, sf_dir):
+    return orders.cart_before_purchase(parsed_sessions(spark, sf_dir))
+
+
+def q_session_event_order(spark, sf_dir):
+    """O2: events re-ordered by timestamp (stable), with their new position."""
+    p = orders.sort_session_events(parsed_sessions(spark, sf_dir))
+    x = extract.exploded_events(p)
+    return present(x.select("session_id", "event_pos", "event_type", F.col("ts").alias("timestamp")))
+
+
+def q_reassembled_visits(spark, sf_dir):
+    """Flat batch events -> nested records -> decode -> visits."""
+    ev = extract.events(parsed_sessions(spark, sf_dir), extract.BATCH)
+    rec = orders.assemble_sessions(ev)
+    v = extract.visits(parse_sessions(rec.select("value", F.col("session_id").alias("source"))))
+    return present(v.select("session_id", "user_id", "device_type", "start_timestamp", "end_timestamp", "event_count"))
+
+
+# --------------------------------------------------------------- messages
+
+def q_push_visits(spark, sf_dir):
+    """Messages wrapped as HTTP push envelopes (base64 data), decoded."""
+    msgs = session_messages(spark, sf_dir)
+    body = F.to_json(F.struct(F.struct(
+        F.base64("data").alias("data"),
+        F.col("message_id").alias("messageId"),
+        F.date_format("publish_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("publishTime"),
+        F.col("attributes").alias("attributes"),
+    ).alias("message"), F.lit("subscriptions/visits").alias("subscription")))
+    parsed = decode_push_envelopes(msgs.select(body.alias("body")))
+    return present(extract.visits(parsed))
+
+
+def q_page_views(spark, sf_dir):
+    """Page views per 60-minute window on publish time."""
+    return present(pageviews.page_view_counts(parsed_messages(spark, sf_dir), window_minutes=PAGE_VIEW_WINDOW_MINUTES))
+
+
+def q_page_view_alerts(spark, sf_dir):
+    """Windows above the alert threshold."""
+    counts = pageviews.page_view_counts(parsed_messages(spark, sf_dir), window_minutes=PAGE_VIEW_WINDOW_MINUTES)
+    return present(pageviews.page_view_alerts(counts, threshold=ALERT_THRESHOLD))
+
+
+def q_raw_landing_minutes(spark, sf_dir):
+    """Raw messages per landing minute."""
+    rows = pageviews.raw_landing_rows(session_records(spark, sf_dir))
+    return rows.groupBy("minute").agg(F.count(F.lit(1)).alias("messages"))
+
+
+# Report parameters: at sf0.01 a minute holds a handful of events, so the
+# registered window reports use hour windows and a matching threshold.
+PAGE_VIEW_WINDOW_MINUTES = 60
+ALERT_THRESHOLD = 5
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visits_by_page": q_visits_by_page,
     "visits": q_visits,
@@ -95,4 +234,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "purchase_items_live": q_purchase_items_live,
     "rejects_batch": q_rejects_batch,
     "rejects_live": q_rejects_live,
+    "visits_by_device": q_visits_by_device,
+    "popular_items": q_popular_items,
+    "sales_by_category": q_sales_by_category,
+    "events_with_visit": q_events_with_visit,
+    "items_with_visit": q_items_with_visit,
+    "orphan_counts": q_orphan_counts,
+    "sessions_with_purchase": q_sessions_with_purchase,
+    "key_report": q_key_report,
+    "dedup_visits": q_dedup_visits,
+    "union_paths_events": q_union_paths_events,
+    "path_reconciliation": q_path_reconciliation,
+    "profile_diff": q_profile_diff,
+    "order_amounts": q_order_amounts,
+    "order_reconciliation": q_order_reconciliation,
+    "cart_before_purchase": q_cart_before_purchase,
+    "session_event_order": q_session_event_order,
+    "reassembled_visits": q_reassembled_visits,
+    "push_visits": q_push_visits,
+    "page_views": q_page_views,
+    "page_view_alerts": q_page_view_alerts,
+    "raw_landing_minutes": q_raw_landing_minutes,
 }
