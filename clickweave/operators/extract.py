@@ -216,9 +216,11 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
 
     Columns: ``source, stage, reason, session_id, event_pos, item_pos,
     payload``. ``stage`` is ``record`` (whole record unusable), ``event``
-    (one entry not an events row and not a purchase feeding items) or
-    ``item``. Purchases in the live profile are not events rows but are not
-    rejects either; only their failures are.
+    (an entry that is not an events row), ``purchase`` (a purchase whose
+    items are all skipped) or ``item`` (one skipped item). Purchases in
+    the live profile are not events rows but are not rejects either; only
+    their failures are. In the batch profile every raw entry is either an
+    events row or an ``event`` reject.
     """
     _check_profile(profile)
     src = F.col("source") if "source" in parsed.columns else F.lit(None).cast("string")
@@ -238,17 +240,23 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
     ev_src = F.col("source") if keep else F.lit(None).cast("string")
     reason = _event_reason(profile)
     if profile == LIVE:
-        # live purchases fail through the purchase checks, not here
+        # live purchases are checked by the purchase rules below, not here
         reason = F.when(F.col("event_type") == PURCHASE, F.lit(None).cast("string")).otherwise(reason)
-        reason = F.coalesce(reason, F.when(F.col("event_type") == PURCHASE, _purchase_reason(LIVE)))
-    else:
-        reason = F.coalesce(reason, F.when(F.col("event_type") == PURCHASE, _purchase_reason(BATCH)))
     ev_rows = x.select(
         ev_src.alias("source"), F.lit("event").alias("stage"), reason.alias("reason"),
         "session_id", F.col("event_pos").cast("int").alias("event_pos"), null_int.alias("item_pos"),
         payload(F.to_json(F.col("entry"))).alias("payload"),
     ).where(F.col("reason").isNotNull())
 
+    # purchases whose items are all skipped (no order id; live: no timestamp).
+    # Separate stage: in the batch profile the same purchase may still be an
+    # events row (or an event reject) independently of its items.
+    pu_rows = x.where(F.col("event_type") == PURCHASE).select(
+        ev_src.alias("source"), F.lit("purchase").alias("stage"), _purchase_reason(profile).alias("reason"),
+        "session_id", F.col("event_pos").cast("int").alias("event_pos"), null_int.alias("item_pos"),
+        payload(F.to_json(F.col("entry"))).alias("payload"),
+    ).where(F.col("reason").isNotNull())
+
     it = x.where((F.col("event_type") == PURCHASE) & _purchase_reason(profile).isNull())
     it = it.select(
         *keep, "session_id", "event_pos", "ts", F.col("details.order_id").alias("order_id"),
@@ -259,7 +267,7 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
         "session_id", F.col("event_pos").cast("int").alias("event_pos"), F.col("item_pos").cast("int").alias("item_pos"),
         payload(F.to_json(F.col("item"))).alias("payload"),
     ).where(F.col("reason").isNotNull())
-    return rec_rows.unionByName(ev_rows).unionByName(it_rows)
+    return rec_rows.unionByName(ev_rows).unionByName(pu_rows).unionByName(it_rows)
 
 
 def live_event_filter() -> Column:
