@@ -25,10 +25,10 @@ from clickweave.schemas import JOB_RUNS, TABLES, ddl
 RAW_DB = "raw"
 CURATED_DB = "curated"
 
-# Partition column derived at write time, per table.
+# Partition column derived at write time, per table: (name, source column).
 PARTITION_COLUMNS = {
-    "events": ("event_date", F.to_date(F.col("timestamp"))),
-    "purchase_items": ("order_date", F.to_date(F.col("purchase_event_timestamp"))),
+    "events": ("event_date", "timestamp"),
+    "purchase_items": ("order_date", "purchase_event_timestamp"),
 }
 
 TABLE_COMMENTS = {
@@ -80,8 +80,8 @@ def provision(spark: SparkSession, database: str = CURATED_DB, location: str | N
 
 def with_partition_column(name: str, df: DataFrame) -> DataFrame:
     if name in PARTITION_COLUMNS:
-        col, expr = PARTITION_COLUMNS[name]
-        return df.withColumn(col, expr)
+        col, source = PARTITION_COLUMNS[name]
+        return df.withColumn(col, F.to_date(F.col(source)))
     return df
 
 

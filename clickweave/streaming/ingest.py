@@ -47,9 +47,12 @@ def file_sessions_stream(
 ) -> DataFrame:
     """New session files as lines with their source path.
 
-    ``archive_dir`` moves each file there (same relative name) once its
-    batch is committed (``cleanSource=archive``), so exactly the files that
-    were read are archived.
+    ``archive_dir`` moves each file there (under its full source path) once
+    its batch is committed (``cleanSource=archive``), so exactly the files
+    that were read are archived. Spark commits a batch's source offsets
+    when it plans the next batch, so the files of the newest batch stay in
+    place until more data arrives; the checkpointed file list still
+    guarantees they are not read twice.
     """
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     if archive_dir:
@@ -98,7 +101,22 @@ def message_files_stream(spark: SparkSession, input_dir: str, max_files_per_trig
 
 # ----------------------------------------------------------------- live ingest
 
-def write_batch_tables(parsed: DataFrame, output_root: str, batch_id: int, profile: str = extract.LIVE) -> dict:
+def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write one micro batch under ``batch_id=<id>``, replacing a previous attempt.
+
+    Dynamic partition overwrite touches only that partition, so replaying a
+    batch after a failure is idempotent and other batches are untouched.
+    """
+    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    (
+        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
+def write_batch_tables(parsed: DataFrame, output_root: str, batch_id: int, profile: str = extract.LIVE) -> list[str]:
     """K4: one micro batch -> four tables, idempotent per ``batch_id``.
 
     The parsed batch is persisted so the four writes share one decode.
@@ -107,10 +125,8 @@ def write_batch_tables(parsed: DataFrame, output_root: str, batch_id: int, profi
     between writes) replaces exactly that batch's rows in each table.
     Deterministic event ids (X9) make rows of a replay identical.
     """
-    spark = parsed.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = {}
+    written = []
     try:
         outputs = {
             "visits": extract.visits(parsed),
@@ -119,15 +135,11 @@ def write_batch_tables(parsed: DataFrame, output_root: str, batch_id: int, profi
             "rejects": extract.rejects(parsed, profile),
         }
         for name, df in outputs.items():
-            (
-                df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .write.mode("overwrite")
-                .partitionBy("batch_id")
-                .parquet(f"{output_root.rstrip('/')}/{name}")
-            )
+            write_batch_partition(df, f"{output_root.rstrip('/')}/{name}", batch_id)
+            written.append(name)
     finally:
         parsed.unpersist()
-    return counts
+    return written
 
 
 def start_live_ingest(
@@ -164,15 +176,16 @@ def start_page_views(
     Append mode emits a window once, when the watermark (max publish time
     seen minus ``watermark``) passes its end; rows later than that are
     dropped, as with the reference's zero allowed lateness. Both outputs
-    come from the same micro batch, so alerts never disagree with counts.
+    come from the same micro batch, so alerts never disagree with counts,
+    and both are written per ``batch_id`` so a replayed batch is idempotent.
     """
     counts = pageviews.page_view_counts(parsed_stream, window_minutes, watermark=watermark)
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
-            df.write.mode("append").parquet(counts_path)
-            pageviews.page_view_alerts(df, threshold).write.mode("append").parquet(alerts_path)
+            write_batch_partition(df, counts_path, batch_id)
+            write_batch_partition(pageviews.page_view_alerts(df, threshold), alerts_path, batch_id)
         finally:
             df.unpersist()
 
