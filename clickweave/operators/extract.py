@@ -221,53 +221,88 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
     the live profile are not events rows but are not rejects either; only
     their failures are. In the batch profile every raw entry is either an
     events row or an ``event`` reject.
+
+    One pass: each record is exploded once (``posexplode_outer`` keeps the
+    rejected records and the empty ones as a single row), every row builds
+    the array of its rejects (record, event, purchase, per-item), and that
+    array is exploded. No union, so the input is decoded once.
     """
     _check_profile(profile)
     src = F.col("source") if "source" in parsed.columns else F.lit(None).cast("string")
     null_int = F.lit(None).cast("int")
+    null_str = F.lit(None).cast("string")
+    rec = F.col("rec")
+    rows = parsed.select(
+        src.alias("source"), "reject_reason", "value",
+        rec["session_id"].alias("session_id"),
+        F.posexplode_outer(F.when(F.col("reject_reason").isNull(), _events_array(rec))).alias("event_pos", "entry"),
+    )
+    ev = F.col("entry.event")
+    rows = rows.select(
+        "source", "reject_reason", "value", "session_id", "event_pos", "entry",
+        ev["event_type"].alias("event_type"),
+        ev["timestamp"].alias("ts_text"),
+        parse_iso_timestamp(ev["timestamp"]).alias("ts"),
+        ev["details"].alias("details"),
+    )
 
-    def payload(c: Column) -> Column:
-        return c if with_payload else F.lit(None).cast("string")
+    def reject(stage: str, reason: Column, event_pos: Column, item_pos: Column, payload: Column) -> Column:
+        return F.struct(
+            F.lit(stage).alias("stage"), reason.alias("reason"), event_pos.cast("int").alias("event_pos"),
+            item_pos.cast("int").alias("item_pos"), (payload if with_payload else null_str).alias("payload"),
+        )
 
-    rec_rows = parsed.where(F.col("reject_reason").isNotNull()).select(
-        src.alias("source"), F.lit("record").alias("stage"), F.col("reject_reason").alias("reason"),
-        F.col("rec.session_id").alias("session_id"), null_int.alias("event_pos"), null_int.alias("item_pos"),
-        payload(F.col("value")).alias("payload"),
-    )
+    is_record_row = F.col("reject_reason").isNotNull()
+    has_entry = F.col("event_pos").isNotNull()
+    is_purchase = has_entry & (F.col("event_type") == PURCHASE)
 
-    keep = ["source"] if "source" in parsed.columns else []
-    x = exploded_events(parsed, keep=keep)
-    ev_src = F.col("source") if keep else F.lit(None).cast("string")
-    reason = _event_reason(profile)
+    ev_reason = _event_reason(profile)
     if profile == LIVE:
-        # live purchases are checked by the purchase rules below, not here
-        reason = F.when(F.col("event_type") == PURCHASE, F.lit(None).cast("string")).otherwise(reason)
-    ev_rows = x.select(
-        ev_src.alias("source"), F.lit("event").alias("stage"), reason.alias("reason"),
-        "session_id", F.col("event_pos").cast("int").alias("event_pos"), null_int.alias("item_pos"),
-        payload(F.to_json(F.col("entry"))).alias("payload"),
-    ).where(F.col("reason").isNotNull())
-
-    # purchases whose items are all skipped (no order id; live: no timestamp).
-    # Separate stage: in the batch profile the same purchase may still be an
-    # events row (or an event reject) independently of its items.
-    pu_rows = x.where(F.col("event_type") == PURCHASE).select(
-        ev_src.alias("source"), F.lit("purchase").alias("stage"), _purchase_reason(profile).alias("reason"),
-        "session_id", F.col("event_pos").cast("int").alias("event_pos"), null_int.alias("item_pos"),
-        payload(F.to_json(F.col("entry"))).alias("payload"),
-    ).where(F.col("reason").isNotNull())
-
-    it = x.where((F.col("event_type") == PURCHASE) & _purchase_reason(profile).isNull())
-    it = it.select(
-        *keep, "session_id", "event_pos", "ts", F.col("details.order_id").alias("order_id"),
-        F.posexplode(F.coalesce(F.col("details.items"), F.array())).alias("item_pos", "item"),
+        # live purchases are checked by the purchase rules, not the event rules
+        ev_reason = F.when(F.col("event_type") == PURCHASE, null_str).otherwise(ev_reason)
+    pu_reason = _purchase_reason(profile)
+    item_reason = (
+        (lambda it: F.when(it["product_id"].isNull(), F.lit(MISSING_PRODUCT_ID)))
+        if profile == BATCH
+        else (lambda it: F.when(it["product_id"].isNull(), F.lit(MISSING_PRODUCT_ID)).when(
+            F.col("session_id").isNull() | F.col("details.order_id").isNull(), F.lit(MISSING_REQUIRED)))
+    )
+    entry_json = F.to_json(F.col("entry"))
+
+    record_part = F.when(
+        is_record_row, F.array(reject("record", F.col("reject_reason"), null_int, null_int, F.col("value")))
+    )
+    event_part = F.when(
+        has_entry & ev_reason.isNotNull(), F.array(reject("event", ev_reason, F.col("event_pos"), null_int, entry_json))
+    )
+    purchase_part = F.when(
+        is_purchase & pu_reason.isNotNull(),
+        F.array(reject("purchase", pu_reason, F.col("event_pos"), null_int, entry_json)),
+    )
+    items = F.coalesce(F.col("details.items"), F.array())
+    item_part = F.when(
+        is_purchase & pu_reason.isNull(),
+        F.filter(
+            F.transform(
+                items,
+                lambda it, j: reject("item", item_reason(it), F.col("event_pos"), j, F.to_json(it)),
+            ),
+            lambda r: r["reason"].isNotNull(),
+        ),
+    )
+    empty = F.array().cast(
+        "array<struct<stage:string,reason:string,event_pos:int,item_pos:int,payload:string>>"
+    )
+    all_rejects = F.concat(
+        F.coalesce(record_part, empty), F.coalesce(event_part, empty),
+        F.coalesce(purchase_part, empty), F.coalesce(item_part, empty),
+    )
+    out = rows.select("source", "session_id", F.explode(all_rejects).alias("r"))
+    return out.select(
+        "source", F.col("r.stage").alias("stage"), F.col("r.reason").alias("reason"), "session_id",
+        F.col("r.event_pos").alias("event_pos"), F.col("r.item_pos").alias("item_pos"),
+        F.col("r.payload").alias("payload"),
     )
-    it_rows = it.select(
-        ev_src.alias("source"), F.lit("item").alias("stage"), _item_reason(profile).alias("reason"),
-        "session_id", F.col("event_pos").cast("int").alias("event_pos"), F.col("item_pos").cast("int").alias("item_pos"),
-        payload(F.to_json(F.col("item"))).alias("payload"),
-    ).where(F.col("reason").isNotNull())
-    return rec_rows.unionByName(ev_rows).unionByName(pu_rows).unionByName(it_rows)
 
 
 def live_event_filter() -> Column:

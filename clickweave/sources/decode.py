@@ -68,7 +68,11 @@ def parse_sessions(df: DataFrame, value_col: str = "value", keep: list[str] | No
     parsed = _session_struct(text)
     trimmed = F.trim(text)
     shape_ok = trimmed.startswith("{") & trimmed.endswith("}")
-    out = df.select(*keep, text.alias("value"), parsed.alias("_p"))
+    # Parse exactly once per record: the one-element explode is a Generate,
+    # and Catalyst does not copy a generator's output expression into later
+    # filters or projections (a plain alias gets inlined, which re-parsed
+    # the text for every reference).
+    out = df.select(*keep, text.alias("value"), F.explode(F.array(parsed)).alias("_p"))
     bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT_COL}").isNotNull() | ~F.coalesce(shape_ok, F.lit(False))
     reason = F.when(bad, F.lit(BAD_JSON)).when(is_missing(F.col("_p.session_id")), F.lit(MISSING_SESSION_ID))
     return out.select(
@@ -114,7 +118,9 @@ def decode_push_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:
     reference answers 400); a ``message`` without ``data`` is accepted and
     writes nothing (``empty_message``); bad base64 is ``bad_encoding``.
     """
-    env = F.from_json(F.col(body_col), PUSH_ENVELOPE, JSON_OPTIONS)
+    # one-element explode: parse each body once (see parse_sessions)
+    df = df.select(F.explode(F.array(F.from_json(F.col(body_col), PUSH_ENVELOPE, JSON_OPTIONS))).alias("_env"))
+    env = F.col("_env")
     msg = env["message"]
     raw = msg["data"]
     data = decode_base64(raw)
