@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import money_total
+from clickweave.operators.quality import dedup
 
 
 def visits_by_page(events: DataFrame) -> DataFrame:
@@ -54,10 +55,12 @@ def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
     """Events left-joined with their visit (ER relation events -> visits).
 
     A shuffle join on ``session_id``; AQE's skew-join splitting handles a
-    session that holds many events. The visit side is reduced to the
+    session that holds many events. The visit side is first reduced to one
+    row per session (``dedup``, a map-side partial aggregate), so copies of
+    a visit landed by several paths never multiply the events, and to the
     columns the events table does not already carry.
     """
-    v = visits.select(
+    v = dedup(visits, ["session_id"]).select(
         "session_id",
         F.col("start_timestamp").alias("visit_start"),
         F.col("end_timestamp").alias("visit_end"),
@@ -68,16 +71,24 @@ def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
 
 
 def items_with_visit(items: DataFrame, visits: DataFrame) -> DataFrame:
-    """Purchase items left-joined with their visit."""
-    v = visits.select("session_id", "user_id", "device_type", F.col("start_timestamp").alias("visit_start"))
+    """Purchase items left-joined with their visit (one visit per session, as in J1)."""
+    v = dedup(visits, ["session_id"]).select("session_id", "user_id", "device_type", F.col("start_timestamp").alias("visit_start"))
     return items.join(v, "session_id", "left")
 
 
 def orphans(child: DataFrame, visits: DataFrame) -> DataFrame:
-    """Child rows whose session has no visit (left anti join)."""
-    return child.join(visits.select("session_id"), "session_id", "left_anti")
+    """Child rows whose session has no visit (left anti join).
+
+    The key side is made distinct first (partial aggregate), so a session
+    with many visit copies reaches the join as one key.
+    """
+    return child.join(visits.select("session_id").distinct(), "session_id", "left_anti")
 
 
 def sessions_with_purchase(visits: DataFrame, items: DataFrame) -> DataFrame:
-    """Visits that have at least one purchased item (left semi join)."""
-    return visits.join(items.select("session_id"), "session_id", "left_semi")
+    """Visits that have at least one purchased item (left semi join).
+
+    The item side is reduced to distinct session ids map-side, so a session
+    holding a large share of all items is one key at the join.
+    """
+    return visits.join(items.select("session_id").distinct(), "session_id", "left_semi")

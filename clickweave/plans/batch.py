@@ -30,17 +30,21 @@ def run_batch(
     glob: str | None = "*.jsonl",
     job_name: str = "batch_sessions",
     min_partitions: int | None = None,
+    land_raw_lines: bool = False,
 ) -> dict[str, int]:
     """Load every matching file under ``input_path`` into the curated tables.
 
     Returns the metrics written to ``job_runs``: rows per output table and
-    the number of input records. ``min_partitions`` repartitions after the
+    the number of input records. ``land_raw_lines`` also appends the lines
+    to the raw zone (``raw.sessions_raw``) before parsing. ``min_partitions`` repartitions after the
     read, for inputs of a few large non-splittable (gzip) files.
     """
     sinks.provision(spark, database)
     lines = read_jsonl(spark, input_path, glob=glob)
     if min_partitions:
         lines = lines.repartition(min_partitions)
+    if land_raw_lines:
+        sinks.land_raw(lines)
     parsed = parse_sessions(lines).persist(StorageLevel.MEMORY_AND_DISK)
     outputs = {
         "visits": extract.visits(parsed),

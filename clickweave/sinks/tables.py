@@ -104,6 +104,31 @@ def write_table(df: DataFrame, name: str, database: str = CURATED_DB, mode: str
         raise ValueError(f"mode must be append or overwrite, got {mode!r}")
 
 
+RAW_SESSIONS = "sessions_raw"
+
+
+def land_raw(lines: DataFrame, database: str = RAW_DB, table: str = RAW_SESSIONS) -> None:
+    """R4 raw zone: append the input lines untouched, with source and landing date.
+
+    The raw table keeps every line, including the ones the curated tables
+    reject, so any curated row can be traced back and re-derived.
+    """
+    spark = lines.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` COMMENT 'clickstream raw zone'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {_qualified(database, table)} "
+        "(value STRING, source STRING, landed_at TIMESTAMP, landed_date DATE) USING parquet "
+        "PARTITIONED BY (landed_date) COMMENT 'raw session lines as received' "
+        "TBLPROPERTIES ('zone'='raw', 'domain'='clickstream')"
+    )
+    src = F.col("source") if "source" in lines.columns else F.lit(None).cast("string")
+    out = lines.select(
+        F.col("value"), src.alias("source"), F.current_timestamp().alias("landed_at"),
+        F.current_date().alias("landed_date"),
+    )
+    out.write.insertInto(_qualified(database, table), overwrite=False)
+
+
 def job_run_row(
     spark: SparkSession,
     job_name: str,

@@ -168,3 +168,28 @@ def test_raw_landing_partitions(spark, tmp_path):
     assert shards == {"shard=00", "shard=01", "shard=02", "shard=03", "shard=04"}
     minutes = {os.path.basename(p) for p in glob.glob(out + "/minute=*")}
     assert all(len(m) == len("minute=2024-01-01-T-00-00") for m in minutes)
+
+
+def test_live_dashboard_snapshots(spark, tmp_path):
+    from clickweave.operators import reports
+
+    msgs = session_messages(spark, SF_SMALL)
+    src = tmp_path / "msgs"
+    msgs.write.parquet(str(src))
+    stream = parse_messages(ingest.message_files_stream(spark, str(src), max_files_per_trigger=1))
+    aggs = ingest.live_dashboard_aggregates(stream)
+    for name, agg in aggs.items():
+        ingest.start_snapshot(agg, str(tmp_path / name), str(tmp_path / f"ck_{name}")).awaitTermination(300)
+    batch = parse_messages(msgs)
+    want_dev = reports.visits_by_device(extract.visits(batch))
+    got_dev = spark.read.parquet(str(tmp_path / "visits_by_device")).drop("as_of_batch")
+    assert got_dev.exceptAll(want_dev).count() == 0 and got_dev.count() == want_dev.count()
+    want_cat = reports.sales_by_category(extract.purchase_items(batch, "live"))
+    got_cat = spark.read.parquet(str(tmp_path / "sales_by_category")).drop("as_of_batch")
+    assert got_cat.exceptAll(want_cat).count() == 0
+
+
+def test_raw_zone_landing(spark, session_files):
+    path, n = session_files
+    run_batch(spark, path, database="batch_raw_t", land_raw_lines=True)
+    assert spark.table("raw.sessions_raw").count() == n + 1
