@@ -225,6 +225,21 @@ PAGE_VIEW_WINDOW_MINUTES = 60
 ALERT_THRESHOLD = 5
 
 
+def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a query with the session time zone the semantics assume (UTC).
+
+    Offset-less ISO timestamps are UTC (SURVEY §1) and windows are
+    epoch-aligned in UTC; a caller's session may default to another zone.
+    """
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visits_by_page": q_visits_by_page,
     "visits": q_visits,
@@ -256,3 +271,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_view_alerts": q_page_view_alerts,
     "raw_landing_minutes": q_raw_landing_minutes,
 }
+
+QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}
