@@ -206,6 +206,12 @@ def event_entries(spark: SparkSession, sf_dir: str, max_items_per_record: int =
     )
 
 
+# Built plans per (session, input folder, bounds). A DataFrame is only a
+# plan: reusing it re-executes everything (scans, joins, JSON) each time,
+# but skips rebuilding the same plan in Python for every query.
+_PLANS: dict = {}
+
+
 def session_records(
     spark: SparkSession,
     sf_dir: str,
@@ -218,6 +224,18 @@ def session_records(
     record's last event (a session is published when it closes), as
     TIMESTAMP (UTC).
     """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), max_events_per_record,
+           max_items_per_record, spark.conf.get("spark.sql.session.timeZone"))
+    plan = _PLANS.get(key)
+    if plan is None:
+        plan = _build_session_records(spark, sf_dir, max_events_per_record, max_items_per_record)
+        _PLANS[key] = plan
+    return plan
+
+
+def _build_session_records(
+    spark: SparkSession, sf_dir: str, max_events_per_record: int, max_items_per_record: int
+) -> DataFrame:
     entries = event_entries(spark, sf_dir, max_items_per_record)
     # Count session sizes on the base events table (two narrow columns);
     # split orders add a few entries, which the soft bound tolerates.
