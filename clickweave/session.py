@@ -43,6 +43,8 @@ def get_spark(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Parquet timestamps without UTC adjustment stay TIMESTAMP_NTZ.
         "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+        # remove checkpoint files of fan-out frames once they are unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -54,6 +54,14 @@ def test_batch_job_append_twice_then_dedup(spark, session_files):
     assert len(runs) == 2 and runs[0].metrics["visits_rows"] == n
 
 
+def test_batch_fanout_modes_agree(spark, session_files):
+    path, _ = session_files
+    a = run_batch(spark, path, database="fan_ckpt", fanout="checkpoint")
+    b = run_batch(spark, path, database="fan_persist", fanout="persist")
+    assert a == b
+    assert spark.table("fan_ckpt.events").exceptAll(spark.table("fan_persist.events")).count() == 0
+
+
 def test_file_stream_matches_batch_and_archives(spark, session_files, tmp_path):
     src, n = session_files
     inp = tmp_path / "in"
