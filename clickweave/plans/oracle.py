@@ -221,5 +221,17 @@ SELECT window_end, page_view_count, CAST(5 AS BIGINT) AS threshold FROM ({_PV})
     "raw_landing_minutes": _with("""
 SELECT strftime(date_trunc('minute', publish_time), '%Y-%m-%d-T-%H-%M') AS minute, count(*) AS messages
 FROM sess GROUP BY 1
+"""),
+    "page_views_stream": _with(f"""
+SELECT * FROM ({_PV}) WHERE window_end <= (SELECT max(publish_time) FROM sess)
+"""),
+    "events_live_stream": _with(f"SELECT {_EVENTS_COLS} FROM evf WHERE etype IN {LIVE_TYPES_SQL}"),
+    "duplicate_visit_keys": _with("""
+SELECT session_id, count(*) AS copies
+FROM (SELECT session_id FROM sess UNION ALL SELECT session_id FROM sess)
+GROUP BY session_id HAVING count(*) > 1
+"""),
+    "page_view_flags": _with(f"""
+SELECT window_end, page_view_count, CAST(5 AS BIGINT) AS threshold, page_view_count > 5 AS is_alert FROM ({_PV})
 """),
 })

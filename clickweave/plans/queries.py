@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from clickweave.operators import extract, orders, quality, reports
 from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions
-from clickweave.streaming import pageviews
+from clickweave.session import scratch_dir
+from clickweave.streaming import ingest, pageviews
 from clickweave.sources.derived import session_messages, session_records
 
 
@@ -136,6 +137,14 @@ def q_dedup_visits(spark, sf_dir):
     return present(quality.union_paths(file_path, msg_path, keys=["session_id"]))
 
 
+def q_duplicate_visit_keys(spark, sf_dir):
+    """A8 on U1 without dedup: both ingest paths append the same sessions,
+    as in the reference, and the key check finds every copy."""
+    file_path = extract.visits(parsed_sessions(spark, sf_dir))
+    msg_path = extract.visits(parsed_messages(spark, sf_dir))
+    return quality.duplicate_keys(quality.union_paths(file_path, msg_path), ["session_id"])
+
+
 def q_union_paths_events(spark, sf_dir):
     """Events written by the batch job and by the live ingest, deduplicated."""
     batch = extract.events(parsed_sessions(spark, sf_dir), extract.BATCH)
@@ -213,12 +222,51 @@ def q_page_view_alerts(spark, sf_dir):
     return present(pageviews.page_view_alerts(counts, threshold=ALERT_THRESHOLD))
 
 
+def q_page_view_flags(spark, sf_dir):
+    """T4: every window with its count, the threshold and the alert flag."""
+    counts = pageviews.page_view_counts(parsed_messages(spark, sf_dir), window_minutes=PAGE_VIEW_WINDOW_MINUTES)
+    return present(pageviews.with_alert_flag(counts, threshold=ALERT_THRESHOLD))
+
+
 def q_raw_landing_minutes(spark, sf_dir):
     """Raw messages per landing minute."""
     rows = pageviews.raw_landing_rows(session_records(spark, sf_dir))
     return rows.groupBy("minute").agg(F.count(F.lit(1)).alias("messages"))
 
 
+# ---------------------------------------------------------------- streaming
+
+def _stream_root(spark: SparkSession, name: str) -> str:
+    return scratch_dir(spark, name)
+
+
+def q_page_views_stream(spark, sf_dir):
+    """T1-T3/K3 as a real stream: derived messages land as files, an
+    ``availableNow`` query counts them with a zero-lateness watermark, and
+    the result is every window the final watermark closed."""
+    root = _stream_root(spark, "page-views-stream")
+    session_messages(spark, sf_dir).write.parquet(f"{root}/messages")
+    stream = parse_messages(ingest.message_files_stream(spark, f"{root}/messages"))
+    q = ingest.start_page_views(
+        stream, f"{root}/counts", f"{root}/alerts", f"{root}/checkpoint",
+        window_minutes=PAGE_VIEW_WINDOW_MINUTES, threshold=ALERT_THRESHOLD,
+    )
+    q.awaitTermination()
+    return present(spark.read.schema("window_end timestamp, page_view_count long, batch_id long")
+                   .parquet(f"{root}/counts").drop("batch_id"))
+
+
+def q_events_live_stream(spark, sf_dir):
+    """S7/K4 as a real stream: session JSONL files picked up by a file
+    stream, decoded and written per micro batch by ``foreachBatch``."""
+    root = _stream_root(spark, "live-ingest-stream")
+    session_records(spark, sf_dir).select("value").write.text(f"{root}/in")
+    lines = ingest.file_sessions_stream(spark, f"{root}/in", glob="*.txt")
+    q = ingest.start_live_ingest(ingest.parse_file_stream(lines), f"{root}/out", f"{root}/checkpoint", profile="live")
+    q.awaitTermination()
+    return present(spark.read.parquet(f"{root}/out/events").drop("batch_id"))
+
+
 # Report parameters: at sf0.01 a minute holds a handful of events, so the
 # registered window reports use hour windows and a matching threshold.
 PAGE_VIEW_WINDOW_MINUTES = 60
@@ -270,6 +318,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_views": q_page_views,
     "page_view_alerts": q_page_view_alerts,
     "raw_landing_minutes": q_raw_landing_minutes,
+    "page_views_stream": q_page_views_stream,
+    "duplicate_visit_keys": q_duplicate_visit_keys,
+    "page_view_flags": q_page_view_flags,
+    "events_live_stream": q_events_live_stream,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}
