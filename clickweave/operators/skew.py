@@ -57,9 +57,13 @@ def split_hot_groups(
     ``total_rows / max_rows`` of them) are joined back; that table is
     broadcast when its size check passes. Keys at or under the bound keep
     ``part = 0`` and form exactly one group, as before.
+
+    ``sizes_from`` lets the caller count on a narrow upstream frame with
+    the same keys (for example the base table before expensive joins), so
+    the size check does not recompute ``df``'s whole lineage.
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = (sizes_from if sizes_from is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = sizes.where(F.col("_rows") > max_rows).select(
         *keys, F.ceil(F.col("_rows") / F.lit(max_rows)).cast("long").alias("_parts")
     )
