@@ -60,6 +60,30 @@ def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def consolidate_visits(visits: DataFrame) -> DataFrame:
+    """One visit row per session, whatever the number of input records.
+
+    A session can reach the visits table several times: as exact copies
+    (the same record through two paths, or a replay) and as parts (a long
+    session delivered in several records). Exact copies are identical rows
+    (deterministic extraction), so ``distinct`` removes them; the remaining
+    parts are merged per session: earliest start, latest end, summed event
+    count, and the smallest non-null value of each descriptive column. Both
+    steps are partial aggregates, so a session with many copies or parts
+    is combined map-side.
+    """
+    unique = visits.distinct()
+    return unique.groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("device_type").alias("device_type"),
+        F.min("geolocation").alias("geolocation"),
+        F.min("user_agent").alias("user_agent"),
+        F.min("start_timestamp").alias("start_timestamp"),
+        F.max("end_timestamp").alias("end_timestamp"),
+        F.sum("event_count").cast("long").alias("event_count"),
+    )
+
+
 def union_paths(*frames: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """U1 + R5: rows from several ingest paths, one per key.
 

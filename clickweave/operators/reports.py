@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import money_total
-from clickweave.operators.quality import dedup
+from clickweave.operators.quality import consolidate_visits
 
 
 def visits_by_page(events: DataFrame) -> DataFrame:
@@ -56,11 +56,12 @@ def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
 
     A shuffle join on ``session_id``; AQE's skew-join splitting handles a
     session that holds many events. The visit side is first reduced to one
-    row per session (``dedup``, a map-side partial aggregate), so copies of
-    a visit landed by several paths never multiply the events, and to the
-    columns the events table does not already carry.
+    row per session (``consolidate_visits``: copies removed, parts merged,
+    both map-side partial aggregates), so copies of a visit landed by
+    several paths never multiply the events, and to the columns the events
+    table does not already carry.
     """
-    v = dedup(visits, ["session_id"]).select(
+    v = consolidate_visits(visits).select(
         "session_id",
         F.col("start_timestamp").alias("visit_start"),
         F.col("end_timestamp").alias("visit_end"),
@@ -72,7 +73,9 @@ def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
 
 def items_with_visit(items: DataFrame, visits: DataFrame) -> DataFrame:
     """Purchase items left-joined with their visit (one visit per session, as in J1)."""
-    v = dedup(visits, ["session_id"]).select("session_id", "user_id", "device_type", F.col("start_timestamp").alias("visit_start"))
+    v = consolidate_visits(visits).select(
+        "session_id", "user_id", "device_type", F.col("start_timestamp").alias("visit_start")
+    )
     return items.join(v, "session_id", "left")
 
 

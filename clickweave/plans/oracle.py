@@ -234,4 +234,5 @@ GROUP BY session_id HAVING count(*) > 1
     "page_view_flags": _with(f"""
 SELECT window_end, page_view_count, CAST(5 AS BIGINT) AS threshold, page_view_count > 5 AS is_alert FROM ({_PV})
 """),
+    "consolidated_visits": _with(_VISITS),
 })

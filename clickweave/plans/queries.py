@@ -145,6 +145,13 @@ def q_duplicate_visit_keys(spark, sf_dir):
     return quality.duplicate_keys(quality.union_paths(file_path, msg_path), ["session_id"])
 
 
+def q_consolidated_visits(spark, sf_dir):
+    """R5 for visits: copies from both ingest paths -> one merged row per session."""
+    file_path = extract.visits(parsed_sessions(spark, sf_dir))
+    msg_path = extract.visits(parsed_messages(spark, sf_dir))
+    return present(quality.consolidate_visits(quality.union_paths(file_path, msg_path)))
+
+
 def q_union_paths_events(spark, sf_dir):
     """Events written by the batch job and by the live ingest, deduplicated."""
     batch = extract.events(parsed_sessions(spark, sf_dir), extract.BATCH)
@@ -320,6 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_landing_minutes": q_raw_landing_minutes,
     "page_views_stream": q_page_views_stream,
     "duplicate_visit_keys": q_duplicate_visit_keys,
+    "consolidated_visits": q_consolidated_visits,
     "page_view_flags": q_page_view_flags,
     "events_live_stream": q_events_live_stream,
 }

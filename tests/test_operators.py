@@ -140,3 +140,19 @@ def test_checked_broadcast_bound(spark):
     assert ok
     big, ok2 = skew.checked_broadcast(spark.range(1000), max_rows=100)
     assert not ok2 and big.count() == 1000
+
+
+def test_consolidate_visits_copies_and_parts(spark):
+    rows = [
+        ("S", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 10:05:00", 3),
+        ("S", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 10:05:00", 3),  # replayed copy
+        ("S", "u", "d", "g", "a", "2024-01-01 11:00:00", "2024-01-01 11:30:00", 2),  # second part
+        ("T", None, "m", None, None, None, None, 0),
+    ]
+    df = spark.createDataFrame(rows, "session_id string, user_id string, device_type string, geolocation string, "
+                               "user_agent string, start_timestamp string, end_timestamp string, event_count long")
+    df = df.withColumn("start_timestamp", F.col("start_timestamp").cast("timestamp")).withColumn(
+        "end_timestamp", F.col("end_timestamp").cast("timestamp"))
+    got = {r.session_id: (str(r.start_timestamp), str(r.end_timestamp), r.event_count)
+           for r in quality.consolidate_visits(df).collect()}
+    assert got == {"S": ("2024-01-01 10:00:00", "2024-01-01 11:30:00", 5), "T": ("None", "None", 0)}
