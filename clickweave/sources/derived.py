@@ -180,7 +180,21 @@ def event_entries(spark: SparkSession, sf_dir: str, max_items_per_record: int =
 
     purchases = ev.where(F.col("etype") == "purchase")
     items = _order_items(spark, sf_dir, purchases.select("event_id"), max_items_per_record)
-    purchases = purchases.join(items, purchases["event_id"] == items["order_key"], "left")
+    # Purchases with items: an inner join, so AQE may split a hot order on
+    # either side (a left outer join could only split the purchases side,
+    # while the hot side here is the items of one big order). Purchases
+    # without items: an anti join against the distinct order keys.
+    with_items = purchases.join(items, purchases["event_id"] == items["order_key"], "inner")
+    item_keys = items.select("order_key").distinct()
+    without_items = purchases.join(item_keys, purchases["event_id"] == item_keys["order_key"], "left_anti")
+    purchases = with_items.drop("order_key").unionByName(
+        without_items.select(
+            *purchases.columns,
+            F.lit(None).cast("long").alias("ipart"),
+            F.lit(None).cast(items.schema["items"].dataType).alias("items"),
+            F.lit(None).cast("double").alias("amount"),
+        )
+    )
     pd_fields = dict(d)
     pd_fields["order_id"] = F.concat(F.lit("ORD-"), eid.cast("string"))
     pd_fields["amount"] = F.coalesce(F.col("amount"), F.lit(0.0))
