@@ -41,6 +41,25 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
     return df, False
 
 
+def hot_keys(
+    sizes_from: DataFrame, keys: Sequence[str], max_rows: int, broadcast_max_rows: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    """Keys with more than ``max_rows`` rows and their part count ``_parts``.
+
+    At most ``total_rows / max_rows`` keys qualify; the frame is broadcast
+    (and cached) when its size check passes. Callers that must line other
+    rows up with the parts of a hot key (see ``sources.derived``) join this
+    same frame.
+    """
+    keys = list(keys)
+    sizes = sizes_from.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = sizes.where(F.col("_rows") > max_rows).select(
+        *keys, F.ceil(F.col("_rows") / F.lit(max_rows)).cast("long").alias("_parts")
+    )
+    hot_side, _ = checked_broadcast(hot, broadcast_max_rows)
+    return hot_side
+
+
 def split_hot_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -63,11 +82,7 @@ def split_hot_groups(
     the size check does not recompute ``df``'s whole lineage.
     """
     keys = list(keys)
-    sizes = (sizes_from if sizes_from is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > max_rows).select(
-        *keys, F.ceil(F.col("_rows") / F.lit(max_rows)).cast("long").alias("_parts")
-    )
-    hot_side, _ = checked_broadcast(hot, broadcast_max_rows)
+    hot_side = hot_keys(sizes_from if sizes_from is not None else df, keys, max_rows, broadcast_max_rows)
     joined = df.join(hot_side, keys, "left")
     part = F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(
         F.pmod(F.xxhash64(salt), F.col("_parts"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import iso_text, money_total
-from clickweave.operators.skew import split_hot_groups
+from clickweave.operators.skew import hot_keys, split_hot_groups
 
 # Fixed values of the base-table -> session mapping.
 DEVICE_TYPES = ["mobile", "desktop", "tablet"]  # indexed by user_id % 3
@@ -83,6 +83,11 @@ def _mapped_type(raw):
     return expr
 
 
+def lineitem_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order key column of ``lineitem`` (what order sizes are counted on)."""
+    return table(spark, sf_dir, "lineitem").select("l_orderkey")
+
+
 def _order_items(spark: SparkSession, sf_dir: str, purchase_ids: DataFrame, max_items: int) -> DataFrame:
     """Items array and amount per purchased order (one row per order part)."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
@@ -100,7 +105,7 @@ def _order_items(spark: SparkSession, sf_dir: str, purchase_ids: DataFrame, max_
     li = li.select("l_orderkey", *LINEITEM_ORDER, item.alias("item"))
     li = split_hot_groups(
         li, ["l_orderkey"], max_items, F.xxhash64(*LINEITEM_ORDER), part_col="ipart",
-        sizes_from=table(spark, sf_dir, "lineitem").select("l_orderkey"),
+        sizes_from=lineitem_keys(spark, sf_dir),
     )
     sort_key = F.struct(*[F.col(c) for c in LINEITEM_ORDER], F.col("item"))
     grouped = li.groupBy("l_orderkey", "ipart").agg(
@@ -180,21 +185,24 @@ def event_entries(spark: SparkSession, sf_dir: str, max_items_per_record: int =
 
     purchases = ev.where(F.col("etype") == "purchase")
     items = _order_items(spark, sf_dir, purchases.select("event_id"), max_items_per_record)
-    # Purchases with items: an inner join, so AQE may split a hot order on
-    # either side (a left outer join could only split the purchases side,
-    # while the hot side here is the items of one big order). Purchases
-    # without items: an anti join against the distinct order keys.
-    with_items = purchases.join(items, purchases["event_id"] == items["order_key"], "inner")
-    item_keys = items.select("order_key").distinct()
-    without_items = purchases.join(item_keys, purchases["event_id"] == item_keys["order_key"], "left_anti")
-    purchases = with_items.drop("order_key").unionByName(
-        without_items.select(
-            *purchases.columns,
-            F.lit(None).cast("long").alias("ipart"),
-            F.lit(None).cast(items.schema["items"].dataType).alias("items"),
-            F.lit(None).cast("double").alias("amount"),
-        )
+    # One purchase row per part of its order (one part unless the order is
+    # hot), then a left join on (order, part). Both sides are unique per
+    # join key, so even an order holding a large share of all lineitems
+    # spreads over as many join keys as it has parts, and no task receives
+    # it whole. The hot-order table is the one ``_order_items`` split by.
+    hot = hot_keys(lineitem_keys(spark, sf_dir), ["l_orderkey"], max_items_per_record)
+    purchases = purchases.join(hot, purchases["event_id"] == hot["l_orderkey"], "left").select(
+        *purchases.columns,
+        F.col("_parts").isNotNull().alias("_hot"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1).cast("long")) - 1)).alias(
+            "ipart"
+        ),
     )
+    purchases = purchases.join(
+        items, (purchases["event_id"] == items["order_key"]) & (purchases["ipart"] == items["ipart"]), "left"
+    ).drop(items["ipart"])
+    # a part of a hot order that no item hashed to yields no purchase entry
+    purchases = purchases.where(~F.col("_hot") | F.col("items").isNotNull())
     pd_fields = dict(d)
     pd_fields["order_id"] = F.concat(F.lit("ORD-"), eid.cast("string"))
     pd_fields["amount"] = F.coalesce(F.col("amount"), F.lit(0.0))
