@@ -120,7 +120,7 @@ def _order_items(spark: SparkSession, sf_dir: str, purchase_ids: DataFrame, max_
     )
 
 
-def _details(kind: str | None = None) -> dict:
+def _details() -> dict:
     """Null-typed details fields (to_json drops nulls)."""
     s = lambda: F.lit(None).cast("string")
     return {
