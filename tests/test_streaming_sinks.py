@@ -201,3 +201,18 @@ def test_raw_zone_landing(spark, session_files):
     path, n = session_files
     run_batch(spark, path, database="batch_raw_t", land_raw_lines=True)
     assert spark.table("raw.sessions_raw").count() == n + 1
+
+
+def test_cli_batch_and_page_views(spark, session_files, tmp_path):
+    from clickweave.plans import cli
+
+    path, n = session_files
+    m = cli.main(["batch", "--input", path, "--database", "cli_t", "--mode", "overwrite", "--fanout", "persist"], spark)
+    assert m["visits_rows"] == n
+    msgs = session_messages(spark, SF_SMALL)
+    msgs.write.parquet(str(tmp_path / "msgs"))
+    cli.main(["page-views", "--source", "files-parquet", "--input", str(tmp_path / "msgs"), "--output",
+              str(tmp_path / "out"), "--checkpoint", str(tmp_path / "ck"), "--window-minutes", "60",
+              "--raw-output", str(tmp_path / "raw")], spark)
+    assert spark.read.parquet(str(tmp_path / "out/page_views")).count() > 0
+    assert spark.read.text(str(tmp_path / "raw")).count() == msgs.count()
