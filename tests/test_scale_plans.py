@@ -61,3 +61,45 @@ def test_curated_reads_prune_partitions_and_columns(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert "ReadSchema: struct<page_url:string>" in plan
     assert q.count() > 0
+
+
+def test_one_session_with_a_third_of_all_events(spark, tmp_path):
+    """A hot key holding a third of all rows is split into bounded records, nothing lost."""
+    import shutil
+
+    src = SF_SMALL
+    d = tmp_path / "hot"
+    d.mkdir()
+    for t in ("lineitem", "part"):
+        shutil.copy(f"{src}/{t}.parquet", d / f"{t}.parquet")
+    ev = spark.read.parquet(f"{src}/events.parquet")
+    hot = F.col("event_id") % 3 == 0
+    ev = ev.select(
+        "event_id",
+        F.when(hot, F.to_timestamp_ntz(F.lit("2024-01-05 00:00:00")) + F.make_dt_interval(secs=F.col("event_id")))
+        .otherwise(F.col("ts")).alias("ts"),
+        F.when(hot, F.lit(7).cast("long")).otherwise(F.col("user_id")).alias("user_id"),
+        "event_type", "value", "props",
+    )
+    ev.coalesce(1).write.parquet(str(d / "events_dir"))
+    part_file = [p for p in (d / "events_dir").iterdir() if p.name.endswith(".parquet")][0]
+    shutil.copy(part_file, d / "events.parquet")
+    n_events = ev.count()
+    n_hot = ev.where(hot).count()
+    assert n_hot * 3 >= n_events - 3
+
+    bound = 50
+    rec = session_records(spark, str(d), max_events_per_record=bound)
+    p = parse_sessions(rec.select("value", F.col("message_id").alias("source")))
+    v = extract.visits(p)
+    hot_sid = "SID-7-20240105"
+    hot_parts = v.where(F.col("session_id") == hot_sid)
+    assert hot_parts.count() >= n_hot // bound
+    # every record of the hot session stays near the bound
+    assert hot_parts.agg(F.max("event_count")).first()[0] <= 2 * bound
+    # nothing lost: all events are in some record, and the consolidated visit has them all
+    assert v.agg(F.sum("event_count")).first()[0] == n_events
+    from clickweave.operators import quality
+
+    merged = quality.consolidate_visits(v).where(F.col("session_id") == hot_sid).first()
+    assert merged.event_count >= n_hot
