@@ -235,4 +235,8 @@ GROUP BY session_id HAVING count(*) > 1
 SELECT window_end, page_view_count, CAST(5 AS BIGINT) AS threshold, page_view_count > 5 AS is_alert FROM ({_PV})
 """),
     "consolidated_visits": _with(_VISITS),
+    "raw_landing_stream": _with("""
+SELECT strftime(date_trunc('minute', publish_time), '%Y-%m-%d-T-%H-%M') AS minute, count(*) AS messages
+FROM sess GROUP BY 1
+"""),
 })

@@ -274,6 +274,20 @@ def q_events_live_stream(spark, sf_dir):
     return present(spark.read.parquet(f"{root}/out/events").drop("batch_id"))
 
 
+def q_raw_landing_stream(spark, sf_dir):
+    """K5/X7/X10 as a real stream: messages landed as text files under
+    ``minute=/shard=``; read back and counted per minute."""
+    root = _stream_root(spark, "raw-landing-stream")
+    session_messages(spark, sf_dir).write.parquet(f"{root}/messages")
+    q = ingest.start_raw_landing(ingest.message_files_stream(spark, f"{root}/messages"), f"{root}/raw",
+                                 f"{root}/checkpoint")
+    q.awaitTermination()
+    # partition values are read as text: "00" stays a shard label
+    back = (spark.read.option("basePath", f"{root}/raw").schema("value string, minute string, shard string")
+            .text(f"{root}/raw"))
+    return back.groupBy("minute").agg(F.count(F.lit(1)).alias("messages"))
+
+
 # Report parameters: at sf0.01 a minute holds a handful of events, so the
 # registered window reports use hour windows and a matching threshold.
 PAGE_VIEW_WINDOW_MINUTES = 60
@@ -330,6 +344,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "consolidated_visits": q_consolidated_visits,
     "page_view_flags": q_page_view_flags,
     "events_live_stream": q_events_live_stream,
+    "raw_landing_stream": q_raw_landing_stream,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}
