@@ -200,8 +200,16 @@ def start_raw_landing(
     num_shards: int = pageviews.DEFAULT_NUM_SHARDS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """K5: raw message text as files under ``minute=.../shard=...``."""
-    rows = pageviews.raw_landing_rows(messages_stream, num_shards)
+    """K5: raw message text as files under ``minute=.../shard=...``.
+
+    Rows are shuffled by ``(minute, shard)`` first, so each micro batch
+    writes one file per (minute, shard), as the reference does. Without it
+    every task holding rows of a minute would add its own small file there
+    (up to tasks x shards files per minute on a large cluster). ``num_shards``
+    is the write parallelism of one minute; raise it for heavy traffic so a
+    hot minute spreads over more tasks.
+    """
+    rows = pageviews.raw_landing_rows(messages_stream, num_shards).repartition("minute", "shard")
     writer = (
         rows.writeStream.format("text")
         .partitionBy("minute", "shard")

@@ -216,3 +216,14 @@ def test_cli_batch_and_page_views(spark, session_files, tmp_path):
               "--raw-output", str(tmp_path / "raw")], spark)
     assert spark.read.parquet(str(tmp_path / "out/page_views")).count() > 0
     assert spark.read.text(str(tmp_path / "raw")).count() == msgs.count()
+
+
+def test_raw_landing_one_file_per_minute_shard(spark, tmp_path):
+    msgs = session_messages(spark, SF_SMALL).repartition(4)
+    src = tmp_path / "msgs"
+    msgs.write.parquet(str(src))
+    out = str(tmp_path / "raw")
+    ingest.start_raw_landing(ingest.message_files_stream(spark, str(src)), out, str(tmp_path / "k")).awaitTermination(300)
+    dirs = glob.glob(out + "/minute=*/shard=*")
+    files = glob.glob(out + "/minute=*/shard=*/part-*")
+    assert len(files) == len(dirs)
