@@ -20,7 +20,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -60,12 +60,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster the operator of the cluster names a shared folder in
-    ``spark.checkpoint.dir``; we read it from the session. Only when it
-    is missing (local runs and tests) do we pick a fresh folder under the
-    system temp directory.
+    ``spark.checkpoint.dir``; we read it from the session. Only a session
+    whose driver and executors are one process (master ``local[...]``) may
+    do without: it gets a fresh folder under the system temp directory.
+    Any other master raises, since each executor would write to its own disk.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors of {master} share")
         path = tempfile.mkdtemp(prefix="clickweave-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
@@ -76,3 +80,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and return the written table.
+
+    Cuts the lineage (a lost executor rereads files instead of recomputing),
+    lets the reader prune columns and gives Catalyst real sizes to plan joins
+    with. The folder goes when the session's file system is closed.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """Plan-shape checks for the scale properties the README claims."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickweave.operators import extract, reports
@@ -103,3 +104,18 @@ def test_one_session_with_a_third_of_all_events(spark, tmp_path):
 
     merged = quality.consolidate_visits(v).where(F.col("session_id") == hot_sid).first()
     assert merged.event_count >= n_hot
+
+
+def test_shared_folder_is_required_off_local_masters():
+    from clickweave.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Fake:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Fake())
