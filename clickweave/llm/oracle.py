@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
-
 OP4 = rf"""
 with recursive docs as (
   select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
@@ -28,4 +26,54 @@ select s.doc_id, len(s.s)::bigint as n_shingles, l.component_id, s.doc_id = l.co
 from sets s join least_ l using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op4_near_dedup": OP4}
+OP10 = r"""
+with docs as (
+  select doc_id, source, coalesce(text, '') as t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents
+), places as (
+  select doc_id, unnest(range(1, len(w) - 1)) as i, w from docs where len(w) > 2
+), windows as (
+  select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as n from places
+), covered as (
+  select doc_id, count(distinct i + k) as n from windows, range(3) r(k) where windows.n > 1 group by 1
+), base as (
+  select docs.doc_id, source, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols,
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words
+  from docs left join covered using (doc_id)
+), failed as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from base
+), hosts as (
+  select source, count(*) as n, sum(base_failed::int) as f from failed group by 1
+), prior as (
+  select sum(f) / sum(n) as m, var_samp(f / n) as v, sum(n) as rows_ from hosts
+), rates as (
+  select source, (f + m * k) / (n + k) as rate
+  from hosts, (select m, case when v > 0 then greatest(1.0, m * (1 - m) / v - 1) else rows_ end as k from prior)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not coalesce(rate > 0.5, false) as kept
+from failed left join rates on failed.source is not distinct from rates.source
+"""
+
+OP1 = r"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), numbered as (
+  select *, row_number() over w as i, count(*) over (partition by conv_id) as n,
+    sum(length('<|im_start|>' || regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g') || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10))) over w as upto
+  from said window w as (partition by conv_id order by turn, role, text rows unbounded preceding)
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(upto) filter (role = 'assistant' or i = n)::bigint as formatted_chars
+from numbered group by conv_id
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op4_near_dedup": OP4, "op10_host_quality": OP10}
