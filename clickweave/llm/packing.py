@@ -37,8 +37,9 @@ from clickweave.session import staged
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Groups of equal cardinality, and the share of a sequence above which a piece is large.
-GROUPS, LARGE = 64, 1 / 8
+#: Settings that are planned; the plan of fewest sequences is used. Groups of
+#: equal cardinality, and the share of a sequence above which a piece is large.
+SETTINGS = tuple((groups, large) for groups in (8, 64) for large in (0.25, 0.4, 0.45, 0.5))
 
 
 def _tokeniser(path: str, capacity: int, separator: int, keep_ids: bool):
@@ -185,8 +186,13 @@ class Plan:
                     room = length
 
 
-def plan_packing(histogram: np.ndarray, capacity: int, groups: int = GROUPS, large: float = LARGE) -> tuple[np.ndarray, int]:
+def plan_packing(histogram: np.ndarray, capacity: int, settings: tuple[tuple[int, float], ...] = SETTINGS) -> tuple[np.ndarray, int]:
     """Runs ``(length, first number, first sequence, offset)`` in order, and the number of sequences."""
+    best = min((_planned(histogram, capacity, *s) for s in settings), key=lambda p: p.sequences)
+    return np.array(sorted(best.placed), np.int64).reshape(-1, 4), best.sequences
+
+
+def _planned(histogram: np.ndarray, capacity: int, groups: int, large: float) -> Plan:
     plan = Plan(histogram, capacity)
     lengths = np.arange(capacity, int(capacity * large), -1)
     counts = histogram[lengths]
@@ -212,8 +218,7 @@ def plan_packing(histogram: np.ndarray, capacity: int, groups: int = GROUPS, lar
         for config, count in configurations(sizes, demand, capacity):
             plan.substitute(config, count, rounded)
     plan.best_fit()
-    runs = np.array(sorted(plan.placed), np.int64).reshape(-1, 4)
-    return runs, plan.sequences
+    return plan
 
 
 def _placer(runs: np.ndarray):
@@ -230,14 +235,14 @@ def _placer(runs: np.ndarray):
     return place
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, separator: int = SEPARATOR, keep_ids: bool = False, groups: int = GROUPS, large: float = LARGE) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, separator: int = SEPARATOR, keep_ids: bool = False, settings: tuple[tuple[int, float], ...] = SETTINGS) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece, and ``ids`` if asked for."""
     pieces = token_pieces(docs, vocabulary or default_vocabulary(), capacity, separator, keep_ids)
     counts = staged(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "piece-counts")
     histogram = np.zeros(capacity + 1, np.int64)
     for length, n in counts.groupBy("length").agg(F.sum("n")).collect():  # at most `capacity` rows
         histogram[length] = n
-    runs, _ = plan_packing(histogram, capacity, groups, large)
+    runs, _ = plan_packing(histogram, capacity, settings)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("task", "length", F.coalesce(before, F.lit(0)).alias("before"))
     numbered = pieces.join(offsets, ["task", "length"]).withColumn("number", F.col("number") + F.col("before"))
