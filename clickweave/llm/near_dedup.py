@@ -206,3 +206,21 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, k: int = SHINGLE_WORDS
     whole = signed.drop("bands").join(named, ["d0", "d1"], "left")
     component = F.coalesce("component", "doc_id")
     return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, **rules) -> DataFrame:
+    """The row of smallest doc_id of each component, with the columns of ``docs``.
+
+    Of several rows with that doc_id the one of least hash stays; rows
+    without a doc_id all stay.
+    """
+    verdicts = near_duplicates(docs, **rules).where("kept and doc_id is not null")
+    own = "__near_id"
+    kept = staged(verdicts.groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias("__near_copies")), "kept")
+    rows = docs.join(kept.where("__near_copies = 1"), F.col("doc_id") == F.col(own), "left_semi")
+    several = kept.where("__near_copies > 1")
+    if not several.isEmpty():
+        whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        one = docs.join(several, F.col("doc_id") == F.col(own)).groupBy(own).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("__near_row"))
+        rows = rows.unionByName(one.select("__near_row.*"))
+    return rows.unionByName(docs.where(F.col("doc_id").isNull()))

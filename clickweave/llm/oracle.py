@@ -26,6 +26,23 @@ select s.doc_id, len(s.s)::bigint as n_shingles, l.component_id, s.doc_id = l.co
 from sets s join least_ l using (doc_id)
 """
 
+OP7 = r"""
+with docs as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), windows as (
+  select doc_id, i, sha256(array_to_string(w[i:i+49], ' ')) as h from docs, unnest(range(1, len(w) - 48)) r(i)
+), firsts as (select h, min(doc_id) as first from windows group by 1),
+gone as (
+  select distinct doc_id, i + k as i from windows join firsts using (h), range(50) r(k) where first < doc_id
+), words as (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as i from docs),
+kept as (
+  select words.doc_id, string_agg(x, ' ' order by words.i) as t, count(*) as n
+  from words anti join gone on words.doc_id = gone.doc_id and words.i = gone.i group by 1
+)
+select docs.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from docs left join kept using (doc_id)
+"""
+
 OP10 = r"""
 with docs as (
   select doc_id, source, coalesce(text, '') as t,
@@ -76,4 +93,4 @@ select conv_id, count(*) as n_turns,
 from numbered group by conv_id
 """
 
-ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op4_near_dedup": OP4, "op10_host_quality": OP10}
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op4_near_dedup": OP4, "op7_substring_dedup": OP7, "op10_host_quality": OP10}

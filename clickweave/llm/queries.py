@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickweave.llm import chat_format, fingerprints, host_quality, html_text, language_id, mixing, near_dedup, packing
+from clickweave.llm import chat_format, fingerprints, host_quality, html_text, language_id, mixing, near_dedup, packing, substring_dedup, token_scan
+from clickweave.session import scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,19 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_order(table(spark, sf_dir, "documents"), repetition_limit=4.0)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeat_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts in the token files that Spark writes of all documents; a file is known by its part number."""
+    path = scratch_dir(spark, "token-files")
+    token_scan.write(table(spark, sf_dir, "documents"), path)
+    part = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
+    file = F.regexp_extract("path", r"-c(\d+)[^/]*$", 1).cast("int")
+    return token_scan.scan(spark, path).select(part.alias("part"), file.alias("file"), "document", "start", "n_tokens", "ended")
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -49,5 +64,5 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_chat_format, op2_packing, op3_language_id, op4_near_dedup, op5_fingerprints, op6_mixing, op9_html_text, op10_host_quality)
+_ALL = (op1_chat_format, op2_packing, op3_language_id, op4_near_dedup, op5_fingerprints, op6_mixing, op7_substring_dedup, op8_token_counts, op9_html_text, op10_host_quality)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
