@@ -200,11 +200,10 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, k: int = SHINGLE_WORDS
     shared = exploded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     members = staged(exploded.join(staged(shared.select("key", "pivot"), "shared"), "key").where("id <> pivot"), "members")
     links = confirmed_links(docs, members, threshold, k)
-    # one doc_id with several texts names several classes: link them too
     labels = components(links).withColumnRenamed("id", "rep")
     named = staged(classes.join(labels, "rep", "left").select("d0", "d1", F.coalesce("label", "rep").alias("component")), "components")
     whole = signed.drop("bands").join(named, ["d0", "d1"], "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
