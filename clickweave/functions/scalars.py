@@ -44,15 +44,23 @@ def parse_iso_timestamp(c) -> Column:
 
 
 def to_double(c) -> Column:
-    """JSON number (kept as text) to DOUBLE; NULL if not numeric."""
-    return _c(c).try_cast("double")
+    """JSON number (kept as text) to DOUBLE; NULL if not a finite number."""
+    d = _c(c).try_cast("double")
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
+
+
+def bad_number(c) -> Column:
+    """A value is there, but it is not a finite number."""
+    c = _c(c)
+    return c.isNotNull() & to_double(c).isNull()
 
 
 def to_bigint(c) -> Column:
     """JSON number to BIGINT. ``20`` and ``20.0`` give 20, ``1.5`` gives NULL."""
     c = _c(c)
     d = c.try_cast("double")
-    return F.coalesce(c.try_cast("bigint"), F.when(d == F.floor(d), d.try_cast("bigint")))
+    whole = (F.abs(d) < F.lit(9.3e18)) & (d == F.rint(d))
+    return F.coalesce(c.try_cast("bigint"), F.when(whole, d.try_cast("bigint")))
 
 
 def decode_base64(c) -> Column:
@@ -92,6 +100,32 @@ def iso_text(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-def money_total(price, quantity) -> Column:
-    """price * quantity as exact DECIMAL so sums do not depend on order."""
-    return F.coalesce(_c(price).cast("decimal(20,2)"), F.lit(0)) * F.coalesce(_c(quantity).cast("decimal(20,0)"), F.lit(0))
+# Exact product of the amounts that occur: prices below 10**15 to nine
+# decimals, quantities below 10**14. Anything larger is summed as DOUBLE.
+EXACT_PRICE, EXACT_QUANTITY = "decimal(24,9)", "decimal(14,0)"
+
+
+def money_exact(price, quantity) -> Column:
+    """price * quantity as DECIMAL, unrounded; NULL if either is NULL or out of the exact range."""
+    return F.try_multiply(_c(price).try_cast(EXACT_PRICE), _c(quantity).try_cast(EXACT_QUANTITY))
+
+
+def money_rest(price, quantity) -> Column:
+    """price * quantity as DOUBLE where the exact product does not hold it, else NULL."""
+    return F.when(money_exact(price, quantity).isNull(), _c(price).cast("double") * _c(quantity).cast("double"))
+
+
+def money_of(exact, rest) -> Column:
+    """Total in money, rounded once to cents: sums of ``money_exact`` and ``money_rest`` (NULL counts as 0)."""
+    cents = F.round(F.coalesce(_c(exact), F.lit(0)), 2).cast("double")
+    return F.when(_c(rest).isNull(), cents).otherwise(F.round(cents + _c(rest), 2))
+
+
+def money_sum(price, quantity) -> Column:
+    """Aggregate: ``round(sum(price * quantity), 2)``; no row can fail it."""
+    return money_of(F.try_sum(money_exact(price, quantity)), F.sum(money_rest(price, quantity)))
+
+
+def whole_sum(c) -> Column:
+    """Aggregate: sum of BIGINT values (NULL counts as 0); NULL if the total is no BIGINT."""
+    return F.sum(F.coalesce(_c(c), F.lit(0)).cast("decimal(38,0)")).try_cast("bigint")

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import (
+    bad_number,
     event_unique_id,
     is_missing,
     parse_iso_timestamp,
@@ -53,6 +54,7 @@ UNKNOWN_EVENT_TYPE = "unknown_event_type"
 MISSING_ORDER_ID = "missing_order_id"
 MISSING_PRODUCT_ID = "missing_product_id"
 MISSING_REQUIRED = "missing_required_field"
+BAD_NUMBER = "bad_number"
 
 
 def _check_profile(profile: str) -> None:
@@ -69,33 +71,57 @@ def _good(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reject_reason").isNull())
 
 
-def visits(parsed: DataFrame) -> DataFrame:
-    """One visit row per usable record, no explode and no shuffle.
+def _first(rec: Column, name: str) -> Column:
+    """A part's offset (0 for a whole record)."""
+    return F.coalesce(rec[name].try_cast("long"), F.lit(0).cast("long"))
+
+
+def visits(parsed: DataFrame, merge_parts: bool = True) -> DataFrame:
+    """One visit row per usable record, without explode or shuffle.
 
     ``start``/``end`` are the min/max of the *parseable* event timestamps
     (``array_min``/``array_max`` skip NULLs). ``event_count`` is the length
-    of the raw events array, invalid entries included.
+    of the raw events array, invalid entries included. Records that say they
+    are parts of a long session are merged to its one visit (copies of a part
+    count once); only those rows are shuffled. Records that continue the
+    items of a purchase are no visit. ``merge_parts=False`` leaves a row per
+    record, for streams, whose sink merges what it reads.
     """
     rec = F.col("rec")
     evs = _events_array(rec)
     ts = F.transform(evs, lambda e: parse_iso_timestamp(e["event"]["timestamp"]))
-    return _good(parsed).select(
-        rec["session_id"].alias("session_id"),
-        rec["user_id"].alias("user_id"),
-        rec["device_type"].alias("device_type"),
-        rec["geolocation"].alias("geolocation"),
-        rec["user_agent"].alias("user_agent"),
-        F.array_min(ts).alias("start_timestamp"),
-        F.array_max(ts).alias("end_timestamp"),
-        F.size(evs).cast("long").alias("event_count"),
+    good = _good(parsed).where(rec["first_item_pos"].isNull())
+
+    def rows(frame: DataFrame, *more: Column) -> DataFrame:
+        return frame.select(
+            rec["session_id"].alias("session_id"),
+            rec["user_id"].alias("user_id"),
+            rec["device_type"].alias("device_type"),
+            rec["geolocation"].alias("geolocation"),
+            rec["user_agent"].alias("user_agent"),
+            F.array_min(ts).alias("start_timestamp"),
+            F.array_max(ts).alias("end_timestamp"),
+            F.size(evs).cast("long").alias("event_count"),
+            *more,
+        )
+
+    if not merge_parts:
+        return rows(good)
+    parts = rows(good.where(rec["parts"].isNotNull()), rec["part"].alias("part"))
+    merged = parts.distinct().groupBy("session_id").agg(
+        *(F.min(c).alias(c) for c in ("user_id", "device_type", "geolocation", "user_agent", "start_timestamp")),
+        F.max("end_timestamp").alias("end_timestamp"),
+        F.sum("event_count").alias("event_count"),
     )
+    return rows(good.where(rec["parts"].isNull())).unionByName(merged)
 
 
 def exploded_events(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One row per raw event entry with its 0-based position.
+    """One row per raw event entry with its 0-based position in the session.
 
-    Adds ``event_type``, ``ts_text``, ``ts`` and ``details`` columns; no
-    filtering yet.
+    Adds ``event_type``, ``ts_text``, ``ts``, ``details`` and ``first_item``
+    (NULL, or where the items of a continued purchase start); no filtering
+    yet.
     """
     keep = keep or []
     rec = F.col("rec")
@@ -104,11 +130,14 @@ def exploded_events(parsed: DataFrame, keep: list[str] | None = None) -> DataFra
         rec["session_id"].alias("session_id"),
         rec["user_id"].alias("user_id"),
         rec["device_type"].alias("device_type"),
-        F.posexplode(_events_array(rec)).alias("event_pos", "entry"),
+        _first(rec, "first_event_pos").alias("_first"),
+        rec["first_item_pos"].try_cast("long").alias("first_item"),
+        F.posexplode(_events_array(rec)).alias("_pos", "entry"),
     )
     ev = F.col("entry.event")
     return out.select(
-        *keep, "session_id", "user_id", "device_type", "event_pos", "entry",
+        *keep, "session_id", "user_id", "device_type", (F.col("_first") + F.col("_pos")).cast("int").alias("event_pos"),
+        "first_item", "entry",
         ev["event_type"].alias("event_type"),
         ev["timestamp"].alias("ts_text"),
         parse_iso_timestamp(ev["timestamp"]).alias("ts"),
@@ -122,6 +151,8 @@ def _event_reason(profile: str) -> Column:
     reason = F.when(is_missing(et) | is_missing(tt), F.lit(MISSING_TYPE_OR_TIMESTAMP)).when(
         ts.isNull(), F.lit(BAD_TIMESTAMP)
     )
+    d = F.col("details")
+    reason = reason.when(bad_number(d["price"]) | bad_number(d["quantity"]) | bad_number(d["amount"]), F.lit(BAD_NUMBER))
     if profile == LIVE:
         reason = reason.when(~et.isin(LIVE_EVENT_TYPES + [PURCHASE]), F.lit(UNKNOWN_EVENT_TYPE))
     return reason
@@ -130,7 +161,7 @@ def _event_reason(profile: str) -> Column:
 def events(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
     """P2 (batch) / P4 (live): the flat ``events`` table."""
     _check_profile(profile)
-    x = exploded_events(parsed)
+    x = exploded_events(parsed).where(F.col("first_item").isNull())
     cond = _event_reason(profile).isNull()
     if profile == LIVE:
         cond = cond & F.col("event_type").isin(LIVE_EVENT_TYPES)
@@ -176,17 +207,17 @@ def exploded_items(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
     return x.select(
         "session_id", "event_pos", "ts",
         F.col("details.order_id").alias("order_id"),
-        F.posexplode(F.coalesce(F.col("details.items"), F.array())).alias("item_pos", "item"),
-    )
+        F.coalesce("first_item", F.lit(0).cast("long")).alias("_first"),
+        F.posexplode(F.coalesce(F.col("details.items"), F.array())).alias("_pos", "item"),
+    ).withColumn("item_pos", F.col("_first") + F.col("_pos")).drop("_first", "_pos")
 
 
-def _item_reason(profile: str) -> Column:
-    pid = F.col("item.product_id")
-    if profile == BATCH:
-        return F.when(pid.isNull(), F.lit(MISSING_PRODUCT_ID))
-    return F.when(pid.isNull(), F.lit(MISSING_PRODUCT_ID)).when(
-        F.col("session_id").isNull() | F.col("order_id").isNull(), F.lit(MISSING_REQUIRED)
-    )
+def _item_reason(profile: str, item: Column, order_id: Column) -> Column:
+    """Why an item is no row (NULL: it is one)."""
+    reason = F.when(item["product_id"].isNull(), F.lit(MISSING_PRODUCT_ID))
+    if profile == LIVE:
+        reason = reason.when(F.col("session_id").isNull() | order_id.isNull(), F.lit(MISSING_REQUIRED))
+    return reason.when(bad_number(item["price"]) | bad_number(item["quantity"]), F.lit(BAD_NUMBER))
 
 
 def purchase_items(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
@@ -198,7 +229,7 @@ def purchase_items(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
     """
     x = exploded_items(parsed, profile)
     it = F.col("item")
-    return x.where(_item_reason(profile).isNull()).select(
+    return x.where(_item_reason(profile, it, F.col("order_id")).isNull()).select(
         "order_id",
         F.col("item_pos").cast("long").alias("item_index_in_order"),
         "session_id",
@@ -235,11 +266,13 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
     rows = parsed.select(
         src.alias("source"), "reject_reason", "value",
         rec["session_id"].alias("session_id"),
-        F.posexplode_outer(F.when(F.col("reject_reason").isNull(), _events_array(rec))).alias("event_pos", "entry"),
+        _first(rec, "first_event_pos").alias("_first"),
+        rec["first_item_pos"].try_cast("long").alias("first_item"),
+        F.posexplode_outer(F.when(F.col("reject_reason").isNull(), _events_array(rec))).alias("_pos", "entry"),
     )
     ev = F.col("entry.event")
     rows = rows.select(
-        "source", "reject_reason", "value", "session_id", "event_pos", "entry",
+        "source", "reject_reason", "value", "session_id", (F.col("_first") + F.col("_pos")).alias("event_pos"), "first_item", "entry",
         ev["event_type"].alias("event_type"),
         ev["timestamp"].alias("ts_text"),
         parse_iso_timestamp(ev["timestamp"]).alias("ts"),
@@ -255,28 +288,24 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
     is_record_row = F.col("reject_reason").isNotNull()
     has_entry = F.col("event_pos").isNotNull()
     is_purchase = has_entry & (F.col("event_type") == PURCHASE)
+    # the entry itself is judged where it stands, not where its items go on
+    is_own = F.col("first_item").isNull()
 
     ev_reason = _event_reason(profile)
     if profile == LIVE:
         # live purchases are checked by the purchase rules, not the event rules
         ev_reason = F.when(F.col("event_type") == PURCHASE, null_str).otherwise(ev_reason)
     pu_reason = _purchase_reason(profile)
-    item_reason = (
-        (lambda it: F.when(it["product_id"].isNull(), F.lit(MISSING_PRODUCT_ID)))
-        if profile == BATCH
-        else (lambda it: F.when(it["product_id"].isNull(), F.lit(MISSING_PRODUCT_ID)).when(
-            F.col("session_id").isNull() | F.col("details.order_id").isNull(), F.lit(MISSING_REQUIRED)))
-    )
     entry_json = F.to_json(F.col("entry"))
 
     record_part = F.when(
         is_record_row, F.array(reject("record", F.col("reject_reason"), null_int, null_int, F.col("value")))
     )
     event_part = F.when(
-        has_entry & ev_reason.isNotNull(), F.array(reject("event", ev_reason, F.col("event_pos"), null_int, entry_json))
+        has_entry & is_own & ev_reason.isNotNull(), F.array(reject("event", ev_reason, F.col("event_pos"), null_int, entry_json))
     )
     purchase_part = F.when(
-        is_purchase & pu_reason.isNotNull(),
+        is_purchase & is_own & pu_reason.isNotNull(),
         F.array(reject("purchase", pu_reason, F.col("event_pos"), null_int, entry_json)),
     )
     items = F.coalesce(F.col("details.items"), F.array())
@@ -285,7 +314,7 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
         F.filter(
             F.transform(
                 items,
-                lambda it, j: reject("item", item_reason(it), F.col("event_pos"), j, F.to_json(it)),
+                lambda it, j: reject("item", _item_reason(profile, it, F.col("details.order_id")), F.col("event_pos"), j + F.coalesce("first_item", F.lit(0)), F.to_json(it)),
             ),
             lambda r: r["reason"].isNotNull(),
         ),

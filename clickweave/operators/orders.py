@@ -1,21 +1,23 @@
 """Orders and event ordering.
 
-``cart_before_purchase`` and ``sort_session_events`` work inside one
-record with higher-order array functions (no shuffle). ``order_amounts``
-aggregates by order with a map-side partial sum; ``assemble_sessions``
-goes the other way, from flat events to nested records, and splits
-oversized sessions with ``split_hot_groups`` so no gathered array is
-unbounded.
+``sort_session_events`` works inside one record with higher-order array
+functions (no shuffle); ``cart_before_purchase`` runs over the cart adds and
+purchases of each record, and carries totals between the parts of a long
+session. ``order_amounts`` aggregates by order with a map-side partial sum;
+``assemble_sessions`` goes the other way, from flat events to nested records,
+and cuts long sessions into contiguous parts with ``split_hot_groups`` so no
+gathered array is unbounded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.functions.scalars import is_missing, iso_text, money_total, to_bigint, to_double
+from clickweave.functions.scalars import is_missing, iso_text, money_exact, money_of, money_rest, money_sum, to_bigint, to_double
 from clickweave.operators.extract import PURCHASE, _good, exploded_events
 from clickweave.operators.skew import split_hot_groups
+from clickweave.session import staged
 
 CART_ADD = "add_item_to_cart"
 
@@ -23,7 +25,7 @@ CART_ADD = "add_item_to_cart"
 def order_amounts(items: DataFrame) -> DataFrame:
     """``round(sum(price * quantity), 2)`` per order, NULL counted as 0."""
     return items.groupBy("order_id").agg(
-        F.round(F.sum(money_total(F.col("price"), F.col("quantity"))), 2).cast("double").alias("item_total"),
+        money_sum(F.col("price"), F.col("quantity")).alias("item_total"),
         F.count(F.lit(1)).alias("item_rows"),
     )
 
@@ -33,12 +35,14 @@ def order_reconciliation(events: DataFrame, items: DataFrame) -> DataFrame:
 
     One row per purchase event that has an order id. ``difference`` is
     ``amount - item_total`` (item_total 0 when the order has no items);
-    ``matches`` allows a half-cent of float noise.
+    ``matches`` allows a half-cent of float noise. The totals are written
+    first, so that both sides of the join are shuffled from files and AQE can
+    split an order that many purchase events name.
     """
     purchases = events.where((F.col("event_type") == PURCHASE) & ~is_missing(F.col("order_id"))).select(
         "order_id", "session_id", F.col("amount").alias("stated_amount")
     )
-    totals = order_amounts(items)
+    totals = staged(order_amounts(items), "order-totals")
     j = purchases.join(totals, "order_id", "left")
     total = F.coalesce(F.col("item_total"), F.lit(0.0))
     diff = F.round(F.coalesce(F.col("stated_amount"), F.lit(0.0)) - total, 2)
@@ -57,31 +61,48 @@ def cart_before_purchase(parsed: DataFrame) -> DataFrame:
     The generator's rule is that a purchase buys every item added to the
     cart before it (the cart is never cleared). Per purchase event this
     returns the number of earlier cart adds, their total quantity and
-    value. It filters the record's own events array by position, so it is
-    a per-record computation without any join.
+    value: running sums over the cart adds and purchases of a record, which
+    has a bounded number of events, plus the totals of the earlier parts if
+    the record is a part of a long session.
     """
-    x = exploded_events(parsed, keep=["rec"]).where(
-        (F.col("event_type") == PURCHASE) & ~is_missing(F.col("details.order_id"))
+    marked = parsed.withColumn("_record", F.monotonically_increasing_id())
+    part = F.col("rec.part").try_cast("long")
+    x = exploded_events(marked.withColumn("_part", part), keep=["_record", "_part"]).where(F.col("first_item").isNull())
+    is_cart = F.col("event_type") == CART_ADD
+    is_order = (F.col("event_type") == PURCHASE) & ~is_missing(F.col("details.order_id"))
+    price, quantity = to_double(F.col("details.price")), to_bigint(F.col("details.quantity"))
+    x = x.where(is_cart | is_order).select(
+        "_record", "_part", "session_id", "event_pos", is_order.alias("is_order"), F.col("details.order_id").alias("order_id"),
+        is_cart.cast("long").alias("adds"),
+        F.when(is_cart, quantity).cast("decimal(38,0)").alias("quantity"),
+        F.when(is_cart, money_exact(price, quantity)).alias("exact"),
+        F.when(is_cart, money_rest(price, quantity)).alias("rest"),
     )
-    pos = F.col("event_pos")
-    evs = F.coalesce(F.col("rec.events"), F.array())
-    earlier = F.filter(evs, lambda e, i: (e["event"]["event_type"] == F.lit(CART_ADD)) & (i < pos))
-    details = F.transform(earlier, lambda e: e["event"]["details"])
-    qty = F.aggregate(
-        details, F.lit(0).cast("long"), lambda acc, d: acc + F.coalesce(to_bigint(d["quantity"]), F.lit(0).cast("long"))
-    )
-    value = F.aggregate(
-        details,
-        F.lit(0).cast("decimal(38,2)"),
-        lambda acc, d: (acc + money_total(to_double(d["price"]), to_bigint(d["quantity"]))).cast("decimal(38,2)"),
-    )
-    return x.select(
+    sums = ("adds", "quantity", "exact", "rest")
+
+    def total(c: str):
+        return F.try_sum(c) if c == "exact" else F.sum(c)
+
+    earlier = Window.partitionBy("_record").orderBy("event_pos").rowsBetween(Window.unboundedPreceding, -1)
+    rows = x.withColumns({f"own_{c}": total(c).over(earlier) for c in sums}).where("is_order")
+    # parts: a copy of a part counts once
+    parts = x.where(F.col("_part").isNotNull()).groupBy("_record", "session_id", "_part").agg(*(total(c).alias(c) for c in sums))
+    parts = parts.groupBy("session_id", "_part").agg(*(F.min(c).alias(c) for c in sums))
+    carry = Window.partitionBy("session_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("session_id", "_part", *(total(c).over(carry).alias(f"carry_{c}") for c in sums))
+    rows = rows.join(parts, ["session_id", "_part"], "left")
+
+    def both(c: str):
+        own, before = F.col(f"own_{c}"), F.col(f"carry_{c}")
+        return F.coalesce(own + before, own, before)
+
+    return rows.select(
         "session_id",
-        F.col("details.order_id").alias("order_id"),
-        pos.cast("long").alias("purchase_pos"),
-        F.size(earlier).cast("long").alias("cart_adds"),
-        qty.alias("cart_quantity"),
-        value.cast("double").alias("cart_value"),
+        "order_id",
+        F.col("event_pos").cast("long").alias("purchase_pos"),
+        F.coalesce(both("adds"), F.lit(0)).cast("long").alias("cart_adds"),
+        F.coalesce(both("quantity"), F.lit(0)).try_cast("bigint").alias("cart_quantity"),
+        money_of(both("exact"), both("rest")).alias("cart_value"),
     )
 
 
@@ -103,9 +124,10 @@ def sort_session_events(parsed: DataFrame) -> DataFrame:
 def assemble_sessions(flat_events: DataFrame, max_events_per_record: int = 10_000) -> DataFrame:
     """Flat ``events`` rows back into nested session records (JSON text).
 
-    Rows are gathered per ``(session_id, part)``; sessions above
-    ``max_events_per_record`` are split into several records so no gathered
-    array is unbounded. Events are ordered by ``(timestamp, event_unique_id)``.
+    Events are ordered by ``(timestamp, event_unique_id)``. Sessions above
+    ``max_events_per_record`` become several records, contiguous parts that
+    say their place, so no gathered array is unbounded and the records decode
+    to the same visits and events as one record would.
     """
     detail_cols = [
         "page_url", "referrer_url", "product_id", "product_name", "category",
@@ -122,18 +144,19 @@ def assemble_sessions(flat_events: DataFrame, max_events_per_record: int = 10_00
         "session_id", "user_id", "device_type", "timestamp", "event_unique_id", entry.alias("entry")
     )
     df = split_hot_groups(
-        df, ["session_id"], max_events_per_record, F.col("event_unique_id"), part_col="spart",
+        df, ["session_id"], max_events_per_record, ["timestamp", "event_unique_id"],
         sizes_from=flat_events.select("session_id"),
     )
-    grouped = df.groupBy("session_id", "spart").agg(
+    grouped = df.groupBy("session_id", "part", "parts").agg(
         F.array_sort(F.collect_list(F.struct("timestamp", "event_unique_id", "entry"))).alias("_sorted"),
         F.min("user_id").alias("user_id"),
         F.min("device_type").alias("device_type"),
     )
     record = F.struct(
-        "session_id", "user_id", "device_type",
+        "session_id", "user_id", "device_type", "part", "parts",
+        (F.col("part") * max_events_per_record).alias("first_event_pos"),
         F.transform("_sorted", lambda x: x["entry"]).alias("events"),
     )
     return grouped.select(
-        "session_id", F.col("spart").alias("part"), F.to_json(record).alias("value")
+        "session_id", F.coalesce("part", F.lit(0)).alias("part"), F.to_json(record).alias("value")
     )

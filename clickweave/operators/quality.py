@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.schemas import PRIMARY_KEYS
+from clickweave.session import staged
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,17 +48,25 @@ def key_report(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]] | No
 def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, chosen deterministically (the smallest row).
 
-    ``min(struct(other columns))`` is a partial aggregate, so a hot group of
-    copies is reduced map-side; the result does not depend on input order
-    or task retries (unlike ``row_number`` over an unordered window or
-    ``dropDuplicates``' first-seen row).
+    Copies are almost always equal rows: ``distinct``, a hash aggregate with
+    a map-side step, removes them. Only keys that are left with several
+    different rows are sorted for the smallest one, so a hot group of copies
+    is reduced in its tasks and the result does not depend on input order or
+    task retries.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
+    unique = df.distinct()
     if not rest:
-        return df.select(*keys).distinct()
-    agg = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_row"))
-    return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+        return unique.select(*df.columns)
+    unique = staged(unique, "distinct")
+    several = staged(duplicate_keys(unique, keys).select(*keys), "several")
+    same = F.lit(True)
+    for k in keys:
+        same &= unique[k].eqNullSafe(several[k])
+    clear = unique.join(several, same, "left_anti")
+    least = unique.join(several, same, "left_semi").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    return clear.select(*df.columns).unionByName(least.select(*keys, "_row.*").select(*df.columns))
 
 
 def consolidate_visits(visits: DataFrame) -> DataFrame:
@@ -70,10 +79,11 @@ def consolidate_visits(visits: DataFrame) -> DataFrame:
     parts are merged per session: earliest start, latest end, summed event
     count, and the smallest non-null value of each descriptive column. Both
     steps are partial aggregates, so a session with many copies or parts
-    is combined map-side.
+    is combined map-side; only sessions with parts are aggregated by sorting.
     """
-    unique = visits.distinct()
-    return unique.groupBy("session_id").agg(
+    unique = staged(visits.distinct(), "distinct-visits")
+    several = staged(duplicate_keys(unique, ["session_id"]).select("session_id"), "several")
+    merged = unique.join(several, "session_id", "left_semi").groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("device_type").alias("device_type"),
         F.min("geolocation").alias("geolocation"),
@@ -82,6 +92,7 @@ def consolidate_visits(visits: DataFrame) -> DataFrame:
         F.max("end_timestamp").alias("end_timestamp"),
         F.sum("event_count").cast("long").alias("event_count"),
     )
+    return unique.join(several, "session_id", "left_anti").select(*merged.columns).unionByName(merged)
 
 
 def union_paths(*frames: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -97,34 +108,39 @@ def union_paths(*frames: DataFrame, keys: Sequence[str] | None = None) -> DataFr
 
 def path_reconciliation(left: DataFrame, right: DataFrame, key: str = "session_id",
                         left_name: str = "batch", right_name: str = "live") -> DataFrame:
-    """Keys present in only one of two paths, with the path that has them."""
-    lk = left.select(key).distinct()
-    rk = right.select(key).distinct()
-    only_left = lk.join(rk, key, "left_anti").select(key, F.lit(left_name).alias("only_in"))
-    only_right = rk.join(lk, key, "left_anti").select(key, F.lit(right_name).alias("only_in"))
-    return only_left.unionByName(only_right)
+    """Keys present in only one of two paths, with the path that has them.
+
+    One aggregate over both paths' keys, each with a flag of its path.
+    """
+    both = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    seen = both.groupBy(key).agg(F.max("l").alias("l"), F.max("r").alias("r")).where("l + r = 1")
+    return seen.select(key, F.when(F.col("l") == 1, left_name).otherwise(right_name).alias("only_in"))
 
 
 def profile_diff(batch_rows: DataFrame, live_rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows one profile produces and the other does not (multiset difference)."""
+    """Rows one profile produces and the other does not (multiset difference).
+
+    Rows are counted with their profile's sign in one aggregate; what is left
+    of a row is repeated as often as it is left.
+    """
     cols = list(columns) if columns else [c for c in batch_rows.columns if c in live_rows.columns]
-    b = batch_rows.select(*cols)
-    lv = live_rows.select(*cols)
-    return b.exceptAll(lv).withColumn("only_in", F.lit("batch")).unionByName(
-        lv.exceptAll(b).withColumn("only_in", F.lit("live"))
-    )
+    both = batch_rows.select(*cols, F.lit(1).alias("_sign")).unionByName(live_rows.select(*cols, F.lit(-1).alias("_sign")))
+    left = both.groupBy(*cols).agg(F.sum("_sign").alias("_n")).where("_n <> 0")
+    only = F.when(F.col("_n") > 0, "batch").otherwise("live").alias("only_in")
+    return left.select(*cols, only, F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_i")).drop("_i")
 
 
 def orphan_counts(children: dict[str, DataFrame], visits: DataFrame) -> DataFrame:
-    """J3 summary: per child table, rows whose session has no visit."""
-    keys = visits.select("session_id").distinct()
-    parts = [
-        df.join(keys, "session_id", "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows")).select(
-            F.lit(name).alias("table_name"), "orphan_rows"
-        )
-        for name, df in children.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """J3 summary: per child table, rows whose session has no visit.
+
+    One aggregate by session over the keys of all tables, with a map-side
+    step, so a hot session is a few rows when it is shuffled.
+    """
+    names = list(children)
+    keys = visits.select("session_id", F.lit(True).alias("is_visit"), F.lit(None).cast("string").alias("table_name"))
+    for name in names:
+        keys = keys.unionByName(children[name].select("session_id", F.lit(False).alias("is_visit"), F.lit(name).alias("table_name")))
+    per = keys.groupBy("session_id").agg(F.max("is_visit").alias("known"), *(F.count_if(F.col("table_name") == n).alias(f"n_{n}") for n in names))
+    totals = per.agg(*(F.coalesce(F.sum(F.when(~F.col("known") | F.col("session_id").isNull(), F.col(f"n_{n}"))), F.lit(0)).alias(f"n_{n}") for n in names))
+    rows = F.array(*(F.struct(F.lit(n).alias("table_name"), F.col(f"n_{n}").cast("long").alias("orphan_rows")) for n in names))
+    return totals.select(F.explode(rows).alias("r")).select("r.*")

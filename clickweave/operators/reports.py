@@ -5,6 +5,12 @@ partial aggregate, so a hot key (one page, one device type, one product)
 is combined inside each input task before the shuffle. Distinct counts
 are planned by Spark as a two-level aggregate on ``(key, value)`` first,
 which spreads a hot key over many tasks.
+
+Joins with visits: the side made one row per session is an aggregate, and a
+join right above it would reuse its shuffle, which AQE cannot split. It is
+therefore written first (``session.staged``); then both sides of the join are
+shuffled from files, and AQE splits a session that holds many rows (or
+broadcasts the written side by its real size).
 """
 
 from __future__ import annotations
@@ -12,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.functions.scalars import money_total
+from clickweave.functions.scalars import money_sum, whole_sum
 from clickweave.operators.quality import consolidate_visits
+from clickweave.session import staged
 
 
 def visits_by_page(events: DataFrame) -> DataFrame:
@@ -32,16 +39,16 @@ def popular_items(items: DataFrame, k: int = 10) -> DataFrame:
     keeps its own top k and only k rows per task reach the final merge.
     """
     totals = items.groupBy("product_id").agg(
-        F.sum(F.coalesce(F.col("quantity"), F.lit(0))).cast("long").alias("total_quantity"),
+        whole_sum(F.col("quantity")).alias("total_quantity"),
         F.count(F.lit(1)).alias("order_lines"),
     )
     return totals.orderBy(F.col("total_quantity").desc(), F.col("product_id").asc()).limit(k)
 
 
 def sales_by_category(items: DataFrame) -> DataFrame:
-    """Sum of price * quantity per category (exact DECIMAL sum, DOUBLE out)."""
+    """Sum of price * quantity per category, rounded once (exact DECIMAL sum, DOUBLE out)."""
     return items.groupBy("category").agg(
-        F.round(F.sum(money_total(F.col("price"), F.col("quantity"))), 2).cast("double").alias("sales"),
+        money_sum(F.col("price"), F.col("quantity")).alias("sales"),
         F.count(F.lit(1)).alias("item_rows"),
     )
 
@@ -54,14 +61,13 @@ def visits_by_device(visits: DataFrame) -> DataFrame:
 def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
     """Events left-joined with their visit (ER relation events -> visits).
 
-    A shuffle join on ``session_id``; AQE's skew-join splitting handles a
-    session that holds many events. The visit side is first reduced to one
+    A shuffle join on ``session_id``. The visit side is first reduced to one
     row per session (``consolidate_visits``: copies removed, parts merged,
     both map-side partial aggregates), so copies of a visit landed by
     several paths never multiply the events, and to the columns the events
     table does not already carry.
     """
-    v = consolidate_visits(visits).select(
+    v = staged(consolidate_visits(visits), "visits").select(
         "session_id",
         F.col("start_timestamp").alias("visit_start"),
         F.col("end_timestamp").alias("visit_end"),
@@ -73,7 +79,7 @@ def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
 
 def items_with_visit(items: DataFrame, visits: DataFrame) -> DataFrame:
     """Purchase items left-joined with their visit (one visit per session, as in J1)."""
-    v = consolidate_visits(visits).select(
+    v = staged(consolidate_visits(visits), "visits").select(
         "session_id", "user_id", "device_type", F.col("start_timestamp").alias("visit_start")
     )
     return items.join(v, "session_id", "left")
@@ -85,7 +91,7 @@ def orphans(child: DataFrame, visits: DataFrame) -> DataFrame:
     The key side is made distinct first (partial aggregate), so a session
     with many visit copies reaches the join as one key.
     """
-    return child.join(visits.select("session_id").distinct(), "session_id", "left_anti")
+    return child.join(staged(visits.select("session_id").distinct(), "visit-keys"), "session_id", "left_anti")
 
 
 def sessions_with_purchase(visits: DataFrame, items: DataFrame) -> DataFrame:
@@ -94,4 +100,4 @@ def sessions_with_purchase(visits: DataFrame, items: DataFrame) -> DataFrame:
     The item side is reduced to distinct session ids map-side, so a session
     holding a large share of all items is one key at the join.
     """
-    return visits.join(items.select("session_id").distinct(), "session_id", "left_semi")
+    return visits.join(staged(items.select("session_id").distinct(), "item-keys"), "session_id", "left_semi")

@@ -1,90 +1,66 @@
 """Skew guards shared by the operators.
 
-Two rules hold everywhere in the package:
-
-1. Broadcast a side only after checking its size, and fall back to a
-   shuffle join when it is larger (``checked_broadcast``).
-2. Never collect an unbounded group into one task. When rows must be
-   gathered into one nested value per key (a session's events, an order's
-   items), ``split_hot_groups`` gives every key with more than
-   ``max_rows`` rows several ``part`` values, so the group key becomes
-   ``(key, part)`` and no group exceeds about ``max_rows`` rows, however
-   many rows one key holds.
+Rows that must be gathered into one nested value per key (a session's events,
+an order's items) are never gathered beyond a bound: the keys with more rows
+are cut into contiguous ranges of their order, so position = start of the
+range + position in it, and what is made of the ranges equals what the whole
+would give. ``numbered`` finds positions without putting a key into one task.
+
+Sides of joins are not marked for broadcast here: a small table is written
+(``session.staged``) and Catalyst decides by its real size; beyond the
+threshold both sides are shuffled from files, which AQE can split by skew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default size bound (rows) for a side we are willing to broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
+from clickweave.session import staged
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` if df has at most ``max_rows`` rows.
+def hot_keys(sizes_from: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """Written table of the keys with more than ``max_rows`` rows, and their ``_rows``.
 
-    The check is a bounded action (``limit(max_rows + 1).count()``), so it
-    stops early on a large side. A side that passes is cached (it is
-    small by the check) so the join does not compute it a second time;
-    if an executor holding it is lost Spark recomputes it from lineage.
-    Beyond the bound the frame is returned unchanged and the join that
-    uses it stays a shuffle join.
+    Sizes are counted with a partial (map-side) aggregate, so counting a hot
+    key is cheap; at most ``total_rows / max_rows`` keys qualify.
     """
-    small = df.persist()
-    n = small.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(small), True
-    small.unpersist()
-    return df, False
+    sizes = sizes_from.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return staged(sizes.where(F.col("_rows") > max_rows), "hot-keys")
 
 
-def hot_keys(
-    sizes_from: DataFrame, keys: Sequence[str], max_rows: int, broadcast_max_rows: int = BROADCAST_MAX_ROWS
-) -> DataFrame:
-    """Keys with more than ``max_rows`` rows and their part count ``_parts``.
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Adds ``_pos``: the 0-based place of each row in the order of its key.
 
-    At most ``total_rows / max_rows`` keys qualify; the frame is broadcast
-    (and cached) when its size check passes. Callers that must line other
-    rows up with the parts of a hot key (see ``sources.derived``) join this
-    same frame.
+    Rows are range-partitioned by key and order and written; places are
+    counted within (key, range) and the sizes of a key's earlier ranges added,
+    so neither a window nor a task holds a whole key.
     """
     keys = list(keys)
-    sizes = sizes_from.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > max_rows).select(
-        *keys, F.ceil(F.col("_rows") / F.lit(max_rows)).cast("long").alias("_parts")
-    )
-    hot_side, _ = checked_broadcast(hot, broadcast_max_rows)
-    return hot_side
-
+    ranged = df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
+    ranged = staged(ranged, "ranges")
+    sizes = staged(ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n")), "range-sizes")
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    own = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order)) - 1
+    return ranged.withColumn("_own", own).join(sizes, [*keys, "_range"]).withColumn("_pos", F.col("_own") + F.col("_before")).drop("_own", "_before", "_range")
 
-def split_hot_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    max_rows: int,
-    salt: Column,
-    part_col: str = "part",
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-    sizes_from: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``part_col`` so each ``(keys, part)`` group holds ~``max_rows`` rows.
 
-    Sizes are counted with a partial (map-side) aggregate, so counting a
-    hot key is cheap. Only keys above the bound (at most
-    ``total_rows / max_rows`` of them) are joined back; that table is
-    broadcast when its size check passes. Keys at or under the bound keep
-    ``part = 0`` and form exactly one group, as before.
+def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int, order: Sequence[str], sizes_from: DataFrame | None = None, part_col: str = "part") -> DataFrame:
+    """Adds ``part_col`` and ``parts``: which contiguous range of how many a row's key is cut into.
 
-    ``sizes_from`` lets the caller count on a narrow upstream frame with
-    the same keys (for example the base table before expensive joins), so
-    the size check does not recompute ``df``'s whole lineage.
+    Both are NULL for rows of keys with at most ``max_rows`` rows, which is
+    one group as before. Keys must not be NULL.
     """
     keys = list(keys)
-    hot_side = hot_keys(sizes_from if sizes_from is not None else df, keys, max_rows, broadcast_max_rows)
-    joined = df.join(hot_side, keys, "left")
-    part = F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(
-        F.pmod(F.xxhash64(salt), F.col("_parts"))
-    )
-    return joined.withColumn(part_col, part).drop("_parts")
+    hot = hot_keys(sizes_from if sizes_from is not None else df, keys, max_rows)
+    none = F.lit(None).cast("long")
+    if hot.isEmpty():
+        return df.withColumn(part_col, none).withColumn("parts", none)
+    cold = df.join(hot, keys, "left_anti").withColumn(part_col, none).withColumn("parts", none)
+    cut = numbered(df.join(hot.select(*keys), keys, "left_semi"), keys, order)
+    cut = cut.withColumn(part_col, F.floor(F.col("_pos") / max_rows)).drop("_pos")
+    cut = cut.join(hot, keys).withColumn("parts", F.ceil(F.col("_rows") / max_rows)).drop("_rows")
+    return cold.unionByName(cut)

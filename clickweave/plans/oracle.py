@@ -16,7 +16,7 @@ ev AS (
   SELECT
     e.event_id, e.ts, e.user_id,
     CASE e.event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_item_to_cart'
-         WHEN 'signup' THEN 'promo_click' WHEN 'purchase' THEN 'purchase' WHEN 'error' THEN 'error' END AS etype,
+         WHEN 'signup' THEN 'promo_click' WHEN 'purchase' THEN 'purchase' ELSE e.event_type END AS etype,
     'SID-' || CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y%m%d') AS session_id,
     'UID-' || CAST(e.user_id AS VARCHAR) AS uid,
     (['mobile', 'desktop', 'tablet'])[(e.user_id % 3) + 1] AS device_type,
@@ -32,14 +32,14 @@ evd AS (
          WHEN etype = 'promo_click' THEN 'https://example.com/promo/' || CAST(event_id % 7 AS VARCHAR) END AS page_url,
     CASE WHEN etype = 'page_view' AND event_id % 5 <> 0
          THEN 'https://example.com/p/' || CAST((event_id * 7) % 20 AS VARCHAR) END AS referrer_url,
-    CASE WHEN etype = 'add_item_to_cart' THEN 'P-' || CAST(event_id % 200 AS VARCHAR) END AS product_id,
+    CASE WHEN etype = 'add_item_to_cart' THEN 'P-' || CAST(event_id % np.n AS VARCHAR) END AS product_id,
     CASE WHEN etype = 'add_item_to_cart' THEN p.p_name END AS product_name,
     CASE WHEN etype = 'add_item_to_cart' THEN p.p_type END AS category,
     CASE WHEN etype = 'add_item_to_cart' THEN p.p_retailprice END AS price,
     CASE WHEN etype = 'add_item_to_cart' THEN CAST(event_id % 5 + 1 AS BIGINT) END AS quantity,
     CASE WHEN etype = 'purchase' THEN 'ORD-' || CAST(event_id AS VARCHAR) END AS order_id,
     CASE WHEN etype = 'purchase' THEN 'USD' END AS currency
-  FROM ev LEFT JOIN part p ON etype = 'add_item_to_cart' AND p.p_partkey = ev.event_id % 200
+  FROM ev CROSS JOIN (SELECT count(*) AS n FROM part) np LEFT JOIN part p ON etype = 'add_item_to_cart' AND p.p_partkey = ev.event_id % np.n
 ),
 items AS (
   SELECT l.l_orderkey,
@@ -52,7 +52,7 @@ items AS (
   WHERE l.l_orderkey IN (SELECT event_id FROM events WHERE event_type = 'purchase')
 ),
 amounts AS (
-  SELECT l_orderkey, CAST(round(sum(CAST(price AS DECIMAL(20,2)) * CAST(quantity AS DECIMAL(20,0))), 2) AS DOUBLE) AS amount
+  SELECT l_orderkey, round(sum(price * quantity), 2) AS amount
   FROM items GROUP BY l_orderkey
 ),
 evf AS (
@@ -130,7 +130,7 @@ FROM pitems GROUP BY product_id ORDER BY total_quantity DESC, product_id ASC LIM
 """),
     "sales_by_category": _with("""
 SELECT category,
-  CAST(round(sum(CAST(coalesce(price, 0) AS DECIMAL(20,2)) * CAST(coalesce(quantity, 0) AS DECIMAL(20,0))), 2) AS DOUBLE) AS sales,
+  round(sum(coalesce(price * quantity, 0.0)), 2) AS sales,
   count(*) AS item_rows
 FROM pitems GROUP BY category
 """),
@@ -179,7 +179,7 @@ FROM ({_EVB}) e WHERE event_type NOT IN {LIVE_TYPES_SQL}
 """),
     "order_amounts": _with("""
 SELECT order_id,
-  CAST(round(sum(CAST(coalesce(price, 0) AS DECIMAL(20,2)) * CAST(coalesce(quantity, 0) AS DECIMAL(20,0))), 2) AS DOUBLE) AS item_total,
+  round(sum(coalesce(price * quantity, 0.0)), 2) AS item_total,
   count(*) AS item_rows
 FROM pitems GROUP BY order_id
 """),
@@ -191,7 +191,7 @@ SELECT p.order_id, p.session_id, p.amount AS stated_amount, coalesce(t.item_tota
 FROM evf p
 LEFT JOIN (
   SELECT order_id,
-    CAST(round(sum(CAST(coalesce(price, 0) AS DECIMAL(20,2)) * CAST(coalesce(quantity, 0) AS DECIMAL(20,0))), 2) AS DOUBLE) AS item_total,
+    round(sum(coalesce(price * quantity, 0.0)), 2) AS item_total,
     count(*) AS item_rows
   FROM pitems GROUP BY order_id) t USING (order_id)
 WHERE p.etype = 'purchase'
@@ -200,7 +200,7 @@ WHERE p.etype = 'purchase'
 SELECT p.session_id, p.order_id, p.pos AS purchase_pos,
   count(c.pos) AS cart_adds,
   CAST(coalesce(sum(c.quantity), 0) AS BIGINT) AS cart_quantity,
-  CAST(coalesce(sum(CAST(coalesce(c.price, 0) AS DECIMAL(20,2)) * CAST(coalesce(c.quantity, 0) AS DECIMAL(20,0))), 0) AS DOUBLE) AS cart_value
+  round(coalesce(sum(c.price * c.quantity), 0.0), 2) AS cart_value
 FROM evf p
 LEFT JOIN evf c ON c.session_id = p.session_id AND c.etype = 'add_item_to_cart' AND c.pos < p.pos
 WHERE p.etype = 'purchase'
@@ -240,3 +240,122 @@ SELECT strftime(date_trunc('minute', publish_time), '%Y-%m-%d-T-%H-%M') AS minut
 FROM sess GROUP BY 1
 """),
 })
+
+# Records with defects: the rules of sources.dirty on the base tables.
+_DIRTY = _EV.rstrip() + """,
+dev AS (
+  SELECT evf.*, user_id % 10 AS kind, user_id % 20 AS kind20,
+    CASE WHEN user_id % 10 = 3 AND pos % 2 = 0 THEN NULL ELSE etype END AS dtype,
+    user_id % 10 = 4 AND pos % 3 = 0 AS no_time,
+    user_id % 10 = 8 AND pos % 2 = 1 AND etype = 'add_item_to_cart' AS no_number,
+    user_id % 10 = 5 AND etype = 'purchase' AS no_order
+  FROM evf
+),
+ditems AS (
+  SELECT e.*, i.item_index, CASE WHEN kind = 9 AND i.item_index = 0 THEN 'P-huge' WHEN kind = 9 AND i.item_index = 1 THEN 'P-many' ELSE i.product_id END AS d_product,
+    i.product_name AS d_name,
+    CASE WHEN kind = 9 AND i.item_index = 0 THEN 'huge' WHEN kind = 9 AND i.item_index = 1 THEN 'many' ELSE i.category END AS d_category,
+    CASE WHEN kind = 9 AND i.item_index = 0 THEN pow(2.0, 100) WHEN kind = 9 AND i.item_index = 1 THEN 0.5
+      WHEN kind = 0 THEN CAST(CAST(i.price AS VARCHAR) || '49' AS DOUBLE) ELSE i.price END AS d_price,
+    CASE WHEN kind = 9 AND i.item_index = 0 THEN 1 WHEN kind = 9 AND i.item_index = 1 THEN 9000000000000000000 ELSE i.quantity END AS d_quantity,
+    kind = 6 AND i.item_index % 2 = 0 AS no_product, kind = 6 AND i.item_index % 4 = 1 AS no_price
+  FROM dev e JOIN items i ON i.l_orderkey = e.event_id WHERE e.dtype = 'purchase'
+),
+bitems AS (
+  SELECT * FROM ditems WHERE kind NOT IN (1, 2, 5, 7) AND NOT no_product AND NOT no_price
+)
+"""
+
+
+def _dirty_rejects(live: bool) -> str:
+    """Rejects of lines (batch) or messages (live)."""
+    gone = "(1, 2, 7)"
+    utf = "kind20 = 9" if live else "false"
+    event = f"""
+  CASE WHEN dtype IS NULL THEN 'missing_type_or_timestamp' WHEN no_time THEN 'bad_timestamp' WHEN no_number THEN 'bad_number'
+    {f"WHEN dtype NOT IN {LIVE_TYPES_SQL} THEN 'unknown_event_type'" if live else ""} END"""
+    purchase = "CASE WHEN no_time THEN 'bad_timestamp' WHEN no_order THEN 'missing_order_id' END" if live else "CASE WHEN no_order THEN 'missing_order_id' END"
+    return "WITH " + _DIRTY + f""",
+good AS (SELECT * FROM dev WHERE kind NOT IN {gone} AND NOT {utf}),
+recs AS (SELECT DISTINCT session_id, kind, kind20 FROM dev)
+SELECT 'record' AS stage,
+  CASE WHEN {utf} THEN 'bad_encoding' WHEN kind = 1 THEN 'bad_json' WHEN kind = 7 THEN '{"empty_message" if live else "bad_json"}' ELSE 'missing_session_id' END AS reason,
+  CASE WHEN kind = 1 THEN session_id WHEN kind20 = 12 THEN '' END AS session_id,
+  CAST(NULL AS INTEGER) AS event_pos, CAST(NULL AS INTEGER) AS item_pos
+FROM recs WHERE kind IN {gone} OR {utf}
+UNION ALL
+SELECT 'event', reason, session_id, CAST(pos AS INTEGER), NULL FROM (SELECT *, {event} AS reason FROM good {"WHERE coalesce(dtype, '') <> 'purchase'" if live else ""}) WHERE reason IS NOT NULL
+UNION ALL
+SELECT 'purchase', reason, session_id, CAST(pos AS INTEGER), NULL FROM (SELECT *, {purchase} AS reason FROM good WHERE dtype = 'purchase') WHERE reason IS NOT NULL
+UNION ALL
+SELECT 'item', CASE WHEN no_product THEN 'missing_product_id' ELSE 'bad_number' END, session_id, CAST(pos AS INTEGER), CAST(item_index AS INTEGER)
+FROM ditems WHERE kind NOT IN {gone} AND NOT {utf} AND (no_product OR no_price)
+"""
+
+
+_DIRTY_EVENTS = """
+  SELECT session_id, sha256(session_id || '|' || CAST(pos AS VARCHAR) || '|' || etype || '|' || ts_text) AS event_unique_id,
+    etype AS event_type, ts AS "timestamp", page_url, referrer_url, product_id, product_name, category,
+    price, quantity, CASE WHEN NOT no_order THEN order_id END AS order_id, amount, currency, device_type, uid AS user_id
+  FROM dev WHERE kind NOT IN (1, 2, 7) AND dtype IS NOT NULL AND NOT no_time AND NOT no_number
+"""
+
+
+def _dirty_items(where: str, ts: str) -> str:
+    return f"""
+  SELECT order_id, item_index AS item_index_in_order, session_id, d_product AS product_id, d_name AS product_name, d_category AS category,
+    d_price AS price, d_quantity AS quantity, {ts} AS purchase_event_timestamp FROM bitems WHERE {where}
+"""
+
+
+_LOST = "user_id % 10 = 3"
+
+ORACLES.update({
+    "rejects_dirty_batch": _dirty_rejects(False),
+    "rejects_dirty_live": _dirty_rejects(True),
+    "visits_dirty": "WITH " + _DIRTY + """
+SELECT session_id, any_value(uid) AS user_id, any_value(device_type) AS device_type, any_value(geolocation) AS geolocation,
+  any_value(user_agent) AS user_agent, min(ts) FILTER (WHERE NOT no_time) AS start_timestamp,
+  max(ts) FILTER (WHERE NOT no_time) AS end_timestamp, count(*) AS event_count
+FROM dev WHERE kind NOT IN (1, 2, 7) GROUP BY session_id
+""",
+    "events_dirty": "WITH " + _DIRTY + _DIRTY_EVENTS,
+    "items_dirty_batch": "WITH " + _DIRTY + _dirty_items("true", "CASE WHEN NOT no_time THEN ts END"),
+    "items_dirty_live": "WITH " + _DIRTY + _dirty_items("NOT no_time AND kind20 <> 9", "ts"),
+    "sales_dirty": "WITH " + _DIRTY + """
+SELECT d_category AS category, CASE WHEN d_category IN ('huge', 'many') THEN round(sum(d_price * d_quantity), 2)
+  ELSE CAST(round(sum(TRY_CAST(d_price AS DECIMAL(18, 6)) * TRY_CAST(d_quantity AS DECIMAL(14, 0))), 2) AS DOUBLE) END AS sales, count(*) AS item_rows
+FROM bitems GROUP BY 1
+""",
+    "popular_items_dirty": "WITH " + _DIRTY + """
+SELECT d_product AS product_id, TRY_CAST(sum(CAST(d_quantity AS HUGEINT)) AS BIGINT) AS total_quantity, count(*) AS order_lines
+FROM bitems GROUP BY 1 ORDER BY total_quantity DESC NULLS LAST, product_id LIMIT 10
+""",
+    "order_reconciliation_dirty": "WITH " + _DIRTY + f""",
+totals AS (SELECT order_id, CASE WHEN any_value(kind) = 9 THEN round(sum(d_price * d_quantity), 2)
+  ELSE CAST(round(sum(TRY_CAST(d_price AS DECIMAL(18, 6)) * TRY_CAST(d_quantity AS DECIMAL(14, 0))), 2) AS DOUBLE) END AS item_total,
+  count(*) AS item_rows FROM bitems GROUP BY 1)
+SELECT order_id, session_id, amount AS stated_amount, coalesce(item_total, 0.0) AS item_total, coalesce(item_rows, 0) AS item_rows,
+  round(amount - coalesce(item_total, 0.0), 2) AS difference, abs(round(amount - coalesce(item_total, 0.0), 2)) < 0.005 AS matches
+FROM ({_DIRTY_EVENTS}) LEFT JOIN totals USING (order_id) WHERE event_type = 'purchase' AND order_id IS NOT NULL
+""",
+    "orphan_counts_dirty": _with(f"""
+SELECT 'events' AS table_name, count(*) AS orphan_rows FROM ev WHERE etype IS NOT NULL AND {_LOST}
+UNION ALL SELECT 'purchase_items', count(*) FROM ev JOIN items i ON i.l_orderkey = ev.event_id WHERE etype = 'purchase' AND {_LOST}
+"""),
+    "orphan_events": _with(f"""
+SELECT e.session_id, e.event_unique_id, e."timestamp" FROM ({_EVB}) e WHERE CAST(substr(e.user_id, 5) AS BIGINT) % 10 = 3
+"""),
+    "key_report_twice": _with(f"""
+SELECT 'visits' AS table_name, 2 * count(*) AS row_count, count(*) AS key_count, count(*) AS duplicated_keys, count(*) AS extra_rows FROM sess
+UNION ALL
+SELECT 'events', count(*) + count(*) FILTER (WHERE event_type IN {LIVE_TYPES_SQL}), count(*),
+  count(*) FILTER (WHERE event_type IN {LIVE_TYPES_SQL}), count(*) FILTER (WHERE event_type IN {LIVE_TYPES_SQL}) FROM ({_EVB})
+UNION ALL
+SELECT 'purchase_items', count(*), count(*), 0, 0 FROM pitems
+"""),
+    "session_event_order_reversed": _with("""
+SELECT session_id, CAST(row_number() OVER (PARTITION BY session_id ORDER BY ts, CASE WHEN user_id % 2 = 1 THEN -event_id ELSE event_id END) - 1 AS INTEGER) AS event_pos,
+  etype AS event_type, ts AS "timestamp" FROM ev
+"""),
+})

@@ -39,7 +39,12 @@ EVENT = T.StructType([
     T.StructField("details", DETAILS),
 ])
 EVENT_ENTRY = T.StructType([T.StructField("event", EVENT)])
-SESSION = T.StructType(_strings(VISIT_SCALARS) + [T.StructField("events", T.ArrayType(EVENT_ENTRY))])
+# Optional members of a record that holds a range of a long session (see
+# sources.derived): which of how many parts it is, the position of its first
+# entry in the session, and, if its only entry continues the items of a
+# purchase, the position of its first item in the order.
+PART_FIELDS = ["part", "parts", "first_event_pos", "first_item_pos"]
+SESSION = T.StructType(_strings(VISIT_SCALARS + PART_FIELDS) + [T.StructField("events", T.ArrayType(EVENT_ENTRY))])
 SESSION_PARSE = T.StructType(SESSION.fields + [T.StructField(CORRUPT_COL, S)])
 
 # Message envelope pushed over HTTP: {"message": {...}, "subscription": ...}

@@ -82,16 +82,42 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+# Written tables that plans may still read: folder and a weak reference to
+# the relation that every plan over the table shares.
+_STAGED: list[tuple[str, object]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the staged tables that no plan can read any more.
+
+    A table is gone once the JVM has collected its relation, as Spark's own
+    cleaner does with shuffles and checkpoints.
+    """
+    for entry in [e for e in _STAGED if e[1].get() is None]:
+        _STAGED.remove(entry)
+        _delete(spark, entry[0])
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     Cuts the lineage (a lost executor rereads files instead of recomputing),
     lets the reader prune columns and gives Catalyst real sizes to plan joins
-    with. The folder goes when the session's file system is closed.
+    with. The folder goes when no plan reads it any more, or at the latest
+    when the session's file system is closed.
     """
     spark = df.sparkSession
+    sweep(spark)
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    table = spark.read.schema(df.schema).parquet(path)
+    relation = table._jdf.queryExecution().analyzed().relation()
+    _STAGED.append((path, spark._jvm.java.lang.ref.WeakReference(relation)))
+    return table

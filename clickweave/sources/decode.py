@@ -25,6 +25,9 @@ JSON_OPTIONS = {
     "allowSingleQuotes": "false",
 }
 
+# Fixed value: the white space that JSON allows around a value.
+JSON_SPACE = " \t\r\n"
+
 # Reject reasons at record level.
 BAD_JSON = "bad_json"
 MISSING_SESSION_ID = "missing_session_id"
@@ -59,15 +62,18 @@ def parse_sessions(df: DataFrame, value_col: str = "value", keep: list[str] | No
 
     A record is ``bad_json`` when the text is not one JSON object: parse
     failure, a wrong-typed member (``"events": "x"``), a non-object value,
-    single quotes, a blank line, or trailing text after the object (the
-    parser itself accepts ``{...} tail``, so the trimmed text must end in
-    ``}``). Duplicate keys: the last one wins, as with the reference.
+    single quotes, a blank line, or anything but JSON white space (blank,
+    tab, line feed, carriage return) around the object. The parser itself
+    stops after the first object, so a second, shallow parse reads the text
+    as the only element of an array, which text after the object breaks.
+    Duplicate keys: the last one wins, as with the reference.
     """
     keep = keep if keep is not None else [c for c in df.columns if c != value_col]
     text = F.col(value_col)
     parsed = _session_struct(text)
-    trimmed = F.trim(text)
-    shape_ok = trimmed.startswith("{") & trimmed.endswith("}")
+    trimmed = F.btrim(text, F.lit(JSON_SPACE))
+    alone = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<struct<session_id:string>>", JSON_OPTIONS)) == 1
+    shape_ok = trimmed.startswith("{") & trimmed.endswith("}") & alone
     # Parse exactly once per record: the one-element explode is a Generate,
     # and Catalyst does not copy a generator's output expression into later
     # filters or projections (a plain alias gets inlined, which re-parsed

@@ -9,15 +9,18 @@ or messages. The mapping is fixed (see FIXTURES.md, F5):
 * session = one user on one UTC day: ``SID-<user>-<yyyyMMdd>``
 * events ordered by ``(ts, event_id)``; purchase items are the
   ``lineitem`` rows of order ``event_id`` in total order over all columns
+* event types without a mapped name keep their own; none is dropped
+* a cart add is of the product numbered event_id modulo the number of products
 * ``amount = round(sum(price * quantity), 2)``, 0 for an order without items
 
-Scale notes. Building nested values means gathering rows per key; to keep
-any single gathered value bounded, keys with more rows than
-``max_events_per_record`` / ``max_items_per_record`` are split by
-``split_hot_groups`` into several records (a very long session arrives as
-several messages with the same ``session_id``; a huge order as several
-purchase entries with the same ``order_id``). At the defaults nothing in
-the test data is split. Purchases are the only events that join
+Scale notes. Building nested values means gathering rows per key. A session
+of more than ``max_events_per_record`` events is delivered in several records
+of the same ``session_id``: contiguous ranges of its events, each with its
+``part`` of ``parts`` and the position of its first event. An order of more
+than ``max_items_per_record`` items stays one purchase event with the amount
+of the whole order; its further items follow in records that say which event
+and item they continue. The extractors use these positions, so the tables do
+not depend on the bounds. Purchases are the only events that join
 ``lineitem``; the other event types skip that shuffle.
 """
 
@@ -26,8 +29,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.functions.scalars import iso_text, money_total
-from clickweave.operators.skew import hot_keys, split_hot_groups
+from clickweave.functions.scalars import iso_text, money_sum
+from clickweave.operators.skew import numbered, split_hot_groups
+from clickweave.session import staged
 
 # Fixed values of the base-table -> session mapping.
 DEVICE_TYPES = ["mobile", "desktop", "tablet"]  # indexed by user_id % 3
@@ -40,7 +44,6 @@ EVENT_TYPE_MAP = {
 }
 PAGE_URL_PREFIX = "https://example.com/p/"
 PROMO_URL_PREFIX = "https://example.com/promo/"
-CATALOGUE_SIZE = 200  # cart adds use product event_id % 200
 PAGE_COUNT = 20  # page views use page event_id % 20
 PROMO_COUNT = 7
 CURRENCY = "USD"
@@ -77,23 +80,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _mapped_type(raw):
-    expr = F.lit(None).cast("string")
-    for k, v in reversed(list(EVENT_TYPE_MAP.items())):
-        expr = F.when(raw == k, F.lit(v)).otherwise(expr)
-    return expr
+    names = F.create_map(*[F.lit(x) for pair in EVENT_TYPE_MAP.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, raw), raw)
 
 
-def lineitem_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order key column of ``lineitem`` (what order sizes are counted on)."""
-    return table(spark, sf_dir, "lineitem").select("l_orderkey")
+ITEMS = "array<struct<product_id:string,product_name:string,category:string,price:double,quantity:bigint>>"
 
 
 def _order_items(spark: SparkSession, sf_dir: str, purchase_ids: DataFrame, max_items: int) -> DataFrame:
-    """Items array and amount per purchased order (one row per order part)."""
+    """``order_key, chunk, items, amount``: a row per range of at most ``max_items`` items.
+
+    Only chunk 0 has the amount, which is that of the whole order.
+    """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINEITEM_ORDER)
     # Only orders that some purchase event refers to.
     li = li.join(purchase_ids, li["l_orderkey"] == purchase_ids["event_id"], "left_semi")
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey").where("l_orderkey is not null")
+    li = split_hot_groups(li, ["l_orderkey"], max_items, LINEITEM_ORDER, sizes_from=keys, part_col="chunk").drop("parts")
     li = li.join(part, li["l_partkey"] == part["p_partkey"], "left")
     item = F.struct(
         F.concat(F.lit("P-"), F.col("l_partkey").cast("string")).alias("product_id"),
@@ -102,22 +106,15 @@ def _order_items(spark: SparkSession, sf_dir: str, purchase_ids: DataFrame, max_
         F.col("p_retailprice").alias("price"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
-    li = li.select("l_orderkey", *LINEITEM_ORDER, item.alias("item"))
-    li = split_hot_groups(
-        li, ["l_orderkey"], max_items, F.xxhash64(*LINEITEM_ORDER), part_col="ipart",
-        sizes_from=lineitem_keys(spark, sf_dir),
-    )
+    li = li.select("l_orderkey", F.coalesce("chunk", F.lit(0)).alias("chunk"), F.col("chunk").isNotNull().alias("cut"), *LINEITEM_ORDER, item.alias("item"))
     sort_key = F.struct(*[F.col(c) for c in LINEITEM_ORDER], F.col("item"))
-    grouped = li.groupBy("l_orderkey", "ipart").agg(
-        F.array_sort(F.collect_list(sort_key)).alias("_sorted"),
-        F.sum(money_total(F.col("item.price"), F.col("item.quantity"))).alias("_total"),
-    )
-    return grouped.select(
-        F.col("l_orderkey").alias("order_key"),
-        "ipart",
-        F.transform("_sorted", lambda x: x["item"]).alias("items"),
-        F.round(F.col("_total"), 2).cast("double").alias("amount"),
-    )
+    total = money_sum(F.col("item.price"), F.col("item.quantity"))
+    grouped = li.groupBy(F.col("l_orderkey").alias("order_key"), "chunk", "cut").agg(F.array_sort(F.collect_list(sort_key)).alias("_sorted"), total.alias("amount"))
+    items = F.transform("_sorted", lambda x: x["item"]).alias("items")
+    whole = grouped.where("not cut").select("order_key", "chunk", items, "amount")
+    amounts = li.where("cut").groupBy(F.col("l_orderkey").alias("order_key")).agg(total.alias("amount"), F.lit(0).cast("long").alias("chunk"))
+    cut = grouped.where("cut").select("order_key", "chunk", items).join(amounts, ["order_key", "chunk"], "left")
+    return whole.unionByName(cut)
 
 
 def _details() -> dict:
@@ -130,27 +127,22 @@ def _details() -> dict:
     }
 
 
-def event_entries(spark: SparkSession, sf_dir: str, max_items_per_record: int = DEFAULT_MAX_ITEMS_PER_RECORD) -> DataFrame:
-    """One row per session event entry: session keys, order keys, ``entry`` struct."""
+def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    """One row per session event entry: session keys and the ``entry`` struct.
+
+    ``items`` is the written table of ``_order_items``.
+    """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     ev = ev.withColumn("etype", _mapped_type(F.col("event_type")))
-    eid = F.col("event_id")
-
-    # Cart adds look up one of CATALOGUE_SIZE products; the lookup side is
-    # bounded by construction (at most CATALOGUE_SIZE distinct keys), so
-    # broadcasting it is safe at any scale.
-    catalogue = (
-        table(spark, sf_dir, "part")
-        .where(F.col("p_partkey") < CATALOGUE_SIZE)
-        .select("p_partkey", "p_name", "p_type", "p_retailprice")
-        .dropDuplicates(["p_partkey"])
-    )
-    non_purchase = ev.where(F.col("etype") != "purchase")
-    non_purchase = non_purchase.join(
-        F.broadcast(catalogue),
-        F.when(F.col("etype") == "add_item_to_cart", F.pmod(eid, F.lit(CATALOGUE_SIZE))) == F.col("p_partkey"),
-        "left",
-    )
+    eid, et = F.col("event_id"), F.col("etype")
+    is_purchase = et.eqNullSafe(F.lit("purchase"))
+
+    # Cart adds look up their product: Catalyst broadcasts the catalogue
+    # while its size allows and shuffles both sides beyond that.
+    catalogue = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice").dropDuplicates(["p_partkey"])
+    product = F.pmod(eid, table(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar())
+    non_purchase = ev.where(~is_purchase).withColumn("product", F.when(et == "add_item_to_cart", product))
+    non_purchase = non_purchase.join(catalogue, F.col("product") == F.col("p_partkey"), "left")
     d = _details()
     page_view = dict(d)
     page_view["page_url"] = F.concat(F.lit(PAGE_URL_PREFIX), F.pmod(eid, F.lit(PAGE_COUNT)).cast("string"))
@@ -159,7 +151,7 @@ def event_entries(spark: SparkSession, sf_dir: str, max_items_per_record: int =
         F.concat(F.lit(PAGE_URL_PREFIX), F.pmod(eid * 7, F.lit(PAGE_COUNT)).cast("string")),
     )
     cart = dict(d)
-    cart["product_id"] = F.concat(F.lit("P-"), F.pmod(eid, F.lit(CATALOGUE_SIZE)).cast("string"))
+    cart["product_id"] = F.concat(F.lit("P-"), F.col("product").cast("string"))
     cart["product_name"] = F.col("p_name")
     cart["category"] = F.col("p_type")
     cart["price"] = F.col("p_retailprice")
@@ -169,72 +161,65 @@ def event_entries(spark: SparkSession, sf_dir: str, max_items_per_record: int =
 
     def details(fields: dict, items=None):
         cols = [v.alias(k) for k, v in fields.items()]
-        cols.append((items if items is not None else F.lit(None).cast("array<struct<product_id:string,product_name:string,category:string,price:double,quantity:bigint>>")).alias("items"))
+        cols.append((items if items is not None else F.lit(None).cast(ITEMS)).alias("items"))
         return F.struct(*cols)
 
-    et = F.col("etype")
     np_details = (
         F.when(et == "page_view", details(page_view))
         .when(et == "add_item_to_cart", details(cart))
         .when(et == "promo_click", details(promo))
     )
-    non_purchase = non_purchase.select(
-        "event_id", "ts", "user_id", F.lit(0).cast("long").alias("ipart"), et.alias("etype"),
-        np_details.alias("details"),
-    )
+    non_purchase = non_purchase.select("event_id", "ts", "user_id", "etype", np_details.alias("details"))
 
-    purchases = ev.where(F.col("etype") == "purchase")
-    items = _order_items(spark, sf_dir, purchases.select("event_id"), max_items_per_record)
-    # One purchase row per part of its order (one part unless the order is
-    # hot), then a left join on (order, part). Both sides are unique per
-    # join key, so even an order holding a large share of all lineitems
-    # spreads over as many join keys as it has parts, and no task receives
-    # it whole. The hot-order table is the one ``_order_items`` split by.
-    hot = hot_keys(lineitem_keys(spark, sf_dir), ["l_orderkey"], max_items_per_record)
-    purchases = purchases.join(hot, purchases["event_id"] == hot["l_orderkey"], "left").select(
-        *purchases.columns,
-        F.col("_parts").isNotNull().alias("_hot"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1).cast("long")) - 1)).alias(
-            "ipart"
-        ),
-    )
-    purchases = purchases.join(
-        items, (purchases["event_id"] == items["order_key"]) & (purchases["ipart"] == items["ipart"]), "left"
-    ).drop(items["ipart"])
-    # a part of a hot order that no item hashed to yields no purchase entry
-    purchases = purchases.where(~F.col("_hot") | F.col("items").isNotNull())
+    purchases = ev.where(is_purchase).join(items.where("chunk = 0"), eid == F.col("order_key"), "left")
     pd_fields = dict(d)
     pd_fields["order_id"] = F.concat(F.lit("ORD-"), eid.cast("string"))
     pd_fields["amount"] = F.coalesce(F.col("amount"), F.lit(0.0))
     pd_fields["currency"] = F.lit(CURRENCY)
-    empty_items = F.array().cast("array<struct<product_id:string,product_name:string,category:string,price:double,quantity:bigint>>")
     purchases = purchases.select(
-        "event_id", "ts", "user_id", F.coalesce(F.col("ipart"), F.lit(0).cast("long")).alias("ipart"),
-        F.col("etype"), details(pd_fields, F.coalesce(F.col("items"), empty_items)).alias("details"),
+        "event_id", "ts", "user_id", "etype",
+        details(pd_fields, F.coalesce(F.col("items"), F.array().cast(ITEMS))).alias("details"),
     )
-
-    entries = non_purchase.unionByName(purchases)
     entry = F.struct(
         F.struct(
-            F.col("etype").alias("event_type"),
+            et.alias("event_type"),
             iso_text(F.col("ts")).alias("timestamp"),
             F.col("details").alias("details"),
         ).alias("event")
     )
-    return entries.select(
-        "event_id", "ts", "user_id", "ipart",
-        F.date_format(F.col("ts"), "yyyyMMdd").alias("day"),
-        entry.alias("entry"),
+    return non_purchase.unionByName(purchases).select("event_id", "ts", "user_id", F.date_format(F.col("ts"), "yyyyMMdd").alias("day"), entry.alias("entry"))
+
+
+def _record(events, part=None, parts=None, first_event=None, first_item=None):
+    """Record struct of a session (NULL members are not written)."""
+    uid, none = F.col("user_id"), F.lit(None).cast("long")
+    device = F.element_at(F.array(*[F.lit(x) for x in DEVICE_TYPES]), (F.pmod(uid, F.lit(3)) + 1).cast("int"))
+    geo = F.format_string(
+        "%.6f,%.6f",
+        (F.pmod(uid * 7, F.lit(180)) - 90 + 0.5).cast("double"),
+        (F.pmod(uid * 13, F.lit(360)) - 180 + 0.25).cast("double"),
+    )
+    given = {"part": part, "parts": parts, "first_event_pos": first_event, "first_item_pos": first_item}
+    return F.struct(
+        session_id().alias("session_id"),
+        F.concat(F.lit("UID-"), uid.cast("string")).alias("user_id"),
+        device.alias("device_type"),
+        geo.alias("geolocation"),
+        F.concat(F.lit("ua-"), F.pmod(uid, F.lit(4)).cast("string")).alias("user_agent"),
+        *((none if v is None else v).alias(k) for k, v in given.items()),
+        events.alias("events"),
     )
 
 
-# Built plans per (session, input folder, bounds). A DataFrame is only a
-# plan: reusing it re-executes everything (scans, joins, JSON) each time,
-# but skips rebuilding the same plan in Python for every query.
-_PLANS: dict = {}
+def session_id():
+    return F.concat(F.lit("SID-"), F.col("user_id").cast("string"), F.lit("-"), F.col("day"))
 
 
-def session_records(
+def _message(message_id, last, record):
+    return (message_id.alias("message_id"), last.cast("timestamp").alias("publish_time"), F.to_json(record).alias("value"))
+
+
+def build_session_records(
     spark: SparkSession,
     sf_dir: str,
     max_events_per_record: int = DEFAULT_MAX_EVENTS_PER_RECORD,
@@ -243,55 +228,79 @@ def session_records(
     """Session records as message-like rows: ``message_id, publish_time, value``.
 
     ``value`` is the session JSON text. ``publish_time`` is the time of the
-    record's last event (a session is published when it closes), as
+    session's last event (a session is published when it closes), as
     TIMESTAMP (UTC).
     """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), max_events_per_record,
-           max_items_per_record, spark.conf.get("spark.sql.session.timeZone"))
-    plan = _PLANS.get(key)
-    if plan is None:
-        plan = _build_session_records(spark, sf_dir, max_events_per_record, max_items_per_record)
-        _PLANS[key] = plan
-    return plan
+    purchase_ids = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select("event_id")
+    items = staged(_order_items(spark, sf_dir, purchase_ids, max_items_per_record), "order-items")
+    entries = event_entries(spark, sf_dir, items)
+    # Session sizes are counted on the base events table (two narrow columns).
+    day = F.date_format(F.col("ts"), "yyyyMMdd").alias("day")
+    base = table(spark, sf_dir, "events").select("user_id", day)
+    entries = split_hot_groups(entries, ["user_id", "day"], max_events_per_record, ["ts", "event_id"], sizes_from=base)
+    sort_key = F.struct("ts", "event_id", "entry")
+    grouped = entries.groupBy("user_id", "day", "part", "parts").agg(F.array_sort(F.collect_list(sort_key)).alias("_sorted"), F.max("ts").alias("_last"))
+    events = F.transform("_sorted", lambda x: x["entry"])
+    first = F.col("part") * max_events_per_record
+    message_id = F.concat(session_id(), F.lit("#"), F.coalesce("part", F.lit(0)).cast("string"))
+    record = _record(events, F.col("part"), F.col("parts"), first)
+    # all records of a session are published when it closes
+    closes = table(spark, sf_dir, "events").select("user_id", day, "ts").groupBy("user_id", "day").agg(F.max("ts").alias("_closes"))
+    records = grouped.where("parts is null").select(*_message(message_id, F.col("_last"), record))
+    parts = grouped.where("parts is not null").join(closes, ["user_id", "day"])
+    records = records.unionByName(parts.select(*_message(message_id, F.col("_closes"), record)))
+    more = items.where("chunk > 0")
+    if more.isEmpty():
+        return records
+    # items of a long order beyond its first range: a record for each range
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", day)
+    chosen = more.select(F.col("order_key").alias("event_id")).distinct()
+    sessions = ev.join(ev.join(chosen, "event_id", "left_semi").select("user_id", "day").distinct(), ["user_id", "day"], "left_semi")
+    placed = numbered(sessions, ["user_id", "day"], ["ts", "event_id"])
+    d = _details()
+    d["order_id"] = F.concat(F.lit("ORD-"), F.col("event_id").cast("string"))
+    details = F.struct(*(v.alias(k) for k, v in d.items()), F.col("items"))
+    entry = F.struct(F.struct(F.lit("purchase").alias("event_type"), iso_text(F.col("ts")).alias("timestamp"), details.alias("details")).alias("event"))
+    rest = placed.join(more, placed["event_id"] == more["order_key"]).join(closes, ["user_id", "day"])
+    message_id = F.concat(session_id(), F.lit("#ORD-"), F.col("event_id").cast("string"), F.lit("#"), F.col("chunk").cast("string"))
+    record = _record(F.array(entry), first_event=F.col("_pos"), first_item=F.col("chunk") * max_items_per_record)
+    return records.unionByName(rest.select(*_message(message_id, F.col("_closes"), record)))
+
+
+# Written records per (session, input, bounds); see session_records.
+_WRITTEN: dict = {}
+
 
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, lengths and times of the input files: a changed input is another input."""
+    state = []
+    for name in BASE_SCHEMAS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            state.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(state))
 
-def _build_session_records(
-    spark: SparkSession, sf_dir: str, max_events_per_record: int, max_items_per_record: int
+
+def session_records(
+    spark: SparkSession,
+    sf_dir: str,
+    max_events_per_record: int = DEFAULT_MAX_EVENTS_PER_RECORD,
+    max_items_per_record: int = DEFAULT_MAX_ITEMS_PER_RECORD,
 ) -> DataFrame:
-    entries = event_entries(spark, sf_dir, max_items_per_record)
-    # Count session sizes on the base events table (two narrow columns);
-    # split orders add a few entries, which the soft bound tolerates.
-    base = table(spark, sf_dir, "events").select("user_id", F.date_format(F.col("ts"), "yyyyMMdd").alias("day"))
-    entries = split_hot_groups(
-        entries, ["user_id", "day"], max_events_per_record, F.xxhash64("event_id", "ipart"), part_col="spart",
-        sizes_from=base,
-    )
-    sort_key = F.struct(F.col("ts"), F.col("event_id"), F.col("ipart"), F.col("entry"))
-    grouped = entries.groupBy("user_id", "day", "spart").agg(
-        F.array_sort(F.collect_list(sort_key)).alias("_sorted"),
-        F.max("ts").alias("_last"),
-    )
-    uid = F.col("user_id")
-    device = F.element_at(F.array(*[F.lit(x) for x in DEVICE_TYPES]), (F.pmod(uid, F.lit(3)) + 1).cast("int"))
-    geo = F.format_string(
-        "%.6f,%.6f",
-        (F.pmod(uid * 7, F.lit(180)) - 90 + 0.5).cast("double"),
-        (F.pmod(uid * 13, F.lit(360)) - 180 + 0.25).cast("double"),
-    )
-    session_id = F.concat(F.lit("SID-"), uid.cast("string"), F.lit("-"), F.col("day"))
-    record = F.struct(
-        session_id.alias("session_id"),
-        F.concat(F.lit("UID-"), uid.cast("string")).alias("user_id"),
-        device.alias("device_type"),
-        geo.alias("geolocation"),
-        F.concat(F.lit("ua-"), F.pmod(uid, F.lit(4)).cast("string")).alias("user_agent"),
-        F.transform("_sorted", lambda x: x["entry"]).alias("events"),
-    )
-    return grouped.select(
-        F.concat(session_id, F.lit("#"), F.col("spart").cast("string")).alias("message_id"),
-        F.col("_last").cast("timestamp").alias("publish_time"),
-        F.to_json(record).alias("value"),
-    )
+    """``build_session_records``, landed once per input in the shared folder.
+
+    As in production, the records exist as files and every job reads them
+    from there; the first call for an input writes them. A change of the
+    input files gives new ones.
+    """
+    key = (spark.sparkContext.applicationId, max_events_per_record, max_items_per_record, _input_state(spark, sf_dir))
+    if key not in _WRITTEN:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        _WRITTEN[key] = staged(build_session_records(spark, sf_dir, max_events_per_record, max_items_per_record), "session-records")
+    return _WRITTEN[key]
 
 
 def session_messages(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickweave.functions.scalars import whole_sum
 from clickweave.operators import extract
 from clickweave.schemas import MESSAGE
 from clickweave.sources.decode import parse_messages, parse_sessions
@@ -129,7 +130,7 @@ def write_batch_tables(parsed: DataFrame, output_root: str, batch_id: int, profi
     written = []
     try:
         outputs = {
-            "visits": extract.visits(parsed),
+            "visits": extract.visits(parsed, merge_parts=False),
             "events": extract.events(parsed, profile),
             "purchase_items": extract.purchase_items(parsed, profile),
             "rejects": extract.rejects(parsed, profile),
@@ -243,10 +244,10 @@ def live_dashboard_aggregates(parsed_stream: DataFrame, profile: str = extract.L
     """
     from clickweave.operators import reports
 
-    visits = extract.visits(parsed_stream)
+    visits = extract.visits(parsed_stream, merge_parts=False)
     items = extract.purchase_items(parsed_stream, profile)
     totals = items.groupBy("product_id").agg(
-        F.sum(F.coalesce(F.col("quantity"), F.lit(0))).cast("long").alias("total_quantity"),
+        whole_sum(F.col("quantity")).alias("total_quantity"),
         F.count(F.lit(1)).alias("order_lines"),
     )
     return {

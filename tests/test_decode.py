@@ -16,6 +16,14 @@ def test_bad_json_variants(spark):
     assert reasons(spark, bad) == ["bad_json"] * len(bad)
 
 
+def test_json_white_space_and_text_after_the_object(spark):
+    one = '{"session_id":"a","user_id":"}{ ]"}'
+    good = [one, f"\n{one}", f"{one}\n", f" \t\r\n{one}\r\n\t "]
+    assert reasons(spark, good) == [None] * len(good)
+    bad = [f"{one} {one}", f"{one}{one}", f"{one},{one}", f"{one} x}}", f"{one}}}", f"{one}]", f"\xa0{one}", f"\x0b{one}"]
+    assert reasons(spark, bad) == ["bad_json"] * len(bad)
+
+
 def test_missing_session_id(spark):
     rows = [{"user_id": "u"}, {"session_id": None}, {"session_id": ""}]
     assert reasons(spark, rows) == ["missing_session_id"] * 3

@@ -107,39 +107,94 @@ def test_sort_session_events_stable(spark):
 
 
 def test_assemble_sessions_splits_hot_session(spark):
-    evs = [ev(timestamp=f"2024-01-01T00:00:{i:02d}") for i in range(50)]
-    p = parsed(spark, [session("HOT", evs), session("COLD", evs[:3])])
-    flat = extract.events(p)
+    evs = [ev(timestamp=f"2024-01-01T00:00:{i:02d}", page_url=f"u{i}") for i in range(50)]
+    flat = extract.events(parsed(spark, [session("HOT", evs), session("COLD", evs[:3])]))
     rec = orders.assemble_sessions(flat, max_events_per_record=10)
-    sizes = {(r.session_id, r.part): r.n for r in
-             extract.visits(parse_sessions(rec.select("value", F.col("session_id").alias("source"), "part")))
-             .join(rec.select("session_id", "part"), "session_id")
-             .groupBy("session_id", "part").agg(F.count("*").alias("n")).collect()}
-    back = extract.visits(parse_sessions(rec.select("value", F.col("session_id").alias("source"))))
-    tot = {r.session_id: r.t for r in back.groupBy("session_id").agg(F.sum("event_count").alias("t")).collect()}
-    assert tot == {"HOT": 50, "COLD": 3}
-    assert back.where("session_id = 'HOT'").count() >= 3  # split into several bounded records
-    assert back.where("session_id = 'COLD'").count() == 1
-    assert back.agg(F.max("event_count")).first()[0] <= 30
-    assert sizes
+    assert rec.where("session_id = 'HOT'").count() == 5 and rec.where("session_id = 'COLD'").count() == 1
+    whole = orders.assemble_sessions(flat)
+    frames = [parse_sessions(r.select("value", F.col("session_id").alias("source"))) for r in (rec, whole)]
+    assert frames[0].agg(F.max(F.size("rec.events"))).first()[0] == 10
+    # parts decode to the same visits and events, ids included, as the whole
+    for f in (extract.visits, extract.events):
+        a, b = (sorted(map(str, f(x).collect())) for x in frames)
+        assert a == b
+    assert {r.session_id: r.event_count for r in extract.visits(frames[0]).collect()} == {"HOT": 50, "COLD": 3}
+
+
+def test_copies_of_parts_count_once(spark):
+    evs = [ev(timestamp=f"2024-01-01T00:00:{i:02d}") for i in range(6)]
+    parts = [session("S", evs[2 * k : 2 * k + 2], part=k, parts=3, first_event_pos=2 * k) for k in (0, 1, 2, 1)]
+    v = extract.visits(parsed(spark, parts)).collect()
+    assert [(r.session_id, r.event_count, str(r.start_timestamp), str(r.end_timestamp)) for r in v] == [("S", 6, "2024-01-01 00:00:00", "2024-01-01 00:00:05")]
+    assert sorted(r.event_pos for r in extract.exploded_events(parsed(spark, parts[:3])).collect()) == list(range(6))
+
+
+def test_cart_totals_go_on_between_parts(spark):
+    cart = lambda q: ev("add_item_to_cart", product_id="p", price=9.999, quantity=q)
+    buy = lambda o: ev("purchase", order_id=o)
+    events = [cart(100), buy("a"), cart(1), cart(2), buy("b"), buy("c"), cart(5), buy("d")]
+    whole = [session("S", events)]
+    parts = [session("S", events[2 * k : 2 * k + 2], part=k, parts=4, first_event_pos=2 * k) for k in range(4)]
+    a, b = (sorted(orders.cart_before_purchase(parsed(spark, x)).collect()) for x in (whole, parts))
+    assert a == b
+    assert [(r.order_id, r.cart_adds, r.cart_quantity, r.cart_value) for r in a] == [("a", 1, 100, 999.9), ("b", 3, 103, 1029.9), ("c", 3, 103, 1029.9), ("d", 4, 108, 1079.89)]
+
+
+def test_numbers_that_no_type_holds(spark):
+    it = lambda p, q, c="c": {"product_id": "p", "category": c, "price": p, "quantity": q}
+    rows = [session("S", [ev("purchase", order_id="o", items=[it(9.999, 100), it("1e30", 2, "huge"), it(1, 9 * 10**18), it(1, 9 * 10**18), it("NaN", 1), it("x", 1), it(None, None)])])]
+    items = extract.purchase_items(parsed(spark, rows))
+    assert [r.item_index_in_order for r in items.orderBy("item_index_in_order").collect()] == [0, 1, 2, 3, 6]
+    assert [(r.reason, r.item_pos) for r in extract.rejects(parsed(spark, rows)).orderBy("item_pos").collect()] == [("bad_number", 4), ("bad_number", 5)]
+    assert {r.category: r.sales for r in reports.sales_by_category(items).collect()} == {"c": 1.8e19 + 999.9, "huge": 2e30}
+    assert [r.total_quantity for r in reports.popular_items(items).collect()] == [None]
+    assert orders.order_amounts(items.where("category is null or item_index_in_order = 0")).first().item_total == 999.9
 
 
 def test_split_hot_groups_bounds_groups(spark):
     df = spark.range(0, 2000).select(
         F.when(F.col("id") < 1500, F.lit(1)).otherwise(F.col("id")).alias("k"), "id"
-    )
-    out = skew.split_hot_groups(df, ["k"], max_rows=100, salt=F.col("id"))
-    g = out.groupBy("k", "part").count()
-    assert g.where("k = 1").count() == 15
-    assert g.agg(F.max("count")).first()[0] < 250
+    ).repartition(7)
+    out = skew.split_hot_groups(df, ["k"], 100, ["id"])
+    cut = out.where("k = 1").groupBy("part").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"), F.max("parts").alias("parts"))
+    assert [tuple(r) for r in cut.orderBy("part").collect()] == [(i, 100 * i, 100 * i + 99, 100, 15) for i in range(15)]
+    assert out.where("k <> 1 and part is null and parts is null").count() == 500
     assert out.count() == 2000
 
 
-def test_checked_broadcast_bound(spark):
-    small, ok = skew.checked_broadcast(spark.range(10), max_rows=100)
-    assert ok
-    big, ok2 = skew.checked_broadcast(spark.range(1000), max_rows=100)
-    assert not ok2 and big.count() == 1000
+def test_hot_session_is_split_in_the_joins(spark):
+    """A third of all rows on one key, broadcasts off: AQE must be able to split each join."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        sid = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (F.col("id") % 5000).cast("string")))
+        base = spark.range(0, 60000, 1, 8).select(sid.alias("session_id"), F.sha2(F.col("id").cast("string"), 256).alias("event_unique_id"), F.lit("purchase").alias("event_type"), F.col("session_id").alias("order_id"), F.rand(1).alias("amount"), F.lit(1.0).alias("price"), F.lit(1).cast("long").alias("quantity"), "id")
+        visits = base.select("session_id").distinct().select("session_id", *(F.lit("x").alias(c) for c in ("user_id", "device_type", "geolocation", "user_agent")), *(F.lit("2024-01-01").cast("timestamp").alias(c) for c in ("start_timestamp", "end_timestamp")), F.lit(1).cast("long").alias("event_count"))
+        joins = {
+            "J1": (reports.events_with_visit(base, visits), 60000),
+            "J2": (reports.items_with_visit(base, visits), 60000),
+            "J3": (reports.orphans(base, visits.where("session_id <> 's1'")), base.where("session_id = 's1'").count()),
+            "R3": (orders.order_reconciliation(base, base.limit(1000)), 60000),
+            "split": (skew.split_hot_groups(base, ["session_id"], 15, ["id"]).where("part is null"), base.join(base.groupBy("session_id").count().where("count <= 15"), "session_id").count()),
+        }
+        for name, (df, n) in joins.items():
+            got = df.toLocalIterator()
+            assert sum(1 for _ in got) == n, name
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "skew=true" in plan, f"{name}: {plan}"
+        # J4 keeps visits (one row a session): its other side is one row a session as well
+        assert reports.sessions_with_purchase(visits, base).count() == visits.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_consolidate_visits_copies_and_parts(spark):
