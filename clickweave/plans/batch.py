@@ -15,12 +15,13 @@ written frames (A10) instead of extra count jobs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from clickweave.operators import extract
-from clickweave.session import ensure_checkpoint_dir
+from clickweave.session import ensure_checkpoint_dir, staged
 from clickweave.sinks import tables as sinks
 from clickweave.sources.decode import parse_sessions, read_jsonl
 
@@ -36,16 +37,23 @@ def run_batch(
     min_partitions: int | None = None,
     land_raw_lines: bool = False,
     fanout: str = "checkpoint",
+    run_id: str | None = None,
+    archive_dir: str | None = None,
 ) -> dict[str, int]:
     """Load every matching file under ``input_path`` into the curated tables.
 
     Returns the metrics written to ``job_runs``: rows per output table and
     the number of input records. ``land_raw_lines`` also appends the lines
     to the raw zone (``raw.sessions_raw``) before parsing. ``min_partitions`` repartitions after the
-    read, for inputs of a few large non-splittable (gzip) files.
+    read, for inputs of a few large non-splittable (gzip) files. ``mode``
+    is that of ``sinks.tables.write_table`` for all four tables together.
+    ``archive_dir`` moves the files that were read there (K6).
     """
+    run_id = run_id or uuid.uuid4().hex
+    load_id = f"{job_name}-{run_id}"
     sinks.provision(spark, database)
-    lines = read_jsonl(spark, input_path, glob=glob)
+    files = read_jsonl(spark, input_path, glob=glob).inputFiles()
+    lines = read_jsonl(spark, files, glob=None)
     if min_partitions:
         lines = lines.repartition(min_partitions)
     if land_raw_lines:
@@ -67,21 +75,33 @@ def run_batch(
     metrics: dict[str, int] = {}
     try:
         for name, df in outputs.items():
-            obs = Observation(f"{job_name}_{name}")
-            exprs = [F.count(F.lit(1)).alias("rows")]
-            if name == "rejects":
-                exprs.append(F.count(F.when(F.col("stage") == "record", 1)).alias("record_rejects"))
-            sinks.write_table(df.observe(obs, *exprs), name, database, mode)
-            got = obs.get
-            metrics[f"{name}_rows"] = int(got["rows"])
+            if mode == sinks.REPLACE_DAYS:
+                df = staged(df, f"load-{name}")  # the days are looked up before the rows are written
+            sinks.write_table(df, name, database, mode, load_id)
+            written = sinks.read_load(spark, name, database, load_id)
+            metrics[f"{name}_rows"] = written.count()
             if name == "rejects":
-                metrics["record_rejects"] = int(got["record_rejects"])
+                metrics["record_rejects"] = written.where("stage = 'record'").count()
         # every input record is either a visit or a record-level reject
         metrics["input_records"] = metrics["visits_rows"] + metrics["record_rejects"]
         sinks.record_job_run(
             spark, database, job_name=job_name, status="SUCCEEDED", source=input_path,
-            destination=database, metrics=metrics,
+            destination=database, metrics=metrics, run_id=run_id,
         )
+        if archive_dir:
+            archive(spark, files, f"{archive_dir.rstrip('/')}/{load_id}")
     finally:
         parsed.unpersist()
     return metrics
+
+
+def archive(spark: SparkSession, files: list[str], folder: str) -> None:
+    """K6: move the files below ``folder``, each under its own path."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in files:
+        source = jvm.org.apache.hadoop.fs.Path(name)
+        target = jvm.org.apache.hadoop.fs.Path(f"{folder}{source.toUri().getPath()}")
+        fs = source.getFileSystem(conf)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"{name} could not be moved to {target}")

@@ -3,7 +3,7 @@
 Subcommands mirror the reference's runnable jobs:
 
 * ``provision``     - create the curated (and raw) databases and tables (K2, R4)
-* ``batch``         - JSONL files -> curated tables, append or overwrite (K1, K6, K7)
+* ``batch``         - JSONL files -> curated tables, append, truncate or replace days (K1, K6, K7)
 * ``page-views``    - message stream -> page views per window + alerts, raw landing (T1-T5, K3, K5, K8)
 * ``live-ingest``   - message or file stream -> visits/events/purchase_items/rejects (K4, S7)
 
@@ -20,6 +20,7 @@ import os
 
 from clickweave.operators import extract
 from clickweave.session import get_spark
+from clickweave.sinks.tables import MODES
 from clickweave.streaming import pageviews
 
 
@@ -48,7 +49,7 @@ def cmd_batch(spark, args) -> dict:
 
     return run_batch(
         spark, args.input, database=args.database, mode=args.mode, profile=args.profile, glob=args.glob,
-        min_partitions=args.min_partitions, land_raw_lines=args.land_raw, fanout=args.fanout,
+        min_partitions=args.min_partitions, land_raw_lines=args.land_raw, fanout=args.fanout, run_id=args.run_id, archive_dir=args.archive,
     )
 
 
@@ -86,9 +87,9 @@ def cmd_live_ingest(spark, args) -> dict:
         )
     else:
         parsed = parse_messages(_messages(spark, args))
-    q = ingest.start_live_ingest(parsed, args.output, args.checkpoint, profile=args.profile, trigger=_trigger(args))
+    q = ingest.start_live_ingest(parsed, args.database, args.checkpoint, profile=args.profile, trigger=_trigger(args))
     q.awaitTermination()
-    return {"output": args.output}
+    return {"database": args.database}
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -102,24 +103,26 @@ def build_parser() -> argparse.ArgumentParser:
     b = sub.add_parser("batch")
     b.add_argument("--input", required=True, help="folder or glob of JSONL session files")
     b.add_argument("--database", default="curated")
-    b.add_argument("--mode", choices=["append", "overwrite"], default="append")
+    b.add_argument("--mode", choices=list(MODES), default=MODES[0])
     b.add_argument("--profile", choices=list(extract.PROFILES), default=extract.BATCH)
     b.add_argument("--glob", default="*.jsonl")
     b.add_argument("--min-partitions", type=int, default=None)
     b.add_argument("--land-raw", action="store_true")
+    b.add_argument("--run-id", default=None, help="the same id again replaces what that run wrote")
+    b.add_argument("--archive", default=None, help="folder that the files go to after they are read")
     b.add_argument("--fanout", choices=["checkpoint", "persist"], default="checkpoint")
 
-    def stream_common(sp):
-        sp.add_argument("--source", choices=["kafka", "files-parquet", "files-jsonl"], default="kafka")
+    def stream_common(sp, *more):
+        sp.add_argument("--source", choices=["kafka", "files-parquet", *more], default="kafka")
         sp.add_argument("--bootstrap-servers")
         sp.add_argument("--topic")
         sp.add_argument("--input", help="input folder for file sources")
-        sp.add_argument("--output", required=True)
         sp.add_argument("--checkpoint", required=True)
         sp.add_argument("--trigger-seconds", type=int, default=None)
 
     pv = sub.add_parser("page-views")
     stream_common(pv)
+    pv.add_argument("--output", required=True)
     pv.add_argument("--window-minutes", type=int, default=pageviews.DEFAULT_WINDOW_MINUTES)
     pv.add_argument("--threshold", type=int, default=pageviews.DEFAULT_DOS_THRESHOLD)
     pv.add_argument("--watermark", default="0 seconds")
@@ -127,7 +130,8 @@ def build_parser() -> argparse.ArgumentParser:
     pv.add_argument("--num-shards", type=int, default=pageviews.DEFAULT_NUM_SHARDS)
 
     li = sub.add_parser("live-ingest")
-    stream_common(li)
+    stream_common(li, "files-jsonl")
+    li.add_argument("--database", default="curated")
     li.add_argument("--profile", choices=list(extract.PROFILES), default=extract.LIVE)
     li.add_argument("--glob", default="*.jsonl")
     li.add_argument("--archive", default=None)

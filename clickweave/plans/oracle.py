@@ -222,9 +222,7 @@ SELECT window_end, page_view_count, CAST(5 AS BIGINT) AS threshold FROM ({_PV})
 SELECT strftime(date_trunc('minute', publish_time), '%Y-%m-%d-T-%H-%M') AS minute, count(*) AS messages
 FROM sess GROUP BY 1
 """),
-    "page_views_stream": _with(f"""
-SELECT * FROM ({_PV}) WHERE window_end <= (SELECT max(publish_time) FROM sess)
-"""),
+    "page_views_stream": _with(_PV),
     "events_live_stream": _with(f"SELECT {_EVENTS_COLS} FROM evf WHERE etype IN {LIVE_TYPES_SQL}"),
     "duplicate_visit_keys": _with("""
 SELECT session_id, count(*) AS copies
@@ -359,3 +357,50 @@ SELECT session_id, CAST(row_number() OVER (PARTITION BY session_id ORDER BY ts,
   etype AS event_type, ts AS "timestamp" FROM ev
 """),
 })
+
+_TABLE_ROWS = f"""
+SELECT 'visits' AS table_name, user_id % 2 AS odd, strftime(min(ts), '%Y-%m-%d') AS day, 1 AS n, 0 AS live FROM ev GROUP BY session_id, user_id
+UNION ALL SELECT 'events', user_id % 2, strftime(ts, '%Y-%m-%d'), 1, CASE WHEN etype IN {LIVE_TYPES_SQL} THEN 1 ELSE 0 END FROM ev WHERE etype IS NOT NULL
+UNION ALL SELECT 'purchase_items', user_id % 2, strftime(ts, '%Y-%m-%d'), 1, 1 FROM ev JOIN items i ON i.l_orderkey = ev.event_id WHERE etype = 'purchase'
+"""
+
+ORACLES.update({
+    "raw_landing_round_trip": _dirty_rejects(True),
+    "tables_after_replay": _with(_VISITS),
+    "tables_of_both_paths": _with(f"""
+SELECT table_name, 'batch_sessions' AS load, count(*) AS row_count FROM ({_TABLE_ROWS}) WHERE odd = 0 GROUP BY 1
+UNION ALL
+SELECT table_name, 'live', count(*) FROM ({_TABLE_ROWS}) WHERE odd = 1 AND (table_name <> 'events' OR live = 1) GROUP BY 1
+UNION ALL
+SELECT 'rejects', 'live', count(*) FROM ev WHERE user_id % 2 = 1 AND etype NOT IN {LIVE_TYPES_SQL} AND etype <> 'purchase'
+"""),
+    "days_replaced": _with(f"""
+SELECT table_name, day, count(*) AS row_count FROM ({_TABLE_ROWS}) WHERE odd = 0 OR CAST(substr(day, 9) AS INTEGER) % 10 <> 3 GROUP BY 1, 2
+"""),
+    "tables_truncated": _with(f"""
+SELECT table_name, count(*) AS row_count FROM ({_TABLE_ROWS}) WHERE odd = 1 GROUP BY 1
+"""),
+    "job_run_metrics": "WITH " + _DIRTY + f""",
+recs AS (SELECT DISTINCT session_id, kind FROM dev WHERE kind <> 0),
+counts AS (
+  SELECT (SELECT count(*) FROM recs) AS input_records, (SELECT count(*) FROM recs WHERE kind IN (1, 2, 7)) AS record_rejects,
+    (SELECT count(*) FROM ({_DIRTY_EVENTS.rstrip()} AND kind <> 0)) AS events_rows, (SELECT count(*) FROM bitems WHERE kind <> 0) AS items,
+    (SELECT count(*) FROM dev WHERE kind NOT IN (0, 1, 2, 7) AND (dtype IS NULL OR no_time OR no_number)) AS e,
+    (SELECT count(*) FROM dev WHERE kind = 5 AND etype = 'purchase') AS p,
+    (SELECT count(*) FROM ditems WHERE kind = 6 AND (no_product OR no_price)) AS i
+)
+SELECT 'SUCCEEDED' AS status, 'input_records' AS metric, input_records AS value FROM counts
+UNION ALL SELECT 'SUCCEEDED', 'record_rejects', record_rejects FROM counts
+UNION ALL SELECT 'SUCCEEDED', 'visits_rows', input_records - record_rejects FROM counts
+UNION ALL SELECT 'SUCCEEDED', 'events_rows', events_rows FROM counts
+UNION ALL SELECT 'SUCCEEDED', 'purchase_items_rows', items FROM counts
+UNION ALL SELECT 'SUCCEEDED', 'rejects_rows', record_rejects + e + p + i FROM counts
+UNION ALL SELECT 'LEFT', 'files', 0
+""",
+    "live_dashboard_stream": _with("""
+SELECT 'visits_by_device' AS report, device_type AS group_key, CAST(count(*) AS DOUBLE) AS value FROM sess GROUP BY 2
+UNION ALL SELECT 'product_totals', product_id, CAST(sum(coalesce(quantity, 0)) AS DOUBLE) FROM pitems GROUP BY 2
+UNION ALL SELECT 'sales_by_category', category, round(sum(coalesce(price * quantity, 0.0)), 2) FROM pitems GROUP BY 2
+UNION ALL SELECT 'visits_by_page', page_url, CAST(count(DISTINCT session_id) AS DOUBLE) FROM evd WHERE etype = 'page_view' GROUP BY 2
+"""),
+})

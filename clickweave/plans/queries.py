@@ -14,15 +14,19 @@ compare with DuckDB's zone-less TIMESTAMP.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave.operators import extract, orders, quality, reports
+from clickweave.plans.batch import run_batch
 from clickweave.plans.landing import landed, parsed_messages, parsed_sessions
-from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions
+from clickweave.sinks import tables as sinks
+from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions, read_jsonl
 from clickweave.session import scratch_dir
 from clickweave.sources import dirty
 from clickweave.streaming import ingest, pageviews
@@ -316,8 +320,12 @@ def q_page_view_flags(spark, sf_dir):
 
 def q_raw_landing_minutes(spark, sf_dir):
     """Raw messages per landing minute."""
-    rows = pageviews.raw_landing_rows(session_records(spark, sf_dir))
-    return rows.groupBy("minute").agg(F.count(F.lit(1)).alias("messages"))
+    return _per_minute(pageviews.raw_landing_rows(session_records(spark, sf_dir)))
+
+
+def _per_minute(messages):
+    """Sessions that were published in a minute, by their first message."""
+    return messages.where(F.col("message_id").endswith("#0")).groupBy("minute").agg(F.count(F.lit(1)).alias("messages"))
 
 
 # ---------------------------------------------------------------- streaming
@@ -328,10 +336,11 @@ def _stream_root(spark: SparkSession, name: str) -> str:
 
 def q_page_views_stream(spark, sf_dir):
     """T1-T3/K3 as a real stream: derived messages land as files, an
-    ``availableNow`` query counts them with a zero-lateness watermark, and
-    the result is every window the final watermark closed."""
+    ``availableNow`` query counts them with a zero-lateness watermark; a
+    flush message at the end of the input closes the last windows."""
     root = _stream_root(spark, "page-views-stream")
-    session_messages(spark, sf_dir).write.parquet(f"{root}/messages")
+    messages = session_messages(spark, sf_dir)
+    messages.unionByName(pageviews.flush_message(messages, PAGE_VIEW_WINDOW_MINUTES)).write.parquet(f"{root}/messages")
     stream = parse_messages(ingest.message_files_stream(spark, f"{root}/messages"))
     q = ingest.start_page_views(
         stream, f"{root}/counts", f"{root}/alerts", f"{root}/checkpoint",
@@ -342,29 +351,137 @@ def q_page_views_stream(spark, sf_dir):
                    .parquet(f"{root}/counts").drop("batch_id"))
 
 
+def _database(spark, name: str) -> str:
+    """A new database in the shared folder."""
+    path = _stream_root(spark, name)
+    database = os.path.basename(path).replace("-", "_")
+    sinks.provision(spark, database, path)
+    return database
+
+
 def q_events_live_stream(spark, sf_dir):
     """S7/K4 as a real stream: session JSONL files picked up by a file
     stream, decoded and written per micro batch by ``foreachBatch``."""
     root = _stream_root(spark, "live-ingest-stream")
     session_records(spark, sf_dir).select("value").write.text(f"{root}/in")
     lines = ingest.file_sessions_stream(spark, f"{root}/in", glob="*.txt")
-    q = ingest.start_live_ingest(ingest.parse_file_stream(lines), f"{root}/out", f"{root}/checkpoint", profile="live")
+    database = _database(spark, "live-tables")
+    q = ingest.start_live_ingest(ingest.parse_file_stream(lines), database, f"{root}/checkpoint", profile="live")
     q.awaitTermination()
-    return present(spark.read.parquet(f"{root}/out/events").drop("batch_id"))
+    return present(spark.table(f"{database}.events").drop("event_date", sinks.LOAD_ID))
 
 
-def q_raw_landing_stream(spark, sf_dir):
-    """K5/X7/X10 as a real stream: messages landed as text files under
-    ``minute=/shard=``; read back and counted per minute."""
+def _landed_raw(spark, messages):
     root = _stream_root(spark, "raw-landing-stream")
-    session_messages(spark, sf_dir).write.parquet(f"{root}/messages")
+    messages.write.parquet(f"{root}/messages")
     q = ingest.start_raw_landing(ingest.message_files_stream(spark, f"{root}/messages"), f"{root}/raw",
                                  f"{root}/checkpoint")
     q.awaitTermination()
-    # partition values are read as text: "00" stays a shard label
-    back = (spark.read.option("basePath", f"{root}/raw").schema("value string, minute string, shard string")
-            .text(f"{root}/raw"))
-    return back.groupBy("minute").agg(F.count(F.lit(1)).alias("messages"))
+    return pageviews.read_raw_landing(spark, f"{root}/raw")
+
+
+def q_raw_landing_stream(spark, sf_dir):
+    """K5/X7/X10 as a real stream: messages landed as lines of text files,
+    read back and counted per minute."""
+    return _per_minute(_landed_raw(spark, session_messages(spark, sf_dir)))
+
+
+def q_raw_landing_round_trip(spark, sf_dir):
+    """Messages with defects, line feeds and bytes that are no text
+    among them, land and are decoded again without loss."""
+    back = _landed_raw(spark, dirty.dirty_messages(landed(spark, sf_dir, "parsed")))
+    return _reject_rows(parse_messages(back.select("message_id", "publish_time", "attributes", "data")), extract.LIVE)
+
+
+# -------------------------------------------------------------------- loads
+
+def _files(spark, records) -> str:
+    path = _stream_root(spark, "session-files")
+    records.select("value").write.text(path)
+    return path
+
+
+def _halves(spark, sf_dir):
+    """Records of even and of odd users, as two folders of files."""
+    rec = session_records(spark, sf_dir)
+    odd = F.pmod(F.regexp_extract("message_id", r"^SID-(\d+)-", 1).cast("long"), F.lit(2)) == 1
+    return _files(spark, rec.where(~odd)), _files(spark, rec.where(odd))
+
+
+def _batch(spark, path, database, **kw):
+    return run_batch(spark, path, database=database, glob="*.txt", **kw)
+
+
+def q_tables_after_replay(spark, sf_dir):
+    """Two batch loads, the first of them run again with its id
+    after the second; every session is there once."""
+    even, odd = _halves(spark, sf_dir)
+    database = _database(spark, "replay")
+    for path, run in ((even, "1"), (odd, "2"), (even, "1")):
+        _batch(spark, path, database, run_id=run)
+    return present(spark.table(f"{database}.visits").drop("visit_date", sinks.LOAD_ID))
+
+
+def q_tables_of_both_paths(spark, sf_dir):
+    """A batch load of even users and a live load of odd users, with
+    a replayed micro batch, in the same tables: rows per table and type of load."""
+    even, odd = _halves(spark, sf_dir)
+    database = _database(spark, "both")
+    _batch(spark, even, database, run_id="1")
+    parsed = parse_sessions(read_jsonl(spark, odd, glob="*.txt"))
+    for _ in range(2):
+        ingest.write_batch_tables(parsed, database, 0)
+    kind = F.substring_index(sinks.LOAD_ID, "-", 1).alias("load")
+    rows = [spark.table(f"{database}.{t}").select(F.lit(t).alias("table_name"), kind) for t in ("visits", "events", "purchase_items", "rejects")]
+    return reduce(DataFrame.unionByName, rows).groupBy("table_name", "load").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_days_replaced(spark, sf_dir):
+    """K1: all sessions loaded, then the days that are 3 modulo 10 loaded
+    again with even users only, in place of what was there."""
+    rec = session_records(spark, sf_dir)
+    day = F.regexp_extract("message_id", r"^SID-(\d+)-\d{6}(\d\d)", 2).cast("int") % 10 == 3
+    even = F.pmod(F.regexp_extract("message_id", r"^SID-(\d+)-", 1).cast("long"), F.lit(2)) == 0
+    database = _database(spark, "days")
+    _batch(spark, _files(spark, rec), database)
+    _batch(spark, _files(spark, rec.where(day & even)), database, mode=sinks.REPLACE_DAYS)
+    rows = [spark.table(f"{database}.{t}").select(F.lit(t).alias("table_name"), F.col(c).cast("string").alias("day")) for t, c in (("visits", "visit_date"), ("events", "event_date"), ("purchase_items", "order_date"))]
+    return reduce(DataFrame.unionByName, rows).groupBy("table_name", "day").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_tables_truncated(spark, sf_dir):
+    """K1: all sessions, then odd users in place of everything."""
+    _, odd = _halves(spark, sf_dir)
+    database = _database(spark, "truncated")
+    _batch(spark, _files(spark, session_records(spark, sf_dir)), database)
+    _batch(spark, odd, database, mode=sinks.TRUNCATE)
+    rows = [spark.table(f"{database}.{t}").select(F.lit(t).alias("table_name")) for t in ("visits", "events", "purchase_items", "rejects")]
+    return reduce(DataFrame.unionByName, rows).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_job_run_metrics(spark, sf_dir):
+    """K6, K7, A10: what a run of lines with defects reports, and what it leaves in its input folder."""
+    path = _files(spark, dirty.dirty_records(landed(spark, sf_dir, "parsed")).where("value not rlike '^\n'"))
+    database = _database(spark, "metrics")
+    _batch(spark, path, database, archive_dir=_stream_root(spark, "archive"))
+    left = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).agg(F.count(F.lit(1)).alias("n"))
+    runs = spark.table(f"{database}.job_runs").select("status", F.explode("metrics").alias("metric", "value"))
+    return runs.unionByName(left.select(F.lit("LEFT").alias("status"), F.lit("files").alias("metric"), F.col("n").alias("value")))
+
+
+def q_live_dashboard_stream(spark, sf_dir):
+    """The reports as streams over messages that are delivered twice."""
+    root = _stream_root(spark, "dashboard")
+    messages = session_messages(spark, sf_dir)
+    messages.unionByName(messages).write.parquet(f"{root}/messages")
+    out = []
+    for name, key in (("visits_by_device", "device_type"), ("product_totals", "product_id"), ("sales_by_category", "category"), ("visits_by_page", "page_url")):
+        stream = ingest.message_files_stream(spark, f"{root}/messages").dropDuplicates(["message_id"])
+        ingest.start_updates(ingest.live_dashboard_aggregates(parse_messages(stream))[name], f"{root}/{name}", f"{root}/ck-{name}").awaitTermination()
+        state = ingest.read_visits_by_page(spark, f"{root}/{name}") if name == "visits_by_page" else ingest.read_updates(spark, f"{root}/{name}", [key])
+        value = [c for c in state.columns if c != key][0]
+        out.append(state.select(F.lit(name).alias("report"), F.col(key).alias("group_key"), F.col(value).cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, out)
 
 
 # Report parameters: at sf0.01 a minute holds a handful of events, so the
@@ -437,6 +554,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_events": q_orphan_events,
     "key_report_twice": q_key_report_twice,
     "session_event_order_reversed": q_session_event_order_reversed,
+    "raw_landing_round_trip": q_raw_landing_round_trip,
+    "tables_after_replay": q_tables_after_replay,
+    "tables_of_both_paths": q_tables_of_both_paths,
+    "days_replaced": q_days_replaced,
+    "tables_truncated": q_tables_truncated,
+    "job_run_metrics": q_job_run_metrics,
+    "live_dashboard_stream": q_live_dashboard_stream,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}

@@ -6,9 +6,11 @@ per input line) and ``curated`` (the flat tables). The flat ``events``
 table is always addressed through its database (``curated.events``), so
 it never collides with a temp view called ``events``.
 
-``events`` is partitioned by ``event_date`` and ``purchase_items`` by
-``order_date`` so date filters prune files. Small tables are not
-partitioned.
+Batch and live jobs write the same tables. ``visits``, ``events``,
+``purchase_items`` and ``rejects`` are partitioned by a date, so date filters
+prune files, and by ``load_id``, the run or micro batch that wrote the rows.
+A load that is written again (a retry, a replay) replaces its own rows and
+no others. Small tables are not partitioned.
 """
 
 from __future__ import annotations
@@ -21,15 +23,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave.schemas import JOB_RUNS, TABLES, ddl
+from clickweave.session import staged
 
 RAW_DB = "raw"
 CURATED_DB = "curated"
 
-# Partition column derived at write time, per table: (name, source column).
+# Date column derived at write time, per partitioned table: (name, source
+# column; none: the day of the load).
 PARTITION_COLUMNS = {
+    "visits": ("visit_date", "start_timestamp"),
     "events": ("event_date", "timestamp"),
     "purchase_items": ("order_date", "purchase_event_timestamp"),
+    "rejects": ("landed_date", None),
 }
+LOAD_ID = "load_id"
+
+# How a load meets what is there: beside it, instead of all of it, or instead
+# of the days that it has rows of.
+APPEND, TRUNCATE, REPLACE_DAYS = "append", "truncate", "replace_days"
+MODES = (APPEND, TRUNCATE, REPLACE_DAYS)
 
 TABLE_COMMENTS = {
     "visits": "one row per session record",
@@ -67,8 +79,8 @@ def provision(spark: SparkSession, database: str = CURATED_DB, location: str | N
         part = ""
         if name in PARTITION_COLUMNS:
             pcol = PARTITION_COLUMNS[name][0]
-            cols += f", `{pcol}` DATE"
-            part = f" PARTITIONED BY (`{pcol}`)"
+            cols += f", `{pcol}` DATE, `{LOAD_ID}` STRING"
+            part = f" PARTITIONED BY (`{pcol}`, `{LOAD_ID}`)"
         props = ", ".join(f"'{k}'='{v}'" for k, v in {**TABLE_TAGS, "zone": database}.items())
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {_qualified(database, name)} ({cols}) USING parquet{part} "
@@ -78,30 +90,60 @@ def provision(spark: SparkSession, database: str = CURATED_DB, location: str | N
     return created
 
 
-def with_partition_column(name: str, df: DataFrame) -> DataFrame:
-    if name in PARTITION_COLUMNS:
-        col, source = PARTITION_COLUMNS[name]
-        return df.withColumn(col, F.to_date(F.col(source)))
-    return df
+def with_partition_columns(name: str, df: DataFrame, load_id: str) -> DataFrame:
+    if name not in PARTITION_COLUMNS:
+        return df
+    col, source = PARTITION_COLUMNS[name]
+    return df.withColumn(col, F.to_date(F.col(source)) if source else F.current_date()).withColumn(LOAD_ID, F.lit(load_id))
+
 
+def _drop_partitions(spark: SparkSession, name: str, database: str, spec: str) -> None:
+    """Drop the partitions that a partial spec names."""
+    target, col = _qualified(database, name), PARTITION_COLUMNS[name][0]
+    for row in spark.sql(f"SHOW PARTITIONS {target} PARTITION ({spec})").collect():  # a row a day or load
+        day, load = (x.split("=", 1)[1] for x in row[0].split("/"))
+        day = "NULL" if day in ("null", "__HIVE_DEFAULT_PARTITION__") else f"'{day}'"
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (`{col}`={day}, `{LOAD_ID}`='{load}') PURGE")
 
-def write_table(df: DataFrame, name: str, database: str = CURATED_DB, mode: str = "append") -> None:
-    """K1: append to (or overwrite) a provisioned table, matching by column name.
 
-    ``overwrite`` replaces only the partitions present in ``df`` (dynamic
-    partition overwrite), so re-running one day's load does not wipe other
-    days.
+def write_table(df: DataFrame, name: str, database: str = CURATED_DB, mode: str = APPEND, load_id: str | None = None) -> None:
+    """K1: write a load to a provisioned table, matching by column name.
+
+    ``append`` adds the rows, in place of an earlier attempt of the same
+    ``load_id``. ``truncate`` empties the table first. ``replace_days`` first
+    drops, of all loads, the days that ``df`` has rows of. Rows of other days,
+    and in ``append`` of other loads, are never touched.
     """
-    spark = df.sparkSession
-    target = spark.table(_qualified(database, name))
-    df = with_partition_column(name, df).select(*[F.col(c) for c in target.columns])
-    if mode == "overwrite":
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.write.insertInto(_qualified(database, name), overwrite=True)
-    elif mode == "append":
-        df.write.insertInto(_qualified(database, name), overwrite=False)
-    else:
-        raise ValueError(f"mode must be append or overwrite, got {mode!r}")
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    spark, target = df.sparkSession, _qualified(database, name)
+    load_id = load_id or uuid.uuid4().hex
+    if not load_id.replace("-", "").replace("_", "").isalnum():
+        raise ValueError(f"a load id has letters, digits, - and _ only, got {load_id!r}")
+    if mode == TRUNCATE:
+        spark.sql(f"TRUNCATE TABLE {target}")
+    if name in PARTITION_COLUMNS:
+        df = with_partition_columns(name, df, load_id)
+        if mode == REPLACE_DAYS:
+            col = PARTITION_COLUMNS[name][0]
+            for (day,) in df.select(col).distinct().collect():  # a row a day
+                _drop_partitions(spark, name, database, f"`{col}`=" + ("NULL" if day is None else f"'{day}'"))
+        if mode != TRUNCATE:
+            _drop_partitions(spark, name, database, f"`{LOAD_ID}`='{load_id}'")
+    df.select(*[F.col(c) for c in spark.table(target).columns]).write.insertInto(target)
+
+
+def read_load(spark: SparkSession, name: str, database: str, load_id: str) -> DataFrame:
+    """The rows that a load wrote."""
+    return spark.table(_qualified(database, name)).where(F.col(LOAD_ID) == load_id)
+
+
+def compact(spark: SparkSession, name: str, database: str, before: str) -> None:
+    """Gather the rows of days before ``before`` into one load a day (live loads are many and small)."""
+    col = PARTITION_COLUMNS[name][0]
+    rows = spark.table(_qualified(database, name)).where(F.col(col) < F.lit(before).cast("date"))
+    rows = staged(rows.drop(col, LOAD_ID).repartition(F.to_date(F.col(PARTITION_COLUMNS[name][1]))), f"compact-{name}")
+    write_table(rows, name, database, REPLACE_DAYS, f"compacted-{before}")
 
 
 RAW_SESSIONS = "sessions_raw"
@@ -153,4 +195,4 @@ def job_run_row(
 
 def record_job_run(spark: SparkSession, database: str = CURATED_DB, **kw) -> None:
     """K7: append the completion notice to ``job_runs``."""
-    write_table(job_run_row(spark, **kw), "job_runs", database, "append")
+    write_table(job_run_row(spark, **kw), "job_runs", database)

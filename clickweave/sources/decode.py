@@ -36,7 +36,7 @@ BAD_ENCODING = "bad_encoding"
 BAD_ENVELOPE = "bad_envelope"
 
 
-def read_jsonl(spark: SparkSession, path: str, glob: str | None = "*.jsonl", recursive: bool = False) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], glob: str | None = "*.jsonl", recursive: bool = False) -> DataFrame:
     """One row per line of the matching text files (gz/bz2 by extension).
 
     ``source`` is the file path from the hidden ``_metadata`` column, so
@@ -49,6 +49,8 @@ def read_jsonl(spark: SparkSession, path: str, glob: str | None = "*.jsonl", rec
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+    if path == []:
+        return spark.createDataFrame([], "value string, source string")
     df = reader.text(path)
     return df.select("value", F.col("_metadata.file_path").alias("source"))
 

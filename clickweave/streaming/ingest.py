@@ -13,12 +13,13 @@ Sources
 Sinks (each query has its own checkpoint, so a restarted or re-run query
 resumes where it stopped and every query sees the whole topic):
   * ``start_live_ingest``   - visits/events/purchase_items/rejects per micro
-    batch via ``foreachBatch``. Each table is written under a
-    ``batch_id`` partition with dynamic partition overwrite, so a replayed
-    batch replaces its own rows instead of appending twice.
+    batch via ``foreachBatch``, to the tables the batch job writes. A micro
+    batch is a load of its own, so a replayed one replaces its own rows
+    instead of appending twice.
   * ``start_page_views``    - windowed counts (append mode: a window is
     written once, when the watermark passes its end) plus the alert rows.
-  * ``start_raw_landing``   - raw message text partitioned by minute/shard.
+  * ``start_raw_landing``   - raw messages as lines, by hour and batch.
+  * ``start_updates``       - changed groups of a running aggregate.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickweave.functions.scalars import whole_sum
 from clickweave.operators import extract
 from clickweave.schemas import MESSAGE
+from clickweave.sinks import tables as sinks
 from clickweave.sources.decode import parse_messages, parse_sessions
 from clickweave.streaming import pageviews
 
@@ -102,41 +104,41 @@ def message_files_stream(spark: SparkSession, input_dir: str, max_files_per_trig
 
 # ----------------------------------------------------------------- live ingest
 
-def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch_partition(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = (), kind: str = "parquet") -> None:
     """Write one micro batch under ``batch_id=<id>``, replacing a previous attempt.
 
     Dynamic partition overwrite touches only that partition, so replaying a
     batch after a failure is idempotent and other batches are untouched.
     """
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
-        .partitionBy("batch_id")
-        .parquet(path)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id", *partitions)
+        .format(kind)
+        .save(path)
     )
 
 
-def write_batch_tables(parsed: DataFrame, output_root: str, batch_id: int, profile: str = extract.LIVE) -> list[str]:
-    """K4: one micro batch -> four tables, idempotent per ``batch_id``.
+def write_batch_tables(parsed: DataFrame, database: str, batch_id: int, profile: str = extract.LIVE, stream: str = "live") -> list[str]:
+    """K4: one micro batch -> the four curated tables, idempotent per ``(stream, batch_id)``.
 
-    The parsed batch is persisted so the four writes share one decode.
-    Every table is partitioned by ``batch_id`` and written with dynamic
-    partition overwrite: a replay of the same batch (after a failure
-    between writes) replaces exactly that batch's rows in each table.
+    The parsed batch is persisted so the four writes share one decode. The
+    rows are those of load ``<stream>-<batch_id>``: a replay of the batch
+    (after a failure between writes) replaces exactly them in each table.
     Deterministic event ids (X9) make rows of a replay identical.
     """
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     written = []
     try:
         outputs = {
-            "visits": extract.visits(parsed, merge_parts=False),
+            "visits": extract.visits(parsed),
             "events": extract.events(parsed, profile),
             "purchase_items": extract.purchase_items(parsed, profile),
             "rejects": extract.rejects(parsed, profile),
         }
         for name, df in outputs.items():
-            write_batch_partition(df, f"{output_root.rstrip('/')}/{name}", batch_id)
+            sinks.write_table(df, name, database, load_id=f"{stream}-{batch_id}")
             written.append(name)
     finally:
         parsed.unpersist()
@@ -145,21 +147,28 @@ def write_batch_tables(parsed: DataFrame, output_root: str, batch_id: int, profi
 
 def start_live_ingest(
     parsed_stream: DataFrame,
-    output_root: str,
+    database: str,
     checkpoint: str,
     profile: str = extract.LIVE,
     trigger: dict | None = None,
-    query_name: str | None = None,
+    stream: str = "live",
 ) -> StreamingQuery:
-    """Run ``write_batch_tables`` for every micro batch."""
+    """Run ``write_batch_tables`` for every micro batch.
+
+    ``stream`` names the query in the load ids of its rows.
+    """
+    sinks.provision(parsed_stream.sparkSession, database)
     writer = parsed_stream.writeStream.foreachBatch(
-        lambda df, batch_id: write_batch_tables(df, output_root, batch_id, profile)
+        lambda df, batch_id: write_batch_tables(df, database, batch_id, profile, stream)
     ).option("checkpointLocation", checkpoint)
-    if query_name:
-        writer = writer.queryName(query_name)
     return _trigger(writer, trigger).start()
 
 
+def without_replays(messages_stream: DataFrame, within: str = "1 hour") -> DataFrame:
+    """R5 on a stream: a message that is delivered again within the time is dropped."""
+    return messages_stream.withWatermark("publish_time", within).dropDuplicatesWithinWatermark(["message_id"])
+
+
 # ------------------------------------------------------------------ page views
 
 def start_page_views(
@@ -199,24 +208,27 @@ def start_raw_landing(
     output_dir: str,
     checkpoint: str,
     num_shards: int = pageviews.DEFAULT_NUM_SHARDS,
+    rows_per_file: int = 100_000,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """K5: raw message text as files under ``minute=.../shard=...``.
-
-    Rows are shuffled by ``(minute, shard)`` first, so each micro batch
-    writes one file per (minute, shard), as the reference does. Without it
-    every task holding rows of a minute would add its own small file there
-    (up to tasks x shards files per minute on a large cluster). ``num_shards``
-    is the write parallelism of one minute; raise it for heavy traffic so a
-    hot minute spreads over more tasks.
+    """K5: raw messages as lines of text files under ``batch_id=.../hour=...``.
+
+    Each line names the minute and the shard of its message. An hour of a
+    micro batch is spread over as many tasks and files as its rows need, so
+    neither a hot minute nor a quiet hour with a file per minute hurts.
     """
-    rows = pageviews.raw_landing_rows(messages_stream, num_shards).repartition("minute", "shard")
-    writer = (
-        rows.writeStream.format("text")
-        .partitionBy("minute", "shard")
-        .option("path", output_dir)
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        rows = pageviews.raw_lines(pageviews.raw_landing_rows(df, num_shards)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            files = rows.groupBy("hour").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("files"))
+            spread = rows.join(files, "hour").withColumn("file", F.pmod(F.xxhash64("message_id"), F.col("files")))
+            spread = spread.repartition("hour", "file").select("value", "hour")
+            write_batch_partition(spread, output_dir, batch_id, ("hour",), "text")
+        finally:
+            rows.unpersist()
+
+    writer = messages_stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 
@@ -233,14 +245,13 @@ def parse_message_stream(messages: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ live dashboard
 
 def live_dashboard_aggregates(parsed_stream: DataFrame, profile: str = extract.LIVE) -> dict[str, DataFrame]:
-    """The dashboard reports as streaming aggregates over the live tables.
+    """The dashboard reports as streaming aggregates over the live stream.
 
     ``visits_by_device`` (A7), ``product_totals`` (A5 before the top-k cut)
     and ``sales_by_category`` (A6) are plain grouped aggregates, so Spark
-    keeps them in the state store and updates them per micro batch.
-    Visits by page (A4) is a distinct count, which Spark does not support
-    as a streaming aggregate; it runs as a batch query over the live
-    ``events`` table the ingest keeps appending.
+    keeps them in the state store and updates them per micro batch. For
+    ``visits_by_page`` (A4), a distinct count, the stream is the distinct
+    (page, session) pairs; ``read_visits_by_page`` counts what was written.
     """
     from clickweave.operators import reports
 
@@ -250,21 +261,33 @@ def live_dashboard_aggregates(parsed_stream: DataFrame, profile: str = extract.L
         whole_sum(F.col("quantity")).alias("total_quantity"),
         F.count(F.lit(1)).alias("order_lines"),
     )
+    pages = extract.events(parsed_stream, profile).where("event_type = 'page_view'").select("page_url", "session_id")
     return {
         "visits_by_device": reports.visits_by_device(visits),
         "product_totals": totals,
         "sales_by_category": reports.sales_by_category(items),
+        "visits_by_page": pages.dropDuplicates(["page_url", "session_id"]),
     }
 
 
-def start_snapshot(aggregate: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write a streaming aggregate's full current result as a snapshot per trigger.
+def start_updates(aggregate: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the groups that a micro batch changed, as they are now, under its ``batch_id``.
 
-    Complete mode hands every micro batch the whole (small, one row per
-    group) result; it replaces the previous snapshot.
+    Readers see finished batches only, and a trigger writes no more groups
+    than it changed.
     """
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("as_of_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(path)
+    writer = aggregate.writeStream.outputMode("update").foreachBatch(lambda df, batch_id: write_batch_partition(df, path, batch_id))
+    return _trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
 
-    writer = aggregate.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger).start()
+
+def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The latest state of every group that ``start_updates`` wrote."""
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_now"))
+    return latest.select(*keys, "_now.*")
+
+
+def read_visits_by_page(spark: SparkSession, path: str) -> DataFrame:
+    """A4 of the pairs that ``start_updates`` wrote (each pair is written once)."""
+    return spark.read.parquet(path).groupBy("page_url").agg(F.count(F.lit(1)).alias("visits"))

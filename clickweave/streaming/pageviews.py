@@ -14,10 +14,11 @@ before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.functions.scalars import minute_label, shard_label
+from clickweave.functions.scalars import iso_text, minute_label, shard_label, utf8_text
+from clickweave.schemas import MESSAGE
 from clickweave.sources.decode import MISSING_SESSION_ID
 
 # Fixed values from the reference's streaming job.
@@ -26,6 +27,20 @@ DEFAULT_DOS_THRESHOLD = 10
 DEFAULT_NUM_SHARDS = 5
 PAGE_VIEW = "page_view"
 
+# A message with this attribute carries no session. Its publish time moves the
+# watermark, so that the windows before it close at the end of the input.
+CONTROL, FLUSH = "control", "flush"
+
+
+def flush_message(messages: DataFrame, window_minutes: int = DEFAULT_WINDOW_MINUTES) -> DataFrame:
+    """One message, a window later than the last of ``messages``, that closes every window."""
+    after = F.max("publish_time") + F.make_dt_interval(mins=F.lit(window_minutes))
+    row = messages.agg(after.alias("publish_time")).where("publish_time is not null")
+    return row.select(
+        F.lit(FLUSH).alias("message_id"), "publish_time",
+        F.create_map(F.lit(CONTROL), F.lit(FLUSH)).alias("attributes"), F.lit(None).cast("binary").alias("data"),
+    ).select(*MESSAGE.names)
+
 
 def page_views_per_record(parsed: DataFrame, time_col: str = "publish_time") -> DataFrame:
     """number of page_view entries per decodable record.
@@ -33,9 +48,12 @@ def page_views_per_record(parsed: DataFrame, time_col: str = "publish_time") ->
     As in the reference, neither a session id nor an event timestamp is
     required (records rejected only for a missing session id still count).
     Unlike the reference, a NULL entry does not stop the count for the
-    rest of the record (SURVEY §4.4).
+    rest of the record (SURVEY §4.4). A flush message has none, but its time
+    counts for the watermark.
     """
     ok = F.col("reject_reason").isNull() | (F.col("reject_reason") == MISSING_SESSION_ID)
+    if "attributes" in parsed.columns:
+        ok |= F.coalesce(F.try_element_at("attributes", F.lit(CONTROL)) == FLUSH, F.lit(False))
     evs = F.coalesce(F.col("rec.events"), F.array())
     n = F.size(F.filter(evs, lambda e: e["event"]["event_type"] == F.lit(PAGE_VIEW)))
     return parsed.where(ok).select(F.col(time_col).alias("event_time"), n.cast("long").alias("page_views"))
@@ -81,16 +99,41 @@ def page_view_alerts(counts: DataFrame, threshold: int = DEFAULT_DOS_THRESHOLD)
 
 
 def raw_landing_rows(messages: DataFrame, num_shards: int = DEFAULT_NUM_SHARDS) -> DataFrame:
-    """Raw message text keyed by publish minute and stable shard.
+    """Every message keyed by publish hour, minute and stable shard.
 
-    Output columns ``minute, shard, value``; write with
-    ``partitionBy("minute", "shard")`` as text. All rows of one
-    ``(minute, shard)`` are kept (the reference's file name collided for
-    different seconds of one minute and overwrote data).
+    Columns ``hour, minute, shard, message_id, value, data64``: the text, or,
+    if the bytes are no UTF-8 text, the bytes in base64.
     """
-    text = F.col("value") if "value" in messages.columns else F.col("data").cast("string")
-    return messages.where(text.isNotNull()).select(
+    if "value" in messages.columns:
+        text, other = F.col("value"), F.lit(None).cast("string")
+    else:
+        text = utf8_text(F.col("data"))
+        other = F.when(text.isNull(), F.base64("data"))
+    return messages.select(
+        F.date_format("publish_time", "yyyy-MM-dd-HH").alias("hour"),
         minute_label(F.col("publish_time")).alias("minute"),
         shard_label(F.col("message_id"), num_shards).alias("shard"),
+        "message_id", "publish_time",
         text.alias("value"),
+        other.alias("data64"),
+    )
+
+
+RAW_LINE = "message_id string, publish_time string, minute string, shard string, value string, data64 string"
+
+
+def raw_lines(rows: DataFrame) -> DataFrame:
+    """``hour, value``, each message as one line of JSON: line feeds inside it are escaped."""
+    # JSON writes times to the millisecond
+    at = F.concat(iso_text(F.col("publish_time")), F.lit("Z")).alias("publish_time")
+    return rows.select("hour", "message_id", F.to_json(F.struct("message_id", at, "minute", "shard", "value", "data64")).alias("value"))
+
+
+def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
+    """Landed messages again: ``message_id, publish_time, attributes, data, minute, shard``."""
+    lines = spark.read.schema("value string, hour string, batch_id long").text(path)
+    m = lines.select(F.from_json("value", RAW_LINE).alias("m")).select("m.*")
+    return m.select(
+        "message_id", F.col("publish_time").cast("timestamp").alias("publish_time"), F.lit(None).cast("map<string,string>").alias("attributes"),
+        F.coalesce(F.encode("value", "UTF-8"), F.unbase64("data64")).alias("data"), "minute", "shard",
     )

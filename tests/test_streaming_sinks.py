@@ -34,7 +34,7 @@ def test_provision_idempotent(spark):
     b = sinks.provision(spark, "prov_t")
     assert a == b
     cols = {f.name: f.nullable for f in spark.table("prov_t.events").schema.fields}
-    assert "event_date" in cols and len(cols) == 17
+    assert {"event_date", "load_id"} < set(cols) and len(cols) == 18
     props = dict(spark.sql("SHOW TBLPROPERTIES prov_t.visits").collect())
     assert props.get("zone") == "prov_t"
 
@@ -59,7 +59,8 @@ def test_batch_fanout_modes_agree(spark, session_files):
     a = run_batch(spark, path, database="fan_ckpt", fanout="checkpoint")
     b = run_batch(spark, path, database="fan_persist", fanout="persist")
     assert a == b
-    assert spark.table("fan_ckpt.events").exceptAll(spark.table("fan_persist.events")).count() == 0
+    a, b = (spark.table(f"{d}.events").drop("load_id") for d in ("fan_ckpt", "fan_persist"))
+    assert a.exceptAll(b).count() == 0
 
 
 def test_file_stream_matches_batch_and_archives(spark, session_files, tmp_path):
@@ -68,12 +69,11 @@ def test_file_stream_matches_batch_and_archives(spark, session_files, tmp_path):
     inp.mkdir()
     files = sorted(glob.glob(os.path.join(src, "*.jsonl")))
     archive = tmp_path / "archive"
-    out = str(tmp_path / "out")
     ckpt = str(tmp_path / "ckpt")
 
     def run():
         lines = ingest.file_sessions_stream(spark, str(inp), archive_dir=str(archive), max_files_per_trigger=1)
-        q = ingest.start_live_ingest(ingest.parse_file_stream(lines), out, ckpt, profile="batch")
+        q = ingest.start_live_ingest(ingest.parse_file_stream(lines), "file_stream_t", ckpt, profile="batch")
         q.awaitTermination(300)
 
     # first catch-up run sees file a, the second sees b, the third nothing new
@@ -81,28 +81,114 @@ def test_file_stream_matches_batch_and_archives(spark, session_files, tmp_path):
         (inp / os.path.basename(f)).write_text(open(f).read())
         run()
     run()
-    got = spark.read.parquet(f"{out}/events").drop("batch_id")
+    got = spark.table("file_stream_t.events").drop("event_date", "load_id")
     want = extract.events(parse_sessions(spark.read.text(src).withColumn("source", F.lit("x"))), "batch")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
-    assert spark.read.parquet(f"{out}/visits").count() == n
-    assert spark.read.parquet(f"{out}/rejects").where("stage = 'record'").count() == 1
+    assert spark.table("file_stream_t.visits").count() == n
+    assert spark.table("file_stream_t.rejects").where("stage = 'record'").count() == 1
     # a batch's files are archived when the next batch is planned
     archived = [os.path.basename(p) for p in glob.glob(str(archive) + "/**/*.jsonl", recursive=True)]
     assert archived == ["a.jsonl"]
     assert sorted(os.listdir(inp)) == ["b.jsonl"]
 
 
-def test_foreach_batch_replay_is_idempotent(spark, tmp_path):
+def test_foreach_batch_replay_is_idempotent(spark):
     msgs = session_messages(spark, SF_SMALL)
     parsed = parse_messages(msgs)
-    out = str(tmp_path / "out")
-    ingest.write_batch_tables(parsed, out, 7)
-    ingest.write_batch_tables(parsed, out, 7)
-    ingest.write_batch_tables(parsed.limit(5), out, 8)
-    v = spark.read.parquet(f"{out}/visits")
-    assert v.where("batch_id = 7").count() == msgs.count()
-    assert v.where("batch_id = 8").count() == 5
+    sinks.provision(spark, "replay_t")
+    ingest.write_batch_tables(parsed, "replay_t", 7)
+    ingest.write_batch_tables(parsed, "replay_t", 7)
+    ingest.write_batch_tables(parsed.limit(5), "replay_t", 8)
+    ingest.write_batch_tables(parsed.limit(3), "replay_t", 8)  # a smaller attempt leaves nothing of the larger one
+    v = spark.table("replay_t.visits")
+    assert v.where("load_id = 'live-7'").count() == msgs.count()
+    assert v.where("load_id = 'live-8'").count() == 3
+
+
+def test_failed_run_written_again_does_not_double(spark, session_files, monkeypatch):
+    path, n = session_files
+    real = sinks.write_table
+
+    def failing(df, name, *a, **kw):
+        if name == "purchase_items":
+            raise RuntimeError("lost")
+        real(df, name, *a, **kw)
+
+    monkeypatch.setattr(sinks, "write_table", failing)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, path, database="retry_t", run_id="7")
+    monkeypatch.setattr(sinks, "write_table", real)
+    m = run_batch(spark, path, database="retry_t", run_id="7")
+    assert spark.table("retry_t.visits").count() == n == m["visits_rows"]
+    assert spark.table("retry_t.events").count() == m["events_rows"]
+
+
+def test_modes(spark, tmp_path):
+    import json
+
+    from tests.conftest import ev, session
+
+    def day(d, sid):
+        f = tmp_path / f"{sid}.jsonl"
+        f.write_text(json.dumps(session(sid, [ev(timestamp=f"2024-01-0{d}T10:00:00")])) + "\n" + json.dumps(session(sid + "-untimed", [])))
+        return str(f)
+
+    def load(path, mode):
+        run_batch(spark, path, database="modes_t", mode=mode, glob=None)
+        v = spark.table("modes_t.visits")
+        return sorted(r.session_id for r in v.collect()), sorted(r.session_id for r in spark.table("modes_t.events").collect())
+
+    assert load(day(1, "a"), "append") == (["a", "a-untimed"], ["a"])
+    assert load(day(2, "b"), "append") == (["a", "a-untimed", "b", "b-untimed"], ["a", "b"])
+    # day 1 and the visits without a day are replaced, day 2 stays
+    assert load(day(1, "c"), "replace_days") == (["b", "c", "c-untimed"], ["b", "c"])
+    assert load(day(3, "d"), "truncate") == (["d", "d-untimed"], ["d"])
+    with pytest.raises(ValueError, match="mode"):
+        load(day(3, "d"), "overwrite")
+
+
+def test_compacted_days_keep_their_rows(spark):
+    parsed = parse_messages(session_messages(spark, SF_SMALL))
+    sinks.provision(spark, "compact_t")
+    for i in range(3):
+        ingest.write_batch_tables(parsed.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == i), "compact_t", i)
+    before = spark.table("compact_t.events").drop("load_id").collect()
+    sinks.compact(spark, "events", "compact_t", "2024-01-15")
+    after = spark.table("compact_t.events")
+    assert sorted(map(str, after.drop("load_id").collect())) == sorted(map(str, before))
+    assert {r.load_id for r in after.where("event_date < '2024-01-15'").select("load_id").distinct().collect()} == {"compacted-2024-01-15"}
+    assert after.where("event_date >= '2024-01-15'").select("load_id").distinct().count() == 3
+
+
+def test_batch_archives_what_it_read(spark, session_files, tmp_path):
+    import shutil
+
+    src, n = session_files
+    shutil.copytree(src, tmp_path / "in")
+    m = run_batch(spark, str(tmp_path / "in"), database="archive_t", archive_dir=str(tmp_path / "done"))
+    assert m["visits_rows"] == n
+    assert not glob.glob(str(tmp_path / "in/*.jsonl"))
+    assert sorted(os.path.basename(p) for p in glob.glob(str(tmp_path / "done/**/*.jsonl"), recursive=True)) == ["a.jsonl", "b.jsonl"]
+    assert run_batch(spark, str(tmp_path / "in"), database="archive_t")["input_records"] == 0
+
+
+def test_replayed_messages_are_dropped(spark, tmp_path):
+    msgs = session_messages(spark, SF_SMALL)
+    msgs.unionByName(msgs).write.parquet(str(tmp_path / "m"))
+    stream = parse_messages(ingest.without_replays(ingest.message_files_stream(spark, str(tmp_path / "m")), "60 days"))
+    ingest.start_live_ingest(stream, "dropped_t", str(tmp_path / "ck")).awaitTermination(300)
+    assert spark.table("dropped_t.visits").count() == msgs.count()
+
+
+def test_flush_closes_the_last_window(spark, tmp_path):
+    msgs = session_messages(spark, SF_SMALL)
+    msgs.unionByName(pageviews.flush_message(msgs, 60)).write.parquet(str(tmp_path / "m"))
+    stream = parse_messages(ingest.message_files_stream(spark, str(tmp_path / "m")))
+    ingest.start_page_views(stream, str(tmp_path / "c"), str(tmp_path / "a"), str(tmp_path / "k"), window_minutes=60).awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "c")).drop("batch_id")
+    batch = pageviews.page_view_counts(parse_messages(msgs), 60)
+    assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
 
 
 def test_page_view_stream_equals_batch_on_closed_windows(spark, tmp_path):
@@ -163,38 +249,50 @@ def test_threshold_is_strict(spark):
     assert got == [11]
 
 
-def test_raw_landing_partitions(spark, tmp_path):
+def test_raw_landing_keeps_every_message(spark, tmp_path):
     msgs = session_messages(spark, SF_SMALL)
+    odd = spark.createDataFrame([("nl", bytearray(b'{"a":1,\n\r\n"b":2}\n')), ("bytes", bytearray(b"\xff\xfe\n")), ("none", None)] + [(f"hot{i}", bytearray(b"x")) for i in range(100)], "message_id string, data binary")
+    msgs = msgs.unionByName(odd.select("message_id", F.lit("2024-01-05 10:00:00").cast("timestamp").alias("publish_time"), F.lit(None).cast("map<string,string>").alias("attributes"), "data"))
     src = tmp_path / "msgs"
     msgs.write.parquet(str(src))
     out, ckpt = str(tmp_path / "raw"), str(tmp_path / "k")
-    q = ingest.start_raw_landing(ingest.message_files_stream(spark, str(src)), out, ckpt, num_shards=5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these partitions are all small
+    q = ingest.start_raw_landing(ingest.message_files_stream(spark, str(src)), out, ckpt, num_shards=5, rows_per_file=10)
     q.awaitTermination(300)
-    back = spark.read.text(out)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = pageviews.read_raw_landing(spark, out)
     assert back.count() == msgs.count()
-    shards = {os.path.basename(p) for p in glob.glob(out + "/minute=*/shard=*")}
-    assert shards == {"shard=00", "shard=01", "shard=02", "shard=03", "shard=04"}
-    minutes = {os.path.basename(p) for p in glob.glob(out + "/minute=*")}
-    assert all(len(m) == len("minute=2024-01-01-T-00-00") for m in minutes)
+    same = [f.select("message_id", "publish_time", "data") for f in (back, msgs)]
+    assert same[0].exceptAll(same[1]).count() == 0
+    assert {r.shard for r in back.select("shard").distinct().collect()} == {"00", "01", "02", "03", "04"}
+    assert all(len(r.minute) == len("2024-01-01-T-00-00") for r in back.select("minute").distinct().collect())
+    # the rows of a hot hour are spread over files, a quiet hour is one file
+    assert len(glob.glob(out + "/batch_id=0/hour=2024-01-05-10/part-*")) > 3
+    assert all(len(glob.glob(d + "/part-*")) == 1 for d in glob.glob(out + "/batch_id=0/hour=*") if not d.endswith("2024-01-05-10"))
 
 
-def test_live_dashboard_snapshots(spark, tmp_path):
+def test_live_dashboard_updates(spark, tmp_path):
     from clickweave.operators import reports
 
-    msgs = session_messages(spark, SF_SMALL)
+    msgs = session_messages(spark, SF_SMALL).repartition(3)
     src = tmp_path / "msgs"
     msgs.write.parquet(str(src))
     stream = parse_messages(ingest.message_files_stream(spark, str(src), max_files_per_trigger=1))
     aggs = ingest.live_dashboard_aggregates(stream)
     for name, agg in aggs.items():
-        ingest.start_snapshot(agg, str(tmp_path / name), str(tmp_path / f"ck_{name}")).awaitTermination(300)
+        ingest.start_updates(agg, str(tmp_path / name), str(tmp_path / f"ck_{name}")).awaitTermination(300)
     batch = parse_messages(msgs)
-    want_dev = reports.visits_by_device(extract.visits(batch))
-    got_dev = spark.read.parquet(str(tmp_path / "visits_by_device")).drop("as_of_batch")
-    assert got_dev.exceptAll(want_dev).count() == 0 and got_dev.count() == want_dev.count()
-    want_cat = reports.sales_by_category(extract.purchase_items(batch, "live"))
-    got_cat = spark.read.parquet(str(tmp_path / "sales_by_category")).drop("as_of_batch")
-    assert got_cat.exceptAll(want_cat).count() == 0
+    items = extract.purchase_items(batch, "live")
+    want = {
+        "visits_by_device": (["device_type"], reports.visits_by_device(extract.visits(batch))),
+        "sales_by_category": (["category"], reports.sales_by_category(items)),
+        "product_totals": (["product_id"], reports.popular_items(items, 10**6)),
+    }
+    for name, (keys, df) in want.items():
+        got = ingest.read_updates(spark, str(tmp_path / name), keys)
+        assert got.exceptAll(df.select(*got.columns)).count() == 0 and got.count() == df.count(), name
+    pages = ingest.read_visits_by_page(spark, str(tmp_path / "visits_by_page"))
+    assert pages.exceptAll(reports.visits_by_page(extract.events(batch))).count() == 0
 
 
 def test_raw_zone_landing(spark, session_files):
@@ -207,7 +305,7 @@ def test_cli_batch_and_page_views(spark, session_files, tmp_path):
     from clickweave.plans import cli
 
     path, n = session_files
-    m = cli.main(["batch", "--input", path, "--database", "cli_t", "--mode", "overwrite", "--fanout", "persist"], spark)
+    m = cli.main(["batch", "--input", path, "--database", "cli_t", "--mode", "truncate", "--fanout", "persist"], spark)
     assert m["visits_rows"] == n
     msgs = session_messages(spark, SF_SMALL)
     msgs.write.parquet(str(tmp_path / "msgs"))
@@ -215,15 +313,8 @@ def test_cli_batch_and_page_views(spark, session_files, tmp_path):
               str(tmp_path / "out"), "--checkpoint", str(tmp_path / "ck"), "--window-minutes", "60",
               "--raw-output", str(tmp_path / "raw")], spark)
     assert spark.read.parquet(str(tmp_path / "out/page_views")).count() > 0
-    assert spark.read.text(str(tmp_path / "raw")).count() == msgs.count()
-
-
-def test_raw_landing_one_file_per_minute_shard(spark, tmp_path):
-    msgs = session_messages(spark, SF_SMALL).repartition(4)
-    src = tmp_path / "msgs"
-    msgs.write.parquet(str(src))
-    out = str(tmp_path / "raw")
-    ingest.start_raw_landing(ingest.message_files_stream(spark, str(src)), out, str(tmp_path / "k")).awaitTermination(300)
-    dirs = glob.glob(out + "/minute=*/shard=*")
-    files = glob.glob(out + "/minute=*/shard=*/part-*")
-    assert len(files) == len(dirs)
+    assert pageviews.read_raw_landing(spark, str(tmp_path / "raw")).count() == msgs.count()
+    with pytest.raises(SystemExit):  # lines are no messages
+        cli.main(["page-views", "--source", "files-jsonl", "--output", "x", "--checkpoint", "y"], spark)
+    cli.main(["live-ingest", "--source", "files-jsonl", "--input", path, "--database", "cli_live_t", "--checkpoint", str(tmp_path / "ckl")], spark)
+    assert spark.table("cli_live_t.visits").count() == n
