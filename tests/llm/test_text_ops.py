@@ -240,13 +240,16 @@ def _pages(spark, rows):
 
 def test_constant_slots_are_template(spark):
     body = "<html><body><article><h2>News of the day</h2><p>{}</p><p>{}</p><p>Write to us any time.</p></article></body></html>"
-    rows = [(i, f"http://A.example/{i}", body.format(f"text {i}", f"more {i % 4}")) for i in range(30)]
+    long = "a sentence that is long enough to be most of the page, again and again. " * 3
+    rows = [(i, f"http://A.example/{i}", body.format(f"{long}{i}", f"more {i % 4}")) for i in range(30)]
     rows += [(100 + i, "http://b.example/x", body.format("same", "same")) for i in range(30)]  # copies of one page
-    rows += [(200 + i, "http://c.example/y", body.format(i, i)) for i in range(5)]  # too few pages
+    rows += [(200 + i, "http://c.example/y", body.format(long + str(i), i)) for i in range(5)]  # too few pages
+    rows += [(300 + i, "http://d.example/z", body.format(long, i)) for i in range(30)]  # near copies of one page
     got = {r.page_id: r for r in html_text.extract(_pages(spark, rows)).collect()}
-    assert all(got[i].text == f"text {i} more {i % 4}" and got[i].n_template == 2 for i in range(30))
+    assert all(got[i].text == f"{long}{i} more {i % 4}" and got[i].n_template == 2 for i in range(30))
     assert all(got[100 + i].text == "News of the day same same Write to us any time." for i in range(30))
-    assert all(got[200 + i].text == f"News of the day {i} {i} Write to us any time." for i in range(5))
+    assert all(got[200 + i].text == f"News of the day {long}{i} {i} Write to us any time." for i in range(5))
+    assert all(got[300 + i].text == f"News of the day {long.strip()} {i} Write to us any time." for i in range(30))
 
 
 def test_page_odd_rows(spark):
