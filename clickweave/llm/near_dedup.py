@@ -211,15 +211,16 @@ def without_near_duplicates(docs: DataFrame, **rules) -> DataFrame:
     """The row of smallest doc_id of each component, with the columns of ``docs``.
 
     Of several rows with that doc_id the one of least hash stays; rows
-    without a doc_id all stay.
+    without a doc_id all stay. The rows that go are far fewer than those that
+    stay, so they are the side that texts are joined with.
     """
-    verdicts = near_duplicates(docs, **rules).where("kept and doc_id is not null")
+    verdicts = staged(near_duplicates(docs, **rules).where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("copies")), "verdicts")
     own = "__near_id"
-    kept = staged(verdicts.groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias("__near_copies")), "kept")
-    rows = docs.join(kept.where("__near_copies = 1"), F.col("doc_id") == F.col(own), "left_semi")
-    several = kept.where("__near_copies > 1")
+    several = verdicts.where("kept and copies > 1").select(F.col("doc_id").alias(own))
+    gone = verdicts.where("not kept or copies > 1").select(F.col("doc_id").alias(own))
+    rows = docs.join(gone, F.col("doc_id") == F.col(own), "left_anti")
     if not several.isEmpty():
         whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
         one = docs.join(several, F.col("doc_id") == F.col(own)).groupBy(own).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("__near_row"))
         rows = rows.unionByName(one.select("__near_row.*"))
-    return rows.unionByName(docs.where(F.col("doc_id").isNull()))
+    return rows

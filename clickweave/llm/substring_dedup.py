@@ -195,15 +195,20 @@ def repeat_verdicts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with the repeated words cut from ``text``; ``n_chars``, where it is a column, follows."""
+    """``docs`` with the repeated words cut from ``text``; ``n_chars``, where it is a column, follows.
+
+    Only rows that lose words are joined with their new texts; all others are
+    joined with the ids of those, a narrow table.
+    """
     _, changes = _changes(docs.select("doc_id", "text"), window)
     own = "__substring_"
     found = changes.select(F.col("doc_id").alias(own + "id"), F.col("row").alias(own + "row"), F.col("text").alias(own + "text"))
-    rows = docs.join(found, (F.col("doc_id") == F.col(own + "id")) & (F.xxhash64("text") == F.col(own + "row")), "left")
-    new = {"text": F.coalesce(own + "text", "text")}
+    match = (F.col("doc_id") == F.col(own + "id")) & (F.xxhash64("text") == F.col(own + "row"))
+    same = docs.join(found.drop(own + "text"), match, "left_anti")
+    new = {"text": F.col(own + "text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col(own + "text").isNotNull(), F.char_length(own + "text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rows.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.char_length(own + "text").cast(docs.schema["n_chars"].dataType)
+    return same.unionByName(docs.join(found, match).withColumns(new).select(*docs.columns))
 
 
 def repeat_levels(docs: DataFrame, window: int = WINDOW) -> DataFrame:
