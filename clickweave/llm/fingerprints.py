@@ -38,26 +38,24 @@ from pyspark.sql import functions as F
 from clickweave.llm.words import Powers, WordHashes, window_hashes
 
 SAMPLES = 64
-#: Quantiles of a Gamma(2, 1) variable that tables hold.
-R_BITS, C_BITS, B_BITS = 16, 18, 16
+#: Bits of a draw: quantiles of a Gamma(2, 1) variable that the tables hold.
+BITS = 16
 #: Ranges of ids for each shuffle partition.
 RANGES = 4
 
 
 @functools.cache
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    def gamma2(bits: int) -> np.ndarray:
-        """Quantiles: the root of 1 - exp(-x) * (1 + x) = u, by bisection."""
-        u = (np.arange(1 << bits) + 0.5) / (1 << bits)
-        low, high = np.zeros(len(u)), np.full(len(u), 64.0)
-        for _ in range(60):
-            middle = (low + high) / 2
-            less = -np.expm1(-middle) - middle * np.exp(-middle) < u
-            low, high = np.where(less, middle, low), np.where(less, high, middle)
-        return (low + high) / 2
-
-    odd = np.random.default_rng(31).integers(0, 2**63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
-    return gamma2(R_BITS).astype(np.float32), np.log(gamma2(C_BITS)).astype(np.float32), odd
+    """Quantiles of a Gamma(2, 1) variable, their logarithms, and odd multipliers for the draws."""
+    u = (np.arange(1 << BITS) + 0.5) / (1 << BITS)
+    low, high = np.zeros(len(u)), np.full(len(u), 64.0)
+    for _ in range(60):  # the root of 1 - exp(-x) * (1 + x) = u, by bisection
+        middle = (low + high) / 2
+        less = -np.expm1(-middle) - middle * np.exp(-middle) < u
+        low, high = np.where(less, middle, low), np.where(less, high, middle)
+    gamma = (low + high) / 2
+    odd = np.random.default_rng(31).integers(0, 2**31, (2, SAMPLES), np.uint32) * np.uint32(2) + np.uint32(1)
+    return gamma.astype(np.float32), np.log(gamma).astype(np.float32), odd
 
 
 def samples(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -66,29 +64,33 @@ def samples(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     least = np.full(SAMPLES, np.inf, np.float32)
     taken = np.zeros(SAMPLES, np.uint64)
     at = np.arange(SAMPLES)
-    for i in range(0, len(terms), 1024):
-        drawn = terms[i : i + 1024, None] * odd
-        r = gamma[drawn >> np.uint64(64 - R_BITS)]
-        c = log_gamma[(drawn >> np.uint64(64 - R_BITS - C_BITS)) & np.uint64((1 << C_BITS) - 1)]
-        b = ((drawn >> np.uint64(64 - R_BITS - C_BITS - B_BITS)) & np.uint64((1 << B_BITS) - 1)).astype(np.float32) / np.float32(1 << B_BITS)
-        weight = weights[i : i + 1024]
-        value = c - r * (1 - b)  # of weight 1, where t is 0
+    halves = (terms >> np.uint64(32)).astype(np.uint32), terms.astype(np.uint32)
+    low = np.uint32((1 << BITS) - 1)
+    for i in range(0, len(terms), 512):
+        part, weight = terms[i : i + 512], weights[i : i + 512]
+        first, second = (h[i : i + 512, None] * o for h, o in zip(halves, odd, strict=True))
+        r = gamma.take((first >> np.uint32(BITS)).view(np.int32), mode="clip")
+        value = log_gamma.take((second >> np.uint32(BITS)).view(np.int32), mode="clip")
+        # 1 - b, uniform as b is
+        rest = (first & low).view(np.int32).astype(np.float32)
+        rest *= np.float32(1 / (1 << BITS))
         many = np.flatnonzero(weight > 1)
-        t = np.zeros((len(many), SAMPLES), np.float32)
         if len(many):
-            t = np.floor(np.log(weight[many], dtype=np.float32)[:, None] / r[many] + b[many])
-            value[many] = c[many] - r[many] * (t - b[many] + 1)
+            t = np.floor(np.log(weight[many], dtype=np.float32)[:, None] / r[many] + 1 - rest[many])
+        rest *= r
+        value -= rest  # of weight 1, where t is 0
+        if len(many):
+            value[many] -= r[many] * t
         pick = value.argmin(0)
-        lower = value[pick, at] < least
-        least[lower] = value[pick, at][lower]
-        steps = np.zeros((len(weight), 1), np.int64) if not len(many) else None
-        if steps is None:
-            place = np.full(len(weight), -1)
+        found = value[pick, at]
+        chosen = part[pick]
+        if len(many):
+            place = np.full(len(part), -1)
             place[many] = np.arange(len(many))
             step = np.where(place[pick] >= 0, t[place[pick], at], 0).astype(np.int64)
-        else:
-            step = np.zeros(SAMPLES, np.int64)
-        chosen = terms[i : i + 1024][pick] + step.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            chosen = chosen + step.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        lower = found < least
+        least[lower] = found[lower]
         taken[lower] = chosen[lower]
     mixed = (taken ^ (taken >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return (mixed >> np.uint64(48)).astype(np.uint16)
