@@ -25,7 +25,6 @@ gives no rows.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -44,7 +43,6 @@ BITS = 16
 RANGES = 4
 
 
-@functools.cache
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Quantiles of a Gamma(2, 1) variable, their logarithms, and odd multipliers for the draws."""
     u = (np.arange(1 << BITS) + 0.5) / (1 << BITS)
@@ -58,9 +56,9 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return gamma.astype(np.float32), np.log(gamma).astype(np.float32), odd
 
 
-def samples(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def samples(terms: np.ndarray, weights: np.ndarray, tables: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """16-bit samples of a weighted set of distinct 64-bit terms."""
-    gamma, log_gamma, odd = _tables()
+    gamma, log_gamma, odd = tables
     least = np.full(SAMPLES, np.inf, np.float32)
     taken = np.zeros(SAMPLES, np.uint64)
     at = np.arange(SAMPLES)
@@ -98,14 +96,14 @@ def samples(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 class Fingerprinter:
     def __init__(self) -> None:
-        self._hashes, self._powers = WordHashes(), Powers()
+        self._hashes, self._powers, self._tables = WordHashes(), Powers(), _tables()
 
     def __call__(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "replace").split()
         if not words:
             return np.empty(0, np.uint16)
         terms, weights = np.unique(window_hashes(self._hashes.of(words), min(2, len(words)), self._powers), return_counts=True)
-        return samples(terms, weights)
+        return samples(terms, weights, self._tables)
 
 
 def as_text(fingerprint: np.ndarray) -> str:

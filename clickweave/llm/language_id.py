@@ -23,7 +23,6 @@ count once each; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,17 +40,16 @@ MAX_LANGUAGES = 1000
 HELD = 2_000_000
 
 
-@functools.cache
-def _letters() -> np.ndarray:
+def letters() -> np.ndarray:
     """By code point: itself if it is a letter, else a blank."""
     table = np.arange(0x110000, dtype=np.int64)
     table[[not chr(c).isalpha() for c in range(0x110000)]] = 32
     return table
 
 
-def grams(text: str) -> np.ndarray:
-    """All n-grams of a text, as integers; empty if there is no letter."""
-    points = _letters()[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
+def grams(text: str, table: np.ndarray) -> np.ndarray:
+    """All n-grams of a text, as integers; empty if there is no letter. ``table`` is ``letters()``."""
+    points = table[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
     padded = np.concatenate([[32], points, [32]])
     # runs of blanks count as one
     padded = padded[np.concatenate([[True], (padded[1:] != 32) | (padded[:-1] != 32)])]
@@ -63,12 +61,13 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate([one[one != 32], two, three])
 
 
-def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(grams(text), return_counts=True)
+def counted(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(grams(text, table), return_counts=True)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list] = {}
+    table = letters()
 
     def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
         ids, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -85,7 +84,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
     for batch in batches:
         for text, lang in zip(batch.column("text"), batch.column("lang"), strict=True):
-            found = counted(text.as_py())
+            found = counted(text.as_py(), table)
             held.setdefault(lang.as_py(), []).append(found)
             size += len(found[0])
             if size > HELD:
@@ -123,10 +122,11 @@ def _predictor(profiles: list[tuple[str, np.ndarray]], size: int, profile: int):
         ranks[i, np.searchsorted(known, v)] = np.arange(len(v))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = letters()
         for batch in batches:
             langs, scores = [], []
             for text in batch.column("text"):
-                ids, n = counted(text.as_py() or "")
+                ids, n = counted(text.as_py() or "", table)
                 if not len(ids) or not profiles:
                     langs.append(UNKNOWN)
                     scores.append(0.0)

@@ -95,3 +95,23 @@ def test_oracles(spark, name):
     want = con.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in want.description]
     assert Counter(tuple(r[c] for c in columns) for r in got.collect()) == Counter(want.fetchall())
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Queries run from any folder: functions travel by value."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+import __spark_entry__ as e
+from clickweave.session import get_spark
+spark = get_spark("local[2]", 2, extra={{"spark.checkpoint.dir": {str(tmp_path / "ck")!r}}})
+q = e.queries()
+print([q[n](spark, "/root/testdata/sf0.001").count() for n in sorted(q) if n.startswith("op")])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
