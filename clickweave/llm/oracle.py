@@ -26,6 +26,35 @@ select s.doc_id, len(s.s)::bigint as n_shingles, l.component_id, s.doc_id = l.co
 from sets s join least_ l using (doc_id)
 """
 
+OP6 = r"""
+with docs as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as n from documents
+), shares as (select source, sum(n)::bigint as tokens from docs group by 1),
+ends as (select min(tokens) filter (tokens > 0) as lo, max(tokens) as hi, sum(tokens) as total from shares),
+-- the smallest exponent from 0 whose busiest source repeats at most 4 times
+found as (select *, case when hi <= 4 * lo then 0.0 else 1 - ln(4) / ln(hi / lo) end as a from ends),
+powers as (select source, tokens, case when tokens > 0 then pow(tokens / total, a) else 0 end as power from shares, found),
+plan as (
+  select source, tokens, power / z as weight,
+    case when tokens > 0 then floor(round(power / z * hi * z / pow(hi / total, a), 3)) else 0 end::bigint as target
+  from powers, found, (select sum(power) as z from powers)
+), epochs as (
+  select *, case when tokens > 0 then target // tokens else 1 end as whole, case when tokens > 0 then target % tokens else 0 end as rest from plan
+), part as (
+  select doc_id, docs.source, n, whole as epoch, rest,
+    sum(n) over (partition by docs.source order by md5('17:' || whole || ':' || doc_id)) as upto
+  from docs join epochs on docs.source is not distinct from epochs.source
+), shown as (
+  select doc_id, docs.source, n, e as epoch from docs join epochs on docs.source is not distinct from epochs.source, unnest(range(whole)) r(e)
+  union all select doc_id, source, n, epoch from part where rest > 0 and upto <= rest
+), placed as (
+  select *, sum(n) over (partition by source, epoch order by md5('17:' || epoch || ':' || doc_id)) as upto from shown
+)
+select doc_id, placed.source, n as n_tokens, epoch::int as epoch,
+  case when weight > 0 then floor((epoch * tokens + greatest(upto - 1, 0)) / (weight * 1000000))::bigint else 0 end as block
+from placed join epochs on placed.source is not distinct from epochs.source
+"""
+
 OP7 = r"""
 with docs as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
@@ -93,4 +122,4 @@ select conv_id, count(*) as n_turns,
 from numbered group by conv_id
 """
 
-ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op4_near_dedup": OP4, "op7_substring_dedup": OP7, "op10_host_quality": OP10}
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op4_near_dedup": OP4, "op6_mixing": OP6, "op7_substring_dedup": OP7, "op10_host_quality": OP10}

@@ -83,7 +83,7 @@ def test_queries_are_registered():
     assert set(entry.oracle_sql()) <= names
 
 
-@pytest.mark.parametrize("name", ["op1_chat_format", "op4_near_dedup", "op7_substring_dedup", "op10_host_quality"])
+@pytest.mark.parametrize("name", ["op1_chat_format", "op4_near_dedup", "op6_mixing", "op7_substring_dedup", "op10_host_quality"])
 def test_oracles(spark, name):
     import duckdb
 
