@@ -59,7 +59,8 @@ OP7 = r"""
 with docs as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
 ), windows as (
-  select doc_id, i, sha256(array_to_string(w[i:i+49], ' ')) as h from docs, unnest(range(1, len(w) - 48)) r(i)
+  select doc_id, unnest(range(1, len(w) - 48)) as i, unnest(list_transform(range(1, len(w) - 48), lambda k: md5(array_to_string(w[k:k+49], ' ')))) as h
+  from docs where len(w) > 49
 ), firsts as (select h, min(doc_id) as first from windows group by 1),
 gone as (
   select distinct doc_id, i + k as i from windows join firsts using (h), range(50) r(k) where first < doc_id
@@ -79,9 +80,10 @@ with docs as (
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
   from documents
 ), places as (
-  select doc_id, unnest(range(1, len(w) - 1)) as i, w from docs where len(w) > 2
+  select doc_id, unnest(range(1, len(w) - 1)) as i, unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) as g
+  from docs where len(w) > 2
 ), windows as (
-  select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as n from places
+  select doc_id, i, count(*) over (partition by doc_id, g) as n from places
 ), covered as (
   select doc_id, count(distinct i + k) as n from windows, range(3) r(k) where windows.n > 1 group by 1
 ), base as (
