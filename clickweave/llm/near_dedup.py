@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm.graph import components
+from clickweave.llm.joins import small_ids
 from clickweave.llm.words import Powers, WordHashes, as_list_array, mix, shingles
 from clickweave.session import staged
 
@@ -144,8 +145,8 @@ def _found(threshold: int):
 def confirmed_links(docs: DataFrame, members: DataFrame, threshold: int, k: int = SHINGLE_WORDS) -> DataFrame:
     """Links ``(a, b)`` that span every group of ``members(key, pivot, id)`` linked at ``threshold`` percent."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    ids = members.select("id").union(members.select("pivot")).distinct().withColumnRenamed("id", "doc_id")
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    ids = staged(members.select("id").union(members.select("pivot")).distinct().withColumnRenamed("id", "doc_id"), "candidates")
+    texts = docs.select("doc_id", "text").join(small_ids(ids), "doc_id", "left_semi")
     sets = staged(texts.mapInArrow(_signer(0, 0, k, True), f"doc_id {id_type}, n_shingles long, shingles array<long>"), "sets")
 
     def side(name: str) -> DataFrame:
@@ -217,8 +218,8 @@ def without_near_duplicates(docs: DataFrame, **rules) -> DataFrame:
     verdicts = staged(near_duplicates(docs, **rules).where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("copies")), "verdicts")
     own = "__near_id"
     several = verdicts.where("kept and copies > 1").select(F.col("doc_id").alias(own))
-    gone = verdicts.where("not kept or copies > 1").select(F.col("doc_id").alias(own))
-    rows = docs.join(gone, F.col("doc_id") == F.col(own), "left_anti")
+    gone = staged(verdicts.where("not kept or copies > 1").select(F.col("doc_id").alias(own)), "gone")
+    rows = docs.join(small_ids(gone), F.col("doc_id") == F.col(own), "left_anti")
     if not several.isEmpty():
         whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
         one = docs.join(several, F.col("doc_id") == F.col(own)).groupBy(own).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("__near_row"))

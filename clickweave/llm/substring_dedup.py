@@ -42,6 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.llm.joins import only, small_ids
 from clickweave.llm.words import Powers, WordHashes, as_list_array, window_hashes
 from clickweave.session import staged
 
@@ -137,8 +138,9 @@ def candidates(docs: DataFrame, signed: DataFrame, classes: DataFrame, window: i
     chosen = signed.join(classes.withColumnRenamed("least_id", "doc_id"), ["d0", "d1", "doc_id"])
     halves = staged(chosen.select("doc_id", F.explode("halves").alias("half")), "halves")
     again = halves.join(repeated(halves, ["half"]).select("half"), "half").groupBy("doc_id").agg(F.collect_set("half").alias("halves"))
+    again = staged(again, "candidates")
     texts = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("row"))
-    texts = staged(texts.join(staged(again, "candidates"), "doc_id"), "candidate-texts")
+    texts = staged(only(texts, again.select("doc_id"), "doc_id").join(again, "doc_id"), "candidate-texts")
     windows = texts.mapInArrow(_extender(window), f"doc_id {id_type}, row long, place int, k0 long, k1 long")
     return texts, staged(windows, "windows")
 
@@ -204,11 +206,13 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     own = "__substring_"
     found = changes.select(F.col("doc_id").alias(own + "id"), F.col("row").alias(own + "row"), F.col("text").alias(own + "text"))
     match = (F.col("doc_id") == F.col(own + "id")) & (F.xxhash64("text") == F.col(own + "row"))
-    same = docs.join(found.drop(own + "text"), match, "left_anti")
+    ids = staged(found.drop(own + "text"), "changed")
+    same = docs.join(small_ids(ids), match, "left_anti")
+    changed = only(docs, ids.select(own + "id"), F.col("doc_id") == F.col(own + "id"))
     new = {"text": F.col(own + "text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.char_length(own + "text").cast(docs.schema["n_chars"].dataType)
-    return same.unionByName(docs.join(found, match).withColumns(new).select(*docs.columns))
+    return same.unionByName(changed.join(found, match).withColumns(new).select(*docs.columns))
 
 
 def repeat_levels(docs: DataFrame, window: int = WINDOW) -> DataFrame:
