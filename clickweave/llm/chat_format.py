@@ -8,8 +8,8 @@ without one) give a last example without a target, so that no turn is lost.
 Template of a turn: ``<|im_start|>role\ntext<|im_end|>\n``. In texts and roles
 ``<`` and ``|`` with any number of backslashes between them get one more
 backslash, so a control string never occurs inside a text and removing one
-backslash gives it back. In roles a line feed is written ``<\n`` after
-doubling nothing else (``<`` before a line feed or ``<n`` is escaped alike).
+backslash gives it back. In roles a line feed is written ``<n``, and ``<``,
+backslashes and ``n`` in a row get one more backslash likewise.
 
 Plan: one grouping by conversation (the unit of an example, which must fit a
 row), then native array functions; the examples of a conversation are

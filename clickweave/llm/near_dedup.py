@@ -181,10 +181,10 @@ def confirmed_links(docs: DataFrame, members: DataFrame, threshold: int, k: int
     rest = named.select("key", "id", "label").join(once, "key")
     own = F.pmod(F.xxhash64("id"), F.lit(1 << 20)).cast("int")
     block = F.floor(own * F.col("blocks") / (1 << 20)).cast("int")
-    across = lambda rows, n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rest.where(apart).withColumn("blocks", F.col("apart_blocks")).select("key", block.alias("u"), across(rest, "all_blocks").alias("t"), "id", "label", F.lit(0).alias("part"))
+    across = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rest.where(apart).withColumn("blocks", F.col("apart_blocks")).select("key", block.alias("u"), across("all_blocks").alias("t"), "id", "label", F.lit(0).alias("part"))
     whole = rest.select("key", "id", "label", "all_blocks", "apart_blocks").unionByName(once.select("key", F.col("pivot").alias("id"), F.col("pivot_label").alias("label"), "all_blocks", "apart_blocks"))
-    right = whole.withColumn("blocks", F.col("all_blocks")).select("key", across(whole, "apart_blocks").alias("u"), block.alias("t"), "id", "label", F.lit(1).alias("part"))
+    right = whole.withColumn("blocks", F.col("all_blocks")).select("key", across("apart_blocks").alias("u"), block.alias("t"), "id", "label", F.lit(1).alias("part"))
     blocks = left.unionByName(right).join(sets.withColumnRenamed("doc_id", "id"), "id")
     more = blocks.groupBy("key", "u", "t").applyInPandas(_found(threshold), f"a {id_type}, b {id_type}")
     return star.unionByName(staged(more, "more"))
