@@ -83,16 +83,17 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     hosts = measured.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), F.sum(_col("base_failed").cast("long")).alias("failures"))
     hosts = staged(hosts, "hosts")
     rate = F.col("failures") / F.col("n")
-    prior = hosts.agg((F.sum("failures") / F.sum("n")).alias("mean"), F.var_samp(rate).alias("spread"), F.sum("n").alias("rows"))
-    weight = F.when(F.col("spread") > 0, F.greatest(F.lit(1.0), F.col("mean") * (1 - F.col("mean")) / F.col("spread") - 1)).otherwise(F.col("rows"))
-    shrunk = (F.col("failures") + F.col("mean") * F.col("weight")) / (F.col("n") + F.col("weight"))
-    # the prior is a single row by construction
-    return hosts.join(F.broadcast(prior.withColumn("weight", weight.cast("double")))).select("host", "n", "failures", shrunk.alias("rate"))
+    prior = hosts.agg(F.sum("failures") / F.sum("n"), F.var_samp(rate), F.sum("n")).first()  # one row
+    mean, spread, rows = (x or 0 for x in prior)
+    weight = float(max(1.0, mean * (1 - mean) / spread - 1) if spread > 0 else rows)
+    shrunk = (F.col("failures") + F.lit(mean * weight)) / (F.col("n") + F.lit(weight))
+    return hosts.select("host", "n", "failures", shrunk.alias("rate"))
 
 
-def judged(docs: DataFrame, host: str = "source", min_words: int = 50, max_repeat: int = 50, max_host_rate: float = 0.5) -> DataFrame:
+def judged(docs: DataFrame, host: str = "source", min_words: int = 50, max_repeat: int = 50, max_host_rate: float = 0.5, with_text: bool = True) -> DataFrame:
     """``docs`` with measures, ``base_failed`` and ``kept`` under the prefix ``OWN``, from a written table."""
-    measured = staged(with_measures(docs, min_words, max_repeat), "quality")
+    measured = with_measures(docs, min_words, max_repeat)
+    measured = staged(measured if with_text else measured.drop("text"), "quality")
     bad = staged(host_rates(measured, host).where(F.col("rate") > max_host_rate).select(F.col("host").alias(OWN + "host"), F.lit(True).alias(OWN + "bad_host")), "bad-hosts")
     out = measured.join(bad, F.col(host).eqNullSafe(F.col(OWN + "host")), "left")
     return out.withColumn(OWN + "kept", ~_col("base_failed") & _col("bad_host").isNull()).drop(OWN + "host", OWN + "bad_host")
@@ -100,7 +101,7 @@ def judged(docs: DataFrame, host: str = "source", min_words: int = 50, max_repea
 
 def quality_verdicts(docs: DataFrame, **rules) -> DataFrame:
     """``doc_id``, the measures, ``base_failed`` and ``kept`` of every row."""
-    rows = judged(docs.select("doc_id", "text", rules.get("host", "source")), **rules)
+    rows = judged(docs.select("doc_id", "text", rules.get("host", "source")), with_text=False, **rules)
     return rows.select("doc_id", *(F.col(OWN + c).alias(c) for c in (*MEASURES, "base_failed", "kept")))
 
 
