@@ -36,7 +36,7 @@ from clickweave.llm.words import as_list_array
 WIDTH = 2
 BLOCK = 1 << 18
 #: Documents in one file, at most.
-FILE_DOCUMENTS = 10_000
+FILE_DOCUMENTS = 2_000
 
 
 def _encoded(vocabulary: str):
