@@ -257,3 +257,16 @@ def test_page_odd_rows(spark):
     got = html_text.extract(_pages(spark, rows)).collect()
     assert sorted((str(r.page_id), r.text[:3], r.n_chars) for r in got) == [("1", "a", 1), ("1", "a", 1), ("2", "", 0), ("3", "", 0), ("4", "lon", 299999), ("None", "b", 1)]
     assert html_text.extract(_pages(spark, rows).limit(0)).count() == 0
+
+
+def test_few_different_pages_and_heavy_templates(spark):
+    notice = "This long notice stands on all pages of the host and tells how to write to us. " * 2
+    body = "<html><body><article><h2>Daily</h2>{}<p>" + notice + "</p></article></body></html>"
+    own = {i: [H.prose(f"{i}:{j}", 9) for j in range(1 + i % 3)] for i in range(4)} | {i: [H.prose(i, 8)] for i in range(10, 22)} | {i: [H.prose(i, 60)] for i in (30, 31)}
+    host = {i: "few" if i < 10 else "heavy" if i < 30 else "two" for i in own}
+    near = [(40 + i, "http://near.example/", body.format(f"<p>{H.prose('near', 40)} {i}</p>")) for i in range(4)]
+    rows = [(i, f"http://{host[i]}.example/{i}", body.format("".join(f"<p>{t}</p>" for t in texts))) for i, texts in own.items()]
+    got = {r.page_id: r for r in html_text.extract(_pages(spark, rows + near + rows[:2])).collect()}
+    assert {i: got[i].text for i in own} == {i: " ".join(texts) for i, texts in own.items()}
+    assert all(got[i].n_template == 2 for i in own)
+    assert all(got[i].n_template == 0 for i in range(40, 44))
