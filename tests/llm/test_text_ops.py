@@ -270,3 +270,14 @@ def test_few_different_pages_and_heavy_templates(spark):
     assert {i: got[i].text for i in own} == {i: " ".join(texts) for i, texts in own.items()}
     assert all(got[i].n_template == 2 for i in own)
     assert all(got[i].n_template == 0 for i in range(40, 44))
+
+
+@pytest.mark.parametrize("odd", [None, "", "<html><body><h1>404 Not found</h1></body></html>"])
+def test_odd_first_page_and_deviating_page(spark, odd):
+    body = "<html><body><article><h2>Daily</h2>{}<p>Write to us in {}.</p></article></body></html>"
+    own = {i: [H.prose(f"{i}:{j}", 40) for j in range(1 + i % 3)] for i in range(1, 31)}
+    rows = [(0, "http://a.example/", odd), (99, "http://a.example/", odd)]
+    rows += [(i, f"http://a.example/{i}", body.format("".join(f"<p>{t}</p>" for t in texts), 2024 if i == 7 else 2023)) for i, texts in own.items()]
+    got = {r.page_id: r for r in html_text.extract(_pages(spark, rows)).collect()}
+    assert {i: got[i].text for i in own} == {i: " ".join(texts) + " Write to us in 2024." * (i == 7) for i, texts in own.items()}
+    assert [got[i].n_template for i in (0, 7, 8, 99)] == [0, 1, 2, 0]
