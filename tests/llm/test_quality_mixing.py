@@ -119,6 +119,12 @@ def test_both_token_libraries_agree():
         assert encoder.ids(text).tolist() == slow.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_ids_of_very_long_white_space():
+    encoder, slow = Encoder(default_vocabulary()), _slow()
+    for text in (" " * 1_100_000, "a" + " " * 1_100_000 + "b", "\n" * 1_100_000):
+        assert encoder.ids(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
 def _check_packing(rows, got, capacity):
     slow = _slow()
     ids = defaultdict(list)
