@@ -281,3 +281,14 @@ def test_odd_first_page_and_deviating_page(spark, odd):
     got = {r.page_id: r for r in html_text.extract(_pages(spark, rows)).collect()}
     assert {i: got[i].text for i in own} == {i: " ".join(texts) + " Write to us in 2024." * (i == 7) for i, texts in own.items()}
     assert [got[i].n_template for i in (0, 7, 8, 99)] == [0, 1, 2, 0]
+
+
+@pytest.mark.parametrize("wrapper", ['class="layout has-sidebar"', 'class="elementor-widget"', 'class="widget"', 'id="banner" class="promo"'])
+def test_articles_keep_wrappers_anchors_and_formulas(wrapper):
+    article = '<article><h2 id="related-work">Related work</h2><h2 id="search">Search</h2><p id="ad-hoc">Ad hoc <span id="share">part</span> <math><mi>x</mi></math></p><div class="ad">Buy</div><div id="share-box">Share</div></article>'
+    want = "Related work Search Ad hoc part x"
+    for around in (f"<div {wrapper}>{article}</div>", f"<div {wrapper}><div class=widgets>{article}</div></div><p>Below</p>"):
+        page = f'<body><div class="sidebar">More</div>{around}<div class="comments"><article>Me too</article></div></body>'
+        assert " ".join(html_text.parse(page)[1]) == want
+    beside = f'<body>{article}<div class="widget"><article>Teaser</article></div></body>'
+    assert " ".join(html_text.parse(beside)[1]) == want
