@@ -23,11 +23,13 @@ nothing; rows that share a doc_id are one document, linked through any of its
 texts; a null doc_id cannot be named by a link, so such a row is its own
 component (null) and is kept; extra columns are ignored; an empty table gives
 an empty result. Misses: a pair at the threshold shares no band with
-probability below 1e-6 at the default 24 bands of 5 values.
+probability below 1e-6: the number of bands of 5 values follows from the
+threshold (24 at 85 percent, 35 at 80).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,12 +46,20 @@ from clickweave.session import staged
 
 SHINGLE_WORDS = 5
 BANDS, BAND_VALUES = 24, 5
+#: Probability, at most, that a pair at the threshold shares no band.
+MISS = 1e-6
 #: Classes on each side of one block comparison.
 BLOCK = 256
 #: Shingles (columns) that one block comparison holds at a time.
 SLAB = 4096
 
 
+def bands_for(threshold: int, values: int = BAND_VALUES) -> int:
+    """The least number of bands that miss a pair at ``threshold`` percent with a probability below ``MISS``."""
+    share = (threshold / 100) ** values
+    return 1 if share >= 1 else math.ceil(math.log(MISS) / math.log1p(-share))
+
+
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240501)
     return rng.integers(0, 2**32, n, np.uint32) | np.uint32(1), rng.integers(0, 2**32, n, np.uint32)
@@ -190,10 +200,11 @@ def confirmed_links(docs: DataFrame, members: DataFrame, threshold: int, k: int
     return star.unionByName(staged(more, "more"))
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 80, k: int = SHINGLE_WORDS, bands: int = BANDS, band_values: int = BAND_VALUES) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = 80, k: int = SHINGLE_WORDS, bands: int | None = None, band_values: int = BAND_VALUES) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; links at 100 * common >= threshold * union."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
+    bands = bands or bands_for(threshold, band_values)
     signed = staged(docs.mapInArrow(_signer(bands, band_values, k, False), f"doc_id {id_type}, n_shingles long, d0 long, d1 long, bands array<long>"), "signed")
     classes = staged(signed.where("d0 is not null and doc_id is not null").groupBy("d0", "d1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     reps = signed.join(classes.select("d0", "d1", F.col("rep").alias("doc_id")), ["doc_id", "d0", "d1"])

@@ -118,3 +118,9 @@ def test_empty_tables(spark):
     assert near_dedup.near_duplicates(empty).count() == 0 and near_dedup.without_near_duplicates(empty).count() == 0
     assert substring_dedup.repeat_verdicts(empty).count() == 0 and substring_dedup.without_repeats(empty).count() == 0
     assert substring_dedup.repeat_levels(empty).count() == 0
+
+
+def test_bands_follow_from_the_threshold():
+    for percent in (50, 70, 80, 85, 90, 100):
+        assert (1 - (percent / 100) ** 5) ** near_dedup.bands_for(percent) < 1e-6
+    assert [near_dedup.bands_for(p) for p in (85, 80)] == [24, 35]
