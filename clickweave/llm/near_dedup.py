@@ -212,10 +212,16 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, k: int = SHINGLE_WORDS
     shared = exploded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     members = staged(exploded.join(staged(shared.select("key", "pivot"), "shared"), "key").where("id <> pivot"), "members")
     links = confirmed_links(docs, members, threshold, k)
-    labels = components(links).withColumnRenamed("id", "rep")
-    named = staged(classes.join(labels, "rep", "left").select("d0", "d1", F.coalesce("label", "rep").alias("component")), "components")
-    whole = signed.drop("bands").join(named, ["d0", "d1"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    # a doc_id whose rows lie in several classes, or beside an empty text in one, links them
+    digest = F.struct("d0", "d1")
+    several = signed.where("doc_id is not null").groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high")).where("not low <=> high")
+    lying = signed.select("doc_id", "d0", "d1").join(small_ids(staged(several.select("doc_id"), "several")), "doc_id", "left_semi").distinct()
+    lying = staged(lying.join(classes, ["d0", "d1"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b")), "lying")
+    labels = components(links.unionByName(lying))
+    named = staged(classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("d0", "d1", F.coalesce("label", "rep").alias("component")), "components")
+    own = lying.select(F.col("b").alias("id")).distinct().join(labels, "id").select(F.col("id").alias("doc_id"), F.col("label").alias("reached"))
+    whole = signed.drop("bands").join(named, ["d0", "d1"], "left").join(staged(own, "own"), "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "component", "doc_id"))
     return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 

@@ -124,3 +124,13 @@ def test_bands_follow_from_the_threshold():
     for percent in (50, 70, 80, 85, 90, 100):
         assert (1 - (percent / 100) ** 5) ** near_dedup.bands_for(percent) < 1e-6
     assert [near_dedup.bands_for(p) for p in (85, 80)] == [24, 35]
+
+
+def test_a_doc_id_with_several_texts_links_them(spark):
+    one, two, three = (H.prose(f"several{i}", 50) for i in range(3))
+    rows = [(1, one), (2, one), (2, two), (3, two), (4, three), (5, three), (5, ""), (6, H.prose("alone", 40)), (7, ""), (7, "")]
+    got = near_dedup.near_duplicates(H.documents(spark, rows), threshold=80).collect()
+    want = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7}
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == sorted((i, want[i], i == want[i]) for i, _ in rows)
+    kept = near_dedup.without_near_duplicates(H.documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 4, 6, 7]
