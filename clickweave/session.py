@@ -103,8 +103,8 @@ def sweep(spark: SparkSession) -> None:
         _delete(spark, entry[0])
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table.
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once, with the given writer options, to the shared folder and return the written table.
 
     Cuts the lineage (a lost executor rereads files instead of recomputing),
     lets the reader prune columns and gives Catalyst real sizes to plan joins
@@ -114,7 +114,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     sweep(spark)
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     table = spark.read.schema(df.schema).parquet(path)
