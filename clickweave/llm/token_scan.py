@@ -30,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.tokens import Encoder, default_vocabulary
+from clickweave.llm.tokens import Encoder, default_vocabulary, vocabulary_size
 from clickweave.llm.words import as_list_array
 
 WIDTH = 2
+MOST_IDS = (1 << 8 * WIDTH) - 1
 BLOCK = 1 << 18
 #: Documents in one file, at most.
 FILE_DOCUMENTS = 2_000
@@ -41,6 +42,8 @@ FILE_DOCUMENTS = 2_000
 
 def _encoded(vocabulary: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if vocabulary_size(vocabulary) > MOST_IDS:
+            raise ValueError(f"{vocabulary} has more than {MOST_IDS} ids, which {WIDTH} bytes cannot tell from the separator")
         encoder = Encoder(vocabulary)
         for batch in batches:
             rows = [(encoder.ids(x.as_py() or "") + 1).astype("<u2").tobytes() for x in batch.column("text")]

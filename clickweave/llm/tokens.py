@@ -18,13 +18,22 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id, added tokens included."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) + 1
+
+
 class Encoder:
-    """Ids of whole texts; strings of special tokens are ordinary text.
+    """Ids of whole texts, as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives them.
 
     ``tokenizers`` reads the JSON file. Where a rank file of the same name
     and vocabulary lies beside it, ``tiktoken`` encodes the texts for which
-    both give the same ids; it takes about a third of the time. It gives up on
-    very long runs of white space; such texts go to ``tokenizers`` too.
+    both give the same ids; it takes about a third of the time. It knows no
+    added tokens, so a text that holds the string of one goes to
+    ``tokenizers``, which gives that token's id; so do texts with very long
+    runs of white space, on which it gives up.
     """
 
     def __init__(self, path: str) -> None:
@@ -32,7 +41,6 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._slow = Tokenizer.from_file(path)
-        self._slow.encode_special_tokens = True
         self._fast = None
         ranks = f"{os.path.splitext(path)[0]}.tiktoken"
         if os.path.exists(ranks):
@@ -41,10 +49,12 @@ class Encoder:
 
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self._added = [t.content for t in self._slow.get_added_tokens_decoder().values()]
             self._fast = tiktoken.Encoding(os.path.basename(ranks), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if self._fast is not None and (text.isascii() or not _COMPARED.search(text)):
+        plain = self._fast is not None and not any(x in text for x in self._added)
+        if plain and (text.isascii() or not _COMPARED.search(text)):
             try:
                 return self._fast.encode_to_numpy(text, disallowed_special=())
             except ValueError:  # its pattern needs more stack than there is

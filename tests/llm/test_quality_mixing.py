@@ -102,16 +102,15 @@ def test_mixing_an_empty_table(spark):
 
 
 def _slow():
-    slow = Tokenizer.from_file(default_vocabulary())
-    slow.encode_special_tokens = True
-    return slow
+    return Tokenizer.from_file(default_vocabulary())
 
 
 def test_both_token_libraries_agree():
     encoder, slow = Encoder(default_vocabulary()), _slow()
     chars = [chr(c) for c in range(0x250)]
     rng = random.Random(9)
-    texts = ["".join(chars), "<|endoftext|> a", " \n\n  x", "", *chars]
+    assert encoder.ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    texts = ["".join(chars), "<|endoftext|> a", "x<|endoftext|>", "<|endoftext|", "<|endoftext|><|endoftext|> \n ", " \n\n  x", "", *chars]
     texts += ["".join(rng.choice(chars) for _ in range(60)) for _ in range(400)]
     texts += ["".join(rng.choice(" \n\t'sdlmtrev019aZ \x85é.") for _ in range(40)) for _ in range(400)]
     texts += ["日本語 text", "😀 emoji", "᠎  x"]
