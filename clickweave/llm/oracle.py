@@ -124,4 +124,39 @@ select conv_id, count(*) as n_turns,
 from numbered group by conv_id
 """
 
-ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op4_near_dedup": OP4, "op6_mixing": OP6, "op7_substring_dedup": OP7, "op10_host_quality": OP10}
+OP13 = r"""
+with recursive crc(n, k, v) as (
+  select n, 0, n::ubigint from range(256) r(n)
+  union all select n, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384::ubigint) else v >> 1 end from crc where k < 8
+), tab as (select list(v order by n) as t from crc where k = 8),
+heads as (
+  select conv_id, xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::ubigint)),
+    lambda a, b: xor(a >> 8, t[((xor(a, b) & 255) + 1)::bigint])), 4294967295::ubigint) % 4 as h
+  from (select distinct conv_id from conversations), tab
+), said as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first) as i
+  from conversations
+), rebuilt as (
+  select c.conv_id as c, 0 as part, i, role, text from heads c join said s on s.conv_id = c.conv_id - c.conv_id % 20 and i <= h
+  union all select c.conv_id, 1, i, role, text from heads c join said s using (conv_id) where i > h
+), members as (
+  select c, row_number() over w as depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words,
+    string_agg(length(role) || ':' || role || length(text) || ':' || text, '') over w as path
+  from rebuilt window w as (partition by c order by part, i rows unbounded preceding)
+  union all select conv_id, 0, 0, '' from heads
+), placed as (select *, lag(path) over (partition by c order by depth) as up, depth = max(depth) over (partition by c) as ends from members),
+nodes as (
+  select path, any_value(up) as up, any_value(depth) as depth, min(c) as conv_id, count(*) as n_convs, any_value(words) as words,
+    coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '') as ended
+  from placed group by path
+), children as (select up as path, count(*) as n_children from nodes where up is not null group by 1),
+below as (
+  select a.path, sum((u.n_convs - 1) * u.words)::bigint as saved_tokens, count(*) filter (k.n_children is null) as n_leaves
+  from nodes u left join children k using (path) join members a on a.c = u.conv_id and a.depth <= u.depth group by 1
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0) as n_children, b.n_leaves, b.saved_tokens,
+  sha256(n.ended) as ends_sha256
+from nodes n join below b using (path) left join children k using (path) left join nodes p on p.path = n.up
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op4_near_dedup": OP4, "op6_mixing": OP6, "op7_substring_dedup": OP7, "op10_host_quality": OP10, "op13_prefix_trie": OP13}

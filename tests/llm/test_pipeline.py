@@ -79,11 +79,11 @@ def test_stages_stand_odd_rows_and_empty_tables(spark):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
 
 
-@pytest.mark.parametrize("name", ["op1_chat_format", "op4_near_dedup", "op6_mixing", "op7_substring_dedup", "op10_host_quality"])
+@pytest.mark.parametrize("name", ["op1_chat_format", "op4_near_dedup", "op6_mixing", "op7_substring_dedup", "op10_host_quality", "op13_prefix_trie"])
 def test_oracles(spark, name):
     import duckdb
 
