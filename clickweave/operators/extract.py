@@ -76,44 +76,50 @@ def _first(rec: Column, name: str) -> Column:
     return F.coalesce(rec[name].try_cast("long"), F.lit(0).cast("long"))
 
 
-def visits(parsed: DataFrame, merge_parts: bool = True) -> DataFrame:
-    """One visit row per usable record, without explode or shuffle.
+def visit_parts(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One row per usable record, without explode or shuffle (``schemas.VISIT_PARTS``, and columns to ``keep``).
 
     ``start``/``end`` are the min/max of the *parseable* event timestamps
     (``array_min``/``array_max`` skip NULLs). ``event_count`` is the length
-    of the raw events array, invalid entries included. Records that say they
-    are parts of a long session are merged to its one visit (copies of a part
-    count once); only those rows are shuffled. Records that continue the
-    items of a purchase are no visit. ``merge_parts=False`` leaves a row per
-    record, for streams, whose sink merges what it reads.
+    of the raw events array, invalid entries included. ``part`` and ``parts``
+    are those of a record that is a part of a long session, else NULL.
+    Records that continue the items of a purchase are no visit.
     """
     rec = F.col("rec")
     evs = _events_array(rec)
     ts = F.transform(evs, lambda e: parse_iso_timestamp(e["event"]["timestamp"]))
-    good = _good(parsed).where(rec["first_item_pos"].isNull())
-
-    def rows(frame: DataFrame, *more: Column) -> DataFrame:
-        return frame.select(
-            rec["session_id"].alias("session_id"),
-            rec["user_id"].alias("user_id"),
-            rec["device_type"].alias("device_type"),
-            rec["geolocation"].alias("geolocation"),
-            rec["user_agent"].alias("user_agent"),
-            F.array_min(ts).alias("start_timestamp"),
-            F.array_max(ts).alias("end_timestamp"),
-            F.size(evs).cast("long").alias("event_count"),
-            *more,
-        )
-
-    if not merge_parts:
-        return rows(good)
-    parts = rows(good.where(rec["parts"].isNotNull()), rec["part"].alias("part"))
-    merged = parts.distinct().groupBy("session_id").agg(
-        *(F.min(c).alias(c) for c in ("user_id", "device_type", "geolocation", "user_agent", "start_timestamp")),
-        F.max("end_timestamp").alias("end_timestamp"),
-        F.sum("event_count").alias("event_count"),
+    return _good(parsed).where(rec["first_item_pos"].isNull()).select(
+        rec["session_id"].alias("session_id"),
+        rec["user_id"].alias("user_id"),
+        rec["device_type"].alias("device_type"),
+        rec["geolocation"].alias("geolocation"),
+        rec["user_agent"].alias("user_agent"),
+        F.array_min(ts).alias("start_timestamp"),
+        F.array_max(ts).alias("end_timestamp"),
+        F.size(evs).cast("long").alias("event_count"),
+        F.when(rec["parts"].isNotNull(), F.coalesce(rec["part"].try_cast("long"), F.lit(0))).alias("part"),
+        rec["parts"].try_cast("long").alias("parts"),
+        *(keep or []),
     )
-    return rows(good.where(rec["parts"].isNull())).unionByName(merged)
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """Visits of visit parts, whichever records and loads the parts came in.
+
+    A part that is there several times counts once; then parts merge by
+    minimum, maximum and sum, so their order does not matter. Whole records
+    are not shuffled.
+    """
+    columns = [c for c in parts.columns if c not in ("part", "parts")]
+    rest = [c for c in columns if c != "session_id"]
+    once = parts.where("part is not null").groupBy("session_id", "part").agg(*(F.min(c).alias(c) for c in rest))
+    merged = once.groupBy("session_id").agg(*(F.min(c).alias(c) for c in rest if c not in ("end_timestamp", "event_count")), F.max("end_timestamp").alias("end_timestamp"), F.sum("event_count").alias("event_count"))
+    return parts.where("part is null").select(*columns).unionByName(merged)
+
+
+def visits(parsed: DataFrame) -> DataFrame:
+    """One visit row per session, parts merged (only their rows are shuffled)."""
+    return merge_parts(visit_parts(parsed))
 
 
 def exploded_events(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -158,10 +164,10 @@ def _event_reason(profile: str) -> Column:
     return reason
 
 
-def events(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
-    """P2 (batch) / P4 (live): the flat ``events`` table."""
+def events(parsed: DataFrame, profile: str = BATCH, keep: list[str] | None = None) -> DataFrame:
+    """P2 (batch) / P4 (live): the flat ``events`` table, and columns of the record to ``keep``."""
     _check_profile(profile)
-    x = exploded_events(parsed).where(F.col("first_item").isNull())
+    x = exploded_events(parsed, keep).where(F.col("first_item").isNull())
     cond = _event_reason(profile).isNull()
     if profile == LIVE:
         cond = cond & F.col("event_type").isin(LIVE_EVENT_TYPES)
@@ -186,6 +192,7 @@ def events(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
         detail["currency"].alias("currency"),
         "device_type",
         "user_id",
+        *(keep or []),
     )
 
 
@@ -199,13 +206,13 @@ def _purchase_reason(profile: str) -> Column:
     ).when(is_missing(order_id), F.lit(MISSING_ORDER_ID))
 
 
-def exploded_items(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
+def exploded_items(parsed: DataFrame, profile: str = BATCH, keep: list[str] | None = None) -> DataFrame:
     """Purchase items with position, before the per-item checks."""
     _check_profile(profile)
-    x = exploded_events(parsed).where(F.col("event_type") == PURCHASE)
+    x = exploded_events(parsed, keep).where(F.col("event_type") == PURCHASE)
     x = x.where(_purchase_reason(profile).isNull())
     return x.select(
-        "session_id", "event_pos", "ts",
+        *(keep or []), "session_id", "event_pos", "ts",
         F.col("details.order_id").alias("order_id"),
         F.coalesce("first_item", F.lit(0).cast("long")).alias("_first"),
         F.posexplode(F.coalesce(F.col("details.items"), F.array())).alias("_pos", "item"),
@@ -220,14 +227,14 @@ def _item_reason(profile: str, item: Column, order_id: Column) -> Column:
     return reason.when(bad_number(item["price"]) | bad_number(item["quantity"]), F.lit(BAD_NUMBER))
 
 
-def purchase_items(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
+def purchase_items(parsed: DataFrame, profile: str = BATCH, keep: list[str] | None = None) -> DataFrame:
     """P3 (batch) / P5 (live): one row per purchased item.
 
     ``item_index_in_order`` is the 0-based position in the items array
     *before* dropping items without ``product_id``, so it can have gaps.
     An empty ``product_id`` is kept (only NULL is missing).
     """
-    x = exploded_items(parsed, profile)
+    x = exploded_items(parsed, profile, keep)
     it = F.col("item")
     return x.where(_item_reason(profile, it, F.col("order_id")).isNull()).select(
         "order_id",
@@ -239,6 +246,7 @@ def purchase_items(parsed: DataFrame, profile: str = BATCH) -> DataFrame:
         to_double(it["price"]).alias("price"),
         to_bigint(it["quantity"]).alias("quantity"),
         F.col("ts").alias("purchase_event_timestamp"),
+        *(keep or []),
     )
 
 
@@ -334,6 +342,16 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
     )
 
 
+def tables(parsed: DataFrame, profile: str = BATCH) -> dict[str, DataFrame]:
+    """What a load writes of parsed records, by table; visits as parts, which merge when they are read."""
+    return {
+        "visits": visit_parts(parsed),
+        "events": events(parsed, profile),
+        "purchase_items": purchase_items(parsed, profile),
+        "rejects": rejects(parsed, profile),
+    }
+
+
 def live_event_filter() -> Column:
     """F3 as a reusable predicate on an ``event_type`` column."""
     return F.col("event_type").isin(LIVE_EVENT_TYPES)

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.operators import extract
 from clickweave.schemas import PRIMARY_KEYS
 from clickweave.session import staged
 
@@ -69,30 +70,25 @@ def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return clear.select(*df.columns).unionByName(least.select(*keys, "_row.*").select(*df.columns))
 
 
-def consolidate_visits(visits: DataFrame) -> DataFrame:
-    """One visit row per session, whatever the number of input records.
+def consolidate_visits(parts: DataFrame) -> DataFrame:
+    """One visit row per session of visit parts, whatever the number of records, paths and loads.
 
-    A session can reach the visits table several times: as exact copies
-    (the same record through two paths, or a replay) and as parts (a long
-    session delivered in several records). Exact copies are identical rows
-    (deterministic extraction), so ``distinct`` removes them; the remaining
-    parts are merged per session: earliest start, latest end, summed event
-    count, and the smallest non-null value of each descriptive column. Both
-    steps are partial aggregates, so a session with many copies or parts
-    is combined map-side; only sessions with parts are aggregated by sorting.
+    A session can be there several times: as copies of a record (through two
+    paths, or a replay) and as parts of a long session. Copies are identical
+    rows (deterministic extraction), part number included, so ``distinct``, a
+    hash aggregate with a map-side step, removes them; only sessions that are
+    left with several rows are merged, each of their parts once. A whole
+    record stands for its session beside parts of it.
     """
-    unique = staged(visits.distinct(), "distinct-visits")
+    unique = staged(parts.distinct(), "distinct-parts")
     several = staged(duplicate_keys(unique, ["session_id"]).select("session_id"), "several")
-    merged = unique.join(several, "session_id", "left_semi").groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("device_type").alias("device_type"),
-        F.min("geolocation").alias("geolocation"),
-        F.min("user_agent").alias("user_agent"),
-        F.min("start_timestamp").alias("start_timestamp"),
-        F.max("end_timestamp").alias("end_timestamp"),
-        F.sum("event_count").cast("long").alias("event_count"),
-    )
-    return unique.join(several, "session_id", "left_anti").select(*merged.columns).unionByName(merged)
+    columns = [c for c in parts.columns if c not in ("part", "parts")]
+    found = unique.join(several, "session_id", "left_semi")
+    # the part number of a whole record is below all others, so one of them is kept alone
+    whole = found.where("part is null").select("session_id").distinct().withColumn("has_whole", F.lit(True))
+    found = found.join(staged(whole, "whole"), "session_id", "left").where("has_whole is null or part is null").withColumn("part", F.coalesce("part", F.lit(0)))
+    merged = extract.merge_parts(found.select(*columns, "part"))
+    return unique.join(several, "session_id", "left_anti").select(*columns).unionByName(merged.select(*columns))
 
 
 def union_paths(*frames: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

@@ -6,11 +6,11 @@ is combined inside each input task before the shuffle. Distinct counts
 are planned by Spark as a two-level aggregate on ``(key, value)`` first,
 which spreads a hot key over many tasks.
 
-Joins with visits: the side made one row per session is an aggregate, and a
-join right above it would reuse its shuffle, which AQE cannot split. It is
-therefore written first (``session.staged``); then both sides of the join are
-shuffled from files, and AQE splits a session that holds many rows (or
-broadcasts the written side by its real size).
+Joins with visits: a side that is made one row per session is an aggregate, and
+a join right above it would reuse its shuffle, which AQE cannot split. Such a
+side is written before (``session.staged``; visits once, when they are loaded);
+then both sides of the join are read from files, and AQE splits a session that
+holds many rows (or broadcasts the written side by its real size).
 """
 
 from __future__ import annotations
@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import money_sum, whole_sum
-from clickweave.operators.quality import consolidate_visits
-from clickweave.session import staged
+from clickweave.session import staged, written
 
 
 def visits_by_page(events: DataFrame) -> DataFrame:
@@ -61,13 +60,11 @@ def visits_by_device(visits: DataFrame) -> DataFrame:
 def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
     """Events left-joined with their visit (ER relation events -> visits).
 
-    A shuffle join on ``session_id``. The visit side is first reduced to one
-    row per session (``consolidate_visits``: copies removed, parts merged,
-    both map-side partial aggregates), so copies of a visit landed by
-    several paths never multiply the events, and to the columns the events
-    table does not already carry.
+    A join on ``session_id`` with the columns that the events table does not
+    already carry. ``visits`` has one row per session (of several paths or
+    loads, by ``quality.consolidate_visits``) and is written unless it is a table.
     """
-    v = staged(consolidate_visits(visits), "visits").select(
+    v = written(visits, "visits").select(
         "session_id",
         F.col("start_timestamp").alias("visit_start"),
         F.col("end_timestamp").alias("visit_end"),
@@ -78,8 +75,8 @@ def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
 
 
 def items_with_visit(items: DataFrame, visits: DataFrame) -> DataFrame:
-    """Purchase items left-joined with their visit (one visit per session, as in J1)."""
-    v = staged(consolidate_visits(visits), "visits").select(
+    """Purchase items left-joined with their visit (``visits`` as in J1)."""
+    v = written(visits, "visits").select(
         "session_id", "user_id", "device_type", F.col("start_timestamp").alias("visit_start")
     )
     return items.join(v, "session_id", "left")

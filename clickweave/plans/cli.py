@@ -54,14 +54,12 @@ def cmd_batch(spark, args) -> dict:
 
 
 def cmd_page_views(spark, args) -> dict:
-    from clickweave.sources.decode import parse_messages
     from clickweave.streaming import ingest
 
     ck = args.checkpoint.rstrip("/")
     queries = [
         ingest.start_page_views(
-            parse_messages(_messages(spark, args)), f"{args.output}/page_views", f"{args.output}/page_view_alerts",
-            f"{ck}/page_views", window_minutes=args.window_minutes, threshold=args.threshold,
+            _messages(spark, args), args.database, f"{ck}/page_views", window_minutes=args.window_minutes, threshold=args.threshold,
             watermark=args.watermark, trigger=_trigger(args),
         )
     ]
@@ -122,7 +120,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     pv = sub.add_parser("page-views")
     stream_common(pv)
-    pv.add_argument("--output", required=True)
+    pv.add_argument("--database", default="curated")
     pv.add_argument("--window-minutes", type=int, default=pageviews.DEFAULT_WINDOW_MINUTES)
     pv.add_argument("--threshold", type=int, default=pageviews.DEFAULT_DOS_THRESHOLD)
     pv.add_argument("--watermark", default="0 seconds")

@@ -404,3 +404,48 @@ UNION ALL SELECT 'sales_by_category', category, round(sum(coalesce(price * quant
 UNION ALL SELECT 'visits_by_page', page_url, CAST(count(DISTINCT session_id) AS DOUBLE) FROM evd WHERE etype = 'page_view' GROUP BY 2
 """),
 })
+
+_UID = "CAST(substr(user_id, 5) AS BIGINT)"
+_LIVE_REJECTS = f"SELECT * FROM ev WHERE etype NOT IN {LIVE_TYPES_SQL} AND etype <> 'purchase'"
+
+ORACLES.update({
+    "consolidated_parts": _with(_VISITS),
+    "visits_of_parts_stream": _with(_VISITS),
+    "late_page_views_stream": _with(f"""
+SELECT *, on_time > 5 AS is_alert FROM (
+  SELECT time_bucket(INTERVAL 60 MINUTE, publish_time, TIMESTAMP '1970-01-01') + INTERVAL 60 MINUTE AS window_end,
+    CAST(coalesce(sum(page_views) FILTER (WHERE {_UID} % 7 <> 3), 0) AS BIGINT) AS on_time,
+    CAST(coalesce(sum(page_views) FILTER (WHERE {_UID} % 7 = 3), 0) AS BIGINT) AS late
+  FROM sess GROUP BY 1 HAVING sum(page_views) > 0)
+"""),
+    "raw_landing_messages": _with(f"""
+SELECT session_id || '#0' AS message_id, CASE WHEN {_UID} % 5 <> 0 THEN publish_time END AS publish_time,
+  CAST(CASE WHEN {_UID} % 2 = 1 THEN 3 ELSE 1 END AS INTEGER) AS n_attributes,
+  CASE WHEN {_UID} % 2 = 1 THEN 'b,a' ELSE '' END AS headers, true AS in_its_shard, true AS has_data
+FROM sess
+"""),
+    "live_job_runs": _with(f"""
+SELECT 'live' AS job_name, metric, value FROM (
+  SELECT 'visits_rows' AS metric, count(*) AS value FROM sess
+  UNION ALL SELECT 'input_records', count(*) FROM sess
+  UNION ALL SELECT 'record_rejects', 0
+  UNION ALL SELECT 'events_rows', count(*) FROM ev WHERE etype IN {LIVE_TYPES_SQL}
+  UNION ALL SELECT 'purchase_items_rows', count(*) FROM pitems
+  UNION ALL SELECT 'rejects_rows', count(*) FROM ({_LIVE_REJECTS})
+)
+"""),
+    "failed_load": _with(f"""
+SELECT state, t AS table_name, count(table_name) AS row_count
+FROM (VALUES ('failed', 0), ('retried', 1)) s(state, upto), (VALUES ('visits'), ('events'), ('purchase_items'), ('rejects')) x(t)
+LEFT JOIN ({_TABLE_ROWS}) r ON r.table_name = x.t AND r.odd <= s.upto
+GROUP BY 1, 2
+"""),
+    "compacted_tables": _with(f"""
+SELECT table_name, row_count, 1::BIGINT AS most_loads_a_day FROM (
+  SELECT 'visits' AS table_name, count(*) AS row_count FROM sess
+  UNION ALL SELECT 'events', count(*) FROM ev WHERE etype IN {LIVE_TYPES_SQL}
+  UNION ALL SELECT 'purchase_items', count(*) FROM pitems
+  UNION ALL SELECT 'rejects', count(*) FROM ({_LIVE_REJECTS})
+)
+"""),
+})

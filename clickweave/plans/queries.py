@@ -27,7 +27,8 @@ from clickweave.plans.batch import run_batch
 from clickweave.plans.landing import landed, parsed_messages, parsed_sessions
 from clickweave.sinks import tables as sinks
 from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions, read_jsonl
-from clickweave.session import scratch_dir
+from clickweave.functions.scalars import shard_label
+from clickweave.session import scratch_dir, staged
 from clickweave.sources import dirty
 from clickweave.streaming import ingest, pageviews
 from clickweave.sources.derived import session_messages, session_records
@@ -142,7 +143,16 @@ def q_duplicate_visit_keys(spark, sf_dir):
 
 def q_consolidated_visits(spark, sf_dir):
     """R5 for visits: copies from both ingest paths -> one merged row per session."""
-    return present(quality.consolidate_visits(quality.union_paths(*_both_visits(spark, sf_dir))))
+    parts = [extract.visit_parts(landed(spark, sf_dir, name)) for name in ("parsed", "live_parsed")]
+    return present(quality.consolidate_visits(quality.union_paths(*parts)))
+
+
+def q_consolidated_parts(spark, sf_dir):
+    """The same where sessions are cut into records of 2 events; parts of equal times must all count."""
+    rec = session_records(spark, sf_dir, *SMALL_BOUNDS)
+    batch = extract.visit_parts(parse_sessions(rec.select("value", F.col("message_id").alias("source"))))
+    live = extract.visit_parts(parse_messages(session_messages(spark, sf_dir, *SMALL_BOUNDS)))
+    return present(quality.consolidate_visits(quality.union_paths(batch, live)))
 
 
 def q_union_paths_events(spark, sf_dir):
@@ -295,7 +305,7 @@ def q_push_visits(spark, sf_dir):
         F.base64("data").alias("data"),
         F.col("message_id").alias("messageId"),
         F.date_format("publish_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("publishTime"),
-        F.col("attributes").alias("attributes"),
+        F.map_from_entries("attributes").alias("attributes"),
     ).alias("message"), F.lit("subscriptions/visits").alias("subscription")))
     parsed = decode_push_envelopes(msgs.select(body.alias("body")))
     return present(extract.visits(parsed))
@@ -334,21 +344,44 @@ def _stream_root(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, name)
 
 
+def _page_views_run(spark, database, root):
+    """Catches up with the messages below ``root``."""
+    stream = ingest.message_files_stream(spark, f"{root}/messages/*")
+    return ingest.start_page_views(stream, database, f"{root}/checkpoint", PAGE_VIEW_WINDOW_MINUTES, ALERT_THRESHOLD).awaitTermination()
+
+
 def q_page_views_stream(spark, sf_dir):
     """T1-T3/K3 as a real stream: derived messages land as files, an
     ``availableNow`` query counts them with a zero-lateness watermark; a
     flush message at the end of the input closes the last windows."""
-    root = _stream_root(spark, "page-views-stream")
+    root, database = _stream_root(spark, "page-views-stream"), _database(spark, "page-views")
     messages = session_messages(spark, sf_dir)
-    messages.unionByName(pageviews.flush_message(messages, PAGE_VIEW_WINDOW_MINUTES)).write.parquet(f"{root}/messages")
-    stream = parse_messages(ingest.message_files_stream(spark, f"{root}/messages"))
-    q = ingest.start_page_views(
-        stream, f"{root}/counts", f"{root}/alerts", f"{root}/checkpoint",
-        window_minutes=PAGE_VIEW_WINDOW_MINUTES, threshold=ALERT_THRESHOLD,
-    )
-    q.awaitTermination()
-    return present(spark.read.schema("window_end timestamp, page_view_count long, batch_id long")
-                   .parquet(f"{root}/counts").drop("batch_id"))
+    messages.unionByName(pageviews.flush_message(messages, PAGE_VIEW_WINDOW_MINUTES)).write.parquet(f"{root}/messages/all")
+    _page_views_run(spark, database, root)
+    return present(spark.table(f"{database}.page_views").select("window_end", "page_view_count"))
+
+
+def q_late_page_views_stream(spark, sf_dir):
+    """Messages of users that are 3 modulo 7 come when all windows
+    are closed; what the stream counted and what it rejected as late, by
+    window, is what the batch counts. Alerts are those of the counted."""
+    root, database = _stream_root(spark, "late-stream"), _database(spark, "late")
+    messages = session_messages(spark, sf_dir)
+    late = F.pmod(F.regexp_extract("message_id", r"^SID-(\d+)-", 1).cast("long"), F.lit(7)) == 3
+    flush = pageviews.flush_message(messages, PAGE_VIEW_WINDOW_MINUTES)
+    after = pageviews.flush_message(flush, PAGE_VIEW_WINDOW_MINUTES)
+    for i, part in enumerate((messages.where(~late), flush, after, messages.where(late))):
+        part.write.parquet(f"{root}/messages/{i}")
+        _page_views_run(spark, database, root)
+    counted = spark.table(f"{database}.page_views").select("window_end", F.col("page_view_count").alias("on_time"), F.lit(0).cast("long").alias("late"))
+    payload = F.from_json("payload", "publish_time string, page_views long")
+    rejected = spark.table(f"{database}.rejects").where(F.col("reason") == pageviews.LATE).select(payload.alias("p"))
+    end = F.window(F.col("p.publish_time").cast("timestamp"), f"{PAGE_VIEW_WINDOW_MINUTES} minutes")["end"]
+    rejected = rejected.select(end.alias("window_end"), F.lit(0).cast("long").alias("on_time"), F.col("p.page_views").alias("late"))
+    both = counted.unionByName(rejected).groupBy("window_end").agg(F.sum("on_time").alias("on_time"), F.sum("late").alias("late"))
+    alerts = spark.table(f"{database}.page_view_alerts").select("window_end", F.lit(True).alias("is_alert"))
+    both = both.where("on_time + late > 0").join(alerts, "window_end", "left")
+    return present(both.select("window_end", "on_time", "late", F.coalesce("is_alert", F.lit(False)).alias("is_alert")))
 
 
 def _database(spark, name: str) -> str:
@@ -371,6 +404,32 @@ def q_events_live_stream(spark, sf_dir):
     return present(spark.table(f"{database}.events").drop("event_date", sinks.LOAD_ID))
 
 
+def q_visits_of_parts_stream(spark, sf_dir):
+    """Records of 2 events, dealt over micro batches by chance, with one
+    batch replayed: the parts that the batches wrote merge to the visits."""
+    root, database = _stream_root(spark, "parts-stream"), _database(spark, "parts")
+    messages = session_messages(spark, sf_dir, *SMALL_BOUNDS)
+    shares = [messages.where(F.pmod(F.xxhash64("message_id"), F.lit(PARTS_BATCHES)) == i) for i in range(PARTS_BATCHES)]
+    for i, share in enumerate(shares):
+        share.write.parquet(f"{root}/messages/{i}")
+        stream = parse_messages(ingest.message_files_stream(spark, f"{root}/messages/*"))
+        ingest.start_live_ingest(stream, database, f"{root}/checkpoint").awaitTermination()
+    ingest.write_batch_tables(parse_messages(shares[0]), database, 0)
+    return present(spark.table(f"{database}.visits").drop("visit_date", sinks.LOAD_ID))
+
+
+def q_live_job_runs(spark, sf_dir):
+    """A10/K7: what the loads of a stream reported of themselves, summed over its batches."""
+    root, database = _stream_root(spark, "runs-stream"), _database(spark, "runs")
+    messages = session_messages(spark, sf_dir)
+    for i in range(2):
+        messages.where(F.pmod(F.xxhash64("message_id"), F.lit(2)) == i).write.parquet(f"{root}/messages/{i}")
+        stream = parse_messages(ingest.message_files_stream(spark, f"{root}/messages/*"))
+        ingest.start_live_ingest(stream, database, f"{root}/checkpoint").awaitTermination()
+    runs = spark.table(f"{database}.job_runs").select("job_name", F.explode("metrics").alias("metric", "value"))
+    return runs.groupBy("job_name", "metric").agg(F.sum("value").alias("value"))
+
+
 def _landed_raw(spark, messages):
     root = _stream_root(spark, "raw-landing-stream")
     messages.write.parquet(f"{root}/messages")
@@ -380,6 +439,25 @@ def _landed_raw(spark, messages):
     return pageviews.read_raw_landing(spark, f"{root}/raw")
 
 
+def q_raw_landing_messages(spark, sf_dir):
+    """Messages without a publish time (users divisible by 5) and with a
+    repeated header (odd users) land and come back with all they had; the shard
+    of each is the one that its id gives."""
+    user = F.regexp_extract("message_id", r"^SID-(\d+)-", 1).cast("long")
+    header = lambda v: F.struct(F.lit("h").alias("key"), F.lit(v).alias("value"))
+    messages = session_messages(spark, sf_dir).withColumns({
+        "publish_time": F.when(user % 5 != 0, F.col("publish_time")),
+        "attributes": F.when(user % 2 == 1, F.concat("attributes", F.array(header("b"), header("a")))).otherwise(F.col("attributes")),
+    })
+    back = _landed_raw(spark, messages).where(F.col("message_id").endswith("#0"))
+    values = F.transform(F.filter("attributes", lambda a: a["key"] == "h"), lambda a: a["value"])
+    return present(back.select(
+        "message_id", "publish_time", F.size("attributes").alias("n_attributes"), F.array_join(values, ",").alias("headers"),
+        F.col("shard").eqNullSafe(shard_label("message_id", pageviews.DEFAULT_NUM_SHARDS)).alias("in_its_shard"),
+        F.length("data").cast("long").alias("n_bytes") > 0,
+    ).toDF("message_id", "publish_time", "n_attributes", "headers", "in_its_shard", "has_data"))
+
+
 def q_raw_landing_stream(spark, sf_dir):
     """K5/X7/X10 as a real stream: messages landed as lines of text files,
     read back and counted per minute."""
@@ -459,6 +537,48 @@ def q_tables_truncated(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _counts(spark, database, state):
+    tables = ("visits", "events", "purchase_items", "rejects")
+    return reduce(DataFrame.unionByName, [spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(state).alias("state"), F.lit(t).alias("table_name"), "row_count") for t in tables])
+
+
+def q_failed_load(spark, sf_dir):
+    """A load of odd users fails between two tables: every table shows
+    even users only; it is tried again: every table shows all."""
+    even, odd = _halves(spark, sf_dir)
+    database = _database(spark, "failed")
+    _batch(spark, even, database, run_id="1")
+
+    def lose(name):
+        if name == "events":
+            raise OSError("lost between two tables")
+
+    try:
+        _batch(spark, odd, database, run_id="2", after_table=lose)
+    except OSError:
+        before = staged(_counts(spark, database, "failed"), "counts")
+    _batch(spark, odd, database, run_id="2")
+    return before.unionByName(_counts(spark, database, "retried"))
+
+
+def q_compacted_tables(spark, sf_dir):
+    """Four live loads of parts and whole records, compacted: a day of a table
+    is one load, no row is lost, and what is hidden is vacuumed."""
+    database = _database(spark, "compacted")
+    messages = session_messages(spark, sf_dir, *SMALL_BOUNDS)
+    for i in range(4):
+        ingest.write_batch_tables(parse_messages(messages.where(F.pmod(F.xxhash64("message_id"), F.lit(4)) == i)), database, i)
+    for t in ("visits", "events", "purchase_items", "rejects"):
+        sinks.compact(spark, t, database, "2999-01-01")
+    sinks.vacuum(spark, database, 0)
+    out = []
+    for t in ("visits", "events", "purchase_items", "rejects"):
+        day, rows = sinks.PARTITION_COLUMNS[t][0], spark.table(f"{database}.{t}")
+        loads = spark.table(f"{database}.{t}_rows").groupBy(day).agg(F.count_distinct(sinks.ATTEMPT).alias("n")).agg(F.max("n").alias("most_loads_a_day"))
+        out.append(rows.agg(F.count(F.lit(1)).alias("row_count")).crossJoin(loads).select(F.lit(t).alias("table_name"), "row_count", "most_loads_a_day"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_job_run_metrics(spark, sf_dir):
     """K6, K7, A10: what a run of lines with defects reports, and what it leaves in its input folder."""
     path = _files(spark, dirty.dirty_records(landed(spark, sf_dir, "parsed")).where("value not rlike '^\n'"))
@@ -470,17 +590,20 @@ def q_job_run_metrics(spark, sf_dir):
 
 
 def q_live_dashboard_stream(spark, sf_dir):
-    """The reports as streams over messages that are delivered twice."""
+    """The reports as streams over messages that are delivered twice, of
+    sessions cut into records of 2 events. All messages come in one batch, so
+    none is late; the logs are compacted before they are read."""
     root = _stream_root(spark, "dashboard")
-    messages = session_messages(spark, sf_dir)
+    messages = session_messages(spark, sf_dir, *SMALL_BOUNDS)
     messages.unionByName(messages).write.parquet(f"{root}/messages")
     out = []
-    for name, key in (("visits_by_device", "device_type"), ("product_totals", "product_id"), ("sales_by_category", "category"), ("visits_by_page", "page_url")):
-        stream = ingest.message_files_stream(spark, f"{root}/messages").dropDuplicates(["message_id"])
+    for name, (key, _) in ingest.DASHBOARD.items():
+        stream = ingest.without_replays(ingest.message_files_stream(spark, f"{root}/messages"), ingest.DASHBOARD_LATENESS)
         ingest.start_updates(ingest.live_dashboard_aggregates(parse_messages(stream))[name], f"{root}/{name}", f"{root}/ck-{name}").awaitTermination()
-        state = ingest.read_visits_by_page(spark, f"{root}/{name}") if name == "visits_by_page" else ingest.read_updates(spark, f"{root}/{name}", [key])
-        value = [c for c in state.columns if c != key][0]
-        out.append(state.select(F.lit(name).alias("report"), F.col(key).alias("group_key"), F.col(value).cast("double").alias("value")))
+        ingest.compact_updates(spark, f"{root}/{name}", ["day", key], keep_batches=0)
+        report = ingest.read_dashboard(spark, f"{root}/{name}", name)
+        value = [c for c in report.columns if c != key][0]
+        out.append(report.select(F.lit(name).alias("report"), F.col(key).alias("group_key"), F.col(value).cast("double").alias("value")))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -488,6 +611,9 @@ def q_live_dashboard_stream(spark, sf_dir):
 # registered window reports use hour windows and a matching threshold.
 PAGE_VIEW_WINDOW_MINUTES = 60
 ALERT_THRESHOLD = 5
+# Events a record and items a record where sessions are to be cut, and batches they are dealt over.
+SMALL_BOUNDS = (2, 3)
+PARTS_BATCHES = 3
 
 
 def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -561,6 +687,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tables_truncated": q_tables_truncated,
     "job_run_metrics": q_job_run_metrics,
     "live_dashboard_stream": q_live_dashboard_stream,
+    "consolidated_parts": q_consolidated_parts,
+    "visits_of_parts_stream": q_visits_of_parts_stream,
+    "late_page_views_stream": q_late_page_views_stream,
+    "raw_landing_messages": q_raw_landing_messages,
+    "live_job_runs": q_live_job_runs,
+    "failed_load": q_failed_load,
+    "compacted_tables": q_compacted_tables,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}

@@ -61,11 +61,14 @@ PUSH_ENVELOPE = T.StructType([
     T.StructField(CORRUPT_COL, S),
 ])
 
+# Attributes of a message, in order; a key may be there several times.
+ATTRIBUTES = T.ArrayType(T.StructType([T.StructField("key", S), T.StructField("value", S)]))
+
 # Normalised message stream (pull, streaming, Kafka all map onto this).
 MESSAGE = T.StructType([
     T.StructField("message_id", S, False),
-    T.StructField("publish_time", T.TimestampType(), False),
-    T.StructField("attributes", T.MapType(S, S)),
+    T.StructField("publish_time", T.TimestampType()),
+    T.StructField("attributes", ATTRIBUTES),
     T.StructField("data", T.BinaryType()),
 ])
 
@@ -86,6 +89,12 @@ VISITS = T.StructType([
     _f("event_count", T.LongType(), comment="raw entries in the events array"),
 ])
 
+# What is stored of visits: a row per session record.
+VISIT_PARTS = T.StructType(VISITS.fields + [
+    _f("part", T.LongType(), comment="number of the part, NULL for a whole session"),
+    _f("parts", T.LongType(), comment="parts of the session, NULL for a whole one"),
+])
+
 EVENTS = T.StructType([
     _f("session_id", S, False, "FK visits.session_id"),
     _f("event_unique_id", S, False, "deterministic hash of session, position, type, time"),
@@ -122,6 +131,8 @@ PAGE_VIEWS = T.StructType([
     _f("page_view_count", T.LongType(), False),
 ])
 
+PAGE_VIEW_ALERTS = T.StructType(PAGE_VIEWS.fields + [_f("threshold", T.LongType(), False)])
+
 REJECTS = T.StructType([
     _f("source", S, comment="file path or message id"),
     _f("stage", S, False, "record | event | item"),

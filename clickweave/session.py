@@ -103,6 +103,14 @@ def sweep(spark: SparkSession) -> None:
         _delete(spark, entry[0])
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` if it is columns and rows of a written table, else ``staged``."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().apply(0)
+    return df if node.nodeName().startswith(("LogicalRelation", "Relation")) else staged(df, name)
+
+
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once, with the given writer options, to the shared folder and return the written table.
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import decode_base64, is_missing, utf8_text
-from clickweave.schemas import CORRUPT_COL, PUSH_ENVELOPE, SESSION_PARSE
+from clickweave.schemas import ATTRIBUTES, CORRUPT_COL, PUSH_ENVELOPE, SESSION_PARSE
 
 JSON_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -135,7 +135,7 @@ def decode_push_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:
     out = df.select(
         F.coalesce(msg["messageId"], msg["message_id"]).alias("message_id"),
         F.try_to_timestamp(F.coalesce(msg["publishTime"], msg["publish_time"])).alias("publish_time"),
-        msg["attributes"].alias("attributes"),
+        F.map_entries(msg["attributes"]).cast(ATTRIBUTES).alias("attributes"),
         data.alias("data"),
         F.when(env.isNull() | env[CORRUPT_COL].isNotNull() | msg.isNull(), F.lit(BAD_ENVELOPE))
         .when(raw.isNull(), F.lit(EMPTY_MESSAGE))

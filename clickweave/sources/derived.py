@@ -303,11 +303,11 @@ def session_records(
     return _WRITTEN[key]
 
 
-def session_messages(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+def session_messages(spark: SparkSession, sf_dir: str, *bounds: int) -> DataFrame:
     """The records as a normalised message frame (``data`` BINARY)."""
-    rec = session_records(spark, sf_dir, **kw)
+    rec = session_records(spark, sf_dir, *bounds)
     return rec.select(
         "message_id", "publish_time",
-        F.create_map(F.lit("origin"), F.lit("derived")).alias("attributes"),
+        F.array(F.struct(F.lit("origin").alias("key"), F.lit("derived").alias("value"))).alias("attributes"),
         F.encode(F.col("value"), "UTF-8").alias("data"),
     )

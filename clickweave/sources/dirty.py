@@ -77,6 +77,6 @@ def dirty_messages(parsed: DataFrame) -> DataFrame:
     data = F.encode("value", "UTF-8")
     bad = F.concat(F.unhex(F.lit("FFFE")), data)
     return dirty_records(parsed).select(
-        "message_id", "publish_time", F.create_map(F.lit("origin"), F.lit("derived")).alias("attributes"),
+        "message_id", "publish_time", F.array(F.struct(F.lit("origin").alias("key"), F.lit("derived").alias("value"))).alias("attributes"),
         F.when(F.pmod("user", F.lit(20)) == 9, bad).otherwise(data).alias("data"),
     )

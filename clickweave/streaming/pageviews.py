@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import iso_text, minute_label, shard_label, utf8_text
-from clickweave.schemas import MESSAGE
-from clickweave.sources.decode import MISSING_SESSION_ID
+from clickweave.schemas import ATTRIBUTES, MESSAGE
+from clickweave.sources.decode import MISSING_SESSION_ID, parse_messages
 
 # Fixed values from the reference's streaming job.
 DEFAULT_WINDOW_MINUTES = 1
@@ -38,7 +38,7 @@ def flush_message(messages: DataFrame, window_minutes: int = DEFAULT_WINDOW_MINU
     row = messages.agg(after.alias("publish_time")).where("publish_time is not null")
     return row.select(
         F.lit(FLUSH).alias("message_id"), "publish_time",
-        F.create_map(F.lit(CONTROL), F.lit(FLUSH)).alias("attributes"), F.lit(None).cast("binary").alias("data"),
+        F.array(F.struct(F.lit(CONTROL).alias("key"), F.lit(FLUSH).alias("value"))).alias("attributes"), F.lit(None).cast("binary").alias("data"),
     ).select(*MESSAGE.names)
 
 
@@ -53,7 +53,7 @@ def page_views_per_record(parsed: DataFrame, time_col: str = "publish_time") ->
     """
     ok = F.col("reject_reason").isNull() | (F.col("reject_reason") == MISSING_SESSION_ID)
     if "attributes" in parsed.columns:
-        ok |= F.coalesce(F.try_element_at("attributes", F.lit(CONTROL)) == FLUSH, F.lit(False))
+        ok |= F.coalesce(F.exists("attributes", lambda a: (a["key"] == CONTROL) & (a["value"] == FLUSH)), F.lit(False))
     evs = F.coalesce(F.col("rec.events"), F.array())
     n = F.size(F.filter(evs, lambda e: e["event"]["event_type"] == F.lit(PAGE_VIEW)))
     return parsed.where(ok).select(F.col(time_col).alias("event_time"), n.cast("long").alias("page_views"))
@@ -98,11 +98,28 @@ def page_view_alerts(counts: DataFrame, threshold: int = DEFAULT_DOS_THRESHOLD)
     return with_alert_flag(counts, threshold).where(F.col("is_alert")).drop("is_alert")
 
 
+LATE = "late"
+
+
+def late_rejects(messages: DataFrame) -> DataFrame:
+    """Messages that came after their window was closed, as rejects; the payload is the page views they had."""
+    parsed = parse_messages(messages)
+    views = F.size(F.filter(F.coalesce(F.col("rec.events"), F.array()), lambda e: e["event"]["event_type"] == F.lit(PAGE_VIEW)))
+    counted = F.col("reject_reason").isNull() | (F.col("reject_reason") == MISSING_SESSION_ID)
+    payload = F.struct(iso_text(F.col("publish_time")).alias("publish_time"), F.when(counted, views).otherwise(0).alias("page_views"))
+    none = F.lit(None).cast("int")
+    return parsed.select(
+        "source", F.lit("record").alias("stage"), F.lit(LATE).alias("reason"), F.col("rec.session_id").alias("session_id"),
+        none.alias("event_pos"), none.alias("item_pos"), F.to_json(payload).alias("payload"),
+    )
+
+
 def raw_landing_rows(messages: DataFrame, num_shards: int = DEFAULT_NUM_SHARDS) -> DataFrame:
     """Every message keyed by publish hour, minute and stable shard.
 
-    Columns ``hour, minute, shard, message_id, value, data64``: the text, or,
-    if the bytes are no UTF-8 text, the bytes in base64.
+    Columns ``hour, minute, shard, message_id, publish_time, attributes,
+    value, data64``: the text, or, if the bytes are no UTF-8 text, the bytes
+    in base64. The hour of a message without a publish time is ``none``.
     """
     if "value" in messages.columns:
         text, other = F.col("value"), F.lit(None).cast("string")
@@ -110,23 +127,24 @@ def raw_landing_rows(messages: DataFrame, num_shards: int = DEFAULT_NUM_SHARDS)
         text = utf8_text(F.col("data"))
         other = F.when(text.isNull(), F.base64("data"))
     return messages.select(
-        F.date_format("publish_time", "yyyy-MM-dd-HH").alias("hour"),
+        F.coalesce(F.date_format("publish_time", "yyyy-MM-dd-HH"), F.lit("none")).alias("hour"),
         minute_label(F.col("publish_time")).alias("minute"),
         shard_label(F.col("message_id"), num_shards).alias("shard"),
         "message_id", "publish_time",
+        (F.col("attributes") if "attributes" in messages.columns else F.lit(None).cast(ATTRIBUTES)).alias("attributes"),
         text.alias("value"),
         other.alias("data64"),
     )
 
 
-RAW_LINE = "message_id string, publish_time string, minute string, shard string, value string, data64 string"
+RAW_LINE = "message_id string, publish_time string, attributes array<struct<key:string,value:string>>, minute string, shard string, value string, data64 string"
 
 
 def raw_lines(rows: DataFrame) -> DataFrame:
     """``hour, value``, each message as one line of JSON: line feeds inside it are escaped."""
     # JSON writes times to the millisecond
     at = F.concat(iso_text(F.col("publish_time")), F.lit("Z")).alias("publish_time")
-    return rows.select("hour", "message_id", F.to_json(F.struct("message_id", at, "minute", "shard", "value", "data64")).alias("value"))
+    return rows.select("hour", "message_id", F.to_json(F.struct("message_id", at, "attributes", "minute", "shard", "value", "data64")).alias("value"))
 
 
 def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -134,6 +152,6 @@ def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.schema("value string, hour string, batch_id long").text(path)
     m = lines.select(F.from_json("value", RAW_LINE).alias("m")).select("m.*")
     return m.select(
-        "message_id", F.col("publish_time").cast("timestamp").alias("publish_time"), F.lit(None).cast("map<string,string>").alias("attributes"),
+        "message_id", F.col("publish_time").cast("timestamp").alias("publish_time"), "attributes",
         F.coalesce(F.encode("value", "UTF-8"), F.unbase64("data64")).alias("data"), "minute", "shard",
     )

@@ -105,6 +105,6 @@ def test_batch_invariant_event_count(spark):
 def test_no_shuffle_in_extraction(spark):
     p = parsed(spark, [session("S", [ev()])])
     # visits: only rows that say they are parts of a session are shuffled
-    for df in (extract.visits(p, merge_parts=False), extract.events(p), extract.purchase_items(p)):
+    for df in (extract.visit_parts(p), extract.events(p), extract.purchase_items(p)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan

@@ -199,15 +199,19 @@ def test_hot_session_is_split_in_the_joins(spark):
 
 def test_consolidate_visits_copies_and_parts(spark):
     rows = [
-        ("S", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 10:05:00", 3),
-        ("S", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 10:05:00", 3),  # replayed copy
-        ("S", "u", "d", "g", "a", "2024-01-01 11:00:00", "2024-01-01 11:30:00", 2),  # second part
-        ("T", None, "m", None, None, None, None, 0),
+        ("S", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 10:05:00", 3, 0, 3),
+        ("S", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 10:05:00", 3, 0, 3),  # replayed copy
+        ("S", "u", "d", "g", "a", "2024-01-01 11:00:00", "2024-01-01 11:30:00", 2, 1, 3),  # second part
+        ("S", "u", "d", "g", "a", "2024-01-01 11:00:00", "2024-01-01 11:30:00", 2, 2, 3),  # of equal times and size
+        ("T", None, "m", None, None, None, None, 0, None, None),
+        ("U", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 11:00:00", 4, None, None),  # whole by one path
+        ("U", "u", "d", "g", "a", "2024-01-01 10:00:00", "2024-01-01 10:30:00", 2, 0, 2),  # in parts by the other
+        ("U", "u", "d", "g", "a", "2024-01-01 10:40:00", "2024-01-01 11:00:00", 2, 1, 2),
     ]
     df = spark.createDataFrame(rows, "session_id string, user_id string, device_type string, geolocation string, "
-                               "user_agent string, start_timestamp string, end_timestamp string, event_count long")
+                               "user_agent string, start_timestamp string, end_timestamp string, event_count long, part long, parts long")
     df = df.withColumn("start_timestamp", F.col("start_timestamp").cast("timestamp")).withColumn(
         "end_timestamp", F.col("end_timestamp").cast("timestamp"))
     got = {r.session_id: (str(r.start_timestamp), str(r.end_timestamp), r.event_count)
            for r in quality.consolidate_visits(df).collect()}
-    assert got == {"S": ("2024-01-01 10:00:00", "2024-01-01 11:30:00", 5), "T": ("None", "None", 0)}
+    assert got == {"S": ("2024-01-01 10:00:00", "2024-01-01 11:30:00", 7), "T": ("None", "None", 0), "U": ("2024-01-01 10:00:00", "2024-01-01 11:00:00", 4)}

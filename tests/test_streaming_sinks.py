@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweave.operators import extract, quality
 from clickweave.plans.batch import run_batch
+from clickweave.schemas import ATTRIBUTES
 from clickweave.sinks import tables as sinks
 from clickweave.sources.decode import parse_messages, parse_sessions
 from clickweave.sources.derived import session_messages, session_records
@@ -108,17 +109,18 @@ def test_foreach_batch_replay_is_idempotent(spark):
 
 def test_failed_run_written_again_does_not_double(spark, session_files, monkeypatch):
     path, n = session_files
-    real = sinks.write_table
+    real = sinks.write_attempt
 
     def failing(df, name, *a, **kw):
         if name == "purchase_items":
             raise RuntimeError("lost")
-        real(df, name, *a, **kw)
+        return real(df, name, *a, **kw)
 
-    monkeypatch.setattr(sinks, "write_table", failing)
+    monkeypatch.setattr(sinks, "write_attempt", failing)
     with pytest.raises(RuntimeError):
         run_batch(spark, path, database="retry_t", run_id="7")
-    monkeypatch.setattr(sinks, "write_table", real)
+    assert spark.table("retry_t.visits").count() == spark.table("retry_t.events").count() == 0  # nothing was committed
+    monkeypatch.setattr(sinks, "write_attempt", real)
     m = run_batch(spark, path, database="retry_t", run_id="7")
     assert spark.table("retry_t.visits").count() == n == m["visits_rows"]
     assert spark.table("retry_t.events").count() == m["events_rows"]
@@ -153,12 +155,56 @@ def test_compacted_days_keep_their_rows(spark):
     sinks.provision(spark, "compact_t")
     for i in range(3):
         ingest.write_batch_tables(parsed.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == i), "compact_t", i)
-    before = spark.table("compact_t.events").drop("load_id").collect()
-    sinks.compact(spark, "events", "compact_t", "2024-01-15")
+    before = spark.table("compact_t.events").collect()
+    assert sinks.compact(spark, "events", "compact_t", "2024-01-15")
+    assert not sinks.compact(spark, "events", "compact_t", "2024-01-15")  # days of one load are left alone
     after = spark.table("compact_t.events")
-    assert sorted(map(str, after.drop("load_id").collect())) == sorted(map(str, before))
-    assert {r.load_id for r in after.where("event_date < '2024-01-15'").select("load_id").distinct().collect()} == {"compacted-2024-01-15"}
-    assert after.where("event_date >= '2024-01-15'").select("load_id").distinct().count() == 3
+    assert sorted(map(str, after.collect())) == sorted(map(str, before))  # load ids included
+    sinks.vacuum(spark, "compact_t", 0)
+    places = spark.table("compact_t.events_rows").groupBy("event_date").agg(F.count_distinct("attempt").alias("n")).collect()
+    assert all(r.n == 1 if str(r.event_date) < "2024-01-15" else r.n <= 3 for r in places) and max(r.n for r in places) == 3
+    # a compacted load that is written again still replaces its own rows, and nothing else
+    ingest.write_batch_tables(parsed.limit(0), "compact_t", 1)
+    left = spark.table("compact_t.events").collect()
+    assert sorted(map(str, left)) == sorted(str(r) for r in before if r.load_id != "live-1")
+
+
+def test_compaction_hides_nothing_that_commits_meanwhile(spark, monkeypatch):
+    parsed = parse_messages(session_messages(spark, SF_SMALL))
+    sinks.provision(spark, "race_t")
+    third = [parsed.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == i) for i in range(3)]
+    for i in range(2):
+        ingest.write_batch_tables(third[i], "race_t", i)
+    real = sinks.write_attempt
+
+    def slow(df, name, *a):
+        monkeypatch.setattr(sinks, "write_attempt", real)
+        ingest.write_batch_tables(third[2], "race_t", 2)  # a live load commits while the days are gathered
+        return real(df, name, *a)
+
+    monkeypatch.setattr(sinks, "write_attempt", slow)
+    for t in ("events", "rejects", "visits"):
+        sinks.compact(spark, t, "race_t", "2999-01-01")
+    assert sinks.vacuum(spark, "race_t", 24) == 0  # too young
+    assert sinks.vacuum(spark, "race_t", 0) > 0
+    assert sinks.vacuum(spark, "race_t", 0) == 0
+    whole = extract.tables(parsed, "live")
+    for t in ("events", "purchase_items"):
+        got = spark.table(f"race_t.{t}").select(*whole[t].columns)
+        assert got.exceptAll(whole[t]).count() == 0 and got.count() == whole[t].count()
+    assert spark.table("race_t.rejects").count() == whole["rejects"].count()
+    assert spark.table("race_t.visits").count() == extract.visits(parsed).count()
+    # a replay after all that changes nothing
+    ingest.write_batch_tables(third[0], "race_t", 0)
+    assert spark.table("race_t.events").count() == whole["events"].count()
+
+
+def test_empty_loads_commit(spark):
+    sinks.provision(spark, "empty_t")
+    none = parse_messages(session_messages(spark, SF_SMALL).limit(0))
+    m = ingest.write_batch_tables(none, "empty_t", 0)
+    assert set(m.values()) == {0} and spark.table("empty_t.loads").count() == 1
+    assert sinks.compact(spark, "rejects", "empty_t", "2999-01-01") == []
 
 
 def test_batch_archives_what_it_read(spark, session_files, tmp_path):
@@ -184,9 +230,9 @@ def test_replayed_messages_are_dropped(spark, tmp_path):
 def test_flush_closes_the_last_window(spark, tmp_path):
     msgs = session_messages(spark, SF_SMALL)
     msgs.unionByName(pageviews.flush_message(msgs, 60)).write.parquet(str(tmp_path / "m"))
-    stream = parse_messages(ingest.message_files_stream(spark, str(tmp_path / "m")))
-    ingest.start_page_views(stream, str(tmp_path / "c"), str(tmp_path / "a"), str(tmp_path / "k"), window_minutes=60).awaitTermination(300)
-    got = spark.read.parquet(str(tmp_path / "c")).drop("batch_id")
+    stream = ingest.message_files_stream(spark, str(tmp_path / "m"))
+    ingest.start_page_views(stream, "flush_t", str(tmp_path / "k"), window_minutes=60).awaitTermination(300)
+    got = spark.table("flush_t.page_views").select("window_end", "page_view_count")
     batch = pageviews.page_view_counts(parse_messages(msgs), 60)
     assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
 
@@ -196,11 +242,11 @@ def test_page_view_stream_equals_batch_on_closed_windows(spark, tmp_path):
     cut = msgs.agg(F.expr("percentile_approx(publish_time, 0.5)")).first()[0]
     src = tmp_path / "msgs"
     msgs.where(F.col("publish_time") < F.lit(cut)).write.parquet(str(src / "p1"))
-    counts, alerts, ckpt = str(tmp_path / "c"), str(tmp_path / "a"), str(tmp_path / "k")
+    ckpt = str(tmp_path / "k")
 
     def run():
-        stream = parse_messages(ingest.message_files_stream(spark, str(src) + "/*"))
-        q = ingest.start_page_views(stream, counts, alerts, ckpt, window_minutes=60, threshold=3)
+        stream = ingest.message_files_stream(spark, str(src) + "/*")
+        q = ingest.start_page_views(stream, "closed_t", ckpt, window_minutes=60, threshold=3)
         q.awaitTermination(300)
 
     run()
@@ -209,38 +255,74 @@ def test_page_view_stream_equals_batch_on_closed_windows(spark, tmp_path):
     batch = pageviews.page_view_counts(parse_messages(msgs), 60)
     max_pt = msgs.agg(F.max("publish_time")).first()[0]
     closed = batch.where(F.col("window_end") <= F.lit(max_pt))
-    got = spark.read.parquet(counts).drop("batch_id")
+    got = spark.table("closed_t.page_views").select("window_end", "page_view_count")
     assert got.count() == closed.count() > 0
     assert got.exceptAll(closed).count() == 0
-    al = spark.read.parquet(alerts)
+    al = spark.table("closed_t.page_view_alerts")
     assert al.count() == closed.where("page_view_count > 3").count()
 
 
-def test_late_rows_dropped_in_stream(spark, tmp_path):
+def test_late_rows_are_rejects(spark, tmp_path):
     import datetime as dt
 
     from clickweave.schemas import MESSAGE
 
     def m(i, t):
         data = ('{"session_id":"S%d","events":[{"event":{"event_type":"page_view"}}]}' % i).encode()
-        return (f"m{i}", t, {}, data)
+        return (f"m{i}", t, [], data)
 
     t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
     src = tmp_path / "msgs"
     spark.createDataFrame([m(1, t0), m(2, t0 + dt.timedelta(minutes=5))], MESSAGE).write.parquet(str(src / "p1"))
-    counts, alerts, ckpt = str(tmp_path / "c"), str(tmp_path / "a"), str(tmp_path / "k")
+    ckpt, dropped = str(tmp_path / "k"), []
 
     def run():
-        stream = parse_messages(ingest.message_files_stream(spark, str(src) + "/*"))
-        ingest.start_page_views(stream, counts, alerts, ckpt, window_minutes=1).awaitTermination(300)
+        stream = ingest.message_files_stream(spark, str(src) + "/*")
+        q = ingest.start_page_views(stream, "late_t", ckpt, window_minutes=1)
+        q.awaitTermination(300)
+        dropped.append(sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators))
 
     run()
     # late: 10:00:30 arrives after the watermark moved to 10:05
     spark.createDataFrame([m(3, t0 + dt.timedelta(seconds=30)), m(4, t0 + dt.timedelta(minutes=9))],
                           MESSAGE).write.parquet(str(src / "p2"))
     run()
-    got = {str(r.window_end): r.page_view_count for r in spark.read.parquet(counts).collect()}
+    got = {str(r.window_end): r.page_view_count for r in spark.table("late_t.page_views").collect()}
     assert got == {"2024-01-01 10:01:00": 1, "2024-01-01 10:06:00": 1}
+    rejects = spark.table("late_t.rejects").collect()
+    assert [(r.source, r.reason, r.session_id, r.payload) for r in rejects] == [("m3", "late", "S3", '{"publish_time":"2024-01-01T10:00:30.000000","page_views":1}')]
+    assert dropped == [0, 1]  # what Spark says it dropped
+    # a batch that is written again is judged as the first time
+    sinks.vacuum(spark, "late_t", 0)
+    assert spark.table("late_t.rejects").count() == 1
+
+
+def test_lateness_is_that_of_the_stream(spark, tmp_path):
+    """Messages by chance over many batches: counted and late together are all of them, and late are those that Spark dropped."""
+    msgs = session_messages(spark, SF_SMALL)
+    src, dropped = tmp_path / "msgs", 0
+    for i in range(5):
+        msgs.where(F.pmod(F.xxhash64("message_id"), F.lit(5)) == i).coalesce(1).write.parquet(str(src / str(i)))
+    stream = ingest.message_files_stream(spark, str(src) + "/*", max_files_per_trigger=1)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000")
+    q = ingest.start_page_views(stream, "chance_t", str(tmp_path / "k"), window_minutes=60, watermark="3 days")
+    q.awaitTermination(300)
+    dropped = sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)
+    late = spark.table("chance_t.rejects").where("reason = 'late'")
+    assert late.count() >= dropped > 0  # Spark counts after a partial sum by window
+    counted = spark.table("chance_t.page_views").agg(F.sum("page_view_count")).first()[0]
+    missed = late.agg(F.sum(F.get_json_object("payload", "$.page_views").cast("long"))).first()[0]
+    last = spark.table("chance_t.page_views").agg(F.max("window_end")).first()[0]
+    batch = pageviews.page_view_counts(parse_messages(msgs), 60)
+    limit = msgs.agg(F.max("publish_time") - F.expr("INTERVAL 3 DAYS")).first()[0]
+    open_windows = batch.where(F.col("window_end") > F.lit(limit))
+    still = open_windows.agg(F.sum("page_view_count")).first()[0] or 0
+    assert counted + missed <= batch.agg(F.sum("page_view_count")).first()[0] and last <= limit
+    # of closed windows nothing is missing
+    closed = batch.where(F.col("window_end") <= F.lit(limit)).agg(F.sum("page_view_count")).first()[0]
+    ends = F.window(F.get_json_object("payload", "$.publish_time").cast("timestamp"), "60 minutes")["end"]
+    missed_closed = late.where(ends <= F.lit(limit)).agg(F.sum(F.get_json_object("payload", "$.page_views").cast("long"))).first()[0]
+    assert counted + missed_closed == closed and still >= 0
 
 
 def test_threshold_is_strict(spark):
@@ -252,7 +334,8 @@ def test_threshold_is_strict(spark):
 def test_raw_landing_keeps_every_message(spark, tmp_path):
     msgs = session_messages(spark, SF_SMALL)
     odd = spark.createDataFrame([("nl", bytearray(b'{"a":1,\n\r\n"b":2}\n')), ("bytes", bytearray(b"\xff\xfe\n")), ("none", None)] + [(f"hot{i}", bytearray(b"x")) for i in range(100)], "message_id string, data binary")
-    msgs = msgs.unionByName(odd.select("message_id", F.lit("2024-01-05 10:00:00").cast("timestamp").alias("publish_time"), F.lit(None).cast("map<string,string>").alias("attributes"), "data"))
+    msgs = msgs.unionByName(odd.select("message_id", F.lit("2024-01-05 10:00:00").cast("timestamp").alias("publish_time"), F.array(*(F.struct(F.lit("h").alias("key"), F.lit(v).alias("value")) for v in ("b", "a", None))).alias("attributes"), "data"))
+    msgs = msgs.unionByName(msgs.where("message_id = 'nl'").withColumns({"message_id": F.lit("untimed"), "publish_time": F.lit(None).cast("timestamp"), "attributes": F.lit(None).cast(ATTRIBUTES)}))
     src = tmp_path / "msgs"
     msgs.write.parquet(str(src))
     out, ckpt = str(tmp_path / "raw"), str(tmp_path / "k")
@@ -262,10 +345,11 @@ def test_raw_landing_keeps_every_message(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     back = pageviews.read_raw_landing(spark, out)
     assert back.count() == msgs.count()
-    same = [f.select("message_id", "publish_time", "data") for f in (back, msgs)]
+    same = [f.select("message_id", "publish_time", "attributes", "data") for f in (back, msgs)]
+    assert back.where("publish_time is null").count() == 1
     assert same[0].exceptAll(same[1]).count() == 0
     assert {r.shard for r in back.select("shard").distinct().collect()} == {"00", "01", "02", "03", "04"}
-    assert all(len(r.minute) == len("2024-01-01-T-00-00") for r in back.select("minute").distinct().collect())
+    assert all(r.minute is None or len(r.minute) == len("2024-01-01-T-00-00") for r in back.select("minute").distinct().collect())
     # the rows of a hot hour are spread over files, a quiet hour is one file
     assert len(glob.glob(out + "/batch_id=0/hour=2024-01-05-10/part-*")) > 3
     assert all(len(glob.glob(d + "/part-*")) == 1 for d in glob.glob(out + "/batch_id=0/hour=*") if not d.endswith("2024-01-05-10"))
@@ -278,21 +362,48 @@ def test_live_dashboard_updates(spark, tmp_path):
     src = tmp_path / "msgs"
     msgs.write.parquet(str(src))
     stream = parse_messages(ingest.message_files_stream(spark, str(src), max_files_per_trigger=1))
-    aggs = ingest.live_dashboard_aggregates(stream)
+    aggs = ingest.live_dashboard_aggregates(stream, lateness="60 days")
     for name, agg in aggs.items():
         ingest.start_updates(agg, str(tmp_path / name), str(tmp_path / f"ck_{name}")).awaitTermination(300)
     batch = parse_messages(msgs)
     items = extract.purchase_items(batch, "live")
     want = {
-        "visits_by_device": (["device_type"], reports.visits_by_device(extract.visits(batch))),
-        "sales_by_category": (["category"], reports.sales_by_category(items)),
-        "product_totals": (["product_id"], reports.popular_items(items, 10**6)),
+        "visits_by_device": reports.visits_by_device(extract.visits(batch)),
+        "sales_by_category": reports.sales_by_category(items),
+        "product_totals": reports.popular_items(items, 10**6),
+        "visits_by_page": reports.visits_by_page(extract.events(batch)),
     }
-    for name, (keys, df) in want.items():
-        got = ingest.read_updates(spark, str(tmp_path / name), keys)
-        assert got.exceptAll(df.select(*got.columns)).count() == 0 and got.count() == df.count(), name
-    pages = ingest.read_visits_by_page(spark, str(tmp_path / "visits_by_page"))
-    assert pages.exceptAll(reports.visits_by_page(extract.events(batch))).count() == 0
+    for name, df in want.items():
+        for gathered in (0, 2):  # batches that a compaction gathers; the log reads the same
+            if gathered:
+                assert ingest.compact_updates(spark, str(tmp_path / name), ["day", ingest.DASHBOARD[name][0]]) >= gathered
+            got = ingest.read_dashboard(spark, str(tmp_path / name), name).select(*df.columns)
+            assert got.exceptAll(df).count() == 0 and got.count() == df.count(), name
+    pages = ingest.read_dashboard(spark, str(tmp_path / "visits_by_page"), "visits_by_page").collect()
+    assert all(abs(r.sessions_estimate - r.visits) <= 0.1 * r.visits + 1 for r in pages)
+
+
+def test_dashboard_state_is_evicted(spark, tmp_path):
+    """Every stateful operator of the dashboards has a watermark, and days that it has passed leave the state."""
+    import datetime as dt
+
+    from clickweave.schemas import MESSAGE
+
+    data = b'{"session_id":"S%d","device_type":"d","events":[{"event":{"event_type":"page_view","timestamp":"2024-01-01","details":{"page_url":"p"}}}]}'
+    rows = [(f"m{d}-{i}", dt.datetime(2024, 1, 1 + d, 10), [], data % i) for d in range(8) for i in range(5)]
+    for d in range(8):
+        spark.createDataFrame([r for r in rows if r[0].startswith(f"m{d}-")], MESSAGE).coalesce(1).write.parquet(str(tmp_path / f"msgs/{d:02d}"))
+    for name in ingest.DASHBOARD:
+        stream = ingest.without_replays(ingest.message_files_stream(spark, str(tmp_path / "msgs/*"), max_files_per_trigger=1), "1 day")
+        agg = ingest.live_dashboard_aggregates(parse_messages(stream))[name]
+        plan = agg._jdf.queryExecution().analyzed().toString()
+        assert "EventTimeWatermark" in plan
+        q = ingest.start_updates(agg, str(tmp_path / name), str(tmp_path / f"ck_{name}"))
+        q.awaitTermination(300)
+        for operator in q.lastProgress.stateOperators:
+            assert operator.numRowsTotal <= 4 * 5, (name, operator.operatorName)  # a few days of five rows, not eight
+    got = {r.page_url: (r.visits, r.sessions_estimate) for r in ingest.read_dashboard(spark, str(tmp_path / "visits_by_page"), "visits_by_page").collect()}
+    assert got == {"p": (40, 5)}  # by day a session counts each day; sketches know that they are five
 
 
 def test_raw_zone_landing(spark, session_files):
@@ -309,12 +420,12 @@ def test_cli_batch_and_page_views(spark, session_files, tmp_path):
     assert m["visits_rows"] == n
     msgs = session_messages(spark, SF_SMALL)
     msgs.write.parquet(str(tmp_path / "msgs"))
-    cli.main(["page-views", "--source", "files-parquet", "--input", str(tmp_path / "msgs"), "--output",
-              str(tmp_path / "out"), "--checkpoint", str(tmp_path / "ck"), "--window-minutes", "60",
+    cli.main(["page-views", "--source", "files-parquet", "--input", str(tmp_path / "msgs"), "--database",
+              "cli_pv_t", "--checkpoint", str(tmp_path / "ck"), "--window-minutes", "60",
               "--raw-output", str(tmp_path / "raw")], spark)
-    assert spark.read.parquet(str(tmp_path / "out/page_views")).count() > 0
+    assert spark.table("cli_pv_t.page_views").count() > 0
     assert pageviews.read_raw_landing(spark, str(tmp_path / "raw")).count() == msgs.count()
     with pytest.raises(SystemExit):  # lines are no messages
-        cli.main(["page-views", "--source", "files-jsonl", "--output", "x", "--checkpoint", "y"], spark)
+        cli.main(["page-views", "--source", "files-jsonl", "--checkpoint", "y"], spark)
     cli.main(["live-ingest", "--source", "files-jsonl", "--input", path, "--database", "cli_live_t", "--checkpoint", str(tmp_path / "ckl")], spark)
     assert spark.table("cli_live_t.visits").count() == n
