@@ -292,3 +292,67 @@ def test_articles_keep_wrappers_anchors_and_formulas(wrapper):
         assert " ".join(html_text.parse(page)[1]) == want
     beside = f'<body>{article}<div class="widget"><article>Teaser</article></div></body>'
     assert " ".join(html_text.parse(beside)[1]) == want
+
+
+def test_a_headline_that_two_of_three_pages_share_stays(spark):
+    """Headline and lead of an article are never template; other texts of few pages go only if all pages have them."""
+    head = "The news of today. Read on."
+    body = "<html><body><nav>menu</nav><article><h1>{0}</h1><p><b>{0}</b><br><p>{1}</p><p>Share of two.</p></article></body></html>"
+    rows = [(i, f"http://a.example/{i}", body.format(head if i < 2 else "Another one", H.prose(i, 60))) for i in range(2)]
+    rows.append((2, "http://a.example/2", body.format("Another one", H.prose(2, 60)).replace("<p>Share of two.</p>", "")))
+    rows += [(10 + i, f"http://b.example/{i}", body.format(head, H.prose(10 + i, 60))) for i in range(12)]
+    got = {r.page_id: r.text for r in html_text.extract(_pages(spark, rows)).collect()}
+    for i in range(2):
+        assert got[i] == f"{head} {head} {H.prose(i, 60)} Share of two."
+    assert got[2] == f"Another one Another one {H.prose(2, 60)}"
+    for i in range(12):  # on every page: the note is template, the headline is not
+        assert got[10 + i] == f"{head} {head} {H.prose(10 + i, 60)}"
+
+
+def test_unmarked_wrappers_are_told_by_place(spark):
+    """Article, menu, advert and footer as plain ``div`` of varying words, on pages of the tables."""
+    import re
+
+    def renamed(source):
+        source = re.sub(r"<(/?)(article|nav|footer|aside|main|header)\b", r"<\1div", source or "")
+        return re.sub(r'class="[^"]*"', 'class="zz"', source)
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html").limit(600).collect()
+    marked = {r.page_id: " ".join(html_text.parse(r.html or "")[1]) for r in pages}
+    got = {r.page_id: r.text for r in html_text.extract(_pages(spark, [(r.page_id, r.url, renamed(r.html)) for r in pages])).collect()}
+    right = sum(got[i] == marked[i] for i in marked)
+    assert right >= 0.9 * len(marked), (right, len(marked))
+
+
+def test_article_text_of_the_tables_is_whole(spark):
+    """No block of an article is taken for template on any page of the tables."""
+    for sf in ("0.001", "0.01"):
+        pages = spark.read.parquet(f"/root/testdata/sf{sf}/pages.parquet")
+        want = {r.page_id: " ".join(html_text.parse(r.html or "")[1]) for r in pages.collect()}
+        assert {r.page_id: r.text for r in html_text.extract(pages).collect()} == want
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>", "<div></p>", "<b><i>", "<div class=ad>", "<li><div>", "<p a='", '<p a="x', "<!-- ", "<script>", "<p>x<div>y", "<article class=ad>", "</div>"])
+def test_hostile_pages_take_linear_time(piece):
+    import time
+
+    def took(n):
+        began = time.process_time()
+        root, _ = html_text.parse((piece * (n // len(piece)))[:n] + "</p>" * (n // 40))
+        html_text.matching(root, html_text.parse("<div><p>a</p></div>" * 50)[0])
+        return time.process_time() - began
+
+    took(10_000)
+    assert took(1_000_000) < 12
+
+
+def test_quotes_outside_values_and_open_ends():
+    assert html_text.parse("<p title=don't>Hello it's me</p>")[1] == ["Hello it's me"]
+    assert html_text.parse('<p title="a > b" x=\'c > d\'>in</p>out')[1] == ["in", "out"]
+    assert html_text.parse("<p>a</p>b <!-- never closed <p>c</p>")[1] == ["a", "b"]
+    assert html_text.parse("<p>1 < 2</p>x <script> y")[1] == ["1 < 2", "x"]
+    assert html_text.parse("<p>a</p>tail <a href=x")[1] == ["a", "tail"]
+    deep = "<div>" * 3000 + "in" + "</div>" * 3000 + "<p>out</p>"
+    a, b = html_text.parse(deep), html_text.parse(deep.replace("in", "<p>in</p>"))
+    assert a[1] == b[1] == ["in", "out"]
+    html_text.matching(a[0], b[0])
