@@ -50,7 +50,9 @@ from clickweave.session import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Turns of a shard, about, and most cells of a block's matrix (a longer conversation is a block by itself).
-SHARD_TURNS, CELLS = 1 << 22, 1 << 22
+SHARD_TURNS, CELLS = 1 << 20, 1 << 22
+#: Turns below which a shard is not worth a task.
+LEAST_TURNS = 1 << 12
 #: Most rows of a block.
 BLOCK_ROWS = 1 << 13
 _NO_ID = np.iinfo(np.int64).max
@@ -271,7 +273,8 @@ def _partials(rows: DataFrame, shard_turns: int, cells: int) -> tuple[DataFrame,
     """Written table of node rows, ends and sides of shards, and the node rows that mend what shards counted twice."""
     rows = staged(rows.select("conv_id", "turns"), "conversations")
     turns = rows.agg(F.sum(F.size("turns") + 1)).first()[0] or 0
-    ranged = rows.repartitionByRange(max(1, -(-turns // shard_turns)), "turns", "conv_id").sortWithinPartitions("turns", "conv_id")
+    few = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-turns // LEAST_TURNS))
+    ranged = rows.repartitionByRange(max(1, few, -(-turns // shard_turns)), "turns", "conv_id").sortWithinPartitions("turns", "conv_id")
     kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("t0", "t1", "words")]))
     table = staged(ranged.mapInArrow(_solve_shard(cells, kind), f"{NODE}, turns array<struct<t0 long, t1 long, words long>>"), "trie")
     # two rows a shard, the first before the last
