@@ -37,7 +37,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +59,6 @@ def plain_words(doc_id: object, text: bytes) -> list[bytes]:
     return text.split()
 
 
-@lru_cache(1 << 16)
 def prime_divisors(q: int) -> tuple[int, ...]:
     found, p = [], 2
     while p * p <= q:
@@ -79,6 +77,7 @@ class Solver:
         if times < 3:
             raise ValueError("a run has three times its period at least")
         self.min_length, self.times, self._powers = min_length, times, Powers()
+        self._divisors: dict[int, tuple[int, ...]] = {}
 
     def __call__(self, hashes: np.ndarray, shortest: int, longest: int) -> list[tuple[int, int, int]]:
         """``period, start, stop`` for periods in ``[shortest, longest)``: words start to stop equal those a period on.
@@ -140,8 +139,10 @@ class Solver:
 
     def _primitive(self, start: int, q: int) -> bool:
         """Whether the ``q`` words at ``start`` are no power of fewer words."""
+        if q not in self._divisors:
+            self._divisors[q] = prime_divisors(q)
         at = np.array([start])
-        return not any(self._same(at, at + q // r, q - q // r)[0] for r in prime_divisors(q))
+        return not any(self._same(at, at + q // r, q - q // r)[0] for r in self._divisors[q])
 
 
 def tiling(n: int, tile: int = TILE, times: int = TIMES) -> list[tuple[int, int, int, int]]:
