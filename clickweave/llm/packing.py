@@ -13,8 +13,9 @@ of lengths: at most ``capacity`` numbers reach the driver, whatever the size
 of the corpus, and the plan is a list of runs "pieces r..r+m of length L go
 to sequences s..s+m at offset o" whose number is bounded by the capacity
 likewise. Each piece is numbered within (task, length) while it is made;
-offsets of the tasks come from counts, and the plan is looked up by
-(length, number). No text or id is shuffled.
+offsets of the tasks come from counts, which a shuffle by (task, length) brings
+to the pieces, and the plan is looked up by (length, number). No text is
+shuffled, and ids only where they are kept.
 
 Defined results: a null text is empty and gives the separator alone; repeated
 rows are packed each; a null doc_id is carried along; extra columns are
@@ -245,7 +246,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     runs, _ = plan_packing(histogram, capacity, settings)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("task", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    numbered = pieces.join(offsets, ["task", "length"]).withColumn("number", F.col("number") + F.col("before"))
+    # offsets grow with the number of tasks, so both sides are shuffled: pieces are a few numbers each
+    numbered = pieces.join(offsets.hint("merge"), ["task", "length"]).withColumn("number", F.col("number") + F.col("before"))
     columns = [c for c in pieces.columns if c not in ("task", "number")]
     schema = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in columns) + ", sequence_id long, offset long"
     return numbered.select(*columns, "number").mapInArrow(_placer(runs), schema)
