@@ -13,8 +13,10 @@ blocks.
 Plan: files come through Spark's ``binaryFile`` source (any store Spark
 reads; a file has at most 2 GB there, so at most ``2 GB / BLOCK`` block rows
 meet in one window); only block summaries are shuffled. ``write`` makes such
-files with Spark's text writer: rows are raw bytes and the line separator is
-the end of document.
+files with Spark's text writer: a row is the raw bytes of documents up to
+``ROW_BYTES`` or of one longer document, the line separator is the end of the
+row's last document, and a file has at most ``FILE_ROWS`` rows. So a file is cut
+by its bytes, however long or short texts are.
 
 Defined results: an empty document counts 0 tokens; tokens after the last
 separator are a last document with ``ended`` false; an odd last byte raises an
@@ -36,8 +38,8 @@ from clickweave.llm.words import as_list_array
 WIDTH = 2
 MOST_IDS = (1 << 8 * WIDTH) - 1
 BLOCK = 1 << 18
-#: Documents in one file, at most.
-FILE_DOCUMENTS = 2_000
+#: Bytes after which a row of documents is closed, and rows of a file.
+ROW_BYTES, FILE_ROWS = 1 << 19, 16
 
 
 def _encoded(vocabulary: str):
@@ -45,9 +47,23 @@ def _encoded(vocabulary: str):
         if vocabulary_size(vocabulary) > MOST_IDS:
             raise ValueError(f"{vocabulary} has more than {MOST_IDS} ids, which {WIDTH} bytes cannot tell from the separator")
         encoder = Encoder(vocabulary)
+        held: list[bytes] = []
+
+        def row() -> pa.RecordBatch:
+            joined = (b"\0" * WIDTH).join(held)
+            held.clear()
+            return pa.record_batch([pa.array([joined], pa.binary())], names=["ids"])
+
+        size = 0
         for batch in batches:
-            rows = [(encoder.ids(x.as_py() or "") + 1).astype("<u2").tobytes() for x in batch.column("text")]
-            yield pa.record_batch([pa.array(rows, pa.binary())], names=["ids"])
+            for x in batch.column("text"):
+                held.append((encoder.ids(x.as_py() or "") + 1).astype("<u2").tobytes())
+                size += len(held[-1]) + WIDTH
+                if size >= ROW_BYTES:
+                    yield row()
+                    size = 0
+        if held:
+            yield row()
 
     return encode
 
@@ -55,7 +71,7 @@ def _encoded(vocabulary: str):
 def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
     """Writes the ids of all texts to flat token files in the new folder ``path``."""
     rows = docs.select("text").mapInArrow(_encoded(vocabulary or default_vocabulary()), "ids binary")
-    rows.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", "\0" * WIDTH).option("maxRecordsPerFile", FILE_DOCUMENTS).text(path)
+    rows.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", "\0" * WIDTH).option("maxRecordsPerFile", FILE_ROWS).text(path)
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
