@@ -31,8 +31,8 @@ with docs as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as n from documents
 ), shares as (select source, sum(n)::bigint as tokens from docs group by 1),
 ends as (select min(tokens) filter (tokens > 0) as lo, max(tokens) as hi, sum(tokens) as total from shares),
--- the smallest exponent from 0 whose busiest source repeats at most 4 times
-found as (select *, case when hi <= 4 * lo then 0.0 else 1 - ln(4) / ln(hi / lo) end as a from ends),
+-- the smallest exponent from 0 whose busiest source repeats at most 1.1 times
+found as (select *, case when hi <= 1.1 * lo then 0.0 else 1 - ln(1.1) / ln(hi / lo) end as a from ends),
 powers as (select source, tokens, case when tokens > 0 then pow(tokens / total, a) else 0 end as power from shares, found),
 plan as (
   select source, tokens, power / z as weight,

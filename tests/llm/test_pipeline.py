@@ -43,7 +43,7 @@ def test_run_equals_brute_force(made):
     cut = []
     for (i, t, lang, s), (_, n, k) in zip(rows, kept, strict=True):
         cut.append((i, t if len(k) == n else None, lang, s, b" ".join(k).decode()))
-    shown = H.mix([(i, k, lang, s) for i, _, lang, s, k in cut], 2.0)
+    shown = H.mix([(i, k, lang, s) for i, _, lang, s, k in cut], 1.1)
     tokenizer = Tokenizer.from_file(default_vocabulary())
     want = Counter()
     for i, t, _, _, _ in cut:
@@ -97,6 +97,16 @@ def test_oracles(spark, name):
     assert Counter(tuple(r[c] for c in columns) for r in got.collect()) == Counter(want.fetchall())
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_mixing_acts_on_the_tables(spark, sf):
+    """The exponent is between the ends, so the weights are neither equal nor the sources' own."""
+    from clickweave.llm import mixing, queries
+
+    mix = mixing.Mix(queries.table(spark, f"/root/testdata/{sf}", "documents"), repetition_limit=queries.MIX_REPETITIONS)
+    assert 0.05 < mix.exponent < 0.95
+    assert len({r.weight for r in mix.sources.collect()}) > 1
+
+
 def test_workers_need_no_copy_of_the_package(tmp_path):
     """Queries run from any folder: functions travel by value."""
     import os
