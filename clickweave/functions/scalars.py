@@ -10,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted ISO-8601 shape (date, optional time with optional
-# seconds, optional fraction, optional Z or +hh:mm / +hhmm offset).
-ISO_TIMESTAMP_SHAPE = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-)
+# The shapes of ISO-8601 text that Spark's own cast reads as they stand, ...
+ISO_TIMESTAMP_PLAIN = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|\+(?:0\d|1[0-7]):[0-5]\d|-(?:0[1-9]|1[0-7]):[0-5]\d)?)?$"
+# ... and all others: calendar or week date, extended or basic; any character
+# that is no digit; time, extended or basic, to the hour, minute, second or
+# fraction; Z or an offset to the hour, minute, second or fraction.
+_ISO_DATE = r"(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)"
+_ISO_TIME = r"(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?|(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)?"
+_ISO_OFFSET = r"(Z)|([+-])(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?|(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)?"
+ISO_TIMESTAMP_SHAPE = rf"^{_ISO_DATE}(?:[^0-9]{_ISO_TIME}(?:{_ISO_OFFSET})?)?$"
 
 
 def _c(c) -> Column:
@@ -32,15 +35,49 @@ def present(c) -> Column:
     return ~is_missing(c)
 
 
+# The fields of a text of that shape, one after another: year, month, day, week,
+# weekday, time, fraction, sign, offset, fraction of the offset. Time and offset
+# are six digits if all are given.
+_ISO_FIELDS = "$1|$2$4|$3$5|$6$8|$7$9|$10$11$14$12$15|$13$16|$18|$19$20$23$21$24|$22$25"
+
+
+def _iso_time(parts: Column) -> Column:
+    """The fields of ``_ISO_FIELDS`` as TIMESTAMP, NULL if there is no such day or time."""
+    year, month, day, week, weekday, time, fraction, sign, offset, rest = (F.get(parts, i) for i in range(10))
+    # week 1 has 4 January in it; a week or day that the year hasn't gives another ISO year
+    monday = F.date_trunc("week", F.to_date(F.concat(year, F.lit("-01-04"))))
+    nth = F.when(weekday == "", F.lit(1)).otherwise(weekday.try_cast("int"))
+    by_week = F.when(nth.between(1, 7), F.date_add(monday.cast("date"), (week.try_cast("int") - 1) * 7 + nth - 1))
+    by_week = F.when(F.extract(F.lit("YEAROFWEEK"), by_week) == year.cast("int"), by_week.cast("string"))
+    date = F.when(week != "", by_week).otherwise(F.concat_ws("-", year, month, day))
+    clock = F.regexp_replace(F.rpad(time, 6, "0"), "^(..)(..)(..)$", "T$1:$2:$3.")
+    local = F.unix_micros(F.try_to_timestamp(F.concat(date, clock, F.rpad(F.substring(fraction, 1, 6), 6, "0"))))
+    o = F.rpad(offset, 6, "0")
+    hours, minutes, seconds = (F.substring(o, i, 2).cast("int") for i in (1, 3, 5))
+    shift = ((hours * 60 + minutes) * 60 + seconds).cast("long") * 1_000_000 + F.rpad(F.substring(rest, 1, 6), 6, "0").cast("int")
+    utc = local - F.when(sign == "-", -shift).otherwise(shift)
+    return F.when((hours < 24) & (minutes < 60) & (seconds < 60), F.timestamp_micros(utc))
+
+
+def _rare_iso_timestamp(c: Column) -> Column:
+    """ISO-8601 text of any shape in ``ISO_TIMESTAMP_SHAPE``: taken apart once, then arithmetic on its fields."""
+    fields = F.split(F.regexp_replace(c, ISO_TIMESTAMP_SHAPE, _ISO_FIELDS), r"\|", -1)
+    # a one-element array binds the fields to a name
+    return F.get(F.transform(F.array(fields), _iso_time), 0)
+
+
 def parse_iso_timestamp(c) -> Column:
     """ISO-8601 text to TIMESTAMP, NULL when the text is not ISO-8601.
 
     ``try_to_timestamp`` alone also accepts ``2024``, ``2024-7-1`` and
-    ``now``; the shape guard rejects those first. Offset-less text is
-    read in the session time zone (UTC).
+    ``now``; the shape guards reject those first. The common shapes go to it
+    as they are; basic formats, week dates, commas, hours alone and other
+    offsets are taken apart, which only rows of such a shape pay for.
+    Offset-less text is read in the session time zone (UTC), a date as its
+    midnight, a week as its Monday; digits beyond microseconds are cut.
     """
     c = _c(c)
-    return F.when(c.rlike(ISO_TIMESTAMP_SHAPE), F.try_to_timestamp(c))
+    return F.when(c.rlike(ISO_TIMESTAMP_PLAIN), F.try_to_timestamp(c)).when(c.rlike(ISO_TIMESTAMP_SHAPE), _rare_iso_timestamp(c))
 
 
 def to_double(c) -> Column:

@@ -409,6 +409,14 @@ _UID = "CAST(substr(user_id, 5) AS BIGINT)"
 _LIVE_REJECTS = f"SELECT * FROM ev WHERE etype NOT IN {LIVE_TYPES_SQL} AND etype <> 'purchase'"
 
 ORACLES.update({
+    "iso_timestamps": """
+SELECT event_id, event_id % 16 AS form, CASE event_id % 16
+  WHEN 0 THEN ts WHEN 1 THEN ts WHEN 2 THEN date_trunc('hour', ts) WHEN 3 THEN date_trunc('day', ts) WHEN 4 THEN date_trunc('minute', ts)
+  WHEN 5 THEN date_trunc('week', ts) WHEN 6 THEN date_trunc('second', ts) - INTERVAL 330 MINUTE
+  WHEN 7 THEN date_trunc('millisecond', ts) + INTERVAL 1439 MINUTE WHEN 8 THEN date_trunc('second', ts) - INTERVAL 3723500 MILLISECOND
+  WHEN 12 THEN ts WHEN 14 THEN TIMESTAMP '2021-01-03' END AS read_as
+FROM events
+""",
     "consolidated_parts": _with(_VISITS),
     "visits_of_parts_stream": _with(_VISITS),
     "late_page_views_stream": _with(f"""

@@ -27,7 +27,7 @@ from clickweave.plans.batch import run_batch
 from clickweave.plans.landing import landed, parsed_messages, parsed_sessions
 from clickweave.sinks import tables as sinks
 from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions, read_jsonl
-from clickweave.functions.scalars import shard_label
+from clickweave.functions.scalars import parse_iso_timestamp, shard_label
 from clickweave.session import scratch_dir, staged
 from clickweave.sources import dirty
 from clickweave.streaming import ingest, pageviews
@@ -296,6 +296,26 @@ def q_session_event_order_reversed(spark, sf_dir):
     return present(x.select("session_id", "event_pos", "event_type", F.col("ts").alias("timestamp")))
 
 
+# ------------------------------------------------------------- timestamps
+
+def q_iso_timestamps(spark, sf_dir):
+    """Event times written in every form of ISO-8601 that is read, and in some that are not."""
+    ts, n = F.col("ts"), F.col("event_id")
+    f = lambda pattern: F.date_format(ts, pattern)
+    week = F.concat(F.extract(F.lit("YEAROFWEEK"), ts).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(ts).cast("string"), 2, "0"))
+    weekday = (F.weekday(ts) + 1).cast("string")
+    text = [
+        f("yyyyMMdd'T'HHmmss.SSSSSS"), f("yyyy-MM-dd'T'HH:mm:ss,SSSSSS"), f("yyyy-MM-dd'T'HH'Z'"), F.concat(week, F.lit("-"), weekday),
+        F.concat(F.replace(week, F.lit("-"), F.lit("")), weekday, F.lit("T"), f("HHmm")), week, f("yyyy-MM-dd HH:mm:ss'+0530'"),
+        f("yyyyMMdd'x'HH:mm:ss.SSS'-23:59'"), f("yyyy-MM-dd'T'HH:mm:ss'+01:02:03.5'"), f("yyyy-MM"), F.concat(f("yyyy"), F.lit("-W00-1")),
+        f("yyyyMMdd'T'HHmm:ss"), f("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'789Z'"), F.lit("2023-W53-1"), F.lit("2020-W53-7"), f("yyyy-MM-dd'T'HH:mm:ss'+24:00'"),
+    ]
+    form = F.pmod(n, F.lit(len(text)))
+    chosen = F.element_at(F.array(*text), (form + 1).cast("int"))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", form.alias("form"), parse_iso_timestamp(chosen).alias("read_as"))
+    return present(rows)
+
+
 # --------------------------------------------------------------- messages
 
 def q_push_visits(spark, sf_dir):
@@ -687,6 +707,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tables_truncated": q_tables_truncated,
     "job_run_metrics": q_job_run_metrics,
     "live_dashboard_stream": q_live_dashboard_stream,
+    "iso_timestamps": q_iso_timestamps,
     "consolidated_parts": q_consolidated_parts,
     "visits_of_parts_stream": q_visits_of_parts_stream,
     "late_page_views_stream": q_late_page_views_stream,

@@ -61,3 +61,32 @@ def test_invariants(spark, lines):
     assert it_b.where("order_id IS NULL OR product_id IS NULL OR session_id IS NULL").count() == 0
     p.unpersist()
     rej_b.unpersist()
+
+
+def test_iso_timestamps_as_python_reads_them(spark):
+    """Every text of the grammar gives what ``datetime.fromisoformat`` gives (offset-less: UTC)."""
+    import datetime as dt
+    import random
+
+    from clickweave.functions.scalars import parse_iso_timestamp
+
+    rng = random.Random(3)
+    dates = ["2024-07-01", "20240701", "2024-W27", "2024W27", "2024-W27-3", "2024W273", "2020-W53-7", "2021-W53-1", "2024-W00-1", "2024-02-30", "2024-13-01", "2024-W27-8", "2024-W27-0", "0001-01-01"]
+    times = ["", "10", "10:05", "1005", "10:05:07", "100507", "10:05:07.5", "100507,25", "10:05:07.123456", "10:05:07,1234567", "24:00", "10:60", "10:05:61", "1005:07", "10:0507"]
+    offsets = ["", "Z", "+02", "-02:30", "+0230", "+02:30:15", "-023015", "+02:30:15.5", "+23:59", "+24:00", "-00:00"]
+    texts = ["", "now", "2024", "2024-7-1", " 2024-07-01", "2024-07-01 ", "2024-07-01T", "2024-07-01T1", "2024-07-01T10:00:00+2", "2024-07", "2024-07-01T10Z0"]
+    for d in dates:
+        for t in times:
+            texts += [d + rng.choice("T _x") + t + rng.choice(offsets) for _ in range(3)] if t else [d]
+    want = {}
+    for text in texts:
+        try:
+            at = dt.datetime.fromisoformat(text)
+            at = at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+            want[text] = (at - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+        except (ValueError, OverflowError):
+            want[text] = None
+    df = spark.createDataFrame([(t,) for t in want], "t string")
+    got = {r.t: r.at for r in df.select("t", F.unix_micros(parse_iso_timestamp("t")).alias("at")).collect()}
+    differ = {t: (got[t], want[t]) for t in want if got[t] != want[t] and not ("24:00" in t and got[t] is None)}
+    assert not differ, differ
