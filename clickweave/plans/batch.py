@@ -17,12 +17,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweave.operators import extract
-from clickweave.session import ensure_checkpoint_dir
+from clickweave.session import ensure_checkpoint_dir, staged
 from clickweave.sinks import tables as sinks
 from clickweave.sources.decode import parse_sessions, read_jsonl
 
@@ -41,6 +44,7 @@ def run_batch(
     run_id: str | None = None,
     archive_dir: str | None = None,
     after_table: Callable[[str], None] | None = None,
+    after_file: Callable[[str], None] | None = None,
 ) -> dict[str, int]:
     """Load every matching file under ``input_path`` into the curated tables.
 
@@ -50,13 +54,26 @@ def run_batch(
     read, for inputs of a few large non-splittable (gzip) files. ``mode``
     is that of ``sinks.tables.write_load``: the four tables are one load,
     committed last. ``after_table`` is called after each table is written.
-    ``archive_dir`` moves the files that were read there (K6).
+    ``archive_dir`` moves the files that were read there (K6). The files a
+    load has read are rows of its table ``files``, so with an archive no file
+    is loaded twice: a run that was stopped before its commit loads them, one
+    that was stopped after it, or any later run, archives what is left.
+    ``after_file`` is called after each move.
     """
     run_id = run_id or uuid.uuid4().hex
     load_id = f"{job_name}-{run_id}"
     sinks.provision(spark, database)
-    files = read_jsonl(spark, input_path, glob=glob).inputFiles()
-    lines = read_jsonl(spark, files, glob=None)
+    target = f"{archive_dir.rstrip('/')}/{load_id}" if archive_dir else None
+    if target:
+        done = spark.table(f"`{database}`.`loads`").where(F.col("load_id") == load_id).orderBy(F.col("version").desc()).first()
+        if done:  # its files may be archived already: only what is left of that is done
+            archive(spark, known_files(spark, input_path, glob, database), target, after_file)
+            return _run_metrics(done["metrics"])
+    lines = read_jsonl(spark, input_path, glob=glob)
+    if target:
+        known = staged(known_files(spark, input_path, glob, database).select(F.col("path").alias("source")), "known-files")
+        if not known.isEmpty():  # a run was stopped while it archived
+            lines = lines.join(known, "source", "left_anti")
     if min_partitions:
         lines = lines.repartition(min_partitions)
     if land_raw_lines:
@@ -70,27 +87,67 @@ def run_batch(
     else:
         raise ValueError(f"fanout must be checkpoint or persist, got {fanout!r}")
     try:
-        metrics = sinks.write_load(spark, extract.tables(parsed, profile), database, load_id, mode, after_table)
-        # every input record is either a visit or a record-level reject
-        metrics["input_records"] = metrics["visits_rows"] + metrics["record_rejects"]
+        tables = extract.tables(parsed, profile)
+        if target:  # the ledger is part of the load: a file is loaded when its rows are
+            read = parsed.select(F.col("source").alias("path")).distinct()
+            tables["files"] = listed_files(spark, input_path, glob).join(read, "path", "left_semi")
+        metrics = _run_metrics(sinks.write_load(spark, tables, database, load_id, mode, after_table))
         sinks.record_job_run(
             spark, database, job_name=job_name, status="SUCCEEDED", source=input_path,
             destination=database, metrics=metrics, run_id=run_id,
         )
-        if archive_dir:
-            archive(spark, files, f"{archive_dir.rstrip('/')}/{load_id}")
+        if target:
+            archive(spark, known_files(spark, input_path, glob, database), target, after_file)
     finally:
         parsed.unpersist()
     return metrics
 
 
-def archive(spark: SparkSession, files: list[str], folder: str) -> None:
-    """K6: move the files below ``folder``, each under its own path."""
+def _run_metrics(counted: dict[str, int]) -> dict[str, int]:
+    """What a run reports; every input record is either a visit or a record-level reject."""
+    rows = {k: v for k, v in counted.items() if k != "files_rows"}
+    return rows | {"input_records": rows["visits_rows"] + rows["record_rejects"]}
+
+
+def listed_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """``path, length, modified`` of the matching files (no content is read)."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select(F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified"))
+
+
+def known_files(spark: SparkSession, path: str, glob: str | None, database: str) -> DataFrame:
+    """Files that are there and that a committed load has read, as they are now."""
+    ledger = spark.table(f"`{database}`.`files`").select("path", "length", "modified").distinct()
+    return listed_files(spark, path, glob).join(ledger, ["path", "length", "modified"], "left_semi")
+
+
+def archive(spark: SparkSession, files: DataFrame, folder: str, after_file: Callable[[str], None] | None = None, at_once: int = 16) -> int:
+    """K6: move files below ``folder``, each under its own path, several at once.
+
+    Paths come to the driver partition by partition. A file that is gone has
+    been moved by another run. Returns the number of files moved.
+    """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for name in files:
-        source = jvm.org.apache.hadoop.fs.Path(name)
+
+    def move(name: str) -> bool:
+        source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
         target = jvm.org.apache.hadoop.fs.Path(f"{folder}{source.toUri().getPath()}")
         fs = source.getFileSystem(conf)
         fs.mkdirs(target.getParent())
-        if not fs.rename(source, target):
+        if fs.rename(source, target):
+            return True
+        if fs.exists(source):
             raise OSError(f"{name} could not be moved to {target}")
+        return False
+
+    moved = 0
+    with ThreadPoolExecutor(at_once) as pool:
+        paths = (r[0] for r in files.select("path").toLocalIterator())
+        while batch := list(islice(paths, 4 * at_once)):
+            for name, was_moved in zip(batch, pool.map(move, batch), strict=True):
+                moved += was_moved
+                if after_file:
+                    after_file(name)
+    return moved

@@ -447,6 +447,12 @@ SELECT state, t AS table_name, count(table_name) AS row_count
 FROM (VALUES ('failed', 0), ('retried', 1)) s(state, upto), (VALUES ('visits'), ('events'), ('purchase_items'), ('rejects')) x(t)
 LEFT JOIN ({_TABLE_ROWS}) r ON r.table_name = x.t AND r.odd <= s.upto
 GROUP BY 1, 2
+"""),
+    "archived_once": _with("""
+SELECT 'visits' AS what, count(*) AS n FROM sess
+UNION ALL SELECT 'events', count(*) FROM ev WHERE etype IS NOT NULL
+UNION ALL SELECT 'purchase_items', count(*) FROM pitems
+UNION ALL SELECT 'left', 0 UNION ALL SELECT 'archived', 10 UNION ALL SELECT 'loaded', 10
 """),
     "compacted_tables": _with(f"""
 SELECT table_name, row_count, 1::BIGINT AS most_loads_a_day FROM (

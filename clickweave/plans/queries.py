@@ -499,11 +499,16 @@ def _files(spark, records) -> str:
     return path
 
 
-def _halves(spark, sf_dir):
-    """Records of even and of odd users, as two folders of files."""
+def _halves_of(spark, sf_dir):
+    """Records of even and of odd users."""
     rec = session_records(spark, sf_dir)
     odd = F.pmod(F.regexp_extract("message_id", r"^SID-(\d+)-", 1).cast("long"), F.lit(2)) == 1
-    return _files(spark, rec.where(~odd)), _files(spark, rec.where(odd))
+    return rec.where(~odd), rec.where(odd)
+
+
+def _halves(spark, sf_dir):
+    """The same as two folders of files."""
+    return tuple(_files(spark, rec) for rec in _halves_of(spark, sf_dir))
 
 
 def _batch(spark, path, database, **kw):
@@ -581,6 +586,30 @@ def q_failed_load(spark, sf_dir):
     return before.unionByName(_counts(spark, database, "retried"))
 
 
+def q_archived_once(spark, sf_dir):
+    """A run commits and is stopped while it archives; the next run finds
+    a new file beside what is left, loads that alone, and archives all."""
+    root, database = _stream_root(spark, "ledger"), _database(spark, "ledger")
+    even, odd = (r.select("value") for r in _halves_of(spark, sf_dir))
+    even.repartition(7).write.text(f"{root}/in/even")
+
+    def stop(name):
+        raise OSError("stopped while archiving")
+
+    for _ in range(2):
+        try:
+            _batch(spark, f"{root}/in/*", database, run_id="1", archive_dir=f"{root}/archive", after_file=stop)
+        except OSError:
+            pass
+    odd.repartition(3).write.text(f"{root}/in/odd")
+    _batch(spark, f"{root}/in/*", database, run_id="2", archive_dir=f"{root}/archive")
+    count = lambda df, what: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+    files = lambda path: spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path).select("length")
+    rows = [count(spark.table(f"{database}.{t}"), t) for t in ("visits", "events", "purchase_items")]
+    rows += [count(files(f"{root}/in"), "left"), count(files(f"{root}/archive"), "archived"), count(spark.table(f"{database}.files").select("path").distinct(), "loaded")]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def q_compacted_tables(spark, sf_dir):
     """Four live loads of parts and whole records, compacted: a day of a table
     is one load, no row is lost, and what is hidden is vacuumed."""
@@ -715,6 +744,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_job_runs": q_live_job_runs,
     "failed_load": q_failed_load,
     "compacted_tables": q_compacted_tables,
+    "archived_once": q_archived_once,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}

@@ -153,6 +153,13 @@ JOB_RUNS = T.StructType([
     _f("metrics", T.MapType(S, T.LongType())),
 ])
 
+# The ledger of input files: those that committed loads have read.
+FILES = T.StructType([
+    _f("path", S, False),
+    _f("length", T.LongType()),
+    _f("modified", T.TimestampType()),
+])
+
 TABLES = {
     "visits": VISITS,
     "events": EVENTS,
@@ -160,6 +167,7 @@ TABLES = {
     "page_views": PAGE_VIEWS,
     "rejects": REJECTS,
     "job_runs": JOB_RUNS,
+    "files": FILES,
 }
 
 PRIMARY_KEYS = {

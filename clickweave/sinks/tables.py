@@ -48,6 +48,7 @@ PARTITION_COLUMNS = {
     "rejects": ("landed_date", None),
     "page_views": ("window_date", "window_end"),
     "page_view_alerts": ("window_date", "window_end"),
+    "files": ("loaded_date", None),
 }
 #: ``attempt`` says where rows lie, ``origin`` which attempt made them; the two differ in compacted rows only.
 LOAD_ID, ATTEMPT, ORIGIN, COMMIT = "load_id", "attempt", "origin", "commit_id"
@@ -68,6 +69,7 @@ TABLE_COMMENTS = {
     "rejects": "input rows that failed a check, with the reason",
     "job_runs": "completion notices of runs",
     "loads": "committed loads",
+    "files": "input files that committed loads have read",
 }
 
 # Tag-like table properties (R4: zone and tags on curated tables).

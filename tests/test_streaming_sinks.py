@@ -217,6 +217,14 @@ def test_batch_archives_what_it_read(spark, session_files, tmp_path):
     assert not glob.glob(str(tmp_path / "in/*.jsonl"))
     assert sorted(os.path.basename(p) for p in glob.glob(str(tmp_path / "done/**/*.jsonl"), recursive=True)) == ["a.jsonl", "b.jsonl"]
     assert run_batch(spark, str(tmp_path / "in"), database="archive_t")["input_records"] == 0
+    # a file that comes back under its name, with other content, is another file
+    (tmp_path / "in/a.jsonl").write_text('{"session_id":"NEW"}\n')
+    m = run_batch(spark, str(tmp_path / "in"), database="archive_t", run_id="9", archive_dir=str(tmp_path / "done"))
+    assert m["visits_rows"] == 1 and not glob.glob(str(tmp_path / "in/*.jsonl"))
+    # the same run again has nothing to do and takes nothing away
+    assert run_batch(spark, str(tmp_path / "in"), database="archive_t", run_id="9", archive_dir=str(tmp_path / "done")) == m
+    assert spark.table("archive_t.visits").count() == n + 1
+    assert spark.table("archive_t.files").count() == 3
 
 
 def test_replayed_messages_are_dropped(spark, tmp_path):
