@@ -61,7 +61,7 @@ def test_curated_reads_prune_partitions_and_columns(spark, tmp_path):
     q = spark.table("prune_t.events").where(F.col("event_date") == F.lit("2024-01-02").cast("date")).select("page_url")
     plan = _plan(q)
     assert "PartitionFilters: [isnotnull(event_date" in plan
-    assert "ReadSchema: struct<page_url:string>" in plan
+    assert "ReadSchema: struct<page_url:string,origin:string>" in plan  # origin: which load a row is of
     assert q.count() > 0
 
 
