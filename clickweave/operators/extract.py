@@ -250,7 +250,7 @@ def purchase_items(parsed: DataFrame, profile: str = BATCH, keep: list[str] | No
     )
 
 
-def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True) -> DataFrame:
+def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Every log-and-drop branch of the reference as a row.
 
     Columns: ``source, stage, reason, session_id, event_pos, item_pos,
@@ -271,8 +271,9 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
     null_int = F.lit(None).cast("int")
     null_str = F.lit(None).cast("string")
     rec = F.col("rec")
+    keep = keep or []
     rows = parsed.select(
-        src.alias("source"), "reject_reason", "value",
+        *keep, src.alias("source"), "reject_reason", "value",
         rec["session_id"].alias("session_id"),
         _first(rec, "first_event_pos").alias("_first"),
         rec["first_item_pos"].try_cast("long").alias("first_item"),
@@ -280,7 +281,7 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
     )
     ev = F.col("entry.event")
     rows = rows.select(
-        "source", "reject_reason", "value", "session_id", (F.col("_first") + F.col("_pos")).alias("event_pos"), "first_item", "entry",
+        *keep, "source", "reject_reason", "value", "session_id", (F.col("_first") + F.col("_pos")).alias("event_pos"), "first_item", "entry",
         ev["event_type"].alias("event_type"),
         ev["timestamp"].alias("ts_text"),
         parse_iso_timestamp(ev["timestamp"]).alias("ts"),
@@ -334,21 +335,24 @@ def rejects(parsed: DataFrame, profile: str = BATCH, with_payload: bool = True)
         F.coalesce(record_part, empty), F.coalesce(event_part, empty),
         F.coalesce(purchase_part, empty), F.coalesce(item_part, empty),
     )
-    out = rows.select("source", "session_id", F.explode(all_rejects).alias("r"))
+    out = rows.select(*keep, "source", "session_id", F.explode(all_rejects).alias("r"))
     return out.select(
         "source", F.col("r.stage").alias("stage"), F.col("r.reason").alias("reason"), "session_id",
         F.col("r.event_pos").alias("event_pos"), F.col("r.item_pos").alias("item_pos"),
-        F.col("r.payload").alias("payload"),
+        F.col("r.payload").alias("payload"), *keep,
     )
 
 
-def tables(parsed: DataFrame, profile: str = BATCH) -> dict[str, DataFrame]:
-    """What a load writes of parsed records, by table; visits as parts, which merge when they are read."""
+def tables(parsed: DataFrame, profile: str = BATCH, keep: list[str] | None = None) -> dict[str, DataFrame]:
+    """What a load writes of parsed records, by table; visits as parts, which merge when they are read.
+
+    ``keep`` names columns of the record that its rows carry in every table.
+    """
     return {
-        "visits": visit_parts(parsed),
-        "events": events(parsed, profile),
-        "purchase_items": purchase_items(parsed, profile),
-        "rejects": rejects(parsed, profile),
+        "visits": visit_parts(parsed, keep),
+        "events": events(parsed, profile, keep),
+        "purchase_items": purchase_items(parsed, profile, keep),
+        "rejects": rejects(parsed, profile, keep=keep),
     }
 
 

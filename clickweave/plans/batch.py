@@ -77,7 +77,7 @@ def run_batch(
     if min_partitions:
         lines = lines.repartition(min_partitions)
     if land_raw_lines:
-        sinks.land_raw(lines)
+        sinks.land_raw(lines, load_id=load_id)
     parsed = parse_sessions(lines)
     if fanout == "checkpoint":
         ensure_checkpoint_dir(spark)

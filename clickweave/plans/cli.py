@@ -53,6 +53,12 @@ def cmd_batch(spark, args) -> dict:
     )
 
 
+def cmd_derive(spark, args) -> dict:
+    from clickweave.plans.curate import derive
+
+    return derive(spark, args.database, args.raw_database, version=args.decoder_version, profile=args.profile)
+
+
 def cmd_page_views(spark, args) -> dict:
     from clickweave.streaming import ingest
 
@@ -110,6 +116,12 @@ def build_parser() -> argparse.ArgumentParser:
     b.add_argument("--archive", default=None, help="folder that the files go to after they are read")
     b.add_argument("--fanout", choices=["checkpoint", "persist"], default="checkpoint")
 
+    d = sub.add_parser("derive", help="decode what the raw zone has and the curated tables lack")
+    d.add_argument("--database", default="curated")
+    d.add_argument("--raw-database", default="raw")
+    d.add_argument("--decoder-version", type=int, default=1, help="a higher one than before decodes everything again")
+    d.add_argument("--profile", choices=list(extract.PROFILES), default=extract.BATCH)
+
     def stream_common(sp, *more):
         sp.add_argument("--source", choices=["kafka", "files-parquet", *more], default="kafka")
         sp.add_argument("--bootstrap-servers")
@@ -139,6 +151,7 @@ def build_parser() -> argparse.ArgumentParser:
 COMMANDS = {
     "provision": cmd_provision,
     "batch": cmd_batch,
+    "derive": cmd_derive,
     "page-views": cmd_page_views,
     "live-ingest": cmd_live_ingest,
 }

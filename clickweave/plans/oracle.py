@@ -463,3 +463,23 @@ SELECT table_name, row_count, 1::BIGINT AS most_loads_a_day FROM (
 )
 """),
 })
+
+
+def _derived(state: str, version: int, gone: str, mended: str) -> str:
+    """Rows by table and session of lines with defects; ``gone`` are the kinds of records that are lost, ``mended`` the rejects that are not."""
+    return f"""
+SELECT '{state}' AS state, table_name, session_id, {version}::BIGINT AS decoder_version, count(*) AS n FROM (
+  SELECT 'visits' AS table_name, session_id FROM dev WHERE kind NOT IN {gone}
+  UNION ALL SELECT 'events', session_id FROM dev WHERE kind NOT IN {gone} AND dtype IS NOT NULL AND NOT no_time AND NOT no_number
+  UNION ALL SELECT 'purchase_items', session_id FROM ditems WHERE kind <> 5 AND kind NOT IN {gone} AND NOT no_product AND NOT no_price
+  UNION ALL SELECT 'rejects', session_id FROM lost WHERE NOT {mended}
+) GROUP BY 2, 3"""
+
+
+ORACLES["curated_from_raw"] = "WITH " + _DIRTY + f""",
+lost AS ({_dirty_rejects(False)})
+{_derived("landed", 1, "(1, 2, 7)", "false")}
+UNION ALL {_derived("decoded again", 2, "(2, 7)", "(reason = 'bad_json' AND session_id IS NOT NULL)")}
+UNION ALL SELECT 'landed', 'derived', NULL, NULL, 1
+UNION ALL SELECT 'decoded again', 'derived', NULL, NULL, 2
+"""

@@ -160,6 +160,20 @@ FILES = T.StructType([
     _f("modified", T.TimestampType()),
 ])
 
+# What has been derived of the raw zone: a row a landing.
+DERIVATIONS = T.StructType([
+    _f("landing", S, False, "load that landed the lines in the raw zone"),
+    _f("landing_attempt", S, False, "attempt of that load whose lines were decoded"),
+    _f("decoder_version", T.LongType(), False),
+])
+
+# Raw zone: input lines as received.
+SESSIONS_RAW = T.StructType([
+    _f("value", S),
+    _f("source", S),
+    _f("landed_at", T.TimestampType()),
+])
+
 TABLES = {
     "visits": VISITS,
     "events": EVENTS,
@@ -168,6 +182,8 @@ TABLES = {
     "rejects": REJECTS,
     "job_runs": JOB_RUNS,
     "files": FILES,
+    "derivations": DERIVATIONS,
+    "sessions_raw": SESSIONS_RAW,
 }
 
 PRIMARY_KEYS = {

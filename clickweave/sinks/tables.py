@@ -2,9 +2,10 @@
 
 Tables live in a Spark catalog database. Two databases model the governance
 zones: ``raw`` (landed text, one row per input line) and ``curated`` (the
-flat tables).
+flat tables). Both are written by loads in the same way; ``plans.curate``
+derives the one from the other.
 
-A table of the curated zone is a view over its rows. Rows are Parquet,
+A table of a zone is a view over its rows. Rows are Parquet,
 partitioned by a date, so date filters prune files, and by ``attempt``, one
 try of a load to write its tables. A load commits by one row in ``loads``,
 written after all its tables: the views show the rows of the last committed
@@ -26,7 +27,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,7 +50,12 @@ PARTITION_COLUMNS = {
     "page_views": ("window_date", "window_end"),
     "page_view_alerts": ("window_date", "window_end"),
     "files": ("loaded_date", None),
+    "derivations": ("derived_date", None),
+    "sessions_raw": ("landed_date", None),
 }
+RAW_SESSIONS = "sessions_raw"
+RAW_TABLES = (RAW_SESSIONS,)
+CURATED_TABLES = tuple(t for t in PARTITION_COLUMNS if t not in RAW_TABLES)
 #: ``attempt`` says where rows lie, ``origin`` which attempt made them; the two differ in compacted rows only.
 LOAD_ID, ATTEMPT, ORIGIN, COMMIT = "load_id", "attempt", "origin", "commit_id"
 #: Partitions that one statement of ``vacuum`` drops.
@@ -70,6 +76,8 @@ TABLE_COMMENTS = {
     "job_runs": "completion notices of runs",
     "loads": "committed loads",
     "files": "input files that committed loads have read",
+    "derivations": "landings of the raw zone that have been decoded, with the version of the decoder",
+    "sessions_raw": "raw session lines as received",
 }
 
 # Tag-like table properties (R4: zone and tags on curated tables).
@@ -98,8 +106,8 @@ def _schema(name: str) -> T.StructType:
     return {"visits": VISIT_PARTS, "page_view_alerts": PAGE_VIEW_ALERTS}.get(name) or TABLES[name]
 
 
-def provision(spark: SparkSession, database: str = CURATED_DB, location: str | None = None) -> list[str]:
-    """Create the database and all tables if they do not exist.
+def provision(spark: SparkSession, database: str = CURATED_DB, location: str | None = None, names: Sequence[str] = CURATED_TABLES) -> list[str]:
+    """Create the database and its tables (``names``, and those of loads and runs) if they do not exist.
 
     Idempotent: an existing table is left as it is. Returns the table names
     that exist afterwards.
@@ -114,12 +122,13 @@ def provision(spark: SparkSession, database: str = CURATED_DB, location: str | N
     table("job_runs", JOB_RUNS, TABLE_COMMENTS["job_runs"])
     # a partition a commit: sessions that know the table find new ones in the catalog
     table("loads", LOADS, TABLE_COMMENTS["loads"], f", `{COMMIT}` STRING", f" PARTITIONED BY (`{COMMIT}`)")
-    for name, (day, _) in PARTITION_COLUMNS.items():
+    for name in names:
+        day = PARTITION_COLUMNS[name][0]
         part = f" PARTITIONED BY (`{day}`, `{ATTEMPT}`)"
         table(_rows_table(name), _schema(name), f"rows of {name}, committed or not", f", `{ORIGIN}` STRING, `{day}` DATE, `{ATTEMPT}` STRING", part)
         if not spark.catalog.tableExists(f"{database}.{name}"):
             spark.sql(f"CREATE VIEW IF NOT EXISTS {_qualified(database, name)} COMMENT '{TABLE_COMMENTS[name]}' TBLPROPERTIES ({props}) AS {_view(database, name)}")
-    return [*PARTITION_COLUMNS, "job_runs", "loads"]
+    return [*names, "job_runs", "loads"]
 
 
 def _committed(database: str) -> str:
@@ -215,9 +224,12 @@ def _last_version(spark: SparkSession, database: str) -> int:
     return spark.table(_qualified(database, "loads")).agg(F.max("version")).first()[0] or 0
 
 
-def commit(spark: SparkSession, database: str, load_id: str, attempt: str, mode: str = APPEND, tables: tuple[str, ...] = (), metrics: dict[str, int] | None = None, as_of: int | None = None, days: list[tuple] | None = None) -> None:
+def commit(spark: SparkSession, database: str, load_id: str, attempt: str, mode: str = APPEND, tables: tuple[str, ...] = (), metrics: dict[str, int] | None = None, as_of: int | None = None, days: list[tuple] | None = None, also: DataFrame | None = None) -> None:
     """One row in ``loads``: from here on the views show the attempt's rows, in all tables at once.
 
+    ``also`` names further loads (``load_id``, ``origin``) whose rows the attempt
+    wrote; their rows in ``loads`` are in the same file, so all are committed or none.
+
     For ``replace_days`` the row names ``days``, those that the attempt has rows
     of; views hide what was committed up to ``as_of`` (all until now) of them.
     """
@@ -233,7 +245,11 @@ def commit(spark: SparkSession, database: str, load_id: str, attempt: str, mode:
     if mode == REPLACE_DAYS and as_of is None:
         as_of = last
     row = (load_id, attempt, mode, max(last + 1, time.time_ns() // 1000), as_of, days, metrics)
-    spark.createDataFrame([row], LOADS).coalesce(1).withColumn(COMMIT, F.lit(attempt)).write.insertInto(_qualified(database, "loads"))
+    rows = spark.createDataFrame([row], LOADS)
+    if also is not None:
+        values = {LOAD_ID: F.col(LOAD_ID), ATTEMPT: F.col(ORIGIN), "mode": F.lit(mode), "version": F.lit(row[3])}
+        rows = rows.unionByName(also.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LOADS.fields)))
+    rows.coalesce(1).withColumn(COMMIT, F.lit(attempt)).write.insertInto(_qualified(database, "loads"))
 
 
 def write_load(
@@ -307,6 +323,8 @@ def vacuum(spark: SparkSession, database: str, older_than_hours: float = 24.0) -
     young = spark.table(_qualified(database, "loads")).where(F.col("version") > limit).select(ATTEMPT)
     dropped = 0
     for name, (day, _) in PARTITION_COLUMNS.items():
+        if not spark.catalog.tableExists(f"{database}.{_rows_table(name)}"):
+            continue
         target = _qualified(database, _rows_table(name))
         shown = spark.sql(_shown(database, name, f"r.`{day}` AS shown_day, r.{ATTEMPT} AS shown_attempt")).distinct()
         there = spark.table(target).groupBy(day, ATTEMPT).agg(F.max(F.unix_micros("_metadata.file_modification_time")).alias("written"))
@@ -340,29 +358,35 @@ def _drop(spark: SparkSession, target: str, specs: list[str]) -> None:
         spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {', '.join(specs[i : i + PARTITIONS_A_DROP])} PURGE")
 
 
-RAW_SESSIONS = "sessions_raw"
-
-
-def land_raw(lines: DataFrame, database: str = RAW_DB, table: str = RAW_SESSIONS) -> None:
-    """R4 raw zone: append the input lines untouched, with source and landing date.
+def land_raw(lines: DataFrame, database: str = RAW_DB, load_id: str | None = None) -> dict[str, int]:
+    """R4 raw zone: append the input lines untouched, with source and landing time, as one load.
 
     The raw table keeps every line, including the ones the curated tables
-    reject, so any curated row can be traced back and re-derived.
+    reject, so any curated row can be traced back and derived again
+    (``plans.curate``). A landing that is written again replaces its lines.
     """
-    spark = lines.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` COMMENT 'clickstream raw zone'")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_qualified(database, table)} "
-        "(value STRING, source STRING, landed_at TIMESTAMP, landed_date DATE) USING parquet "
-        "PARTITIONED BY (landed_date) COMMENT 'raw session lines as received' "
-        "TBLPROPERTIES ('zone'='raw', 'domain'='clickstream')"
-    )
+    provision(lines.sparkSession, database, names=RAW_TABLES)
     src = F.col("source") if "source" in lines.columns else F.lit(None).cast("string")
-    out = lines.select(
-        F.col("value"), src.alias("source"), F.current_timestamp().alias("landed_at"),
-        F.current_date().alias("landed_date"),
-    )
-    out.write.insertInto(_qualified(database, table), overwrite=False)
+    out = lines.select("value", src.alias("source"), F.current_timestamp().alias("landed_at"))
+    return write_load(lines.sparkSession, {RAW_SESSIONS: out}, database, load_id)
+
+
+def landings(spark: SparkSession, database: str = RAW_DB) -> DataFrame:
+    """The committed landings of the raw zone: ``landing, landing_attempt, version``, the latter the order of commits."""
+    landed = spark.table(_qualified(database, "loads")).where(f"metrics['{RAW_SESSIONS}_rows'] is not null").select(ATTEMPT).distinct()
+    shown = spark.sql(_committed(database)).join(landed, ATTEMPT, "left_semi")
+    return shown.select(F.col(LOAD_ID).alias("landing"), F.col(ATTEMPT).alias("landing_attempt"), "version")
+
+
+def landed_lines(spark: SparkSession, since: int, attempts: Sequence[str], database: str = RAW_DB) -> DataFrame:
+    """``value, source, landing_attempt`` of the lines that lie where ``attempts`` wrote them, or where a compaction after version ``since`` put them.
+
+    Only these partitions are read.
+    """
+    gathered = spark.table(_qualified(database, "loads")).where((F.col("mode") == REPLACE_DAYS) & (F.col("version") > since))
+    places = [*attempts, *(r[0] for r in gathered.select(ATTEMPT).distinct().collect())]  # a row a compaction
+    rows = spark.sql(_shown(database, RAW_SESSIONS, f"r.value, r.source, r.{ORIGIN} AS landing_attempt, r.{ATTEMPT} AS place"))
+    return rows.where(F.col("place").isin(places)).drop("place")
 
 
 def job_run_row(
