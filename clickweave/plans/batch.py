@@ -43,6 +43,7 @@ def run_batch(
     fanout: str = "checkpoint",
     run_id: str | None = None,
     archive_dir: str | None = None,
+    skip_known: bool = False,
     after_table: Callable[[str], None] | None = None,
     after_file: Callable[[str], None] | None = None,
 ) -> dict[str, int]:
@@ -54,6 +55,7 @@ def run_batch(
     read, for inputs of a few large non-splittable (gzip) files. ``mode``
     is that of ``sinks.tables.write_load``: the four tables are one load,
     committed last. ``after_table`` is called after each table is written.
+    ``skip_known`` leaves out rows whose key another committed load has (R5).
     ``archive_dir`` moves the files that were read there (K6). The files a
     load has read are rows of its table ``files``, so with an archive no file
     is loaded twice: a run that was stopped before its commit loads them, one
@@ -87,11 +89,15 @@ def run_batch(
     else:
         raise ValueError(f"fanout must be checkpoint or persist, got {fanout!r}")
     try:
-        tables = extract.tables(parsed, profile)
+        tables, counted = extract.tables(parsed, profile), {}
+        if skip_known:  # visits that are known are no longer counted as they are written
+            first = F.coalesce(tables["visits"]["part"], F.lit(0)) == 0
+            counted["all_visits"] = tables["visits"].where(first).count()
+            tables = sinks.without_known(spark, tables, database, load_id)
         if target:  # the ledger is part of the load: a file is loaded when its rows are
             read = parsed.select(F.col("source").alias("path")).distinct()
             tables["files"] = listed_files(spark, input_path, glob).join(read, "path", "left_semi")
-        metrics = _run_metrics(sinks.write_load(spark, tables, database, load_id, mode, after_table))
+        metrics = _run_metrics(sinks.write_load(spark, tables, database, load_id, mode, after_table, counted))
         sinks.record_job_run(
             spark, database, job_name=job_name, status="SUCCEEDED", source=input_path,
             destination=database, metrics=metrics, run_id=run_id,
@@ -106,7 +112,9 @@ def run_batch(
 def _run_metrics(counted: dict[str, int]) -> dict[str, int]:
     """What a run reports; every input record is either a visit or a record-level reject."""
     rows = {k: v for k, v in counted.items() if k != "files_rows"}
-    return rows | {"input_records": rows["visits_rows"] + rows["record_rejects"]}
+    visits = rows.pop("all_visits", rows["visits_rows"])
+    known = {"known_visits": visits - rows["visits_rows"]} if "all_visits" in counted else {}
+    return rows | known | {"input_records": visits + rows["record_rejects"]}
 
 
 def listed_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:

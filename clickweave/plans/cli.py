@@ -50,6 +50,7 @@ def cmd_batch(spark, args) -> dict:
     return run_batch(
         spark, args.input, database=args.database, mode=args.mode, profile=args.profile, glob=args.glob,
         min_partitions=args.min_partitions, land_raw_lines=args.land_raw, fanout=args.fanout, run_id=args.run_id, archive_dir=args.archive,
+        skip_known=args.skip_known,
     )
 
 
@@ -91,7 +92,7 @@ def cmd_live_ingest(spark, args) -> dict:
         )
     else:
         parsed = parse_messages(_messages(spark, args))
-    q = ingest.start_live_ingest(parsed, args.database, args.checkpoint, profile=args.profile, trigger=_trigger(args))
+    q = ingest.start_live_ingest(parsed, args.database, args.checkpoint, profile=args.profile, trigger=_trigger(args), skip_known=args.skip_known)
     q.awaitTermination()
     return {"database": args.database}
 
@@ -114,6 +115,7 @@ def build_parser() -> argparse.ArgumentParser:
     b.add_argument("--land-raw", action="store_true")
     b.add_argument("--run-id", default=None, help="the same id again replaces what that run wrote")
     b.add_argument("--archive", default=None, help="folder that the files go to after they are read")
+    b.add_argument("--skip-known", action="store_true", help="leave out rows whose key another load has")
     b.add_argument("--fanout", choices=["checkpoint", "persist"], default="checkpoint")
 
     d = sub.add_parser("derive", help="decode what the raw zone has and the curated tables lack")
@@ -145,6 +147,7 @@ def build_parser() -> argparse.ArgumentParser:
     li.add_argument("--profile", choices=list(extract.PROFILES), default=extract.LIVE)
     li.add_argument("--glob", default="*.jsonl")
     li.add_argument("--archive", default=None)
+    li.add_argument("--skip-known", action="store_true", help="leave out rows whose key another load has")
     return p
 
 

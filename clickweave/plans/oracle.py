@@ -483,3 +483,12 @@ UNION ALL {_derived("decoded again", 2, "(2, 7)", "(reason = 'bad_json' AND sess
 UNION ALL SELECT 'landed', 'derived', NULL, NULL, 1
 UNION ALL SELECT 'decoded again', 'derived', NULL, NULL, 2
 """
+
+_WRITER = "CASE WHEN uid_no % 2 = 0 THEN 'batch_sessions-1' WHEN uid_no % 3 = 0 AND is_live THEN 'live-0' ELSE 'batch_sessions-2' END"
+ORACLES["loads_without_copies"] = _with(f"""
+SELECT table_name, session_id, {_WRITER} AS load_id, count(*) AS n FROM (
+  SELECT 'visits' AS table_name, session_id, true AS is_live, {_UID} AS uid_no FROM sess
+  UNION ALL SELECT 'events', session_id, coalesce(etype IN {LIVE_TYPES_SQL}, false), user_id FROM ev WHERE etype IS NOT NULL
+  UNION ALL SELECT 'purchase_items', p.session_id, true, {_UID} FROM pitems p JOIN sess USING (session_id)
+) GROUP BY 1, 2, 3
+""")

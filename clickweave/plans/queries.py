@@ -540,6 +540,21 @@ def q_tables_of_both_paths(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows).groupBy("table_name", "load").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def q_loads_without_copies(spark, sf_dir):
+    """A batch load of even users; a live load of users divisible by 3 and a batch
+    load of all, run twice, each without rows that are there: who wrote which rows of a session."""
+    even, _ = _halves(spark, sf_dir)
+    database = _database(spark, "no-copies")
+    _batch(spark, even, database, run_id="1")
+    user = F.regexp_extract("message_id", r"^SID-(\d+)-", 1).cast("long")
+    ingest.write_batch_tables(parse_messages(session_messages(spark, sf_dir).where(user % 3 == 0)), database, 0, skip_known=True)
+    everything = _files(spark, session_records(spark, sf_dir))
+    for _ in range(2):
+        _batch(spark, everything, database, run_id="2", skip_known=True)
+    rows = [spark.table(f"{database}.{t}").groupBy("session_id", sinks.LOAD_ID).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "*") for t in ("visits", "events", "purchase_items")]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def q_days_replaced(spark, sf_dir):
     """K1: all sessions loaded, then the days that are 3 modulo 10 loaded
     again with even users only, in place of what was there."""
@@ -788,6 +803,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compacted_tables": q_compacted_tables,
     "archived_once": q_archived_once,
     "curated_from_raw": q_curated_from_raw,
+    "loads_without_copies": q_loads_without_copies,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}

@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweave.schemas import JOB_RUNS, PAGE_VIEW_ALERTS, TABLES, VISIT_PARTS, ddl
+from clickweave.operators import history
+from clickweave.schemas import JOB_RUNS, PAGE_VIEW_ALERTS, PRIMARY_KEYS, TABLES, VISIT_PARTS, ddl
 from clickweave.session import staged
 
 RAW_DB = "raw"
@@ -53,6 +54,8 @@ PARTITION_COLUMNS = {
     "derivations": ("derived_date", None),
     "sessions_raw": ("landed_date", None),
 }
+#: Tables whose day follows from the key: an event's id is made of its time.
+DAY_OF_KEY = ("events",)
 RAW_SESSIONS = "sessions_raw"
 RAW_TABLES = (RAW_SESSIONS,)
 CURATED_TABLES = tuple(t for t in PARTITION_COLUMNS if t not in RAW_TABLES)
@@ -259,18 +262,20 @@ def write_load(
     load_id: str | None = None,
     mode: str = APPEND,
     after_table: Callable[[str], None] | None = None,
+    counted: dict[str, int] | None = None,
 ) -> dict[str, int]:
     """Write several tables as one load, and commit it last.
 
     ``append`` adds the rows, in place of an earlier attempt of the same
     ``load_id``. ``truncate`` and ``replace_days`` also hide all earlier rows,
     or those of the days that a table has rows of. ``after_table`` is called
-    with the name of each table once it is written. Returns the metrics.
+    with the name of each table once it is written. Returns the metrics, those
+    that are ``counted`` already among them.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     load_id = load_id or uuid.uuid4().hex
-    attempt, metrics = new_attempt(load_id), {}
+    attempt, metrics = new_attempt(load_id), dict(counted or {})
     for name, df in tables.items():
         metrics |= write_attempt(df, name, database, attempt)
         if after_table:
@@ -279,6 +284,25 @@ def write_load(
     return metrics
 
 
+def without_known(spark: SparkSession, tables: dict[str, DataFrame], database: str, load_id: str) -> dict[str, DataFrame]:
+    """The tables of a load without rows that other committed loads have, and each key once.
+
+    Visits are compared as parts. Tables without a key (``rejects``) stay as they
+    are. What ``load_id`` itself wrote before is no history, so a load that is
+    written again replaces its rows by the same. Loads that commit meanwhile
+    are not seen.
+    """
+    out = dict(tables)
+    for name in tables.keys() & {"visits", "events", "purchase_items"}:
+        keys, day = list(PRIMARY_KEYS[name]), PARTITION_COLUMNS[name][0]
+        before = read_parts(spark, database) if name == "visits" else spark.table(_qualified(database, name))
+        if name == "visits":
+            keys.append("part")
+        load = tables[name] if day in tables[name].columns else tables[name].withColumn(day, _day(name))
+        out[name] = history.new_rows(load, before.where(F.col(LOAD_ID) != load_id), keys, day if name in DAY_OF_KEY else None)
+    return out
+
+
 def write_table(df: DataFrame, name: str, database: str = CURATED_DB, mode: str = APPEND, load_id: str | None = None) -> None:
     """K1: one table as a load of its own; a table that is not loaded (``job_runs``) is appended to."""
     if name in PARTITION_COLUMNS:

@@ -121,22 +121,27 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, partitions: t
     )
 
 
-def write_batch_tables(parsed: DataFrame, database: str, batch_id: int, profile: str = extract.LIVE, stream: str = "live", after_table=None) -> dict[str, int]:
+def write_batch_tables(parsed: DataFrame, database: str, batch_id: int, profile: str = extract.LIVE, stream: str = "live", after_table=None, skip_known: bool = False) -> dict[str, int]:
     """K4: one micro batch -> the curated tables, as one load ``<stream>-<batch_id>``.
 
     The parsed batch is persisted so the writes share one decode. The load is
     committed last, so readers see all of the batch or nothing, and a replay
     (after a failure between writes) replaces its rows in all tables at once.
     Visits go in as parts, which merge with the parts of other batches when
-    they are read. The load's metrics become a row of ``job_runs``.
+    they are read. ``skip_known`` leaves out rows whose key another committed
+    load has (R5). The load's metrics become a row of ``job_runs``.
     """
     spark, load_id = parsed.sparkSession, f"{stream}-{batch_id}"
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        metrics = sinks.write_load(spark, extract.tables(parsed, profile), database, load_id, after_table=after_table)
+        tables = extract.tables(parsed, profile)
+        if skip_known:
+            tables = sinks.without_known(spark, tables, database, load_id)
+        metrics = sinks.write_load(spark, tables, database, load_id, after_table=after_table)
     finally:
         parsed.unpersist()
-    metrics["input_records"] = metrics["visits_rows"] + metrics["record_rejects"]
+    if not skip_known:  # else known visits are not among those written
+        metrics["input_records"] = metrics["visits_rows"] + metrics["record_rejects"]
     sinks.record_job_run(spark, database, job_name=stream, status="SUCCEEDED", source=None, destination=database, metrics=metrics, run_id=load_id)
     return metrics
 
@@ -148,6 +153,7 @@ def start_live_ingest(
     profile: str = extract.LIVE,
     trigger: dict | None = None,
     stream: str = "live",
+    skip_known: bool = False,
 ) -> StreamingQuery:
     """Run ``write_batch_tables`` for every micro batch.
 
@@ -155,7 +161,7 @@ def start_live_ingest(
     """
     sinks.provision(parsed_stream.sparkSession, database)
     writer = parsed_stream.writeStream.foreachBatch(
-        lambda df, batch_id: write_batch_tables(df, database, batch_id, profile, stream)
+        lambda df, batch_id: write_batch_tables(df, database, batch_id, profile, stream, skip_known=skip_known)
     ).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
