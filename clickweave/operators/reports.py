@@ -15,6 +15,8 @@ holds many rows (or broadcasts the written side by its real size).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,29 +59,30 @@ def visits_by_device(visits: DataFrame) -> DataFrame:
     return visits.groupBy("device_type").agg(F.count(F.lit(1)).alias("visits"))
 
 
-def events_with_visit(events: DataFrame, visits: DataFrame) -> DataFrame:
+def events_with_visit(events: DataFrame, visits: DataFrame, keys: Sequence[str] = ("session_id",)) -> DataFrame:
     """Events left-joined with their visit (ER relation events -> visits).
 
     A join on ``session_id`` with the columns that the events table does not
     already carry. ``visits`` has one row per session (of several paths or
     loads, by ``quality.consolidate_visits``) and is written unless it is a table.
+    ``keys`` are those of tables that are laid out by more than the session.
     """
     v = written(visits, "visits").select(
-        "session_id",
+        *keys,
         F.col("start_timestamp").alias("visit_start"),
         F.col("end_timestamp").alias("visit_end"),
         F.col("event_count").alias("visit_event_count"),
         "geolocation",
     )
-    return events.join(v, "session_id", "left")
+    return events.join(v, list(keys), "left")
 
 
-def items_with_visit(items: DataFrame, visits: DataFrame) -> DataFrame:
-    """Purchase items left-joined with their visit (``visits`` as in J1)."""
+def items_with_visit(items: DataFrame, visits: DataFrame, keys: Sequence[str] = ("session_id",)) -> DataFrame:
+    """Purchase items left-joined with their visit (``visits`` and ``keys`` as in J1)."""
     v = written(visits, "visits").select(
-        "session_id", "user_id", "device_type", F.col("start_timestamp").alias("visit_start")
+        *keys, "user_id", "device_type", F.col("start_timestamp").alias("visit_start")
     )
-    return items.join(v, "session_id", "left")
+    return items.join(v, list(keys), "left")
 
 
 def orphans(child: DataFrame, visits: DataFrame) -> DataFrame:

@@ -60,6 +60,13 @@ def cmd_derive(spark, args) -> dict:
     return derive(spark, args.database, args.raw_database, version=args.decoder_version, profile=args.profile)
 
 
+def cmd_publish(spark, args) -> dict:
+    from clickweave.sinks import by_session
+
+    state = by_session.publish(spark, args.database, args.buckets)
+    return {"state": state, "dropped": by_session.drop_old(spark, args.database)}
+
+
 def cmd_page_views(spark, args) -> dict:
     from clickweave.streaming import ingest
 
@@ -124,6 +131,10 @@ def build_parser() -> argparse.ArgumentParser:
     d.add_argument("--decoder-version", type=int, default=1, help="a higher one than before decodes everything again")
     d.add_argument("--profile", choices=list(extract.PROFILES), default=extract.BATCH)
 
+    bs = sub.add_parser("publish", help="lay the curated tables out by session")
+    bs.add_argument("--database", default="curated")
+    bs.add_argument("--buckets", type=int, default=None)
+
     def stream_common(sp, *more):
         sp.add_argument("--source", choices=["kafka", "files-parquet", *more], default="kafka")
         sp.add_argument("--bootstrap-servers")
@@ -155,6 +166,7 @@ COMMANDS = {
     "provision": cmd_provision,
     "batch": cmd_batch,
     "derive": cmd_derive,
+    "publish": cmd_publish,
     "page-views": cmd_page_views,
     "live-ingest": cmd_live_ingest,
 }

@@ -492,3 +492,9 @@ SELECT table_name, session_id, {_WRITER} AS load_id, count(*) AS n FROM (
   UNION ALL SELECT 'purchase_items', p.session_id, true, {_UID} FROM pitems p JOIN sess USING (session_id)
 ) GROUP BY 1, 2, 3
 """)
+ORACLES["joins_by_session"] = _with("""
+SELECT 'J1' AS join_name, session_id, count(*) AS n, min(start_timestamp) AS visit_start, CAST(sum(event_count) AS BIGINT) AS value
+FROM ev JOIN sess USING (session_id) WHERE etype IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'J2', session_id, count(*), min(start_timestamp), CAST(sum(length(device_type)) AS BIGINT) FROM pitems JOIN sess USING (session_id) GROUP BY 2
+UNION ALL SELECT 'J4', session_id, 1, start_timestamp, event_count FROM sess WHERE session_id IN (SELECT session_id FROM pitems)
+""")

@@ -26,7 +26,7 @@ from clickweave.operators import extract, orders, quality, reports
 from clickweave.plans.batch import run_batch
 from clickweave.plans.curate import derive, with_decoder_version
 from clickweave.plans.landing import landed, parsed_messages, parsed_sessions
-from clickweave.sinks import tables as sinks
+from clickweave.sinks import by_session, tables as sinks
 from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions, read_jsonl
 from clickweave.functions.scalars import parse_iso_timestamp, shard_label
 from clickweave.session import scratch_dir, staged
@@ -555,6 +555,22 @@ def q_loads_without_copies(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+def q_joins_by_session(spark, sf_dir):
+    """J1/J2/J4 on tables laid out by session, where sessions of more than 2 rows are split:
+    what the three joins say of each session. A state published before is replaced."""
+    database = _database(spark, "by-session")
+    even, _ = _halves(spark, sf_dir)
+    _batch(spark, even, database, run_id="1")
+    by_session.publish(spark, database, 4, SPLIT_ROWS)
+    v, e, i = _batch_tables(spark, sf_dir)
+    by_session.publish(spark, database, 8, SPLIT_ROWS, {"visits": v, "events": e, "purchase_items": i})
+    count = F.count(F.lit(1)).alias("n")
+    j1 = by_session.events_with_visit(spark, database).groupBy("session_id").agg(count, F.min("visit_start").alias("visit_start"), F.sum("visit_event_count").alias("value"))
+    j2 = by_session.items_with_visit(spark, database).groupBy("session_id").agg(count, F.min("visit_start").alias("visit_start"), F.sum(F.length("device_type")).alias("value"))
+    j4 = by_session.sessions_with_purchase(spark, database).groupBy("session_id").agg(count, F.min("start_timestamp").alias("visit_start"), F.sum("event_count").alias("value"))
+    return present(reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("join_name"), "*") for name, df in (("J1", j1), ("J2", j2), ("J4", j4))]))
+
+
 def q_days_replaced(spark, sf_dir):
     """K1: all sessions loaded, then the days that are 3 modulo 10 loaded
     again with even users only, in place of what was there."""
@@ -719,6 +735,7 @@ PAGE_VIEW_WINDOW_MINUTES = 60
 ALERT_THRESHOLD = 5
 # Events a record and items a record where sessions are to be cut, and batches they are dealt over.
 SMALL_BOUNDS = (2, 3)
+SPLIT_ROWS = 2
 PARTS_BATCHES = 3
 
 
@@ -804,6 +821,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archived_once": q_archived_once,
     "curated_from_raw": q_curated_from_raw,
     "loads_without_copies": q_loads_without_copies,
+    "joins_by_session": q_joins_by_session,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in QUERIES.items()}

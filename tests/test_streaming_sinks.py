@@ -437,3 +437,8 @@ def test_cli_batch_and_page_views(spark, session_files, tmp_path):
         cli.main(["page-views", "--source", "files-jsonl", "--checkpoint", "y"], spark)
     cli.main(["live-ingest", "--source", "files-jsonl", "--input", path, "--database", "cli_live_t", "--checkpoint", str(tmp_path / "ckl")], spark)
     assert spark.table("cli_live_t.visits").count() == n
+    cli.main(["batch", "--input", path, "--database", "cli_t", "--skip-known", "--land-raw", "--run-id", "again"], spark)
+    assert spark.table("cli_t.visits").count() == n
+    cli.main(["derive", "--database", "cli_derived_t"], spark)
+    assert spark.table("cli_derived_t.visits").where("load_id = 'derived-batch_sessions-again'").count() == n
+    assert cli.main(["publish", "--database", "cli_t", "--buckets", "2"], spark)["dropped"] == []
