@@ -48,9 +48,18 @@ def high_water_mark(spark: SparkSession, version: int, database: str = sinks.CUR
     return state.select(F.array_max(below)).first()[0]
 
 
-def with_decoder_version(spark: SparkSession, name: str, database: str = sinks.CURATED_DB) -> DataFrame:
-    """A curated table with the ``decoder_version`` that each row is of (NULL: not derived from the raw zone)."""
-    versions = spark.table(f"`{database}`.`derivations`").groupBy(sinks.LOAD_ID).agg(F.max("decoder_version").alias("decoder_version"))
+def decoder_versions(spark: SparkSession, database: str = sinks.CURATED_DB) -> DataFrame:
+    """Written table ``load_id, decoder_version``: a row a landing that is derived."""
+    derived = spark.table(f"`{database}`.`derivations`")
+    return staged(derived.groupBy(sinks.LOAD_ID).agg(F.max("decoder_version").alias("decoder_version")), "decoder-versions")
+
+
+def with_decoder_version(spark: SparkSession, name: str, database: str = sinks.CURATED_DB, versions: DataFrame | None = None) -> DataFrame:
+    """A curated table with the ``decoder_version`` that each row is of (NULL: not derived from the raw zone).
+
+    ``versions`` is what ``decoder_versions`` gave, for several tables of one state.
+    """
+    versions = decoder_versions(spark, database) if versions is None else versions
     return spark.table(f"`{database}`.`{name}`").join(versions, sinks.LOAD_ID, "left")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from clickweave.operators import extract, orders, quality, reports
 from clickweave.plans.batch import run_batch
-from clickweave.plans.curate import derive, with_decoder_version
+from clickweave.plans.curate import decoder_versions, derive, with_decoder_version
 from clickweave.plans.landing import landed, parsed_messages, parsed_sessions
 from clickweave.sinks import by_session, tables as sinks
 from clickweave.sources.decode import decode_push_envelopes, parse_messages, parse_sessions, read_jsonl
@@ -657,9 +657,10 @@ def q_curated_from_raw(spark, sf_dir):
     out = []
 
     def state(name, metrics):
+        versions = decoder_versions(spark, database)
         for t in ("visits", "events", "purchase_items", "rejects"):
             number = F.sum("event_count") if t == "visits" else F.count(F.lit(1))
-            rows = with_decoder_version(spark, t, database).groupBy("session_id", "decoder_version").agg(number.cast("long").alias("n"))
+            rows = with_decoder_version(spark, t, database, versions).groupBy("session_id", "decoder_version").agg(number.cast("long").alias("n"))
             out.append(staged(rows.select(F.lit(name).alias("state"), F.lit(t).alias("table_name"), "session_id", "decoder_version", "n"), "state"))
         done = spark.range(1).select(F.lit(name).alias("state"), F.lit("derived").alias("table_name"), F.lit(None).cast("string").alias("session_id"), F.lit(None).cast("long").alias("decoder_version"), F.lit(metrics.get("derivations_rows", 0)).cast("long").alias("n"))
         out.append(done)
