@@ -30,8 +30,8 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources by temperature: each document once at least, and no source more than 1.1 times over."""
-    return mixing.mix_documents(docs, repetition_limit=1.1)
+    """Sources by temperature: each document once at least, and no source more than twice."""
+    return mixing.mix_documents(docs, repetition_limit=2.0)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
