@@ -29,7 +29,9 @@ it. A page that deviates keeps its own block and changes nothing on the others.
 
 Parsing takes time in proportion to the page: what is open is counted by
 element, so no search for what is not there walks the stack, and elements
-deeper than ``DEEPEST`` are held by the one above, as browsers do.
+deeper than ``DEEPEST`` are held by the one above, as browsers do. Alignment
+takes time by the product of the lengths of two lists of children that differ,
+and memory by the longer one and the root of the other.
 
 Plan: a first parse gives each page's shape, the kinds of places its texts
 have. Of the pages with text in the host's commonest shape the smallest and
@@ -50,10 +52,13 @@ extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import html as html_lib
+import math
 import re
+import sys
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -65,8 +70,10 @@ MIN_SHARE = 0.5
 FEW = 4
 CONTENT_SHARE, LEAST_PAGES = 0.6, 3
 DEEPEST = 256
-#: Pairs of children beyond which two long lists are aligned in turn instead of by the table of all pairs.
+#: Pairs of children beyond which the table of two lists' alignment is not kept whole, but made again in parts.
 MOST_PAIRS = 1 << 21
+#: Weights of pairs of subtrees that are remembered.
+MOST_WEIGHTS = 1 << 20
 #: Evidence is summed in millionths of a page, so that sums are exact.
 WHOLE_PAGE = 1_000_000
 
@@ -287,13 +294,9 @@ def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
         total = sum(p.size for p, _ in pairs)
         left, right = left[i : n - j], right[i : m - j]
         if len(left) * len(right) > MOST_PAIRS:
-            # too long for the table: each child with the next one of its label
-            k = 0
-            for x in left:
-                y = next((y for y in range(k, min(k + 64, len(right))) if right[y].label == x.label), None)
-                if y is not None:
-                    pairs.append((x, right[y]))
-                    total, k = total + weight(x, right[y]), y + 1
+            size, found = _align_long(left, right, weight)
+            total += size
+            pairs += found
         elif left and right:
             table = [[0] * (len(right) + 1)]
             for x in left:
@@ -322,10 +325,16 @@ def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
         if not x.children or not y.children:
             return 1
         key = (x.shape, y.shape)
-        if key not in weights:
-            weights[key] = 1 + align(x.children, y.children)[0]
-        return weights[key]
-
+        known = weights.get(key)
+        if known is None:
+            known = 1 + align(x.children, y.children)[0]
+            if len(weights) >= MOST_WEIGHTS:
+                weights.clear()
+            weights[key] = known
+        return known
+
+    # a level of the tree takes four calls at most
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 8 * DEEPEST))
     found, todo = [], [(a, b)]
     while todo:
         x, y = todo.pop()
@@ -334,6 +343,64 @@ def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return found
 
 
+def _align_long(left: list[Node], right: list[Node], weight: Callable[[Node, Node], int]) -> tuple[int, list[tuple[Node, Node]]]:
+    """The alignment that the whole table gives, of lists of any length: every so many rows are kept, and those between made again on the way back."""
+    kinds: dict[tuple, int] = {}
+    first: list[Node] = []
+    of = np.empty(len(right), np.int32)
+    for k, y in enumerate(right):
+        kind = (y.label, y.shape)
+        if kind not in kinds:
+            kinds[kind] = len(first)
+            first.append(y)
+        of[k] = kinds[kind]
+    by_label: dict[str, list[int]] = {}
+    for i, y in enumerate(first):
+        by_label.setdefault(y.label, []).append(i)
+
+    gained: dict[tuple, np.ndarray] = {}
+
+    def row_after(row: np.ndarray, x: Node) -> np.ndarray:
+        kind = (x.label, x.shape)
+        gain = gained.get(kind)
+        if gain is None:
+            each = np.zeros(len(first), np.int32)
+            for i in by_label.get(x.label, ()):
+                each[i] = weight(x, first[i])
+            gain = each[of]
+            if len(gained) >= MOST_PAIRS // len(right):
+                gained.clear()
+            gained[kind] = gain
+        out = np.zeros(len(right) + 1, np.int32)
+        np.maximum(row[1:], row[:-1] + gain, out=out[1:])
+        return np.maximum.accumulate(out, out=out)
+
+    step = math.isqrt(len(left)) + 1
+    row = np.zeros(len(right) + 1, np.int32)
+    kept = [row]
+    for i, node in enumerate(left):
+        row = row_after(row, node)
+        if (i + 1) % step == 0:
+            kept.append(row)
+    total, pairs = int(row[-1]), []
+    x, y = len(left), len(right)
+    while x and y:
+        start = (x - 1) // step * step
+        rows = [kept[start // step]]
+        for node in left[start:x]:
+            rows.append(row_after(rows[-1], node))
+        while x > start and y:
+            here, above = rows[x - start], rows[x - start - 1]
+            if here[y] == above[y]:
+                x -= 1
+            elif here[y] == here[y - 1]:
+                y -= 1
+            else:
+                x, y = x - 1, y - 1
+                pairs.append((left[x], right[y]))
+    return total, pairs
+
+
 def _paths(root: Node) -> dict[int, tuple[str, str]]:
     """For each text of the tree its path of labels and orders to the root, counted from the front and from the back."""
     found, todo = {}, [(root, 0, 0)]
