@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.operators import extract
+from clickweave.operators.skew import many
 from clickweave.schemas import PRIMARY_KEYS
 from clickweave.session import staged
 
@@ -61,7 +62,7 @@ def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if not rest:
         return unique.select(*df.columns)
     unique = staged(unique, "distinct")
-    several = staged(duplicate_keys(unique, keys).select(*keys), "several")
+    several = many(staged(duplicate_keys(unique, keys).select(*keys), "several"))
     same = F.lit(True)
     for k in keys:
         same &= unique[k].eqNullSafe(several[k])
@@ -81,12 +82,12 @@ def consolidate_visits(parts: DataFrame) -> DataFrame:
     record stands for its session beside parts of it.
     """
     unique = staged(parts.distinct(), "distinct-parts")
-    several = staged(duplicate_keys(unique, ["session_id"]).select("session_id"), "several")
+    several = many(staged(duplicate_keys(unique, ["session_id"]).select("session_id"), "several"))
     columns = [c for c in parts.columns if c not in ("part", "parts")]
     found = unique.join(several, "session_id", "left_semi")
     # the part number of a whole record is below all others, so one of them is kept alone
     whole = found.where("part is null").select("session_id").distinct().withColumn("has_whole", F.lit(True))
-    found = found.join(staged(whole, "whole"), "session_id", "left").where("has_whole is null or part is null").withColumn("part", F.coalesce("part", F.lit(0)))
+    found = found.join(many(staged(whole, "whole")), "session_id", "left").where("has_whole is null or part is null").withColumn("part", F.coalesce("part", F.lit(0)))
     merged = extract.merge_parts(found.select(*columns, "part"))
     return unique.join(several, "session_id", "left_anti").select(*columns).unionByName(merged.select(*columns))
 

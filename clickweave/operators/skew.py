@@ -7,8 +7,10 @@ range + position in it, and what is made of the ranges equals what the whole
 would give. ``numbered`` finds positions without putting a key into one task.
 
 Sides of joins are not marked for broadcast here: a small table is written
-(``session.staged``) and Catalyst decides by its real size; beyond the
-threshold both sides are shuffled from files, which AQE can split by skew.
+(``session.staged``) and Catalyst decides by its real size. That size is of
+compressed files, a small part of what a broadcast of keys takes on the driver,
+so a side of many rows is kept from it (``many``): both sides are shuffled from
+files, which AQE can split by skew.
 """
 
 from __future__ import annotations
@@ -21,6 +23,15 @@ from pyspark.sql import functions as F
 from clickweave.session import staged
 
 
+#: Rows up to which a side of a join may be broadcast (about 16 MB of keys in memory).
+MOST_BROADCAST_ROWS = 100_000
+
+
+def many(side: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """A written or base table as the side of a join, never broadcast if it has more than ``most`` rows."""
+    return side.hint("merge") if side.count() > most else side
+
+
 def hot_keys(sizes_from: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Written table of the keys with more than ``max_rows`` rows, and their ``_rows``.
 
@@ -43,7 +54,7 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     ranged = staged(ranged, "ranges")
     sizes = staged(ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n")), "range-sizes")
     before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    sizes = many(sizes).withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
     own = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order)) - 1
     return ranged.withColumn("_own", own).join(sizes, [*keys, "_range"]).withColumn("_pos", F.col("_own") + F.col("_before")).drop("_own", "_before", "_range")
 
@@ -59,6 +70,7 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int, order: S
     none = F.lit(None).cast("long")
     if hot.isEmpty():
         return df.withColumn(part_col, none).withColumn("parts", none)
+    hot = many(hot)
     cold = df.join(hot, keys, "left_anti").withColumn(part_col, none).withColumn("parts", none)
     cut = numbered(df.join(hot.select(*keys), keys, "left_semi"), keys, order)
     cut = cut.withColumn(part_col, F.floor(F.col("_pos") / max_rows)).drop("_pos")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import iso_text, money_sum
-from clickweave.operators.skew import numbered, split_hot_groups
+from clickweave.operators.skew import MOST_BROADCAST_ROWS, many, numbered, split_hot_groups
 from clickweave.session import staged
 
 # Fixed values of the base-table -> session mapping.
@@ -92,12 +92,12 @@ def _order_items(spark: SparkSession, sf_dir: str, purchase_ids: DataFrame, max_
 
     Only chunk 0 has the amount, which is that of the whole order.
     """
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    part = many(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINEITEM_ORDER)
     # Only orders that some purchase event refers to.
-    li = li.join(purchase_ids, li["l_orderkey"] == purchase_ids["event_id"], "left_semi")
-    keys = table(spark, sf_dir, "lineitem").select("l_orderkey").where("l_orderkey is not null")
-    li = split_hot_groups(li, ["l_orderkey"], max_items, LINEITEM_ORDER, sizes_from=keys, part_col="chunk").drop("parts")
+    purchase_ids = many(purchase_ids)
+    li = staged(li.join(purchase_ids, li["l_orderkey"] == purchase_ids["event_id"], "left_semi"), "purchased")
+    li = split_hot_groups(li, ["l_orderkey"], max_items, LINEITEM_ORDER, part_col="chunk").drop("parts")
     li = li.join(part, li["l_partkey"] == part["p_partkey"], "left")
     item = F.struct(
         F.concat(F.lit("P-"), F.col("l_partkey").cast("string")).alias("product_id"),
@@ -113,7 +113,7 @@ def _order_items(spark: SparkSession, sf_dir: str, purchase_ids: DataFrame, max_
     items = F.transform("_sorted", lambda x: x["item"]).alias("items")
     whole = grouped.where("not cut").select("order_key", "chunk", items, "amount")
     amounts = li.where("cut").groupBy(F.col("l_orderkey").alias("order_key")).agg(total.alias("amount"), F.lit(0).cast("long").alias("chunk"))
-    cut = grouped.where("cut").select("order_key", "chunk", items).join(amounts, ["order_key", "chunk"], "left")
+    cut = grouped.where("cut").select("order_key", "chunk", items).join(amounts.hint("merge"), ["order_key", "chunk"], "left")
     return whole.unionByName(cut)
 
 
@@ -137,12 +137,16 @@ def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFra
     eid, et = F.col("event_id"), F.col("etype")
     is_purchase = et.eqNullSafe(F.lit("purchase"))
 
-    # Cart adds look up their product: Catalyst broadcasts the catalogue
-    # while its size allows and shuffles both sides beyond that.
-    catalogue = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice").dropDuplicates(["p_partkey"])
+    # Only cart adds look up their product: a few parts are broadcast, and of
+    # many both sides are shuffled, where events without a product would all
+    # go to the task of the missing key.
+    is_cart = et.eqNullSafe(F.lit("add_item_to_cart"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    catalogue = parts.dropDuplicates(["p_partkey"])
+    catalogue = catalogue.hint("merge") if parts.count() > MOST_BROADCAST_ROWS else catalogue
     product = F.pmod(eid, table(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar())
-    non_purchase = ev.where(~is_purchase).withColumn("product", F.when(et == "add_item_to_cart", product))
-    non_purchase = non_purchase.join(catalogue, F.col("product") == F.col("p_partkey"), "left")
+    carts = ev.where(is_cart).withColumn("product", product)
+    carts = carts.join(catalogue, F.col("product") == F.col("p_partkey"), "left")
     d = _details()
     page_view = dict(d)
     page_view["page_url"] = F.concat(F.lit(PAGE_URL_PREFIX), F.pmod(eid, F.lit(PAGE_COUNT)).cast("string"))
@@ -164,20 +168,18 @@ def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFra
         cols.append((items if items is not None else F.lit(None).cast(ITEMS)).alias("items"))
         return F.struct(*cols)
 
-    np_details = (
-        F.when(et == "page_view", details(page_view))
-        .when(et == "add_item_to_cart", details(cart))
-        .when(et == "promo_click", details(promo))
-    )
-    non_purchase = non_purchase.select("event_id", "ts", "user_id", "etype", np_details.alias("details"))
+    columns = ("event_id", "ts", "user_id", "etype")
+    carts = carts.select(*columns, details(cart).alias("details"))
+    other_details = F.when(et == "page_view", details(page_view)).when(et == "promo_click", details(promo))
+    others = ev.where(~is_purchase & ~is_cart).select(*columns, other_details.alias("details"))
 
-    purchases = ev.where(is_purchase).join(items.where("chunk = 0"), eid == F.col("order_key"), "left")
+    purchases = ev.where(is_purchase).join(many(items.where("chunk = 0")), eid == F.col("order_key"), "left")
     pd_fields = dict(d)
     pd_fields["order_id"] = F.concat(F.lit("ORD-"), eid.cast("string"))
     pd_fields["amount"] = F.coalesce(F.col("amount"), F.lit(0.0))
     pd_fields["currency"] = F.lit(CURRENCY)
     purchases = purchases.select(
-        "event_id", "ts", "user_id", "etype",
+        *columns,
         details(pd_fields, F.coalesce(F.col("items"), F.array().cast(ITEMS))).alias("details"),
     )
     entry = F.struct(
@@ -187,7 +189,7 @@ def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFra
             F.col("details").alias("details"),
         ).alias("event")
     )
-    return non_purchase.unionByName(purchases).select("event_id", "ts", "user_id", F.date_format(F.col("ts"), "yyyyMMdd").alias("day"), entry.alias("entry"))
+    return others.unionByName(carts).unionByName(purchases).select("event_id", "ts", "user_id", F.date_format(F.col("ts"), "yyyyMMdd").alias("day"), entry.alias("entry"))
 
 
 def _record(events, part=None, parts=None, first_event=None, first_item=None):
@@ -245,7 +247,7 @@ def build_session_records(
     message_id = F.concat(session_id(), F.lit("#"), F.coalesce("part", F.lit(0)).cast("string"))
     record = _record(events, F.col("part"), F.col("parts"), first)
     # all records of a session are published when it closes
-    closes = table(spark, sf_dir, "events").select("user_id", day, "ts").groupBy("user_id", "day").agg(F.max("ts").alias("_closes"))
+    closes = table(spark, sf_dir, "events").select("user_id", day, "ts").groupBy("user_id", "day").agg(F.max("ts").alias("_closes")).hint("merge")
     records = grouped.where("parts is null").select(*_message(message_id, F.col("_last"), record))
     parts = grouped.where("parts is not null").join(closes, ["user_id", "day"])
     records = records.unionByName(parts.select(*_message(message_id, F.col("_closes"), record)))
@@ -254,8 +256,9 @@ def build_session_records(
         return records
     # items of a long order beyond its first range: a record for each range
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", day)
-    chosen = more.select(F.col("order_key").alias("event_id")).distinct()
-    sessions = ev.join(ev.join(chosen, "event_id", "left_semi").select("user_id", "day").distinct(), ["user_id", "day"], "left_semi")
+    more = many(more)
+    chosen = more.select(F.col("order_key").alias("event_id")).distinct().hint("merge")
+    sessions = ev.join(ev.join(chosen, "event_id", "left_semi").select("user_id", "day").distinct().hint("merge"), ["user_id", "day"], "left_semi")
     placed = numbered(sessions, ["user_id", "day"], ["ts", "event_id"])
     d = _details()
     d["order_id"] = F.concat(F.lit("ORD-"), F.col("event_id").cast("string"))
