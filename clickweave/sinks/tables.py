@@ -134,9 +134,20 @@ def provision(spark: SparkSession, database: str = CURATED_DB, location: str | N
     return [*names, "job_runs", "loads"]
 
 
+def _loads(database: str) -> str:
+    """SQL: ``loads`` at its real size, for joins.
+
+    Of a partitioned table without statistics Catalyst takes the size as
+    unbounded, and every join with it shuffles the rows by their attempt, a key
+    of a few values: one task would get all rows of a load. A filter of the
+    partitions has their files listed, and their size known.
+    """
+    return f"(SELECT * FROM {_qualified(database, 'loads')} WHERE `{COMMIT}` IS NOT NULL)"
+
+
 def _committed(database: str) -> str:
     """SQL: the last attempt of each load that no later truncation hides (one narrow row a load)."""
-    loads = _qualified(database, "loads")
+    loads = _loads(database)
     return f"""
 SELECT {LOAD_ID}, {ATTEMPT}, version FROM (
   SELECT *, row_number() OVER (PARTITION BY {LOAD_ID} ORDER BY version DESC, {ATTEMPT} DESC) AS nth FROM {loads}
@@ -145,7 +156,7 @@ SELECT {LOAD_ID}, {ATTEMPT}, version FROM (
 
 def _shown(database: str, name: str, columns: str | None = None) -> str:
     """SQL: the committed rows of a table, with their ``load_id``."""
-    day, loads = PARTITION_COLUMNS[name][0], _qualified(database, "loads")
+    day, loads = PARTITION_COLUMNS[name][0], _loads(database)
     columns = columns or ", ".join([*(f"r.`{f.name}`" for f in _schema(name).fields), f"r.`{day}`", f"l.{LOAD_ID}"])
     return f"""
 SELECT {columns}

@@ -138,3 +138,15 @@ def test_a_side_of_many_rows_is_not_broadcast(spark, monkeypatch):
         seen.append((out, "BroadcastHashJoin" in cut._jdf.queryExecution().executedPlan().toString()))
     assert seen[0][0] == seen[1][0] and sum(seen[0][0].values()) == 3000
     assert seen[0][1] and not seen[1][1]
+
+
+def test_rows_of_a_load_are_not_shuffled_by_attempt(spark):
+    """Views join rows with the few commits; a shuffle by attempt would send a whole load to one task."""
+    from clickweave.sinks import tables as sinks
+
+    for load in ("a", "b"):
+        sinks.land_raw(spark.range(50).select(F.col("id").cast("string").alias("value")), "shown_t", load)
+    view = spark.table("shown_t.sessions_raw")
+    plan = _plan(view)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 3, plan
+    assert view.groupBy("load_id").count().count() == 2 and view.count() == 100
