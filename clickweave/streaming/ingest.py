@@ -105,7 +105,7 @@ def message_files_stream(spark: SparkSession, input_dir: str, max_files_per_trig
 
 # ----------------------------------------------------------------- live ingest
 
-def write_batch_partition(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = (), kind: str = "parquet") -> None:
+def write_batch_partition(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = (), kind: str = "parquet", **options: str) -> None:
     """Write one micro batch under ``batch_id=<id>``, replacing a previous attempt.
 
     Dynamic partition overwrite touches only that partition, so replaying a
@@ -114,7 +114,7 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, partitions: t
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", **options)
         .partitionBy("batch_id", *partitions)
         .format(kind)
         .save(path)
@@ -245,7 +245,8 @@ def start_raw_landing(
 
     Each line names the minute and the shard of its message. An hour of a
     micro batch is spread over as many tasks and files as its rows need, so
-    neither a hot minute nor a quiet hour with a file per minute hurts.
+    neither a hot minute nor a quiet hour with a file per minute hurts. Files
+    are compressed by gzip, which is read as a whole: ``rows_per_file`` bounds them.
     """
 
     def sink(df: DataFrame, batch_id: int) -> None:
@@ -254,7 +255,7 @@ def start_raw_landing(
             files = rows.groupBy("hour").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("files"))
             spread = rows.join(files, "hour").withColumn("file", F.pmod(F.xxhash64("message_id"), F.col("files")))
             spread = spread.repartition("hour", "file").select("value", "hour")
-            write_batch_partition(spread, output_dir, batch_id, ("hour",), "text")
+            write_batch_partition(spread, output_dir, batch_id, ("hour",), "text", compression="gzip")
         finally:
             rows.unpersist()
 

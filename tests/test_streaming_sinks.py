@@ -442,3 +442,13 @@ def test_cli_batch_and_page_views(spark, session_files, tmp_path):
     cli.main(["derive", "--database", "cli_derived_t"], spark)
     assert spark.table("cli_derived_t.visits").where("load_id = 'derived-batch_sessions-again'").count() == n
     assert cli.main(["publish", "--database", "cli_t", "--buckets", "2"], spark)["dropped"] == []
+
+
+def test_raw_landing_is_compressed(spark, tmp_path):
+    msgs = session_messages(spark, SF_SMALL)
+    msgs.write.parquet(str(tmp_path / "msgs"))
+    out = str(tmp_path / "raw")
+    ingest.start_raw_landing(ingest.message_files_stream(spark, str(tmp_path / "msgs")), out, str(tmp_path / "k")).awaitTermination(300)
+    files = glob.glob(out + "/batch_id=0/hour=*/part-*")
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    assert pageviews.read_raw_landing(spark, out).count() == msgs.count()
