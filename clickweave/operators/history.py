@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.operators.quality import dedup
-from clickweave.session import staged
+from clickweave.session import staged, written
 
 BITS_A_KEY = 16
 WORD_BITS = 64
@@ -100,6 +100,6 @@ def new_rows(load: DataFrame, history: DataFrame, keys: Sequence[str], day: str
     the row, that deduplicating everything would leave if earlier loads go first.
     A load or a history without rows gives no rows, or the load's own.
     """
-    load = staged(dedup(load, keys), "load")
+    load = written(dedup(load, keys), "load")
     known = staged(known_keys(load, history, keys, day, slack_days), "known-keys")
     return load.join(known, _same(load, known, keys), "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clickweave.operators import extract
 from clickweave.operators.skew import many
 from clickweave.schemas import PRIMARY_KEYS
-from clickweave.session import staged
+from clickweave.session import COMPACT, staged
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,8 +61,11 @@ def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     unique = df.distinct()
     if not rest:
         return unique.select(*df.columns)
-    unique = staged(unique, "distinct")
-    several = many(staged(duplicate_keys(unique, keys).select(*keys), "several"))
+    unique = staged(unique, "distinct", **COMPACT)
+    several = staged(duplicate_keys(unique, keys).select(*keys), "several")
+    if several.isEmpty():
+        return unique.select(*df.columns)
+    several = many(several)
     same = F.lit(True)
     for k in keys:
         same &= unique[k].eqNullSafe(several[k])
@@ -81,7 +84,7 @@ def consolidate_visits(parts: DataFrame) -> DataFrame:
     left with several rows are merged, each of their parts once. A whole
     record stands for its session beside parts of it.
     """
-    unique = staged(parts.distinct(), "distinct-parts")
+    unique = staged(parts.distinct(), "distinct-parts", **COMPACT)
     several = many(staged(duplicate_keys(unique, ["session_id"]).select("session_id"), "several"))
     columns = [c for c in parts.columns if c not in ("part", "parts")]
     found = unique.join(several, "session_id", "left_semi")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickweave.operators import extract
-from clickweave.session import staged
+from clickweave.session import COMPACT, staged
 from clickweave.sources.decode import parse_messages, parse_sessions
 from clickweave.sources.derived import session_messages, session_records
 
@@ -47,7 +47,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # the written records are one object per input and bounds
     key = (id(session_records(spark, sf_dir)), name)
     if key not in _LANDED:
-        _LANDED[key] = staged(TABLES[name](spark, sf_dir), f"landed-{name}")
+        _LANDED[key] = staged(TABLES[name](spark, sf_dir), f"landed-{name}", **COMPACT)
     return _LANDED[key]
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import iso_text, money_sum
 from clickweave.operators.skew import MOST_BROADCAST_ROWS, many, numbered, split_hot_groups
-from clickweave.session import staged
+from clickweave.session import COMPACT, staged
 
 # Fixed values of the base-table -> session mapping.
 DEVICE_TYPES = ["mobile", "desktop", "tablet"]  # indexed by user_id % 3
@@ -302,7 +302,7 @@ def session_records(
     key = (spark.sparkContext.applicationId, max_events_per_record, max_items_per_record, _input_state(spark, sf_dir))
     if key not in _WRITTEN:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        _WRITTEN[key] = staged(build_session_records(spark, sf_dir, max_events_per_record, max_items_per_record), "session-records")
+        _WRITTEN[key] = staged(build_session_records(spark, sf_dir, max_events_per_record, max_items_per_record), "session-records", **COMPACT)
     return _WRITTEN[key]
 
 

@@ -93,3 +93,14 @@ def test_a_hot_key_is_found_once(spark):
     load = staged(frame(spark, 2), "load")
     found = history.known_keys(load, staged(hot, "history"), KEYS)
     assert sorted(r.k for r in found.collect()) == ["key-0", "key-1"]
+
+
+def test_rows_without_ties_are_written_once(spark):
+    """Copies alone leave one row a key, which needs no join and no second copy."""
+    copies = frame(spark, 300).where("k is not null").unionByName(frame(spark, 300).where("k is not null"))
+    once = quality.dedup(copies, KEYS)
+    assert "Join" not in once._jdf.queryExecution().optimizedPlan().toString()
+    assert once.count() == copies.distinct().count() == copies.count() // 2
+    assert all(f.endswith(".zstd.parquet") for f in once.inputFiles())
+    new = history.new_rows(copies, once.limit(0), KEYS)
+    assert any("/distinct-" in f for f in new.inputFiles()) and new.count() == once.count()
