@@ -543,7 +543,7 @@ def q_tables_of_both_paths(spark, sf_dir):
 def q_loads_without_copies(spark, sf_dir):
     """A batch load of even users; a live load of users divisible by 3 and a batch
     load of all, run twice, each without rows that are there: who wrote which rows of a session."""
-    even, _ = _halves(spark, sf_dir)
+    even = _files(spark, _halves_of(spark, sf_dir)[0])
     database = _database(spark, "no-copies")
     _batch(spark, even, database, run_id="1")
     user = F.regexp_extract("message_id", r"^SID-(\d+)-", 1).cast("long")
@@ -559,7 +559,7 @@ def q_joins_by_session(spark, sf_dir):
     """J1/J2/J4 on tables laid out by session, where sessions of more than 2 rows are split:
     what the three joins say of each session. A state published before is replaced."""
     database = _database(spark, "by-session")
-    even, _ = _halves(spark, sf_dir)
+    even = _files(spark, _halves_of(spark, sf_dir)[0])
     _batch(spark, even, database, run_id="1")
     by_session.publish(spark, database, 4, SPLIT_ROWS)
     v, e, i = _batch_tables(spark, sf_dir)
