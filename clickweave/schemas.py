@@ -47,6 +47,14 @@ PART_FIELDS = ["part", "parts", "first_event_pos", "first_item_pos"]
 SESSION = T.StructType(_strings(VISIT_SCALARS + PART_FIELDS) + [T.StructField("events", T.ArrayType(EVENT_ENTRY))])
 SESSION_PARSE = T.StructType(SESSION.fields + [T.StructField(CORRUPT_COL, S)])
 
+# A decoded record as it is handed on between streams.
+DECODED = T.StructType([
+    T.StructField("message_id", S),
+    T.StructField("publish_time", T.TimestampType()),
+    T.StructField("rec", SESSION),
+    T.StructField("reject_reason", S),
+])
+
 # Message envelope pushed over HTTP: {"message": {...}, "subscription": ...}
 PUSH_ENVELOPE = T.StructType([
     T.StructField("message", T.StructType([

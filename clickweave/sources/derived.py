@@ -26,12 +26,12 @@ not depend on the bounds. Purchases are the only events that join
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import iso_text, money_sum
-from clickweave.operators.skew import MOST_BROADCAST_ROWS, many, numbered, split_hot_groups
-from clickweave.session import COMPACT, staged
+from clickweave.operators.skew import MOST_BROADCAST_ROWS, many, split_hot_groups
+from clickweave.session import COMPACT, staged, written
 
 # Fixed values of the base-table -> session mapping.
 DEVICE_TYPES = ["mobile", "desktop", "tablet"]  # indexed by user_id % 3
@@ -127,12 +127,13 @@ def _details() -> dict:
     }
 
 
-def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
-    """One row per session event entry: session keys and the ``entry`` struct.
+def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame, ev: DataFrame) -> DataFrame:
+    """One row per session event entry: the columns of ``ev`` and the ``entry`` struct.
 
-    ``items`` is the written table of ``_order_items``.
+    ``items`` is the written table of ``_order_items``, ``ev`` are the base
+    events with what else their sessions say of them.
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    given = [c for c in ev.columns if c != "event_type"]
     ev = ev.withColumn("etype", _mapped_type(F.col("event_type")))
     eid, et = F.col("event_id"), F.col("etype")
     is_purchase = et.eqNullSafe(F.lit("purchase"))
@@ -168,7 +169,7 @@ def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFra
         cols.append((items if items is not None else F.lit(None).cast(ITEMS)).alias("items"))
         return F.struct(*cols)
 
-    columns = ("event_id", "ts", "user_id", "etype")
+    columns = (*given, "etype")
     carts = carts.select(*columns, details(cart).alias("details"))
     other_details = F.when(et == "page_view", details(page_view)).when(et == "promo_click", details(promo))
     others = ev.where(~is_purchase & ~is_cart).select(*columns, other_details.alias("details"))
@@ -189,7 +190,7 @@ def event_entries(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFra
             F.col("details").alias("details"),
         ).alias("event")
     )
-    return others.unionByName(carts).unionByName(purchases).select("event_id", "ts", "user_id", F.date_format(F.col("ts"), "yyyyMMdd").alias("day"), entry.alias("entry"))
+    return others.unionByName(carts).unionByName(purchases).select(*given, entry.alias("entry"))
 
 
 def _record(events, part=None, parts=None, first_event=None, first_item=None):
@@ -235,36 +236,38 @@ def build_session_records(
     """
     purchase_ids = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select("event_id")
     items = staged(_order_items(spark, sf_dir, purchase_ids, max_items_per_record), "order-items")
-    entries = event_entries(spark, sf_dir, items)
-    # Session sizes are counted on the base events table (two narrow columns).
-    day = F.date_format(F.col("ts"), "yyyyMMdd").alias("day")
-    base = table(spark, sf_dir, "events").select("user_id", day)
-    entries = split_hot_groups(entries, ["user_id", "day"], max_events_per_record, ["ts", "event_id"], sizes_from=base)
+    # Sessions are cut as rows of the base events table: its narrow rows are
+    # placed and written, and an entry is built and shuffled once.
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", F.date_format(F.col("ts"), "yyyyMMdd").alias("day"))
+    placed = split_hot_groups(ev, ["user_id", "day"], max_events_per_record, ["ts", "event_id"], pos_col="_pos", of_key={"_closes": F.max("ts")})
+    placed = written(placed, "placed")
+    entries = event_entries(spark, sf_dir, items, placed)
     sort_key = F.struct("ts", "event_id", "entry")
-    grouped = entries.groupBy("user_id", "day", "part", "parts").agg(F.array_sort(F.collect_list(sort_key)).alias("_sorted"), F.max("ts").alias("_last"))
+    # all records of a session are published when it closes
+    last = F.coalesce(F.max("_closes"), F.max("ts")).alias("_last")
+    grouped = entries.groupBy("user_id", "day", "part", "parts").agg(F.array_sort(F.collect_list(sort_key)).alias("_sorted"), last)
     events = F.transform("_sorted", lambda x: x["entry"])
     first = F.col("part") * max_events_per_record
     message_id = F.concat(session_id(), F.lit("#"), F.coalesce("part", F.lit(0)).cast("string"))
     record = _record(events, F.col("part"), F.col("parts"), first)
-    # all records of a session are published when it closes
-    closes = table(spark, sf_dir, "events").select("user_id", day, "ts").groupBy("user_id", "day").agg(F.max("ts").alias("_closes")).hint("merge")
-    records = grouped.where("parts is null").select(*_message(message_id, F.col("_last"), record))
-    parts = grouped.where("parts is not null").join(closes, ["user_id", "day"])
-    records = records.unionByName(parts.select(*_message(message_id, F.col("_closes"), record)))
+    records = grouped.select(*_message(message_id, F.col("_last"), record))
     more = items.where("chunk > 0")
     if more.isEmpty():
         return records
     # items of a long order beyond its first range: a record for each range
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", day)
     more = many(more)
     chosen = more.select(F.col("order_key").alias("event_id")).distinct().hint("merge")
-    sessions = ev.join(ev.join(chosen, "event_id", "left_semi").select("user_id", "day").distinct().hint("merge"), ["user_id", "day"], "left_semi")
-    placed = numbered(sessions, ["user_id", "day"], ["ts", "event_id"])
+    # a session that is not cut has at most the events of a record, so a window places them
+    whole = placed.where("parts is null")
+    whole = whole.join(whole.join(chosen, "event_id", "left_semi").select("user_id", "day").distinct().hint("merge"), ["user_id", "day"], "left_semi")
+    session = Window.partitionBy("user_id", "day")
+    whole = whole.withColumns({"_pos": F.row_number().over(session.orderBy("ts", "event_id")).cast("long") - 1, "_closes": F.max("ts").over(session)})
+    placed = placed.where("parts is not null").unionByName(whole)
     d = _details()
     d["order_id"] = F.concat(F.lit("ORD-"), F.col("event_id").cast("string"))
     details = F.struct(*(v.alias(k) for k, v in d.items()), F.col("items"))
     entry = F.struct(F.struct(F.lit("purchase").alias("event_type"), iso_text(F.col("ts")).alias("timestamp"), details.alias("details")).alias("event"))
-    rest = placed.join(more, placed["event_id"] == more["order_key"]).join(closes, ["user_id", "day"])
+    rest = placed.join(more, placed["event_id"] == more["order_key"])
     message_id = F.concat(session_id(), F.lit("#ORD-"), F.col("event_id").cast("string"), F.lit("#"), F.col("chunk").cast("string"))
     record = _record(F.array(entry), first_event=F.col("_pos"), first_item=F.col("chunk") * max_items_per_record)
     return records.unionByName(rest.select(*_message(message_id, F.col("_closes"), record)))

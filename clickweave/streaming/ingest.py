@@ -20,6 +20,7 @@ resumes where it stopped and every query sees the whole topic):
     written once, when the watermark passes its end), the alert rows, and
     late messages as rejects, likewise.
   * ``start_raw_landing``   - raw messages as lines, by hour and batch.
+  * ``start_decoded``       - decoded records as files, which other streams read.
   * ``start_updates``       - changed groups of a running aggregate.
 """
 
@@ -32,8 +33,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickweave.functions.scalars import money_exact, money_of, money_rest
 from clickweave.operators import extract
-from clickweave.schemas import MESSAGE, PAGE_VIEWS
-from clickweave.session import staged
+from clickweave.schemas import DECODED, MESSAGE, PAGE_VIEWS
+from clickweave.session import COMPACT, staged
 from clickweave.sinks import tables as sinks
 from clickweave.sources.decode import parse_messages, parse_sessions
 from clickweave.streaming import pageviews
@@ -273,6 +274,25 @@ def parse_message_stream(messages: DataFrame) -> DataFrame:
     return parse_messages(messages)
 
 
+def start_decoded(parsed_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The records of a decoded stream as files (``schemas.DECODED``), for the streams that read them with ``decoded_stream``.
+
+    Filtering replays and decoding are done once, not once per reader, and
+    readers take the members they need. Spark's file sink logs the files of
+    a finished batch, so one that is run again after a failure is read once.
+    """
+    writer = parsed_stream.select(*DECODED.names).writeStream.format("parquet").outputMode("append").options(**COMPACT)
+    return _trigger(writer.option("checkpointLocation", checkpoint), trigger).start(path)
+
+
+def decoded_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The decoded records that ``start_decoded`` wrote, as a stream."""
+    reader = spark.readStream.schema(DECODED).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
 # ------------------------------------------------------------ live dashboard
 
 DASHBOARD_LATENESS = "1 day"
