@@ -715,16 +715,24 @@ def q_job_run_metrics(spark, sf_dir):
 def q_live_dashboard_stream(spark, sf_dir):
     """The reports as streams over messages that are delivered twice, of
     sessions cut into records of 2 events. Replays are dropped and messages decoded
-    once for all reports. All messages come in one batch, so none is late; the logs are compacted before they are read."""
+    once for all reports. All messages come in one batch, so none is late; the
+    logs are compacted before they are read."""
     root = _stream_root(spark, "dashboard")
     messages = session_messages(spark, sf_dir, *SMALL_BOUNDS)
     messages.unionByName(messages).write.parquet(f"{root}/messages")
     # no report reads attributes; the replay filter need not shuffle them
     stream = ingest.without_replays(ingest.message_files_stream(spark, f"{root}/messages").drop("attributes"), ingest.DASHBOARD_LATENESS)
     ingest.start_decoded(parse_messages(stream), f"{root}/decoded", f"{root}/ck-decoded").awaitTermination()
-    out = []
+    running, out = [], []
+    try:  # the reports' streams run side by side
+        for name in ingest.DASHBOARD:
+            running.append(ingest.start_updates(ingest.live_dashboard_aggregates(ingest.decoded_stream(spark, f"{root}/decoded"))[name], f"{root}/{name}", f"{root}/ck-{name}"))
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
     for name, (key, _) in ingest.DASHBOARD.items():
-        ingest.start_updates(ingest.live_dashboard_aggregates(ingest.decoded_stream(spark, f"{root}/decoded"))[name], f"{root}/{name}", f"{root}/ck-{name}").awaitTermination()
         ingest.compact_updates(spark, f"{root}/{name}", ["day", key], keep_batches=0)
         report = ingest.read_dashboard(spark, f"{root}/{name}", name)
         value = [c for c in report.columns if c != key][0]
